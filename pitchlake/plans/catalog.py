@@ -141,3 +141,133 @@ GOLD_SELECT = f"""SELECT match_id, team_name, {r6('ppda', 'ppda')}, {r6('press_h
 @register("gold_fingerprints", GOLD_SELECT)
 def _gold_fingerprints(L: Layers) -> DataFrame:
     return L.gold
+
+
+# ============================================================== Serving
+
+@register("competition_options", """SELECT competition_id, season_id, competition_name, season_name,
+  competition_name || ' (' || season_name || ')' AS label FROM bronze_competitions""")
+def _competition_options(L: Layers) -> DataFrame:
+    return V.competition_options(L.bronze_competitions)
+
+
+@register("season_readiness", """SELECT c.competition_id, c.season_id,
+  CAST(COALESCE(g.n, 0) AS BIGINT) AS gold_rows, COALESCE(g.n, 0) > 0 AS ready
+  FROM (SELECT DISTINCT competition_id, season_id FROM bronze_competitions) c
+  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM gold GROUP BY 1, 2) g
+  ON c.competition_id = g.competition_id AND c.season_id = g.season_id""")
+def _season_readiness(L: Layers) -> DataFrame:
+    return V.season_readiness(L.bronze_competitions, L.gold)
+
+
+@register("pressing_leaders", f"""SELECT competition_id, season_id, CAST(rk AS INTEGER) AS rank, team_name,
+  {r6('avg_ppda', 'avg_pressing_intensity_ppda')}, {r6('avg_ph', 'avg_press_height')}
+  FROM (SELECT *, row_number() OVER (PARTITION BY competition_id, season_id
+                                     ORDER BY avg_ppda ASC NULLS LAST, team_name) AS rk
+        FROM (SELECT competition_id, season_id, team_name, AVG(ppda) AS avg_ppda,
+                     AVG(press_height) AS avg_ph
+              FROM gold WHERE team_name IS NOT NULL GROUP BY 1, 2, 3) t) r
+  WHERE rk <= 5""")
+def _pressing_leaders(L: Layers) -> DataFrame:
+    return V.pressing_leaders(L.gold)
+
+
+@register("recent_results", """SELECT competition_id, season_id, match_id, match_date, home_team,
+  home_score, away_score, away_team FROM matches_c
+  WHERE (competition_id, season_id) IN (SELECT DISTINCT competition_id, season_id FROM gold)""")
+def _recent_results(L: Layers) -> DataFrame:
+    return V.recent_results(L.bronze_matches, L.gold)
+
+
+@register("season_options", """SELECT season_id, season_id = (SELECT MAX(season_id) FROM gold) AS is_default
+  FROM (SELECT DISTINCT season_id FROM gold) s""")
+def _season_options(L: Layers) -> DataFrame:
+    return V.season_options(L.gold)
+
+
+@register("team_options", "SELECT DISTINCT season_id, team_name FROM gold WHERE team_name IS NOT NULL")
+def _team_options(L: Layers) -> DataFrame:
+    return V.team_options(L.gold)
+
+
+_METRICS = ("ppda", "press_height", "high_turnover_rate", "defensive_line_height",
+            "progressive_carry_rate")
+
+
+@register("league_average", "SELECT season_id, " + ", ".join(
+    r6(f"league_{m}", m) for m in _METRICS) + " FROM league_avg")
+def _league_average(L: Layers) -> DataFrame:
+    return V.league_average(L.gold)
+
+
+@register("team_profile", "SELECT season_id, team_name, " + ", ".join(
+    [r6(m, m) for m in _METRICS] + [r6(f"league_{m}", f"league_{m}") for m in _METRICS])
+    + " FROM profile")
+def _team_profile(L: Layers) -> DataFrame:
+    return V.team_profile(L.gold)
+
+
+@register("team_dna", f"""SELECT season_id, team_name, metric, label, {r6('value', 'value')},
+  {r6('league_value', 'league_value')}, {r6('pct', 'pct_of_avg')}, {r6('pct - 100', 'delta_pct')}
+  FROM (SELECT *, CASE WHEN league_value = 0 THEN 0.0 ELSE value / league_value * 100 END AS pct
+        FROM metric_rows) m""")
+def _team_dna(L: Layers) -> DataFrame:
+    return V.team_dna(L.gold)
+
+
+@register("team_style", f"""SELECT season_id, team_name, {r6('ppda', 'team_ppda')},
+  {r6('league_ppda', 'league_ppda')},
+  CASE WHEN ppda < league_ppda * 0.9 THEN 'Aggressive Pressing'
+       WHEN ppda > league_ppda * 1.1 THEN 'Passive Block' END AS style
+  FROM profile""")
+def _team_style(L: Layers) -> DataFrame:
+    return V.team_style(L.gold)
+
+
+@register("radar_long", f"""SELECT m.season_id, m.team_name, m.metric_order, m.radar_label AS label,
+  {r6('m.value', 'team_value')}, {r6('m.league_value', 'league_value')}, {r6('a.axis_max', 'axis_max')}
+  FROM metric_rows m JOIN (
+    SELECT season_id, team_name,
+           1.2 * greatest(ppda, press_height, high_turnover_rate, defensive_line_height,
+                          progressive_carry_rate, league_ppda, league_press_height,
+                          league_high_turnover_rate, league_defensive_line_height,
+                          league_progressive_carry_rate) AS axis_max
+    FROM profile) a ON m.season_id = a.season_id AND m.team_name = a.team_name""")
+def _radar_long(L: Layers) -> DataFrame:
+    return V.radar_long(L.gold)
+
+
+@register("analyzable_matches", """SELECT competition_id, season_id, match_id, match_date, home_team,
+  away_team, home_score, away_score,
+  match_date || ' | ' || home_team || ' ' || CAST(home_score AS VARCHAR) || '-' ||
+  CAST(away_score AS VARCHAR) || ' ' || away_team AS label
+  FROM analyzable""")
+def _analyzable_matches(L: Layers) -> DataFrame:
+    return V.analyzable_matches(L.bronze_matches, L.shots)
+
+
+@register("match_momentum", f"""SELECT s.match_id, s.side, s.team_name, CAST(c.shot_seq AS BIGINT) AS seq,
+  c.minute, {r6('c.cum_xg', 'cum_xg')}
+  FROM shot_cum c JOIN sides s ON c.match_id = s.match_id AND c.team_name = s.team_name
+  UNION ALL
+  SELECT match_id, side, team_name, seq, minute, {r6('cum_xg', 'cum_xg')} FROM anchors""")
+def _match_momentum(L: Layers) -> DataFrame:
+    return V.match_momentum(L.bronze_matches, L.shots)
+
+
+@register("shot_map", f"""SELECT s.match_id, s.team_name, s.player_name, s.minute, s.second,
+  s.event_order, {r6('s.xg', 'xg')}, s.outcome,
+  {r6('CASE WHEN s.team_name = m.away_team THEN 120 - s.location_x ELSE s.location_x END', 'location_x')},
+  {r6('CASE WHEN s.team_name = m.away_team THEN 80 - s.location_y ELSE s.location_y END', 'location_y')}
+  FROM silver_shots s JOIN matches_c m ON s.match_id = m.match_id""")
+def _shot_map(L: Layers) -> DataFrame:
+    return V.shot_map(L.bronze_matches, L.shots)
+
+
+@register("shot_summary", f"""SELECT match_id, team_name, {r6('total', 'total_xg')},
+  shots, {r6('total / shots', 'xg_per_shot')}
+  FROM (SELECT match_id, team_name, COALESCE(SUM(xg), 0.0) AS total, COUNT(match_id) AS shots
+        FROM silver_shots WHERE team_name IS NOT NULL
+          AND match_id IN (SELECT match_id FROM matches_c) GROUP BY 1, 2) t""")
+def _shot_summary(L: Layers) -> DataFrame:
+    return V.shot_summary(L.bronze_matches, L.shots)

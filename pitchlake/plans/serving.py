@@ -242,9 +242,10 @@ def shot_map(matches: DataFrame, shots: DataFrame) -> DataFrame:
     return s.select(
         "match_id", "team_name", "player_name", "minute", "second", "event_order", "xg",
         "outcome",
-        F.when(away, F.lit(PITCH_LENGTH) - F.col("location_x"))
+        # mirrored in FLOAT, like the FLOAT coordinates (ANSI would widen to double)
+        F.when(away, F.lit(PITCH_LENGTH).cast("float") - F.col("location_x"))
          .otherwise(F.col("location_x")).alias("location_x"),
-        F.when(away, F.lit(PITCH_WIDTH) - F.col("location_y"))
+        F.when(away, F.lit(PITCH_WIDTH).cast("float") - F.col("location_y"))
          .otherwise(F.col("location_y")).alias("location_y"))
 
 
@@ -253,7 +254,9 @@ def shot_summary(matches: DataFrame, shots: DataFrame) -> DataFrame:
     m = coerced_matches(matches).select("match_id")
     s = (shots.where(F.col("team_name").isNotNull())
          .join(m, shots["match_id"] == m["match_id"], "left_semi"))
+    # a sum over only-missing xG is 0, not NULL
     agg = s.groupBy("match_id", "team_name").agg(
-        F.sum("xg").alias("total_xg"), F.count("match_id").alias("shots"))
+        F.coalesce(F.sum("xg"), F.lit(0.0)).alias("total_xg"),
+        F.count("match_id").alias("shots"))
     return agg.select("match_id", "team_name", "total_xg", "shots",
                       F.try_divide(F.col("total_xg"), F.col("shots")).alias("xg_per_shot"))
