@@ -162,3 +162,39 @@ def fingerprints(events: DataFrame, carries: DataFrame,
                     const.alias("press_success_rate"), const.alias("compactness"),
                     const.alias("counter_attack_speed"),
                     "competition_id", "season_id"))
+
+
+def carry_join_counts(events: DataFrame, carries: DataFrame,
+                      t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Row counts of the carries x Carry-events join per (match, team), without
+    materialising it: joined = sum(n*m), progressive = sum(p*m)."""
+    gain = F.col("end_x") - F.col("start_x")
+    per_player = (carries.where(F.col("player_id").isNotNull())
+                  .groupBy("match_id", "player_id")
+                  .agg(F.count_if(gain > t.progressive_gain).alias("p"),
+                       F.count(F.lit(1)).alias("n")))
+    carry_events = (events.where((F.col("type") == "Carry") & F.col("player_id").isNotNull())
+                    .groupBy(*TEAM_MATCH, "player_id").agg(F.count(F.lit(1)).alias("m")))
+    return (carry_events.join(per_player, ["match_id", "player_id"])
+            .groupBy(*TEAM_MATCH)
+            .agg(F.sum(F.col("n") * F.col("m")).alias("joined_rows"),
+                 F.sum(F.col("p") * F.col("m")).alias("progressive_rows")))
+
+
+def pressure_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Pressures per (match, team): all rows, rows with a location, final-third rows."""
+    x = F.col("location_x")
+    return (events.where(F.col("type") == "Pressure").groupBy(*TEAM_MATCH)
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count(x).alias("n_with_location"),
+                 F.count(F.when(x > t.high_turnover_min_x, 1)).alias("n_final_third")))
+
+
+def zone_actions_left_join(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Spine LEFT JOIN own defensive actions with x > 40 (the range test applied to
+    the right side before the join), counted per (match, team)."""
+    spine = match_teams(events)
+    acts = (events.where(F.col("type").isin(*t.defensive_kinds)
+                         & (F.col("location_x") > t.press_zone_min_x))
+            .groupBy(*TEAM_MATCH).agg(F.count(F.lit(1)).alias("def_actions")))
+    return (spine.join(acts, list(TEAM_MATCH), "left")
+            .select(*TEAM_MATCH, F.coalesce("def_actions", F.lit(0)).alias("def_actions")))

@@ -456,3 +456,7 @@ def _run_pipeline(L: Layers) -> DataFrame:
 def _multi_season_batch(L: Layers) -> DataFrame:
     # a catalogued season without data reports 'empty' and does not stop the others
     return P.run_pipeline(L.spark, L.feed, lake_root(L.spark), _BATCH_SEASONS)
+
+
+# single-operator keys register themselves on import
+from pitchlake.plans import catalog_ops as _ops  # noqa: E402,F401

@@ -260,3 +260,53 @@ def shot_summary(matches: DataFrame, shots: DataFrame) -> DataFrame:
         F.count("match_id").alias("shots"))
     return agg.select("match_id", "team_name", "total_xg", "shots",
                       F.try_divide(F.col("total_xg"), F.col("shots")).alias("xg_per_shot"))
+
+
+def final_cum_xg(matches: DataFrame, shots: DataFrame) -> DataFrame:
+    """Last running xG of each side (0 without shots)."""
+    a = momentum_anchors(matches, shots)
+    return a.where(F.col("seq") > 0).select("match_id", "side", "team_name",
+                                            F.col("cum_xg").alias("final_cum_xg"))
+
+
+def join_match_info(matches: DataFrame, shots: DataFrame) -> DataFrame:
+    """Shots beside the home/away names of their match, with the shooter's side."""
+    m = coerced_matches(matches).select("match_id", "home_team", "away_team")
+    s = shots.select("match_id", "team_name", "event_order").join(m, "match_id", "inner")
+    side = (F.when(F.col("team_name") == F.col("home_team"), "home")
+            .when(F.col("team_name") == F.col("away_team"), "away"))
+    return s.withColumn("side", side)
+
+
+def union_lineups(lineups: DataFrame, matches: DataFrame) -> DataFrame:
+    """The home line-ups and the away line-ups of every match, unioned by name."""
+    m = coerced_matches(matches).select("match_id", "home_team", "away_team")
+    home = (lineups.join(m, (lineups["match_id"] == m["match_id"])
+                         & (lineups["team_name"] == m["home_team"]), "left_semi")
+            .withColumn("side", F.lit("home")))
+    away = (lineups.join(m, (lineups["match_id"] == m["match_id"])
+                         & (lineups["team_name"] == m["away_team"]), "left_semi")
+            .withColumn("side", F.lit("away")))
+    # by name: the two parts may list their columns in different orders
+    return home.unionByName(away.select("side", *lineups.columns))
+
+
+def default_season(gold: DataFrame) -> DataFrame:
+    """The latest season (the default selection)."""
+    return gold.agg(F.max("season_id").alias("default_season_id"))
+
+
+def sorted_team_options(gold: DataFrame) -> DataFrame:
+    """Teams of each season with their position in sorted order."""
+    w = Window.partitionBy("season_id").orderBy("team_name")
+    return team_options(gold).withColumn("position", F.row_number().over(w))
+
+
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows per (table, competition, season)."""
+    out = None
+    for name, df in tables.items():
+        c = (df.groupBy(*SEASON).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(name).alias("table_name"), *SEASON, "n_rows"))
+        out = c if out is None else out.unionByName(c)
+    return out
