@@ -49,21 +49,21 @@ _EV_COLS = ("match_id, team_id, team_name, player_id, player_name, type, period,
 
 @register("silver_events", f"SELECT {_EV_COLS} FROM silver_events")
 def _silver_events(L: Layers) -> DataFrame:
-    return L.events
+    return L.silver_from_bronze("events")
 
 
 @register("silver_shots", f"""SELECT match_id, team_name, player_id, player_name, minute, second,
   {r6('xg', 'xg')}, {r6('location_x', 'location_x')}, {r6('location_y', 'location_y')},
   body_part, outcome, under_pressure, event_order, competition_id, season_id FROM silver_shots""")
 def _silver_shots(L: Layers) -> DataFrame:
-    return L.shots
+    return L.silver_from_bronze("shots")
 
 
 @register("silver_pressures", f"""SELECT match_id, team_id, team_name,
   {r6('location_x', 'location_x')}, {r6('location_y', 'location_y')}, minute, second,
   event_order, competition_id, season_id FROM silver_pressures""")
 def _silver_pressures(L: Layers) -> DataFrame:
-    return L.pressures
+    return L.silver_from_bronze("pressures")
 
 
 @register("silver_carries", f"""SELECT match_id, player_id, player_name,
@@ -71,12 +71,12 @@ def _silver_pressures(L: Layers) -> DataFrame:
   {r6('end_y', 'end_y')}, {r6('delta_x', 'delta_x')}, {r6('delta_y', 'delta_y')},
   event_order, competition_id, season_id FROM silver_carries""")
 def _silver_carries(L: Layers) -> DataFrame:
-    return L.carries
+    return L.silver_from_bronze("carries")
 
 
 @register("silver_lineups", "SELECT * FROM silver_lineups")
 def _silver_lineups(L: Layers) -> DataFrame:
-    return L.lineups
+    return L.silver_from_bronze("lineups")
 
 
 # ============================================================== Gold
@@ -140,7 +140,7 @@ GOLD_SELECT = f"""SELECT match_id, team_name, {r6('ppda', 'ppda')}, {r6('press_h
 
 @register("gold_fingerprints", GOLD_SELECT)
 def _gold_fingerprints(L: Layers) -> DataFrame:
-    return L.gold
+    return L.gold_from_silver()
 
 
 # ============================================================== Serving
@@ -293,7 +293,7 @@ _AUDIT = f"CAST({_INGESTED_EPOCH} AS BIGINT) AS _ingested_at, 'statsbomb_open' A
 @register("bronze_events", f"SELECT {_BRONZE_EV_COLS}, {_AUDIT} FROM bronze_events")
 def _bronze_events(L: Layers) -> DataFrame:
     root = lake_root(L.spark)
-    B.land_events(L.bronze_events, root)
+    B.land_events(L.feed.events, root)
     return B.scan_events(L.spark, root)
 
 
@@ -301,7 +301,7 @@ def _bronze_events(L: Layers) -> DataFrame:
   {_AUDIT} FROM bronze_competitions""")
 def _bronze_competitions(L: Layers) -> DataFrame:
     root = lake_root(L.spark)
-    B.land_competitions(L.bronze_competitions, root)
+    B.land_competitions(L.feed.competitions, root)
     return B.scan_competitions(L.spark, root)
 
 
@@ -309,7 +309,7 @@ def _bronze_competitions(L: Layers) -> DataFrame:
   away_score, {_AUDIT}, competition_id, season_id FROM bronze_matches""")
 def _bronze_matches(L: Layers) -> DataFrame:
     root = lake_root(L.spark)
-    B.land_matches(L.bronze_matches, root)
+    B.land_matches(L.feed.matches, root)
     return B.scan_matches(L.spark, root)
 
 
@@ -317,13 +317,13 @@ def _bronze_matches(L: Layers) -> DataFrame:
   {_AUDIT}, competition_id, season_id FROM bronze_lineups""")
 def _bronze_lineups(L: Layers) -> DataFrame:
     root = lake_root(L.spark)
-    B.land_lineups(L.bronze_lineups, root)
+    B.land_lineups(L.feed.lineups, root)
     return B.scan_lineups(L.spark, root)
 
 
 @register("audit_columns", f"SELECT event_order, match_id, {_AUDIT} FROM bronze_events")
 def _audit_columns(L: Layers) -> DataFrame:
-    return B.add_audit_columns(L.bronze_events.select("event_order", "match_id"))
+    return B.add_audit_columns(L.feed.events.select("event_order", "match_id"))
 
 
 @register("stringify_complex", """SELECT event_order,
@@ -333,7 +333,8 @@ def _audit_columns(L: Layers) -> DataFrame:
   FROM bronze_events""")
 def _stringify_complex(L: Layers) -> DataFrame:
     # the feed shape before landing: coordinates as native lists, kind as an object
-    ev = L.bronze_events
+    ev = L.feed.events
+
     def xy(c):
         parts = F.split(F.translate(F.col(c), "[]", ""), ",")
         return F.when(F.col(c) != "nan", F.array(
@@ -349,7 +350,7 @@ def _stringify_complex(L: Layers) -> DataFrame:
   FROM bronze_events GROUP BY 1, 2, 3""")
 def _partitioned_write(L: Layers) -> DataFrame:
     root = lake_root(L.spark)
-    B.land_events(L.bronze_events, root)
+    B.land_events(L.feed.events, root)
     ev = B.scan_events(L.spark, root)
     return ev.groupBy(*B.EVENTS_PARTS).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -359,8 +360,8 @@ def _partitioned_write(L: Layers) -> DataFrame:
 def _empty_guard(L: Layers) -> DataFrame:
     # an empty rerun of a season must not remove what is there
     root = lake_root(L.spark)
-    B.land_events(L.bronze_events, root)
-    B.land_events(L.bronze_events.where(F.col("season_id") < 0), root)
+    B.land_events(L.feed.events, root)
+    B.land_events(L.feed.events.where(F.col("season_id") < 0), root)
     ev = B.scan_events(L.spark, root)
     return ev.groupBy(*B.SEASON_PARTS).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -380,7 +381,7 @@ def _limit_matches(L: Layers) -> DataFrame:
 def _multi_file_scan(L: Layers) -> DataFrame:
     # files of two landings with different column sets, read as one typed table
     root = lake_root(L.spark)
-    ev = L.bronze_events
+    ev = L.feed.events
     path = B.paths(root)["events"]
     B.write_partitioned(ev.where(F.col("season_id") != 27), path, B.EVENTS_PARTS)
     B.land_events(ev.where(F.col("season_id") == 27), root)
@@ -393,7 +394,7 @@ def _normalize_match_id(L: Layers) -> DataFrame:
     # match ids landed as text ('123.0'), as a stringified feed stores them
     root = lake_root(L.spark)
     path = f"{root}/matches_text"
-    m = L.bronze_matches.select(
+    m = L.feed.matches.select(
         F.concat(F.col("match_id").cast("string"), F.lit(".0")).alias("match_id"),
         "competition_id", "season_id", "match_date")
     B.write_partitioned(m, path, B.SEASON_PARTS)
@@ -413,7 +414,7 @@ def _point_read(L: Layers) -> DataFrame:
 @register("silver_write", f"SELECT {_EV_COLS} FROM silver_events")
 def _silver_write(L: Layers) -> DataFrame:
     root = lake_root(L.spark)
-    B.write_partitioned(L.events, P.silver_path(root, "events"), B.SEASON_PARTS,
+    B.write_partitioned(L.silver_from_bronze("events"), P.silver_path(root, "events"), B.SEASON_PARTS,
                         cluster_by=("match_id",))
     return P.read_silver(L.spark, root, "events").select(*_schemas.SILVER_EVENTS.fieldNames())
 
@@ -421,7 +422,8 @@ def _silver_write(L: Layers) -> DataFrame:
 @register("gold_write", GOLD_SELECT)
 def _gold_write(L: Layers) -> DataFrame:
     root = lake_root(L.spark)
-    B.write_partitioned(L.gold, B.paths(root)["gold"], B.SEASON_PARTS, cluster_by=("match_id",))
+    B.write_partitioned(L.gold_from_silver(), B.paths(root)["gold"], B.SEASON_PARTS,
+                        cluster_by=("match_id",))
     return P.read_gold(L.spark, root)
 
 

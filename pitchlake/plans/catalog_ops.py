@@ -445,13 +445,17 @@ def _default_season(L: Layers) -> DataFrame:
 
 # ------------------------------------------------------------------ U: set operations
 
-@register("union_lineups", """SELECT 'home' AS side, l.* FROM bronze_lineups l
+_LINEUP_COLS = "match_id, team_name, player_id, player_name, jersey_number, competition_id, season_id"
+
+
+@register("union_lineups", f"""SELECT 'home' AS side, {_LINEUP_COLS} FROM bronze_lineups l
   WHERE EXISTS (SELECT 1 FROM matches_c m WHERE m.match_id = l.match_id AND m.home_team = l.team_name)
   UNION ALL
-  SELECT 'away' AS side, l.* FROM bronze_lineups l
+  SELECT 'away' AS side, {_LINEUP_COLS} FROM bronze_lineups l
   WHERE EXISTS (SELECT 1 FROM matches_c m WHERE m.match_id = l.match_id AND m.away_team = l.team_name)""")
 def _union_lineups(L: Layers) -> DataFrame:
-    return V.union_lineups(L.bronze_lineups, L.bronze_matches)
+    lineups = L.bronze_lineups.select(*[c.strip() for c in _LINEUP_COLS.split(",")])
+    return V.union_lineups(lineups, L.bronze_matches)
 
 
 @register("union_files", """SELECT event_order, season_id,

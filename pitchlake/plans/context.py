@@ -1,60 +1,129 @@
-"""Lazily built layers over one input directory (plans only; nothing runs here)."""
+"""Layers of one input directory, as the queries see them.
+
+The feed derived from the driver tables is landed once per (session, input)
+into the lake under the session's checkpoint dir and run through the pipeline
+(Bronze -> Silver -> Gold, each written, each a lineage cut). Queries then
+read the stored layer below the one they compute, as in production:
+
+* Silver keys compute Silver from stored Bronze (filters reach the scan);
+* Gold keys compute Gold from stored Silver;
+* serving keys read stored Gold / Silver shots / Bronze matches.
+
+The source/sink keys land the adapter output themselves (``feed``).
+"""
 
 from __future__ import annotations
 
+import hashlib
+import os
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitchlake import schemas
 from pitchlake.config import DEFAULT_THRESHOLDS, Thresholds
 from pitchlake.operators import gold as G
 from pitchlake.operators import silver as S
+from pitchlake.session import lake_root
+from pitchlake.sources import bronze as B
 from pitchlake.sources.adapter import Feed
 
+_LOCK = threading.Lock()
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def _input_key(sf_dir: str) -> str:
+    p = os.path.join(os.path.abspath(sf_dir), "events.parquet")
+    try:
+        st = os.stat(p)
+        tag = f"{p}:{st.st_size}:{int(st.st_mtime)}"
+    except OSError:  # remote path: the path names the input
+        tag = p
+    return hashlib.sha1(tag.encode()).hexdigest()[:16]
+
+
+def landed_lake(spark: SparkSession, sf_dir: str, t: Thresholds = DEFAULT_THRESHOLDS) -> str:
+    """Lake root holding Bronze/Silver/Gold of ``sf_dir``; built on first use."""
+    from pitchlake.plans import pipeline as P
+    app = spark.sparkContext.applicationId
+    key = (app, _input_key(sf_dir) + ("" if t == DEFAULT_THRESHOLDS else repr(t)))
+    with _LOCK:
+        root = _LANDED.get(key)
+        if root is None:
+            root = lake_root(spark, f"feed-{key[1][:16]}-{abs(hash(key)) % 10**8}")
+            feed = Feed(spark, sf_dir)
+            P.ingest(feed, root)
+            P.transform(spark, root)
+            P.features(spark, root, t=t)
+            _LANDED[key] = root
+    return root
 
-class Layers:
-    """Bronze (from the adapter), Silver and Gold plans for one ``sf_dir``."""
 
+class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str, t: Thresholds = DEFAULT_THRESHOLDS):
         self.spark, self.sf_dir, self.t = spark, sf_dir, t
-        self.feed = Feed(spark, sf_dir)
 
-    @property
+    # ------------------------------------------------------------ adapter output
+    @cached_property
+    def feed(self) -> Feed:
+        return Feed(self.spark, self.sf_dir)
+
+    # ------------------------------------------------------------ stored layers
+    @cached_property
+    def root(self) -> str:
+        return landed_lake(self.spark, self.sf_dir, self.t)
+
+    @cached_property
     def bronze_events(self) -> DataFrame:
-        return self.feed.events
+        return B.scan_events(self.spark, self.root)
 
-    @property
+    @cached_property
     def bronze_matches(self) -> DataFrame:
-        return self.feed.matches
+        return B.scan_matches(self.spark, self.root)
 
-    @property
+    @cached_property
     def bronze_lineups(self) -> DataFrame:
-        return self.feed.lineups
+        return B.scan_lineups(self.spark, self.root)
 
-    @property
+    @cached_property
     def bronze_competitions(self) -> DataFrame:
-        return self.feed.competitions
+        return B.scan_competitions(self.spark, self.root)
+
+    def stored_silver(self, table: str) -> DataFrame:
+        from pitchlake.plans import pipeline as P
+        return P.read_silver(self.spark, self.root, table)
 
     @cached_property
     def events(self) -> DataFrame:
-        return S.silver_events(self.bronze_events)
+        return self.stored_silver("events")
 
     @cached_property
     def shots(self) -> DataFrame:
-        return S.silver_shots(self.bronze_events)
+        return self.stored_silver("shots")
 
     @cached_property
     def pressures(self) -> DataFrame:
-        return S.silver_pressures(self.bronze_events)
+        return self.stored_silver("pressures")
 
     @cached_property
     def carries(self) -> DataFrame:
-        return S.silver_carries(self.bronze_events)
+        return self.stored_silver("carries")
 
     @cached_property
     def lineups(self) -> DataFrame:
-        return S.silver_lineups(self.bronze_lineups)
+        return self.stored_silver("lineups")
 
     @cached_property
     def gold(self) -> DataFrame:
+        """Stored Gold (what the serving views read)."""
+        return B.scan(self.spark, B.paths(self.root)["gold"], schemas.GOLD_FINGERPRINTS)
+
+    # ------------------------------------------------------------ computed now
+    def silver_from_bronze(self, table: str) -> DataFrame:
+        if table == "lineups":
+            return S.silver_lineups(self.bronze_lineups)
+        return S.SILVER_TABLES[table](self.bronze_events)
+
+    def gold_from_silver(self) -> DataFrame:
         return G.fingerprints(self.events, self.carries, self.t)

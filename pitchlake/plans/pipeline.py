@@ -28,6 +28,7 @@ from pitchlake.sources import bronze as B
 from pitchlake.sources.adapter import Feed
 
 SILVER_EVENT_TABLES = ("events", "shots", "pressures", "carries")
+SILVER_SCHEMAS = schemas.SILVER
 
 
 def silver_path(root: str, table: str) -> str:
@@ -65,11 +66,7 @@ def transform(spark: SparkSession, root: str,
 
 def read_silver(spark: SparkSession, root: str, table: str,
                 seasons: Sequence[tuple[int, int]] | None = None) -> DataFrame:
-    df = spark.read.option("basePath", silver_path(root, table)).parquet(silver_path(root, table))
-    df = df.withColumn("competition_id", F.col("competition_id").cast("bigint")) \
-           .withColumn("season_id", F.col("season_id").cast("bigint"))
-    cond = B.season_filter(seasons)
-    return df if cond is None else df.where(cond)
+    return B.scan(spark, silver_path(root, table), SILVER_SCHEMAS[table], seasons)
 
 
 def features(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] | None = None,

@@ -54,3 +54,31 @@ GOLD_FINGERPRINTS = _st(
 )
 
 SEASON_KEYS = ("competition_id", "season_id")
+
+SILVER_SHOTS = _st(
+    ("match_id", I), ("team_name", S), ("player_id", I), ("player_name", S), ("minute", I),
+    ("second", I), ("xg", F), ("location_x", F), ("location_y", F), ("body_part", S),
+    ("outcome", S), ("under_pressure", B), ("event_order", L),
+    ("competition_id", L), ("season_id", L),
+)
+
+SILVER_PRESSURES = _st(
+    ("match_id", I), ("team_id", I), ("team_name", S), ("location_x", F), ("location_y", F),
+    ("minute", I), ("second", I), ("event_order", L), ("competition_id", L), ("season_id", L),
+)
+
+SILVER_CARRIES = _st(
+    ("match_id", I), ("player_id", I), ("player_name", S), ("start_x", F), ("start_y", F),
+    ("end_x", F), ("end_y", F), ("delta_x", F), ("delta_y", F), ("event_order", L),
+    ("competition_id", L), ("season_id", L),
+)
+
+SILVER_LINEUPS = _st(
+    ("match_id", I), ("team_name", S), ("player_id", I), ("player_name", S),
+    ("jersey_number", I), ("competition_id", L), ("season_id", L),
+)
+
+SILVER = {
+    "events": SILVER_EVENTS, "shots": SILVER_SHOTS, "pressures": SILVER_PRESSURES,
+    "carries": SILVER_CARRIES, "lineups": SILVER_LINEUPS,
+}
