@@ -135,7 +135,15 @@ def catalogue_only_sql() -> str:
 
 
 def read_driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The generic events table. A file with fewer splits than the cluster has
+    cores (one row group) is spread round-robin first, so the row-wise mapping
+    runs on every core; a large input already has enough splits and is left as
+    it is (no extra shuffle)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import datetime as dt
 import warnings
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,16 +84,20 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 # ----------------------------------------------------------------- S7, S8, S13
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
-                      cluster_by: Sequence[str] = (), guard_empty: bool = True) -> bool:
-    """Parquet write with dynamic partition overwrite.
-
-    S8: an empty input writes nothing (and so keeps existing partitions);
-    returns whether anything was written.
+                      cluster_by: Sequence[str] = (), guard_empty: bool = True) -> int:
+    """Parquet write with dynamic partition overwrite; returns rows written.
+
+    S8 (empty input writes nothing, old data stays): with partition columns an
+    empty input replaces no partition by construction of the dynamic
+    overwrite, so no extra job is needed; an unpartitioned table is checked
+    with ``isEmpty`` first, since overwriting it with nothing would wipe it.
+    The row count is observed during the write itself (no second job).
     """
-    if guard_empty and df.isEmpty():
+    if not partition_cols and guard_empty and df.isEmpty():
         warnings.warn(f"empty input, nothing written to {path}", stacklevel=2)
-        return False
-    out = df
+        return 0
+    obs = Observation(f"rows_{abs(hash(path)) % 10**9}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_cols:
         out = out.hint("rebalance", *partition_cols)
     if cluster_by:
@@ -102,11 +106,14 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
-    return True
+    rows = int(obs.get.get("rows", 0))
+    if rows == 0 and guard_empty:
+        warnings.warn(f"empty input, no partition of {path} replaced", stacklevel=2)
+    return rows
 
 
 def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
-                source: str = DEFAULT_SOURCE) -> bool:
+                source: str = DEFAULT_SOURCE) -> int:
     """Match events -> bronze/events, one folder per (competition, season, match)."""
     df = conform(add_audit_columns(stringify_complex(events), ingested_at, source),
                  schemas.BRONZE_EVENTS)
@@ -114,7 +121,7 @@ def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
 
 
 def land_competitions(competitions: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
-                      source: str = DEFAULT_SOURCE) -> bool:
+                      source: str = DEFAULT_SOURCE) -> int:
     """The competition catalogue, unpartitioned (small, whole overwrite)."""
     df = conform(add_audit_columns(competitions, ingested_at, source),
                  schemas.BRONZE_COMPETITIONS)
@@ -122,14 +129,14 @@ def land_competitions(competitions: DataFrame, root: str, ingested_at=DEFAULT_IN
 
 
 def land_matches(matches: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
-                 source: str = DEFAULT_SOURCE) -> bool:
+                 source: str = DEFAULT_SOURCE) -> int:
     """S3: matches of every season, partitioned by (competition, season)."""
     df = conform(add_audit_columns(matches, ingested_at, source), schemas.BRONZE_MATCHES)
     return write_partitioned(df, paths(root)["matches"], SEASON_PARTS, cluster_by=("match_id",))
 
 
 def land_lineups(lineups: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
-                 source: str = DEFAULT_SOURCE) -> bool:
+                 source: str = DEFAULT_SOURCE) -> int:
     """Per-team line-ups as one table with the team column kept, partitioned
     by (competition, season) so a season's line-ups are read alone."""
     df = conform(add_audit_columns(lineups, ingested_at, source), schemas.BRONZE_LINEUPS)
