@@ -55,13 +55,19 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
 
 def transform(spark: SparkSession, root: str,
               seasons: Sequence[tuple[int, int]] | None = None) -> None:
-    """Bronze -> Silver; a season is rebuilt from all of its Bronze matches."""
+    """Bronze -> Silver; a season is rebuilt from all of its Bronze matches.
+
+    Bronze files are per (season, match) folder, so every input split belongs
+    to one season: the Silver write needs no shuffle (no rebalance), each task
+    writes its season folder and sorts its rows by match locally.
+    """
     bronze = B.scan_events(spark, root, seasons)
     for table in SILVER_EVENT_TABLES:
         B.write_partitioned(S.SILVER_TABLES[table](bronze), silver_path(root, table),
-                            B.SEASON_PARTS, cluster_by=("match_id",))
+                            B.SEASON_PARTS, cluster_by=("match_id",), rebalance=False)
     B.write_partitioned(S.silver_lineups(B.scan_lineups(spark, root, seasons)),
-                        silver_path(root, "lineups"), B.SEASON_PARTS, cluster_by=("match_id",))
+                        silver_path(root, "lineups"), B.SEASON_PARTS, cluster_by=("match_id",),
+                        rebalance=False)
 
 
 def read_silver(spark: SparkSession, root: str, table: str,

@@ -179,7 +179,9 @@ def team_options(gold: DataFrame) -> DataFrame:
 
 def analyzable_matches(matches: DataFrame, shots: DataFrame) -> DataFrame:
     """Matches that have shots, with their selection label."""
-    with_shots = shots.select("match_id").where(F.col("match_id").isNotNull())
+    # distinct first: partial aggregation ships one row per match and map task,
+    # so the semi-join never sees a hot match's shots
+    with_shots = shots.select("match_id").where(F.col("match_id").isNotNull()).distinct()
     m = coerced_matches(matches)
     return (m.join(with_shots, m["match_id"] == with_shots["match_id"], "left_semi")
             .select(*SEASON, "match_id", "match_date", "home_team", "away_team",

@@ -84,7 +84,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 # ----------------------------------------------------------------- S7, S8, S13
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
-                      cluster_by: Sequence[str] = (), guard_empty: bool = True) -> int:
+                      cluster_by: Sequence[str] = (), guard_empty: bool = True,
+                      rebalance: bool = True) -> int:
     """Parquet write with dynamic partition overwrite; returns rows written.
 
     S8 (empty input writes nothing, old data stays): with partition columns an
@@ -92,13 +93,16 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     overwrite, so no extra job is needed; an unpartitioned table is checked
     with ``isEmpty`` first, since overwriting it with nothing would wipe it.
     The row count is observed during the write itself (no second job).
+    ``rebalance=False`` skips the pre-write shuffle when the input is already
+    clustered by the partition columns (e.g. read from a table partitioned the
+    same way): each task then writes its own folder(s) and only sorts locally.
     """
     if not partition_cols and guard_empty and df.isEmpty():
         warnings.warn(f"empty input, nothing written to {path}", stacklevel=2)
         return 0
     obs = Observation(f"rows_{abs(hash(path)) % 10**9}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_cols:
+    if partition_cols and rebalance:
         out = out.hint("rebalance", *partition_cols)
     if cluster_by:
         out = out.sortWithinPartitions(*partition_cols, *cluster_by)
