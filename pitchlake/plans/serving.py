@@ -208,11 +208,7 @@ def cumulative_xg(shots: DataFrame) -> DataFrame:
     return r.withColumn("cum_xg", F.when(F.col("xg").isNotNull(), F.col("_cum"))).drop("_cum")
 
 
-def momentum_anchors(matches: DataFrame, shots: DataFrame,
-                     end_minute: int = MOMENTUM_END_MINUTE) -> DataFrame:
-    """The (0, 0) start and (end_minute, final running xG) end points."""
-    sides = match_sides(analyzable_matches(matches, shots))
-    cum = cumulative_xg(shots)
+def _anchors(sides: DataFrame, cum: DataFrame, end_minute: int) -> DataFrame:
     per_team = cum.groupBy("match_id", "team_name").agg(
         F.max("cum_xg").alias("max_cum"), F.count(F.lit(1)).alias("n_shots"))
     s = sides.join(per_team, ["match_id", "team_name"], "left")
@@ -225,15 +221,26 @@ def momentum_anchors(matches: DataFrame, shots: DataFrame,
                  final.cast("double").alias("cum_xg")))))
 
 
+def momentum_anchors(matches: DataFrame, shots: DataFrame,
+                     end_minute: int = MOMENTUM_END_MINUTE) -> DataFrame:
+    """The (0, 0) start and (end_minute, final running xG) end points."""
+    sides = match_sides(analyzable_matches(matches, shots))
+    return _anchors(sides, cumulative_xg(shots), end_minute)
+
+
 def match_momentum(matches: DataFrame, shots: DataFrame,
                    end_minute: int = MOMENTUM_END_MINUTE) -> DataFrame:
-    """Step series of cumulative xG for both sides of every analyzable match."""
+    """Step series of cumulative xG for both sides of every analyzable match.
+
+    The running totals are computed once and feed both the shot points and the
+    anchors (one plan, shared sub-results).
+    """
     sides = match_sides(analyzable_matches(matches, shots))
-    points = (cumulative_xg(shots)
-              .join(sides, ["match_id", "team_name"], "inner")
+    cum = cumulative_xg(shots)
+    points = (cum.join(sides, ["match_id", "team_name"], "inner")
               .select("match_id", "side", "team_name", F.col("shot_seq").alias("seq"),
                       "minute", "cum_xg"))
-    return points.unionByName(momentum_anchors(matches, shots, end_minute))
+    return points.unionByName(_anchors(sides, cum, end_minute))
 
 
 def shot_map(matches: DataFrame, shots: DataFrame) -> DataFrame:

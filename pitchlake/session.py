@@ -46,7 +46,10 @@ def build_session(master: str | None = None, app: str = "pitchlake",
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the conf is all we have
+        return spark.conf.get("spark.checkpoint.dir", None)
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir

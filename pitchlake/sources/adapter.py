@@ -140,10 +140,12 @@ def read_driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs on every core; a large input already has enough splits and is left as
     it is (no extra shuffle)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
