@@ -81,3 +81,34 @@ def test_stringify_complex(spark):
     out = B.stringify_complex(df).collect()
     assert out[0].loc == "[61.0, 40.1]" and out[0].obj == '{"a":1}'
     assert out[1].loc is None and out[1].obj is None
+
+
+def test_landing_json_roundtrip_to_bronze(spark, feed, lake):
+    """A nested JSON landing (lists, booleans) lands as the same Bronze text form."""
+    from pitchlake.sources.landing import FEED_EVENTS, read_landing
+    ev = feed.events.where(F.col("match_id") < 200)   # one day of matches as a landing
+    parts = F.split(F.translate("location", "[]", ""), ",")
+    end = F.split(F.translate("carry_end_location", "[]", ""), ",")
+    nested = ev.select(
+        *[c for c in ev.columns if c not in ("location", "carry_end_location", "under_pressure")],
+        F.when(F.col("location") != "nan", F.array(F.trim(F.get(parts, 0)).cast("double"),
+                                                   F.trim(F.get(parts, 1)).cast("double")))
+        .alias("location"),
+        F.when(F.col("carry_end_location") != "nan",
+               F.array(F.trim(F.get(end, 0)).cast("double"), F.trim(F.get(end, 1)).cast("double")))
+        .alias("carry_end_location"),
+        (F.col("under_pressure") == "True").alias("under_pressure"))
+    nested.write.json(f"{lake}/landing/events")
+    landed = read_landing(spark, f"{lake}/landing/events", FEED_EVENTS)
+    assert B.land_events(landed, lake) == ev.count()
+    got = {r.event_order: r.location for r in B.scan_events(spark, lake).collect()}
+    want = {r.event_order: (None if r.location == "nan" else r.location) for r in ev.collect()}
+    assert got == want
+
+
+def test_cli_runs_pipeline(spark, lake, capsys):
+    from pitchlake import cli
+    assert cli.main(["--input", "/root/testdata/sf0.001", "--seasons", "11:26,16:4",
+                     "--lake", lake]) == 0
+    out = capsys.readouterr().out
+    assert "empty" in out and "ok" in out
