@@ -44,6 +44,26 @@ def build_session(master: str | None = None, app: str = "pitchlake",
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and split sizing for a cluster run over ``input_bytes`` of input.
+
+    Initial shuffle partitions: enough that a partition of the largest shuffle
+    (at most the input size) stays near ``target_partition_bytes`` and fits in
+    executor memory, and at least 2 per core; AQE then coalesces small ones
+    and splits skewed ones, so the number is an upper bound, not a guess.
+    Capped so map-output bookkeeping (maps x reducers) stays manageable.
+    """
+    parts = min(200_000, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
     try:

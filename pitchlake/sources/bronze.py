@@ -178,17 +178,46 @@ def season_filter(seasons: Iterable[tuple[int, int]] | None):
     return cond
 
 
+def _existing(spark: SparkSession, paths_: Sequence[str]) -> list[str]:
+    """The given folders that exist (one metadata call each, on the driver)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    out = []
+    for p in paths_:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            out.append(p)
+    return out
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType,
          seasons: Iterable[tuple[int, int]] | None = None) -> DataFrame:
     """Typed scan of a partitioned table; seasons prune partitions.
 
     The explicit schema means no inference and no per-file schema merge: a
     column missing from some files reads as NULL, and partition values come
-    from the folder names (``match_id`` as LONG).
+    from the folder names (``match_id`` as LONG). With ``seasons`` only those
+    season folders are listed (a match-level layout has a folder per match;
+    listing all of them to prune afterwards would cost the driver time in
+    proportion to the whole table), and the predicate is kept as a partition
+    filter as well.
     """
-    df = spark.read.schema(schema).option("basePath", path).parquet(path)
-    cond = season_filter(seasons)
-    return df if cond is None else df.where(cond)
+    reader = spark.read.schema(schema).option("basePath", path)
+    if seasons is None:
+        return reader.parquet(path)
+    seasons = list(seasons)
+    names = [c for c in SEASON_PARTS if c in schema.fieldNames()]
+    if len(names) == 2:
+        wanted = [join_path(path, f"competition_id={c}/season_id={s}") for c, s in seasons]
+        try:
+            found = _existing(spark, wanted)
+        except Exception:  # noqa: BLE001 - no JVM access (remote session): list all
+            found = None
+        if found is not None:
+            if not found:
+                return spark.createDataFrame([], schema)
+            return reader.parquet(*found).where(season_filter(seasons))
+    return reader.parquet(path).where(season_filter(seasons))
 
 
 def scan_events(spark, root, seasons=None) -> DataFrame:

@@ -112,3 +112,10 @@ def test_cli_runs_pipeline(spark, lake, capsys):
                      "--lake", lake]) == 0
     out = capsys.readouterr().out
     assert "empty" in out and "ok" in out
+
+
+def test_season_scan_lists_only_that_season(spark, feed, lake):
+    B.land_events(feed.events, lake)
+    files = B.scan_events(spark, lake, [(11, 26)]).inputFiles()
+    assert files and all("season_id=26" in f for f in files)
+    assert B.scan_events(spark, lake, [(99, 1)]).count() == 0
