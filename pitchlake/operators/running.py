@@ -11,23 +11,19 @@ second) and a tail (e.g. event_order):
    bucket-sized rows only);
 3. the prefix is joined back on (key, bucket) and added.
 
-The result equals the one-window form for any data (``tests/test_running.py``).
+The result equals the one-window form for any data (``tests/test_properties.py``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def running_total(df: DataFrame, keys: Sequence[str], buckets: Sequence[str],
@@ -37,34 +33,33 @@ def running_total(df: DataFrame, keys: Sequence[str], buckets: Sequence[str],
 
     NULL values are skipped in the sum (the running total carries over).
     ``position`` (optional) = 1-based row position in that order. Ascending
-    order, NULLs last.
+    order, NULLs last. Built as one SQL statement over ``df`` (one analysis).
     """
     keys, buckets, tail = list(keys), list(buckets), list(tail)
     part = keys + buckets
-    inner = (Window.partitionBy(*part)
-             .orderBy(*[F.col(c).asc_nulls_last() for c in tail])
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (df.withColumn("_local_sum", F.sum(value).over(inner))
-             .withColumn("_local_n", F.count(F.lit(1)).over(inner)))
-
-    totals = local.groupBy(*part).agg(F.sum(value).alias("_b_sum"),
-                                      F.count(F.lit(1)).alias("_b_n"))
-    before = (Window.partitionBy(*keys)
-              .orderBy(*[F.col(c).asc_nulls_last() for c in buckets])
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*part,
-                            F.sum("_b_sum").over(before).alias("_off_sum"),
-                            F.sum("_b_n").over(before).alias("_off_n"))
-    o = offsets.alias("_o")
-    joined = local.join(o, _null_safe_on(local, o, part), "left")
-    result = joined.select(
-        local["*"],
-        # a total exists once any non-null value was seen in this key so far
-        F.when(F.col("_local_sum").isNotNull() | F.col("_off_sum").isNotNull(),
-               F.coalesce(F.col("_off_sum"), F.lit(0.0)) +
-               F.coalesce(F.col("_local_sum"), F.lit(0.0))).alias(out),
-        (F.coalesce(F.col("_off_n"), F.lit(0)) + F.col("_local_n")).alias("_position"))
-    result = result.drop("_local_sum", "_local_n")
+    cols = ", ".join(f"l.{_q(c)}" for c in df.columns)
+    part_l = ", ".join(_q(c) for c in part)
+    on = " AND ".join(f"l.{_q(c)} <=> o.{_q(c)}" for c in part)
+    v = _q(value)
+    sql = f"""
+    WITH local AS (
+      SELECT *, sum({v}) OVER wl AS _local_sum, count(1) OVER wl AS _local_n
+      FROM {{src}}
+      WINDOW wl AS (PARTITION BY {part_l}
+                    ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in tail)}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    offsets AS (
+      SELECT {part_l}, sum(_b_sum) OVER wb AS _off_sum, sum(_b_n) OVER wb AS _off_n
+      FROM (SELECT {part_l}, sum({v}) AS _b_sum, count(1) AS _b_n FROM local GROUP BY {part_l}) t
+      WINDOW wb AS (PARTITION BY {", ".join(_q(c) for c in keys)}
+                    ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in buckets)}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT {cols},
+           CASE WHEN l._local_sum IS NOT NULL OR o._off_sum IS NOT NULL
+                THEN coalesce(o._off_sum, 0D) + coalesce(l._local_sum, 0D) END AS {_q(out)},
+           coalesce(o._off_n, 0L) + l._local_n AS _position
+    FROM local l LEFT JOIN offsets o ON {on}"""
+    result = df.sparkSession.sql(sql, src=df)
     if position:
         return result.withColumnRenamed("_position", position)
     return result.drop("_position")
