@@ -376,7 +376,7 @@ def _limit_matches(L: Layers) -> DataFrame:
 
 
 @register("multi_file_scan", f"""SELECT {_BRONZE_EV_COLS},
-  CASE WHEN season_id = 27 THEN {_INGESTED_EPOCH} END AS _ingested_at,
+  CAST(CASE WHEN season_id = 27 THEN {_INGESTED_EPOCH} END AS BIGINT) AS _ingested_at,
   CASE WHEN season_id = 27 THEN 'statsbomb_open' END AS _source FROM bronze_events""")
 def _multi_file_scan(L: Layers) -> DataFrame:
     # files of two landings with different column sets, read as one typed table
