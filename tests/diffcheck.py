@@ -48,6 +48,16 @@ def _rows(records, cols):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+          "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "FloatType()": "FLOAT"}
+
+
+def type_differences(sdf, rel) -> dict:
+    s = {f.name: _TYPES.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
+    d = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark, key: str, sf_dir: str, con) -> tuple[bool, str]:
     import __spark_entry__ as E
     sdf = E.queries()[key](spark, sf_dir)
@@ -55,7 +65,11 @@ def compare(spark, key: str, sf_dir: str, con) -> tuple[bool, str]:
     oracle = E.oracle_sql().get(key)
     if oracle is None:
         return True, f"{len(s_pdf)} rows (no oracle)"
-    o_pdf = con.sql(oracle).df()
+    rel = con.sql(oracle)
+    types = type_differences(sdf, rel)
+    if types:
+        return False, f"column types differ (spark, duckdb): {types}"
+    o_pdf = rel.df()
     s_cols, o_cols = sorted(s_pdf.columns), sorted(o_pdf.columns)
     if s_cols != o_cols:
         return False, f"columns differ: spark={s_cols} oracle={o_cols}"
