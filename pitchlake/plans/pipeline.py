@@ -13,7 +13,8 @@ without data does not stop the others.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +32,27 @@ SILVER_EVENT_TABLES = ("events", "shots", "pressures", "carries")
 SILVER_SCHEMAS = schemas.SILVER
 
 
+def run_concurrently(tasks: Sequence[Callable[[], object]], workers: int = 4) -> list:
+    """Submit independent Spark jobs (writes of different tables) together.
+
+    Each task is one action; the scheduler runs their stages side by side, so a
+    small table is written while a large one is still running instead of
+    after it. The first failure is raised once all tasks have finished.
+    """
+    if workers <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
+
+
 def silver_path(root: str, table: str) -> str:
     return join_path(B.paths(root)["silver"], table)
 
 
 def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = None,
            limit: int | None = None, ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT,
-           source: str = DEFAULT_SOURCE) -> None:
+           source: str = DEFAULT_SOURCE, workers: int = 4) -> None:
     """Feed -> Bronze for the requested seasons (all seasons when None)."""
     cond = B.season_filter(seasons)
     matches = feed.matches if cond is None else feed.matches.where(cond)
@@ -47,14 +62,16 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
     if limit:
         events = B.events_of_matches(events, matches)
         lineups = B.events_of_matches(lineups, matches)
-    B.land_competitions(feed.competitions, root, ingested_at, source)
-    B.land_matches(matches, root, ingested_at, source)
-    B.land_events(events, root, ingested_at, source)
-    B.land_lineups(lineups, root, ingested_at, source)
+    run_concurrently([
+        lambda: B.land_events(events, root, ingested_at, source),
+        lambda: B.land_matches(matches, root, ingested_at, source),
+        lambda: B.land_lineups(lineups, root, ingested_at, source),
+        lambda: B.land_competitions(feed.competitions, root, ingested_at, source),
+    ], workers)
 
 
 def transform(spark: SparkSession, root: str,
-              seasons: Sequence[tuple[int, int]] | None = None) -> None:
+              seasons: Sequence[tuple[int, int]] | None = None, workers: int = 4) -> None:
     """Bronze -> Silver; a season is rebuilt from all of its Bronze matches.
 
     Bronze files are per (season, match) folder, so every input split belongs
@@ -62,12 +79,14 @@ def transform(spark: SparkSession, root: str,
     writes its season folder and sorts its rows by match locally.
     """
     bronze = B.scan_events(spark, root, seasons)
-    for table in SILVER_EVENT_TABLES:
-        B.write_partitioned(S.SILVER_TABLES[table](bronze), silver_path(root, table),
-                            B.SEASON_PARTS, cluster_by=("match_id",), rebalance=False)
-    B.write_partitioned(S.silver_lineups(B.scan_lineups(spark, root, seasons)),
-                        silver_path(root, "lineups"), B.SEASON_PARTS, cluster_by=("match_id",),
-                        rebalance=False)
+
+    def write(table: str, df: DataFrame):
+        return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
+                                           cluster_by=("match_id",), rebalance=False)
+
+    tasks = [write(t, S.SILVER_TABLES[t](bronze)) for t in SILVER_EVENT_TABLES]
+    tasks.append(write("lineups", S.silver_lineups(B.scan_lineups(spark, root, seasons))))
+    run_concurrently(tasks, workers)
 
 
 def read_silver(spark: SparkSession, root: str, table: str,
