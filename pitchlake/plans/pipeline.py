@@ -78,14 +78,16 @@ def transform(spark: SparkSession, root: str,
     to one season: the Silver write needs no shuffle (no rebalance), each task
     writes its season folder and sorts its rows by match locally.
     """
-    bronze = B.scan_events(spark, root, seasons)
-
     def write(table: str, df: DataFrame):
         return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
                                            cluster_by=("match_id",), rebalance=False)
 
-    tasks = [write(t, S.SILVER_TABLES[t](bronze)) for t in SILVER_EVENT_TABLES]
-    tasks.append(write("lineups", S.silver_lineups(B.scan_lineups(spark, root, seasons))))
+    tasks = []
+    if B.table_exists(spark, B.paths(root)["events"]):
+        bronze = B.scan_events(spark, root, seasons)
+        tasks += [write(t, S.SILVER_TABLES[t](bronze)) for t in SILVER_EVENT_TABLES]
+    if B.table_exists(spark, B.paths(root)["lineups"]):
+        tasks.append(write("lineups", S.silver_lineups(B.scan_lineups(spark, root, seasons))))
     run_concurrently(tasks, workers)
 
 

@@ -190,6 +190,14 @@ def _existing(spark: SparkSession, paths_: Sequence[str]) -> list[str]:
     return out
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder has been written (a source not landed yet is skipped)."""
+    try:
+        return bool(_existing(spark, [path]))
+    except Exception:  # noqa: BLE001 - no JVM access: let the read decide
+        return True
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType,
          seasons: Iterable[tuple[int, int]] | None = None) -> DataFrame:
     """Typed scan of a partitioned table; seasons prune partitions.

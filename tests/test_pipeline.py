@@ -119,3 +119,22 @@ def test_season_scan_lists_only_that_season(spark, feed, lake):
     files = B.scan_events(spark, lake, [(11, 26)]).inputFiles()
     assert files and all("season_id=26" in f for f in files)
     assert B.scan_events(spark, lake, [(99, 1)]).count() == 0
+
+
+def test_reloading_one_match_replaces_only_that_match(spark, feed, lake):
+    B.land_events(feed.events, lake)
+    P.transform(spark, lake)
+    before = {r.match_id: r["count"] for r in
+              B.scan_events(spark, lake).groupBy("match_id").count().collect()}
+    mid = sorted(before)[0]
+    # the match arrives again with half of its events
+    again = feed.events.where((F.col("match_id") == mid) & (F.col("event_order") % 2 == 0))
+    B.land_events(again, lake)
+    after = {r.match_id: r["count"] for r in
+             B.scan_events(spark, lake).groupBy("match_id").count().collect()}
+    assert after[mid] == again.count() < before[mid]
+    assert {k: v for k, v in after.items() if k != mid} == \
+        {k: v for k, v in before.items() if k != mid}
+    P.transform(spark, lake)       # the season is rebuilt from all of its Bronze matches
+    silver = P.read_silver(spark, lake, "events").where(F.col("match_id") == mid)
+    assert silver.count() == again.where(F.col("type").isNotNull()).count()
