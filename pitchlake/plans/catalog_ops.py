@@ -476,3 +476,24 @@ def _momentum_anchors(L: Layers) -> DataFrame:
 
 # B is imported for the scan helpers used by the io keys in catalog.py
 __all__ = ["alias", "B"]
+
+
+# ------------------------------------------------------------------ F11, S16
+
+alias("readiness", "season_readiness")
+
+
+@register("filter_team", GOLD_SELECT.replace("FROM gold", """FROM gold
+  WHERE season_id = (SELECT MAX(season_id) FROM gold)
+    AND team_name = (SELECT MIN(team_name) FROM gold
+                     WHERE season_id = (SELECT MAX(season_id) FROM gold))"""))
+def _filter_team(L: Layers) -> DataFrame:
+    return V.default_team_rows(L.gold)
+
+
+@register("filter_match", f"""SELECT match_id, team_name, player_name, minute, second, {r6('xg', 'xg')},
+  event_order FROM silver_shots
+  WHERE match_id = (SELECT match_id FROM analyzable ORDER BY match_date, match_id LIMIT 1)""")
+def _filter_match(L: Layers) -> DataFrame:
+    return V.default_match_shots(L.bronze_matches, L.shots).select(
+        "match_id", "team_name", "player_name", "minute", "second", "xg", "event_order")

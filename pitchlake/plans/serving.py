@@ -319,3 +319,20 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
              .select(F.lit(name).alias("table_name"), *SEASON, "n_rows"))
         out = c if out is None else out.unionByName(c)
     return out
+
+
+def default_team_rows(gold: DataFrame) -> DataFrame:
+    """F11 (team page default): Gold rows of the first team, in sorted order, of the
+    latest season. The selection is data-derived (scalar subqueries)."""
+    latest = gold.agg(F.max("season_id")).scalar()
+    season = gold.where(F.col("season_id") == latest)
+    first_team = season.where(F.col("team_name").isNotNull()).agg(F.min("team_name")).scalar()
+    return season.where(F.col("team_name") == first_team)
+
+
+def default_match_shots(matches: DataFrame, shots: DataFrame) -> DataFrame:
+    """F11 (match page default): shots of the first analyzable match in
+    (date, id) order."""
+    first = (analyzable_matches(matches, shots)
+             .agg(F.min_by("match_id", F.struct("match_date", "match_id"))).scalar())
+    return shots.where(F.col("match_id") == first)
