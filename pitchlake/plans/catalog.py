@@ -81,34 +81,34 @@ def _silver_lineups(L: Layers) -> DataFrame:
 
 # ============================================================== Gold
 
-@register("gold_match_teams", "SELECT * FROM match_teams")
+@register("gold_match_teams", "SELECT * FROM team_spine")
 def _gold_match_teams(L: Layers) -> DataFrame:
     return G.match_teams(L.events)
 
 
 @register("gold_defensive_actions", f"""SELECT competition_id, season_id, match_id, team_name,
   {r6('location_x', 'location_x')}, {r6('location_y', 'location_y')}, type, minute, second
-  FROM defensive_actions""")
+  FROM def_events""")
 def _gold_defensive_actions(L: Layers) -> DataFrame:
     return G.defensive_actions(L.events, L.t)
 
 
 @register("gold_opponent_passes", f"""SELECT competition_id, season_id, match_id, team_name,
-  pass_team, {r6('location_x', 'location_x')}, event_order FROM opponent_passes""")
+  pass_team, {r6('location_x', 'location_x')}, event_order FROM passes_faced""")
 def _gold_opponent_passes(L: Layers) -> DataFrame:
     return G.opponent_passes(L.events, L.t)
 
 
 @register("gold_ppda", f"""SELECT competition_id, season_id, match_id, team_name,
   CAST(opp_passes AS BIGINT) AS opp_passes, CAST(def_actions AS BIGINT) AS def_actions,
-  {r6('ppda', 'ppda')} FROM ppda_calc""")
+  {r6('ppda', 'ppda')} FROM ppda_naive""")
 def _gold_ppda(L: Layers) -> DataFrame:
     return G.ppda(L.events, L.t)
 
 
 @register("gold_press_metrics", f"""SELECT d.competition_id, d.season_id, p.match_id, p.team_name,
   {r6('p.press_height', 'press_height')}, {r6('p.high_turnover_rate', 'high_turnover_rate')}
-  FROM press_metrics p JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
+  FROM pressure_stats p JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
   ON p.match_id = d.match_id""")
 def _gold_press_metrics(L: Layers) -> DataFrame:
     return G.press_metrics(L.events, L.t)
@@ -116,7 +116,7 @@ def _gold_press_metrics(L: Layers) -> DataFrame:
 
 @register("gold_defensive_line", f"""SELECT d.competition_id, d.season_id, l.match_id, l.team_name,
   {r6('l.defensive_line_height', 'defensive_line_height')}
-  FROM defensive_line l JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
+  FROM deep_actions l JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
   ON l.match_id = d.match_id""")
 def _gold_defensive_line(L: Layers) -> DataFrame:
     return G.defensive_line(L.events, L.t)
@@ -124,7 +124,7 @@ def _gold_defensive_line(L: Layers) -> DataFrame:
 
 @register("gold_progressive_carries", f"""SELECT d.competition_id, d.season_id, c.match_id, c.team_name,
   {r6('c.progressive_carry_rate', 'progressive_carry_rate')}
-  FROM prog_carries c JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
+  FROM carry_rates c JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
   ON c.match_id = d.match_id""")
 def _gold_progressive_carries(L: Layers) -> DataFrame:
     return G.progressive_carry_rate(L.events, L.carries, L.t)

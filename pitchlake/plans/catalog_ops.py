@@ -300,20 +300,20 @@ alias("join_metrics", "gold_fingerprints")
 alias("join_league_average", "team_profile")
 
 
-@register("join_left_two_key", f"""SELECT mt.competition_id, mt.season_id, mt.match_id, mt.team_name,
-  {r6('pm.press_height', 'press_height')}
-  FROM match_teams mt LEFT JOIN press_metrics pm
-  ON mt.match_id = pm.match_id AND mt.team_name = pm.team_name""")
+@register("join_left_two_key", f"""SELECT sp.competition_id, sp.season_id, sp.match_id, sp.team_name,
+  {r6('ps.press_height', 'press_height')}
+  FROM team_spine sp LEFT JOIN pressure_stats ps
+  ON ps.match_id = sp.match_id AND ps.team_name = sp.team_name""")
 def _join_left_two_key(L: Layers) -> DataFrame:
     pm = G.press_metrics(L.events, L.t).select(*G.TEAM_MATCH, "press_height")
     return G.match_teams(L.events).join(pm, list(G.TEAM_MATCH), "left")
 
 
-@register("join_left_residual", f"""SELECT mt.competition_id, mt.season_id, mt.match_id, mt.team_name,
-  COUNT(da.location_x) AS def_actions
-  FROM match_teams mt LEFT JOIN defensive_actions da
-  ON mt.match_id = da.match_id AND mt.team_name = da.team_name AND da.location_x > 40
-  GROUP BY 1, 2, 3, 4""")
+@register("join_left_residual", f"""SELECT sp.competition_id, sp.season_id, sp.match_id, sp.team_name,
+  COUNT(de.location_x) AS def_actions
+  FROM team_spine sp LEFT JOIN def_events de
+  ON de.match_id = sp.match_id AND de.team_name = sp.team_name AND de.location_x > 40
+  GROUP BY sp.competition_id, sp.season_id, sp.match_id, sp.team_name""")
 def _join_left_residual(L: Layers) -> DataFrame:
     return G.zone_actions_left_join(L.events, L.t)
 
