@@ -12,6 +12,8 @@ match (matches) and a distinct (lineups): its work grows with ``events``.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Row-wise mapping of one generic event to one match event (text-form columns,
@@ -166,15 +168,28 @@ def bronze_competitions_from(spark: SparkSession, matches: DataFrame) -> DataFra
 
 
 class Feed:
-    """The four landed feed tables derived from one driver ``events`` table."""
+    """The four landed feed tables derived from one driver ``events`` table
+    (plans are built on first use)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.events = bronze_events(spark, sf_dir)
-        self.matches = bronze_matches_from(spark, self.events)
-        self.lineups = bronze_lineups_from(spark, self.events)
-        self.competitions = bronze_competitions_from(spark, self.matches)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return bronze_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return bronze_matches_from(self.spark, self.events)
+
+    @cached_property
+    def lineups(self) -> DataFrame:
+        return bronze_lineups_from(self.spark, self.events)
+
+    @cached_property
+    def competitions(self) -> DataFrame:
+        return bronze_competitions_from(self.spark, self.matches)
 
 
 def duckdb_ctes() -> str:
