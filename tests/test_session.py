@@ -12,3 +12,10 @@ def test_cluster_conf_scales_with_input():
 def test_lake_root_lives_under_checkpoint_dir(spark):
     base = checkpoint_dir(spark)
     assert base and lake_root(spark, "x").startswith(base.rstrip("/"))
+
+
+def test_api_names_match_composite_keys():
+    import __spark_entry__ as E
+    from pitchlake import api
+    assert set(api.__all__) <= set(E.queries())
+    assert all(callable(getattr(api, n)) for n in api.__all__)
