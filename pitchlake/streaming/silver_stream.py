@@ -3,19 +3,19 @@
 The Silver projections are stateless and row-wise, so the same functions run
 on a streaming DataFrame: newly landed Bronze event files (a new match folder)
 are picked up by the file source, and each micro-batch is written to the
-Silver tables. Gold needs whole matches, so after a batch the Gold partitions
-of the seasons the batch touched are recomputed from stored Silver (the touched
-seasons are joined as a small broadcast table; no driver collect).
+Silver tables (appended; a season is rewritten only when a batch re-delivers a
+match it already holds). Gold needs whole matches, so after a batch the Gold
+partitions of the seasons the batch touched are recomputed from stored Silver
+(the touched seasons are joined as a small broadcast table; no driver collect).
 
 Progress lives in a checkpoint folder under the lake root, so a restarted or
 failed query resumes with the files it has not processed yet; a replayed batch
-rewrites the same partitions (dynamic overwrite of a season) so replays are
-harmless.
+finds its matches already stored and takes the rewrite path, so replays never
+duplicate rows.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,27 +44,43 @@ def _seasons_of(spark: SparkSession, root: str, touched: DataFrame, table: str)
                                                   "left_semi")
 
 
+def _append(df: DataFrame, path: str) -> None:
+    (df.sortWithinPartitions(*B.SEASON_PARTS, "match_id").write.mode("append")
+     .partitionBy(*B.SEASON_PARTS).parquet(path))
+
+
 def process_batch(spark: SparkSession, root: str, batch: DataFrame,
                   t: Thresholds = DEFAULT_THRESHOLDS) -> None:
-    """One micro-batch: append its Silver rows, then rebuild Gold of its seasons."""
+    """One micro-batch: add its Silver rows, then rebuild Gold of its seasons.
+
+    New matches only (the usual case): the Silver rows are appended, nothing
+    stored is rewritten. If the batch re-delivers a match already in Silver (a
+    re-landed match, or this batch replayed after a failure), the touched
+    seasons are rewritten as stored rows minus those matches plus the batch,
+    so nothing is counted twice.
+    """
     batch = batch.persist()
     try:
         touched = batch.select(*B.SEASON_PARTS).distinct()
+        batch_ids = batch.select(F.col("match_id").cast("int").alias("match_id")).distinct()
+        events_path = P.silver_path(root, "events")
+        stored = B.table_exists(spark, events_path)
+        redelivered = stored and not (
+            _seasons_of(spark, root, touched, "events").select("match_id")
+            .join(batch_ids, "match_id", "left_semi").isEmpty())
         for table in P.SILVER_EVENT_TABLES:
             path = P.silver_path(root, table)
             new = S.SILVER_TABLES[table](batch)
-            # a season's Silver = what is stored for it + this batch's rows, minus
-            # rows of matches this batch re-delivers (a re-landed match replaces)
-            try:
+            if not B.table_exists(spark, path):
+                B.write_partitioned(new, path, B.SEASON_PARTS, cluster_by=("match_id",))
+            elif not redelivered:
+                _append(new, path)
+            else:
                 old = _seasons_of(spark, root, touched, table).join(
-                    batch.select(F.col("match_id").cast("int").alias("match_id")).distinct(),
-                    "match_id", "left_anti")
-                merged = old.unionByName(new.select(*old.columns))
+                    batch_ids, "match_id", "left_anti")
                 # cut lineage: the stored files are about to be replaced
-                merged = merged.checkpoint(eager=True)
-            except AnalysisException:  # first batch: the table does not exist yet
-                merged = new
-            B.write_partitioned(merged, path, B.SEASON_PARTS, cluster_by=("match_id",))
+                merged = old.unionByName(new.select(*old.columns)).checkpoint(eager=True)
+                B.write_partitioned(merged, path, B.SEASON_PARTS, cluster_by=("match_id",))
         gold = G.fingerprints(_seasons_of(spark, root, touched, "events"),
                               _seasons_of(spark, root, touched, "carries"), t)
         B.write_partitioned(gold, B.paths(root)["gold"], B.SEASON_PARTS,

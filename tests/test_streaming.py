@@ -34,3 +34,15 @@ def test_stream_equals_batch(spark):
         assert _rows(P.read_silver(spark, stream_root, table)) == \
             _rows(P.read_silver(spark, batch_root, table))
     assert _rows(P.read_gold(spark, stream_root)) == _rows(P.read_gold(spark, batch_root))
+
+
+def test_replayed_batch_does_not_duplicate(spark):
+    feed = Feed(spark, SF001)
+    root = lake_root(spark)
+    B.land_events(feed.events, root)
+    bronze = B.scan_events(spark, root)
+    streaming.process_batch(spark, root, bronze)
+    first = _rows(P.read_silver(spark, root, "events"))
+    streaming.process_batch(spark, root, bronze)        # the same batch again
+    assert _rows(P.read_silver(spark, root, "events")) == first
+    assert len(first) == bronze.where(F.col("type").isNotNull()).count()
