@@ -70,3 +70,21 @@ def test_season_filter_prunes_partitions(spark, layers):
     df = P.read_gold(spark, layers.root, [(11, 27)])
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in p and "season_id" in p
+
+
+def test_running_total_spreads_a_key_over_its_buckets(layers):
+    p = plan(V.cumulative_xg(layers.shots))
+    raw_window = [ln for ln in p.splitlines() if re.search(r"\bWindow \[sum\(xg", ln)]
+    assert raw_window, p
+    # the window over raw shot rows is partitioned by (match, team, minute, second)
+    spec = raw_window[0].split("], [")[-2]      # "Window [exprs], [partition], [order]"
+    for col in ("match_id", "team_name", "minute", "second"):
+        assert col in spec, raw_window[0]
+    _no_bad_joins(p)
+
+
+def test_opponent_passes_is_an_equi_join_with_residual(layers):
+    from pitchlake.operators import gold as G
+    p = plan(G.opponent_passes(layers.events))
+    _no_bad_joins(p)
+    assert "HashJoin" in p or "SortMergeJoin" in p
