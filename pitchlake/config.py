@@ -38,7 +38,7 @@ RADAR_HEADROOM = 1.2
 # Text forms that mean "missing" in stringified Bronze columns:
 MISSING_TEXT = ("nan", "NaN", "None", "")
 # Source tag written into Bronze audit columns:
-DEFAULT_SOURCE = "statsbomb_open"
+DEFAULT_SOURCE = "open_event_feed"
 # ---------------------------------------------------------------------------
 
 METRICS = tuple(k for k, _ in METRIC_LABELS)

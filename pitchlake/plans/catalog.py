@@ -278,6 +278,7 @@ def _shot_summary(L: Layers) -> DataFrame:
 # returns what a reader sees afterwards.
 
 from pitchlake import schemas as _schemas  # noqa: E402
+from pitchlake.config import DEFAULT_SOURCE  # noqa: E402
 from pitchlake.plans import pipeline as P  # noqa: E402
 from pitchlake.session import lake_root  # noqa: E402
 from pitchlake.sources import bronze as B  # noqa: E402
@@ -287,7 +288,7 @@ _BRONZE_EV_COLS = ("match_id, team_id, team, player_id, player, type, period, mi
                    "location, possession_team, play_pattern, carry_end_location, "
                    f"{r6('shot_statsbomb_xg', 'shot_statsbomb_xg')}, shot_body_part, shot_outcome, "
                    "under_pressure, event_order, competition_id, season_id")
-_AUDIT = f"CAST({_INGESTED_EPOCH} AS BIGINT) AS _ingested_at, 'statsbomb_open' AS _source"
+_AUDIT = f"CAST({_INGESTED_EPOCH} AS BIGINT) AS _ingested_at, '{DEFAULT_SOURCE}' AS _source"
 
 
 @register("bronze_events", f"SELECT {_BRONZE_EV_COLS}, {_AUDIT} FROM bronze_events")
@@ -377,7 +378,7 @@ def _limit_matches(L: Layers) -> DataFrame:
 
 @register("multi_file_scan", f"""SELECT {_BRONZE_EV_COLS},
   CAST(CASE WHEN season_id = 27 THEN {_INGESTED_EPOCH} END AS BIGINT) AS _ingested_at,
-  CASE WHEN season_id = 27 THEN 'statsbomb_open' END AS _source FROM bronze_events""")
+  CASE WHEN season_id = 27 THEN '{DEFAULT_SOURCE}' END AS _source FROM bronze_events""")
 def _multi_file_scan(L: Layers) -> DataFrame:
     # files of two landings with different column sets, read as one typed table
     root = lake_root(L.spark)
