@@ -78,6 +78,9 @@ def main(scratch: str) -> None:
         F.lit("T1").alias("away_team"), F.lit("0").alias("home_score"),
         F.lit("0").alias("away_score"))
     run("match_momentum", V.match_momentum(matches, ev.where(F.col("type") == "Shot")))
+    from pitchlake.sources import bronze as B
+    spark.sparkContext.setJobGroup("landing_write", "landing_write")
+    B.land_events(ev.drop("xg", "location_x"), os.path.join(scratch, "lake"))
     spark.stop()
 
     # per job group: the largest share of shuffle records read by one task

@@ -22,3 +22,4 @@ def test_hot_key_is_spread():
     assert share["running_two_level"] < 0.15           # hot key spread over its buckets
     assert share["opponent_passes"] < 0.25             # AQE splits the hot match
     assert share["match_momentum"] < 0.20
+    assert share["landing_write"] < 0.20               # rebalance splits the hot match
