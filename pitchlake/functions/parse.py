@@ -90,5 +90,16 @@ def to_bool_default_false(c) -> Column:
 
 
 def coerce_numeric_zero(c) -> Column:
-    """Numeric coercion of score/id columns: unparsable or missing -> 0, truncating."""
+    """Numeric coercion of score/id text: unparsable or missing -> 0, truncating."""
     return F.coalesce(to_double(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def coerce_of(df, name: str) -> Column:
+    """``coerce_numeric_zero`` for ``df[name]`` whatever its stored type; numbers are
+    not sent through text (exact for any LONG)."""
+    dtype = df.schema[name].dataType.typeName()
+    if dtype == "string":
+        return coerce_numeric_zero(name)
+    if dtype in ("float", "double"):
+        return F.coalesce(nan_to_null(F.col(name)).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(F.col(name).try_cast("bigint"), F.lit(0).cast("bigint"))

@@ -16,7 +16,7 @@ from pitchlake.config import (METRIC_LABELS, METRICS, MOMENTUM_END_MINUTE, PITCH
                               PITCH_WIDTH, RADAR_HEADROOM, STYLE_AGGRESSIVE, STYLE_HIGH_RATIO,
                               STYLE_LOW_RATIO, STYLE_PASSIVE)
 from pitchlake.functions.labels import competition_label, match_label, title_label
-from pitchlake.functions.parse import coerce_numeric_zero
+from pitchlake.functions.parse import coerce_of
 from pitchlake.operators.running import running_total
 
 SEASON = ("competition_id", "season_id")
@@ -74,7 +74,7 @@ def coerced_matches(matches: DataFrame) -> DataFrame:
     cols = []
     for c in matches.columns:
         if c in ("competition_id", "season_id", "match_id", "home_score", "away_score"):
-            cols.append(coerce_numeric_zero(c).alias(c))
+            cols.append(coerce_of(matches, c).alias(c))
         else:
             cols.append(F.col(c))
     return matches.select(*cols)
