@@ -130,3 +130,19 @@ def test_style_thresholds(spark):
         schemas.GOLD_FINGERPRINTS)
     style = {r.team_name: r.style for r in V.team_style(gold).collect()}
     assert style == {"X": "Aggressive Pressing", "Y": "Passive Block", "Z": None}
+
+
+def test_q19_by_competition_option(spark):
+    from pitchlake import schemas
+    rows = [(1, "X", 1.0, 10, 7), (2, "X", 3.0, 11, 7), (3, "Y", 5.0, 10, 7)]
+    gold = spark.createDataFrame(
+        [(m, t, p, None, None, None, None, 0.5, 0.5, 0.5, c, s) for m, t, p, c, s in rows],
+        schemas.GOLD_FINGERPRINTS)
+    by_season = {r.season_id: r.ppda for r in V.league_average(gold).collect()}
+    assert by_season == {7: pytest.approx(3.0)}         # mixes competitions sharing a season
+    by_comp = {(r.competition_id, r.season_id): r.ppda
+               for r in V.league_average(gold, by_competition=True).collect()}
+    assert by_comp == {(10, 7): pytest.approx(3.0), (11, 7): pytest.approx(3.0)}
+    prof = {(r.competition_id, r.team_name): (r.ppda, r.league_ppda)
+            for r in V.team_profile(gold, by_competition=True).collect()}
+    assert prof[(10, "X")] == (pytest.approx(1.0), pytest.approx(3.0))
