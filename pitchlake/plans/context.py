@@ -1,8 +1,9 @@
 """Layers of one input directory, as the queries see them.
 
-The feed derived from the driver tables is landed once per (session, input)
-into the lake under the session's checkpoint dir and run through the pipeline
-(Bronze -> Silver -> Gold, each written, each a lineage cut). Queries then
+The feed derived from the driver tables is landed once per (input, thresholds,
+code version) into the lake under the checkpoint dir and run through the
+pipeline (Bronze -> Silver -> Gold, each written, each a lineage cut); later
+sessions reuse it once its completion marker is written. Queries then
 read the stored layer below the one they compute, as in production:
 
 * Silver keys compute Silver from stored Bronze (filters reach the scan);
@@ -30,7 +31,10 @@ from pitchlake.sources import bronze as B
 from pitchlake.sources.adapter import Feed
 
 _LOCK = threading.Lock()
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[str, str] = {}
+_MARKER = "_PITCHLAKE_LANDED"
+_CODE_FILES = ("sources/adapter.py", "sources/bronze.py", "operators/silver.py",
+               "operators/gold.py", "plans/pipeline.py", "schemas.py", "config.py")
 
 
 def _input_key(sf_dir: str) -> str:
@@ -40,22 +44,57 @@ def _input_key(sf_dir: str) -> str:
         tag = f"{p}:{st.st_size}:{int(st.st_mtime)}"
     except OSError:  # remote path: the path names the input
         tag = p
-    return hashlib.sha1(tag.encode()).hexdigest()[:16]
+    return tag
+
+
+def _code_version() -> str:
+    """Hash of the code that produces the lake: a change lands a fresh copy."""
+    base = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in _CODE_FILES:
+        with open(os.path.join(base, rel), "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:12]
+
+
+def _fs_exists(spark: SparkSession, path: str) -> bool:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hp.getFileSystem(conf).exists(hp))
+
+
+def _fs_touch(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(conf).create(hp, True).close()
 
 
 def landed_lake(spark: SparkSession, sf_dir: str, t: Thresholds = DEFAULT_THRESHOLDS) -> str:
-    """Lake root holding Bronze/Silver/Gold of ``sf_dir``; built on first use."""
+    """Lake root holding Bronze/Silver/Gold of ``sf_dir``; built on first use.
+
+    The folder (under the checkpoint dir) is named by the input, the
+    thresholds and the code version, and is reused by later sessions once its
+    completion marker exists; a half-written landing is never read.
+    """
     from pitchlake.plans import pipeline as P
-    app = spark.sparkContext.applicationId
-    key = (app, _input_key(sf_dir) + ("" if t == DEFAULT_THRESHOLDS else repr(t)))
+    key = hashlib.sha1(f"{_input_key(sf_dir)}|{t!r}|{_code_version()}".encode()).hexdigest()[:20]
     with _LOCK:
         root = _LANDED.get(key)
         if root is None:
-            root = lake_root(spark, f"feed-{key[1][:16]}-{abs(hash(key)) % 10**8}")
-            feed = Feed(spark, sf_dir)
-            P.ingest(feed, root)
-            P.transform(spark, root)
-            P.features(spark, root, t=t)
+            root = lake_root(spark, f"feed-{key}")
+            try:
+                done = _fs_exists(spark, f"{root}/{_MARKER}")
+            except Exception:  # noqa: BLE001 - no JVM access: land again
+                done = False
+            if not done:
+                feed = Feed(spark, sf_dir)
+                P.ingest(feed, root)
+                P.transform(spark, root)
+                P.features(spark, root, t=t)
+                try:
+                    _fs_touch(spark, f"{root}/{_MARKER}")
+                except Exception:  # noqa: BLE001
+                    pass
             _LANDED[key] = root
     return root
 
