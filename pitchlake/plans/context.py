@@ -33,8 +33,9 @@ from pitchlake.sources.adapter import Feed
 _LOCK = threading.Lock()
 _LANDED: dict[str, str] = {}
 _MARKER = "_PITCHLAKE_LANDED"
-_CODE_FILES = ("sources/adapter.py", "sources/bronze.py", "operators/silver.py", "functions/parse.py",
-               "operators/gold.py", "plans/pipeline.py", "schemas.py", "config.py")
+_CODE_FILES = ("sources/adapter.py", "sources/bronze.py", "functions/parse.py",
+               "operators/silver.py", "operators/gold.py", "plans/pipeline.py", "schemas.py",
+               "config.py")
 
 
 def _input_key(sf_dir: str) -> str:
