@@ -1,11 +1,12 @@
 """Command line: run the pipeline for a set of seasons and print the status table.
 
-    spark-submit pitchlake/cli.py --input /data/events_dir --seasons 11:26,11:27 [--limit 10]
-        [--lake <root>]
+    spark-submit pitchlake/cli.py (--feed DIR [--feed-format json|parquet] | --input DIR)
+        --seasons 11:26,11:27 [--limit 10] [--lake <root>]
 
-``--input`` is a directory with the driver-style ``events.parquet`` (the adapter
-derives the feed from it); ``--lake`` defaults to a folder under the cluster's
-``spark.checkpoint.dir``.
+``--feed`` is a landed feed: ``DIR/{events,matches,lineups,competitions}/`` files
+(``sources.landing`` schemas). ``--input`` is a directory with the generic
+``events.parquet`` the adapter derives a feed from. ``--lake`` defaults to a
+folder under the cluster's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -21,9 +22,13 @@ def main(argv=None) -> int:
     from pitchlake.plans import pipeline
     from pitchlake.session import build_session, lake_root
     from pitchlake.sources.adapter import Feed
+    from pitchlake.sources.landing import LandedFeed
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--input", required=True)
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--input")
+    src.add_argument("--feed")
+    ap.add_argument("--feed-format", default="json")
     ap.add_argument("--seasons", required=True, help="comma list of competition:season")
     ap.add_argument("--limit", type=int, default=None, help="first N matches per season")
     ap.add_argument("--lake", default=None)
@@ -31,7 +36,8 @@ def main(argv=None) -> int:
     seasons = [tuple(int(x) for x in p.split(":")) for p in a.seasons.split(",") if p]
     spark = build_session()
     root = a.lake or lake_root(spark, "cli")
-    status = pipeline.run_pipeline(spark, Feed(spark, a.input), root, seasons, a.limit)
+    feed = LandedFeed(spark, a.feed, a.feed_format) if a.feed else Feed(spark, a.input)
+    status = pipeline.run_pipeline(spark, feed, root, seasons, a.limit)
     status.orderBy("competition_id", "season_id").show(truncate=False)
     return 0
 

@@ -37,3 +37,26 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType,
     if fmt == "json":
         return reader.option("mode", "PERMISSIVE").json(path)
     return reader.format(fmt).load(path)
+
+FEED_LINEUPS = T.StructType([T.StructField(n, t, True) for n, t in [
+    ("match_id", L), ("competition_id", L), ("season_id", L), ("team_name", S),
+    ("player_id", L), ("player_name", S), ("jersey_number", L),
+]])
+
+FEED_COMPETITIONS = T.StructType([T.StructField(n, t, True) for n, t in [
+    ("competition_id", L), ("season_id", L), ("competition_name", S), ("season_name", S),
+]])
+
+FEED_SCHEMAS = {"events": FEED_EVENTS, "matches": FEED_MATCHES, "lineups": FEED_LINEUPS,
+                "competitions": FEED_COMPETITIONS}
+
+
+class LandedFeed:
+    """A feed delivered as files: ``<root>/{events,matches,lineups,competitions}/``,
+    each read with its explicit schema in one scan (same attributes as the
+    adapter's ``Feed``, so ``plans.pipeline.ingest`` takes either)."""
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "json"):
+        root = root.rstrip("/")
+        for name, schema in FEED_SCHEMAS.items():
+            setattr(self, name, read_landing(spark, f"{root}/{name}", schema, fmt))
