@@ -2,11 +2,12 @@
 
 Plan shape (see README "Gold plan"):
 
-* One ``groupBy(competition_id, season_id, match_id, team_name)`` over Silver
-  events with conditional aggregates produces the (match, team) spine, own
-  passes, own defensive actions in the pressing zone, pressure height /
-  final-third share and defensive-line height. Partial aggregation runs
-  map-side, so a hot match or team ships one row per map task.
+* One ``groupBy(competition, season, match, team, player)`` over Silver events
+  with conditional aggregates (the only scan of events) is rolled up to the
+  (match, team) spine, own passes, own defensive actions in the pressing zone,
+  pressure height / final-third share and defensive-line height, and also
+  gives each player's Carry-event count per team. Partial aggregation runs
+  map-side, so a hot match or team ships one row per player and map task.
 * Opponent passes = (all passes of the match by named teams) - (own passes):
   a window over the *aggregated* rows of one match (a handful of teams),
   never a self-join of raw events and never a fan-out.
@@ -33,20 +34,43 @@ def _ratio(num, den):
     return F.when(den != 0, num / den).cast("float")
 
 
-def team_match_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Single pass over events: spine + every event-based count and mean."""
+def player_match_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """The one pass over events: conditional counts and sums per
+    (match, team, player). Team metrics roll up from it and the carry
+    attribution reads its Carry counts, so events are scanned once; averages
+    are kept as (sum, count) so the roll-up is exact."""
     x = F.col("location_x")
     kind = F.col("type")
     is_def = kind.isin(*t.defensive_kinds)
     is_press = kind == "Pressure"
-    return (events.groupBy(*TEAM_MATCH).agg(
+    in_line = is_def & (x < t.own_half_max_x)
+    return events.groupBy(*TEAM_MATCH, "player_id").agg(
         F.count_if((kind == "Pass") & (x < t.opp_pass_max_x)).alias("own_passes"),
         F.count_if(is_def & (x > t.press_zone_min_x)).alias("zone_def_actions"),
-        F.avg(F.when(is_press, x)).alias("press_height"),
+        F.sum(F.when(is_press, x)).alias("press_x_sum"),
+        F.count(F.when(is_press, x)).alias("press_x_n"),
         F.count_if(is_press & (x > t.high_turnover_min_x)).alias("high_pressures"),
         F.count_if(is_press).alias("pressures"),
-        F.avg(F.when(is_def & (x < t.own_half_max_x), x)).alias("defensive_line_height"),
-    ))
+        F.sum(F.when(in_line, x)).alias("line_x_sum"),
+        F.count(F.when(in_line, x)).alias("line_x_n"),
+        F.count_if(kind == "Carry").alias("carry_events"))
+
+
+def team_match_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS,
+                      per_player: DataFrame | None = None) -> DataFrame:
+    """Spine + every event-based count and mean per (match, team)."""
+    pp = per_player if per_player is not None else player_match_counts(events, t)
+
+    def mean(s, n):
+        return F.when(F.sum(n) > 0, F.sum(s) / F.sum(n))
+
+    return pp.groupBy(*TEAM_MATCH).agg(
+        F.sum("own_passes").alias("own_passes"),
+        F.sum("zone_def_actions").alias("zone_def_actions"),
+        mean("press_x_sum", "press_x_n").alias("press_height"),
+        F.sum("high_pressures").alias("high_pressures"),
+        F.sum("pressures").alias("pressures"),
+        mean("line_x_sum", "line_x_n").alias("defensive_line_height"))
 
 
 def with_opponent_passes(counts: DataFrame) -> DataFrame:
@@ -116,7 +140,8 @@ def opponent_passes(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> Da
 
 
 def progressive_carry_rate(events: DataFrame, carries: DataFrame,
-                           t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+                           t: Thresholds = DEFAULT_THRESHOLDS,
+                           per_player: DataFrame | None = None) -> DataFrame:
     """Share of progressive carries per (match, team).
 
     Carries have no team; a player's carries are attributed to the team(s)
@@ -126,75 +151,66 @@ def progressive_carry_rate(events: DataFrame, carries: DataFrame,
     the player, m = Carry events of the player for the team. ``'plain'``
     counts every carry once (m -> 1).
     """
-    gain = F.col("end_x") - F.col("start_x")
-    per_player = (carries.where(F.col("player_id").isNotNull())
-                  .groupBy("match_id", "player_id")
-                  .agg(F.count_if(gain > t.progressive_gain).alias("p"),
-                       F.count(F.lit(1)).alias("n")))
-    carry_events = (events.where((F.col("type") == "Carry") & F.col("player_id").isNotNull())
-                    .groupBy(*TEAM_MATCH, "player_id")
-                    .agg(F.count(F.lit(1)).alias("m")))
+    per_carrier = _per_carrier(carries, t)
+    pp = per_player if per_player is not None else player_match_counts(events, t)
+    carry_events = (pp.where(F.col("player_id").isNotNull() & (F.col("carry_events") > 0))
+                    .select(*TEAM_MATCH, "player_id", F.col("carry_events").alias("m")))
     weight = F.col("m") if t.carry_weighting == "reference" else F.lit(1)
-    return (carry_events.join(per_player, ["match_id", "player_id"])
+    return (carry_events.join(per_carrier, ["match_id", "player_id"])
             .groupBy(*TEAM_MATCH)
             .agg(_ratio(F.sum(F.col("p") * weight), F.sum(F.col("n") * weight))
                  .alias("progressive_carry_rate")))
 
 
+def _per_carrier(carries: DataFrame, t: Thresholds) -> DataFrame:
+    gain = F.col("end_x") - F.col("start_x")
+    return (carries.where(F.col("player_id").isNotNull())
+            .groupBy("match_id", "player_id")
+            .agg(F.count_if(gain > t.progressive_gain).alias("p"),
+                 F.count(F.lit(1)).alias("n")))
+
+
 def fingerprints(events: DataFrame, carries: DataFrame,
                  t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """The Gold table: one row per (match, team) seen in the events."""
-    c = with_opponent_passes(team_match_counts(events, t))
+    """The Gold table: one row per (match, team) seen in the events.
+
+    Plan: events aggregated once to (match, team, player); each player's
+    carries aggregated to (match, player) and LEFT-joined onto those rows (one
+    carrier row per player and match, so no fan-out and no hot key); then a
+    single roll-up to (match, team) yields every metric, the weighted carry
+    sums included. One scan of events, one of carries, no join of tables of
+    team rows afterwards.
+    """
+    pp = player_match_counts(events, t)
+    j = pp.join(_per_carrier(carries, t), ["match_id", "player_id"], "left")
+    m = F.when(F.col("player_id").isNotNull(), F.col("carry_events")).otherwise(0)
+    w = m if t.carry_weighting == "reference" else F.when(m > 0, 1).otherwise(0)
+
+    def mean(s, n):
+        return F.when(F.sum(n) > 0, F.sum(s) / F.sum(n))
+
+    team = j.groupBy(*TEAM_MATCH).agg(
+        F.sum("own_passes").alias("own_passes"),
+        F.sum("zone_def_actions").alias("zone_def_actions"),
+        mean("press_x_sum", "press_x_n").alias("press_height"),
+        F.sum("high_pressures").alias("high_pressures"),
+        F.sum("pressures").alias("pressures"),
+        mean("line_x_sum", "line_x_n").alias("defensive_line_height"),
+        F.sum(F.coalesce(F.col("p"), F.lit(0)) * w).alias("carry_prog_w"),
+        F.sum(F.coalesce(F.col("n"), F.lit(0)) * w).alias("carry_all_w"))
+    c = with_opponent_passes(team)
     named = F.col("team_name").isNotNull()
     def_actions = F.when(named, F.col("zone_def_actions")).otherwise(0)
-    spine = c.select(
-        *TEAM_MATCH,
+    const = F.lit(PLACEHOLDER_METRIC).cast("double")
+    return c.select(
+        "match_id", "team_name",
         _ratio(F.col("opp_passes"), def_actions).alias("ppda"),
         F.when(named, F.col("press_height")).alias("press_height"),
         F.when(named, _ratio(F.col("high_pressures"), F.col("pressures"))).alias(
             "high_turnover_rate"),
-        F.when(named, F.col("defensive_line_height")).alias("defensive_line_height"))
-    carry = progressive_carry_rate(events, carries, t)
-    const = F.lit(PLACEHOLDER_METRIC).cast("double")
-    return (spine.join(carry, list(TEAM_MATCH), "left")
-            .select("match_id", "team_name", "ppda", "press_height", "high_turnover_rate",
-                    "defensive_line_height", "progressive_carry_rate",
-                    const.alias("press_success_rate"), const.alias("compactness"),
-                    const.alias("counter_attack_speed"),
-                    "competition_id", "season_id"))
-
-
-def carry_join_counts(events: DataFrame, carries: DataFrame,
-                      t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Row counts of the carries x Carry-events join per (match, team), without
-    materialising it: joined = sum(n*m), progressive = sum(p*m)."""
-    gain = F.col("end_x") - F.col("start_x")
-    per_player = (carries.where(F.col("player_id").isNotNull())
-                  .groupBy("match_id", "player_id")
-                  .agg(F.count_if(gain > t.progressive_gain).alias("p"),
-                       F.count(F.lit(1)).alias("n")))
-    carry_events = (events.where((F.col("type") == "Carry") & F.col("player_id").isNotNull())
-                    .groupBy(*TEAM_MATCH, "player_id").agg(F.count(F.lit(1)).alias("m")))
-    return (carry_events.join(per_player, ["match_id", "player_id"])
-            .groupBy(*TEAM_MATCH)
-            .agg(F.sum(F.col("n") * F.col("m")).alias("joined_rows"),
-                 F.sum(F.col("p") * F.col("m")).alias("progressive_rows")))
-
-
-def pressure_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Pressures per (match, team): all rows, rows with a location, final-third rows."""
-    x = F.col("location_x")
-    return (events.where(F.col("type") == "Pressure").groupBy(*TEAM_MATCH)
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.count(x).alias("n_with_location"),
-                 F.count(F.when(x > t.high_turnover_min_x, 1)).alias("n_final_third")))
-
-
-def zone_actions_left_join(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Spine LEFT JOIN own defensive actions with x > 40 (the range test applied to
-    the right side before the join), counted per (match, team)."""
-    spine = match_teams(events)
-    acts = (events.where(F.col("type").isin(*t.defensive_kinds)
-                         & (F.col("location_x") > t.press_zone_min_x))
-            .groupBy(*TEAM_MATCH).agg(F.count(F.lit(1)).alias("def_actions")))
-    return (spine.join(acts, list(TEAM_MATCH), "left")
-            .select(*TEAM_MATCH, F.coalesce("def_actions", F.lit(0)).alias("def_actions")))
+        F.when(named, F.col("defensive_line_height")).alias("defensive_line_height"),
+        F.when(named, _ratio(F.col("carry_prog_w"), F.col("carry_all_w"))).alias(
+            "progressive_carry_rate"),
+        const.alias("press_success_rate"), const.alias("compactness"),
+        const.alias("counter_attack_speed"),
+        "competition_id", "season_id")

@@ -146,3 +146,11 @@ def test_q19_by_competition_option(spark):
     prof = {(r.competition_id, r.team_name): (r.ppda, r.league_ppda)
             for r in V.team_profile(gold, by_competition=True).collect()}
     assert prof[(10, "X")] == (pytest.approx(1.0), pytest.approx(3.0))
+
+
+def test_q3_plain_weighting_in_the_gold_rollup(bronze):
+    t = Thresholds(carry_weighting="plain")
+    gold = _by(G.fingerprints(S.silver_events(bronze), S.silver_carries(bronze), t),
+               "match_id", "team_name")
+    assert gold[(1, "A")].progressive_carry_rate == pytest.approx(0.5)
+    assert gold[(1, "B")].progressive_carry_rate is None
