@@ -173,8 +173,9 @@ def _pressing_leaders(L: Layers) -> DataFrame:
 
 
 @register("recent_results", """SELECT competition_id, season_id, match_id, match_date, home_team,
-  home_score, away_score, away_team FROM matches_c
-  WHERE (competition_id, season_id) IN (SELECT DISTINCT competition_id, season_id FROM gold)""")
+  home_score, away_score, away_team FROM matches_c m
+  WHERE EXISTS (SELECT 1 FROM gold g
+                WHERE g.competition_id = m.competition_id AND g.season_id = m.season_id)""")
 def _recent_results(L: Layers) -> DataFrame:
     return V.recent_results(L.bronze_matches, L.gold)
 
