@@ -274,193 +274,6 @@ def _shot_summary(L: Layers) -> DataFrame:
     return V.shot_summary(L.bronze_matches, L.shots)
 
 
-# ============================================================== Sources and sinks
-# Each writes to a fresh lake folder under the session's checkpoint dir and
-# returns what a reader sees afterwards.
-
-from pitchlake import schemas as _schemas  # noqa: E402
-from pitchlake.config import DEFAULT_SOURCE  # noqa: E402
-from pitchlake.plans import pipeline as P  # noqa: E402
-from pitchlake.session import lake_root  # noqa: E402
-from pitchlake.sources import bronze as B  # noqa: E402
-
-_INGESTED_EPOCH = int(B.DEFAULT_INGESTED_AT.timestamp())
-_BRONZE_EV_COLS = ("match_id, team_id, team, player_id, player, type, period, minute, second, "
-                   "location, possession_team, play_pattern, carry_end_location, "
-                   f"{r6('shot_statsbomb_xg', 'shot_statsbomb_xg')}, shot_body_part, shot_outcome, "
-                   "under_pressure, event_order, competition_id, season_id")
-_AUDIT = f"CAST({_INGESTED_EPOCH} AS BIGINT) AS _ingested_at, '{DEFAULT_SOURCE}' AS _source"
-
-
-@register("bronze_events", f"SELECT {_BRONZE_EV_COLS}, {_AUDIT} FROM bronze_events")
-def _bronze_events(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    B.land_events(L.feed.events, root)
-    return B.scan_events(L.spark, root)
-
-
-@register("bronze_competitions", f"""SELECT competition_id, season_id, competition_name, season_name,
-  {_AUDIT} FROM bronze_competitions""")
-def _bronze_competitions(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    B.land_competitions(L.feed.competitions, root)
-    return B.scan_competitions(L.spark, root)
-
-
-@register("bronze_matches", f"""SELECT match_id, match_date, home_team, away_team, home_score,
-  away_score, {_AUDIT}, competition_id, season_id FROM bronze_matches""")
-def _bronze_matches(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    B.land_matches(L.feed.matches, root)
-    return B.scan_matches(L.spark, root)
-
-
-@register("bronze_lineups", f"""SELECT match_id, team_name, player_id, player_name, jersey_number,
-  {_AUDIT}, competition_id, season_id FROM bronze_lineups""")
-def _bronze_lineups(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    B.land_lineups(L.feed.lineups, root)
-    return B.scan_lineups(L.spark, root)
-
-
-@register("audit_columns", f"SELECT event_order, match_id, {_AUDIT} FROM bronze_events")
-def _audit_columns(L: Layers) -> DataFrame:
-    return B.add_audit_columns(L.feed.events.select("event_order", "match_id"))
-
-
-@register("stringify_complex", """SELECT event_order,
-  CASE WHEN location = 'nan' THEN NULL ELSE location END AS location,
-  CASE WHEN carry_end_location = 'nan' THEN NULL ELSE carry_end_location END AS carry_end_location,
-  CASE WHEN type IS NULL THEN NULL ELSE '{"kind":"' || type || '"}' END AS type_obj
-  FROM bronze_events""")
-def _stringify_complex(L: Layers) -> DataFrame:
-    # the feed shape before landing: coordinates as native lists, kind as an object
-    ev = L.feed.events
-
-    def xy(c):
-        parts = F.split(F.translate(F.col(c), "[]", ""), ",")
-        return F.when(F.col(c) != "nan", F.array(
-            F.trim(F.get(parts, 0)).try_cast("double"), F.trim(F.get(parts, 1)).try_cast("double")))
-    native = ev.select("event_order", xy("location").alias("location"),
-                       xy("carry_end_location").alias("carry_end_location"),
-                       F.when(F.col("type").isNotNull(),
-                              F.struct(F.col("type").alias("kind"))).alias("type_obj"))
-    return B.stringify_complex(native)
-
-
-@register("partitioned_write", """SELECT competition_id, season_id, match_id, COUNT(*) AS n_rows
-  FROM bronze_events GROUP BY 1, 2, 3""")
-def _partitioned_write(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    B.land_events(L.feed.events, root)
-    ev = B.scan_events(L.spark, root)
-    return ev.groupBy(*B.EVENTS_PARTS).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-@register("empty_guard", """SELECT competition_id, season_id, COUNT(*) AS n_rows
-  FROM bronze_events GROUP BY 1, 2""")
-def _empty_guard(L: Layers) -> DataFrame:
-    # an empty rerun of a season must not remove what is there
-    root = lake_root(L.spark)
-    B.land_events(L.feed.events, root)
-    B.land_events(L.feed.events.where(F.col("season_id") < 0), root)
-    ev = B.scan_events(L.spark, root)
-    return ev.groupBy(*B.SEASON_PARTS).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-@register("limit_matches", """SELECT match_id, competition_id, season_id, match_date FROM (
-  SELECT *, row_number() OVER (PARTITION BY competition_id, season_id
-                               ORDER BY match_date ASC NULLS LAST, match_id) AS rn
-  FROM bronze_matches) m WHERE rn <= 10""")
-def _limit_matches(L: Layers) -> DataFrame:
-    return B.limit_matches(L.bronze_matches, 10).select(
-        "match_id", "competition_id", "season_id", "match_date")
-
-
-@register("multi_file_scan", f"""SELECT {_BRONZE_EV_COLS},
-  CAST(CASE WHEN season_id = 27 THEN {_INGESTED_EPOCH} END AS BIGINT) AS _ingested_at,
-  CASE WHEN season_id = 27 THEN '{DEFAULT_SOURCE}' END AS _source FROM bronze_events""")
-def _multi_file_scan(L: Layers) -> DataFrame:
-    # files of two landings with different column sets, read as one typed table
-    root = lake_root(L.spark)
-    ev = L.feed.events
-    path = B.paths(root)["events"]
-    B.write_partitioned(ev.where(F.col("season_id") != 27), path, B.EVENTS_PARTS)
-    B.land_events(ev.where(F.col("season_id") == 27), root)
-    return B.scan_events(L.spark, root)
-
-
-@register("normalize_match_id", """SELECT CAST(match_id AS BIGINT) AS match_id, competition_id,
-  season_id, match_date FROM bronze_matches""")
-def _normalize_match_id(L: Layers) -> DataFrame:
-    # match ids landed as text ('123.0'), as a stringified feed stores them
-    root = lake_root(L.spark)
-    path = f"{root}/matches_text"
-    m = L.feed.matches.select(
-        F.concat(F.col("match_id").cast("string"), F.lit(".0")).alias("match_id"),
-        "competition_id", "season_id", "match_date")
-    B.write_partitioned(m, path, B.SEASON_PARTS)
-    return B.normalize_match_id(B.point_read(L.spark, path)).select(
-        "match_id", F.col("competition_id").cast("bigint").alias("competition_id"),
-        F.col("season_id").cast("bigint").alias("season_id"), "match_date")
-
-
-@register("point_read", GOLD_SELECT)
-def _point_read(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    path = f"{root}/gold_object"
-    B.write_partitioned(L.gold.coalesce(1), path)
-    return B.point_read(L.spark, path)
-
-
-@register("silver_write", f"SELECT {_EV_COLS} FROM silver_events")
-def _silver_write(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    B.write_partitioned(L.silver_from_bronze("events"), P.silver_path(root, "events"), B.SEASON_PARTS,
-                        cluster_by=("match_id",))
-    return P.read_silver(L.spark, root, "events").select(*_schemas.SILVER_EVENTS.fieldNames())
-
-
-@register("gold_write", GOLD_SELECT)
-def _gold_write(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
-    B.write_partitioned(L.gold_from_silver(), B.paths(root)["gold"], B.SEASON_PARTS,
-                        cluster_by=("match_id",))
-    return P.read_gold(L.spark, root)
-
-
-_STATUS_SQL = """SELECT r.competition_id, r.season_id,
-  CAST(COALESCE(b.n, 0) AS BIGINT) AS bronze_events, CAST(COALESCE(s.n, 0) AS BIGINT) AS silver_events,
-  CAST(COALESCE(g.n, 0) AS BIGINT) AS gold_rows,
-  CASE WHEN COALESCE(g.n, 0) > 0 THEN 'ok' ELSE 'empty' END AS status
-  FROM ({requested}) r
-  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM bronze_events GROUP BY 1, 2) b
-    ON r.competition_id = b.competition_id AND r.season_id = b.season_id
-  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM silver_events GROUP BY 1, 2) s
-    ON r.competition_id = s.competition_id AND r.season_id = s.season_id
-  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM gold GROUP BY 1, 2) g
-    ON r.competition_id = g.competition_id AND r.season_id = g.season_id"""
-
-
-def _requested_sql(seasons) -> str:
-    return " UNION ALL ".join(f"SELECT CAST({c} AS BIGINT) AS competition_id, "
-                              f"CAST({s} AS BIGINT) AS season_id" for c, s in seasons)
-
-
-_RUN_SEASONS = ((11, 26), (11, 27))
-_BATCH_SEASONS = ((11, 26), (11, 27), (16, 4))
-
-
-@register("run_pipeline", _STATUS_SQL.format(requested=_requested_sql(_RUN_SEASONS)))
-def _run_pipeline(L: Layers) -> DataFrame:
-    return P.run_pipeline(L.spark, L.feed, lake_root(L.spark), _RUN_SEASONS)
-
-
-@register("multi_season_batch", _STATUS_SQL.format(requested=_requested_sql(_BATCH_SEASONS)))
-def _multi_season_batch(L: Layers) -> DataFrame:
-    # a catalogued season without data reports 'empty' and does not stop the others
-    return P.run_pipeline(L.spark, L.feed, lake_root(L.spark), _BATCH_SEASONS)
-
-
-# single-operator keys register themselves on import
+# source/sink and single-operator keys register themselves on import
+from pitchlake.plans import catalog_io as _io  # noqa: E402,F401
 from pitchlake.plans import catalog_ops as _ops  # noqa: E402,F401
