@@ -14,7 +14,6 @@ from pitchlake.oracle import r6
 from pitchlake.plans import serving as V
 from pitchlake.plans.catalog import GOLD_SELECT, REGISTRY, Query, register
 from pitchlake.plans.context import Layers
-from pitchlake.sources import bronze as B
 
 
 def alias(key: str, of: str) -> None:
@@ -474,9 +473,6 @@ def _momentum_anchors(L: Layers) -> DataFrame:
     return V.momentum_anchors(L.bronze_matches, L.shots)
 
 
-# B is imported for the scan helpers used by the io keys in catalog.py
-__all__ = ["alias", "B"]
-
 
 # ------------------------------------------------------------------ F11, S16
 
