@@ -34,17 +34,15 @@ def _ratio(num, den):
     return F.when(den != 0, num / den).cast("float")
 
 
-def player_match_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """The one pass over events: conditional counts and sums per
-    (match, team, player). Team metrics roll up from it and the carry
-    attribution reads its Carry counts, so events are scanned once; averages
-    are kept as (sum, count) so the roll-up is exact."""
+def _event_aggs(t: Thresholds) -> list:
+    """Conditional counts and (sum, count) pairs over events; additive, so the
+    same columns can be rolled up from a finer grouping."""
     x = F.col("location_x")
     kind = F.col("type")
     is_def = kind.isin(*t.defensive_kinds)
     is_press = kind == "Pressure"
     in_line = is_def & (x < t.own_half_max_x)
-    return events.groupBy(*TEAM_MATCH, "player_id").agg(
+    return [
         F.count_if((kind == "Pass") & (x < t.opp_pass_max_x)).alias("own_passes"),
         F.count_if(is_def & (x > t.press_zone_min_x)).alias("zone_def_actions"),
         F.sum(F.when(is_press, x)).alias("press_x_sum"),
@@ -53,24 +51,38 @@ def player_match_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -
         F.count_if(is_press).alias("pressures"),
         F.sum(F.when(in_line, x)).alias("line_x_sum"),
         F.count(F.when(in_line, x)).alias("line_x_n"),
-        F.count_if(kind == "Carry").alias("carry_events"))
+        F.count_if(kind == "Carry").alias("carry_events"),
+    ]
+
+
+_ADDITIVE = ("own_passes", "zone_def_actions", "press_x_sum", "press_x_n", "high_pressures",
+             "pressures", "line_x_sum", "line_x_n", "carry_events")
+
+
+def player_match_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """The one pass over events for Gold: the additive counts per (match, team,
+    player). Team metrics roll up from it and the carry attribution reads its
+    Carry counts, so events are scanned once; averages are kept as (sum, count)
+    so the roll-up is exact."""
+    return events.groupBy(*TEAM_MATCH, "player_id").agg(*_event_aggs(t))
 
 
 def team_match_counts(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS,
                       per_player: DataFrame | None = None) -> DataFrame:
-    """Spine + every event-based count and mean per (match, team)."""
-    pp = per_player if per_player is not None else player_match_counts(events, t)
+    """Spine + every event-based count and mean per (match, team); rolled up
+    from ``per_player`` when given, else aggregated directly (one shuffle)."""
+    if per_player is None:
+        base = events.groupBy(*TEAM_MATCH).agg(*_event_aggs(t))
+    else:
+        base = per_player.groupBy(*TEAM_MATCH).agg(*[F.sum(c).alias(c) for c in _ADDITIVE])
 
     def mean(s, n):
-        return F.when(F.sum(n) > 0, F.sum(s) / F.sum(n))
+        return F.when(F.col(n) > 0, F.col(s) / F.col(n))
 
-    return pp.groupBy(*TEAM_MATCH).agg(
-        F.sum("own_passes").alias("own_passes"),
-        F.sum("zone_def_actions").alias("zone_def_actions"),
-        mean("press_x_sum", "press_x_n").alias("press_height"),
-        F.sum("high_pressures").alias("high_pressures"),
-        F.sum("pressures").alias("pressures"),
-        mean("line_x_sum", "line_x_n").alias("defensive_line_height"))
+    return base.select(*TEAM_MATCH, "own_passes", "zone_def_actions",
+                       mean("press_x_sum", "press_x_n").alias("press_height"),
+                       "high_pressures", "pressures",
+                       mean("line_x_sum", "line_x_n").alias("defensive_line_height"))
 
 
 def with_opponent_passes(counts: DataFrame) -> DataFrame:
