@@ -88,3 +88,15 @@ def test_opponent_passes_is_an_equi_join_with_residual(layers):
     p = plan(G.opponent_passes(layers.events))
     _no_bad_joins(p)
     assert "HashJoin" in p or "SortMergeJoin" in p
+
+
+def test_streaming_season_reads_use_dynamic_partition_pruning(spark, layers):
+    from pyspark.sql import functions as F
+
+    from pitchlake.sources import bronze as B
+    from pitchlake.streaming.silver_stream import _seasons_of
+    touched = (B.scan_events(spark, layers.root).where(F.col("season_id") == 27)
+               .select("competition_id", "season_id").distinct())
+    df = _seasons_of(spark, layers.root, touched, "events")
+    assert "dynamicpruning" in plan(df)
+    assert {r[0] for r in df.select("season_id").distinct().collect()} == {27}
