@@ -70,6 +70,23 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
     ], workers)
 
 
+def _silver_tasks(spark: SparkSession, root: str,
+                  seasons: Sequence[tuple[int, int]] | None) -> dict[str, Callable[[], int]]:
+    """One write job per Silver table whose Bronze source has been landed."""
+    def write(table: str, df: DataFrame):
+        return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
+                                           cluster_by=("match_id",), rebalance=False)
+
+    tasks = {}
+    if B.table_exists(spark, B.paths(root)["events"]):
+        bronze = B.scan_events(spark, root, seasons)
+        tasks.update({t: write(t, S.SILVER_TABLES[t](bronze)) for t in SILVER_EVENT_TABLES})
+    if B.table_exists(spark, B.paths(root)["lineups"]):
+        tasks["lineups"] = write("lineups",
+                                 S.silver_lineups(B.scan_lineups(spark, root, seasons)))
+    return tasks
+
+
 def transform(spark: SparkSession, root: str,
               seasons: Sequence[tuple[int, int]] | None = None, workers: int = 4) -> None:
     """Bronze -> Silver; a season is rebuilt from all of its Bronze matches.
@@ -78,17 +95,7 @@ def transform(spark: SparkSession, root: str,
     to one season: the Silver write needs no shuffle (no rebalance), each task
     writes its season folder and sorts its rows by match locally.
     """
-    def write(table: str, df: DataFrame):
-        return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
-                                           cluster_by=("match_id",), rebalance=False)
-
-    tasks = []
-    if B.table_exists(spark, B.paths(root)["events"]):
-        bronze = B.scan_events(spark, root, seasons)
-        tasks += [write(t, S.SILVER_TABLES[t](bronze)) for t in SILVER_EVENT_TABLES]
-    if B.table_exists(spark, B.paths(root)["lineups"]):
-        tasks.append(write("lineups", S.silver_lineups(B.scan_lineups(spark, root, seasons))))
-    run_concurrently(tasks, workers)
+    run_concurrently(list(_silver_tasks(spark, root, seasons).values()), workers)
 
 
 def read_silver(spark: SparkSession, root: str, table: str,
@@ -146,8 +153,23 @@ def run_pipeline(spark: SparkSession, feed: Feed, root: str,
                  seasons: Sequence[tuple[int, int]], limit: int | None = None,
                  t: Thresholds = DEFAULT_THRESHOLDS,
                  ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT) -> DataFrame:
-    """Ingest -> transform -> features for all ``seasons`` in one run."""
+    """Ingest -> transform -> features for all ``seasons`` in one run.
+
+    Gold reads only Silver events and carries, so it starts as soon as those two
+    tables are written, while the other Silver tables are still being written.
+    """
     ingest(feed, root, seasons, limit, ingested_at)
-    transform(spark, root, seasons)
-    features(spark, root, seasons, t)
+    tasks = _silver_tasks(spark, root, seasons)
+    with ThreadPoolExecutor(max_workers=len(tasks) + 1) as pool:
+        done = {name: pool.submit(task) for name, task in tasks.items()}
+
+        def gold() -> None:
+            for name in ("events", "carries"):
+                if name in done:
+                    done[name].result()
+            features(spark, root, seasons, t)
+
+        futures = [*done.values(), pool.submit(gold)]
+        for f in futures:
+            f.result()
     return status(spark, root, seasons)
