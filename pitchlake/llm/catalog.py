@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.llm import decontaminate, exact_dedup, packing, quality, simhash
+from pitchlake.llm import decontaminate, exact_dedup, html_extract, licenses, packing, quality, secrets, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": packing.query,
+    "op3_secret_scan": secrets.query,
+    "op4_html_extraction": html_extract.query,
+    "op5_warc_revisits": warc.query,
     "op6_quality_classifier": quality.query,
+    "op7_license_scan": licenses.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_simhash_near_dedup": simhash.query,
     "op10_benchmark_decontamination": decontaminate.query,
 }
-ORACLES: dict[str, str] = {"op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op5_warc_revisits": warc.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
