@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.llm import decontaminate, exact_dedup, html_extract, licenses, packing, quality, secrets, simhash, warc
+from pitchlake.llm import decontaminate, exact_dedup, html_extract, licenses, packing, quality, secrets, simhash, suffix_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": suffix_dedup.query,
     "op2_best_fit_packing": packing.query,
     "op3_secret_scan": secrets.query,
     "op4_html_extraction": html_extract.query,
