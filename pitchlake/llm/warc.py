@@ -58,7 +58,9 @@ def latest_response(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
     ``records`` has record_id, curl (canonical URL), ts (long), kind."""
     rows = records.select("record_id", "curl", "ts", "kind").filter("curl IS NOT NULL AND ts IS NOT NULL")
-    cuts = sorted(set(rows.approxQuantile("ts", [k / buckets for k in range(1, buckets)], 1 / ACCURACY)))
+    shares = [k / buckets for k in range(1, buckets)]
+    cuts = rows.agg(F.percentile_approx("ts", shares, ACCURACY)).first()[0] if shares else None
+    cuts = sorted(set(cuts or ()))
     bounds = F.array(*[F.lit(int(c)) for c in cuts]) if cuts else F.array().cast("array<bigint>")
     # number of bounds at or below the time: all captures of one time share a bucket
     rows = rows.withColumn("bucket", F.size(F.filter(bounds, lambda c: c <= F.col("ts"))))
