@@ -1,9 +1,11 @@
 """Column -> Column helpers for the stringified Bronze layer.
 
 All helpers are built-in Spark expressions (no Python UDF), so they stay
-inside whole-stage codegen and never raise under ANSI mode: casts are
-``try_cast``, list access is ``get`` (NULL past the end), and the text forms
-of a missing value (``nan``, ``None``, empty) become NULL before any cast.
+inside whole-stage codegen: text that is no number becomes NULL (``try_cast``),
+list access is ``get`` (NULL past the end), and the text forms of a missing
+value (``nan``, ``None``, empty) become NULL before any cast. A number that
+does not fit its integer type is an error, as in a plain CAST: an id is never
+silently lost.
 """
 
 from __future__ import annotations
@@ -54,24 +56,35 @@ def to_double(c) -> Column:
 
 def to_int(c) -> Column:
     """Numeric text ('5503.0') -> INT, rounding half to even."""
-    return F.bround(to_double(c), 0).try_cast("int")
+    return F.bround(to_double(c), 0).cast("int")
 
 
 def num_to_int(c) -> Column:
     """Numeric column -> INT, rounding half to even; NaN -> NULL."""
-    return F.bround(nan_to_null(_col(c).cast("double")), 0).try_cast("int")
+    return F.bround(nan_to_null(_col(c).cast("double")), 0).cast("int")
 
 
 def int_of(df, name: str) -> Column:
     """INT cast of ``df[name]`` whatever its stored type (number or text)."""
     dtype = df.schema[name].dataType.typeName()
-    if dtype in ("integer",):
-        return F.col(name)
+    if dtype in ("byte", "short", "integer", "long"):
+        return F.col(name).cast("int")
     if dtype in ("string",):
         return to_int(name)
     return num_to_int(name)
 
 
+def long_of(df, name: str) -> Column:
+    """LONG cast of ``df[name]`` whatever its stored type; integers are cast as they are."""
+    dtype = df.schema[name].dataType.typeName()
+    if dtype == "string":
+        s = F.trim(null_if_missing(name))
+        return F.coalesce(s.try_cast("bigint"), F.bround(to_double(name), 0).cast("bigint"))
+    if dtype in ("float", "double"):
+        return F.bround(nan_to_null(F.col(name)), 0).cast("bigint")
+    return F.col(name).cast("bigint")
+
+
 def float_of(df, name: str) -> Column:
     dtype = df.schema[name].dataType.typeName()
     if dtype == "string":

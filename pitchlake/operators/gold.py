@@ -168,7 +168,7 @@ def progressive_carry_rate(events: DataFrame, carries: DataFrame,
     carry_events = (pp.where(F.col("player_id").isNotNull() & (F.col("carry_events") > 0))
                     .select(*TEAM_MATCH, "player_id", F.col("carry_events").alias("m")))
     weight = F.col("m") if t.carry_weighting == "reference" else F.lit(1)
-    return (carry_events.join(per_carrier, ["match_id", "player_id"])
+    return (carry_events.join(per_carrier, [*MATCH, "player_id"])
             .groupBy(*TEAM_MATCH)
             .agg(_ratio(F.sum(F.col("p") * weight), F.sum(F.col("n") * weight))
                  .alias("progressive_carry_rate")))
@@ -177,7 +177,7 @@ def progressive_carry_rate(events: DataFrame, carries: DataFrame,
 def _per_carrier(carries: DataFrame, t: Thresholds) -> DataFrame:
     gain = F.col("end_x") - F.col("start_x")
     return (carries.where(F.col("player_id").isNotNull())
-            .groupBy("match_id", "player_id")
+            .groupBy(*MATCH, "player_id")
             .agg(F.count_if(gain > t.progressive_gain).alias("p"),
                  F.count(F.lit(1)).alias("n")))
 
@@ -187,14 +187,14 @@ def fingerprints(events: DataFrame, carries: DataFrame,
     """The Gold table: one row per (match, team) seen in the events.
 
     Plan: events aggregated once to (match, team, player); each player's
-    carries aggregated to (match, player) and LEFT-joined onto those rows (one
+    carries aggregated to (season, match, player) and LEFT-joined onto those rows (one
     carrier row per player and match, so no fan-out and no hot key); then a
     single roll-up to (match, team) yields every metric, the weighted carry
     sums included. One scan of events, one of carries, no join of tables of
     team rows afterwards.
     """
     pp = player_match_counts(events, t)
-    j = pp.join(_per_carrier(carries, t), ["match_id", "player_id"], "left")
+    j = pp.join(_per_carrier(carries, t), [*MATCH, "player_id"], "left")
     m = F.when(F.col("player_id").isNotNull(), F.col("carry_events")).otherwise(0)
     w = m if t.carry_weighting == "reference" else F.when(m > 0, 1).otherwise(0)
 
@@ -232,14 +232,10 @@ def carry_join_counts(events: DataFrame, carries: DataFrame,
                       t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Row counts of the carries x Carry-events join per (match, team), without
     materialising it: joined = sum(n*m), progressive = sum(p*m)."""
-    gain = F.col("end_x") - F.col("start_x")
-    per_player = (carries.where(F.col("player_id").isNotNull())
-                  .groupBy("match_id", "player_id")
-                  .agg(F.count_if(gain > t.progressive_gain).alias("p"),
-                       F.count(F.lit(1)).alias("n")))
+    per_player = _per_carrier(carries, t)
     carry_events = (events.where((F.col("type") == "Carry") & F.col("player_id").isNotNull())
                     .groupBy(*TEAM_MATCH, "player_id").agg(F.count(F.lit(1)).alias("m")))
-    return (carry_events.join(per_player, ["match_id", "player_id"])
+    return (carry_events.join(per_player, [*MATCH, "player_id"])
             .groupBy(*TEAM_MATCH)
             .agg(F.sum(F.col("n") * F.col("m")).alias("joined_rows"),
                  F.sum(F.col("p") * F.col("m")).alias("progressive_rows")))

@@ -9,7 +9,10 @@ second) and a tail (e.g. event_order):
 2. per-(key, bucket) totals (one row per bucket, from the same partitioning),
    then an exclusive prefix sum of those totals per key (a window over
    bucket-sized rows only);
-3. the prefix is joined back on (key, bucket) and added.
+3. the prefix is joined back on (key, bucket) and added. Key and bucket form one
+   struct column, never NULL itself, whose NULL fields are equal to each other:
+   a plain ``=`` join on it reuses the partitioning of step 1, so the rows are
+   shuffled once.
 
 The result equals the one-window form for any data (``tests/test_properties.py``).
 """
@@ -36,29 +39,29 @@ def running_total(df: DataFrame, keys: Sequence[str], buckets: Sequence[str],
     order, NULLs last. Built as one SQL statement over ``df`` (one analysis).
     """
     keys, buckets, tail = list(keys), list(buckets), list(tail)
-    part = keys + buckets
     cols = ", ".join(f"l.{_q(c)}" for c in df.columns)
-    part_l = ", ".join(_q(c) for c in part)
-    on = " AND ".join(f"l.{_q(c)} <=> o.{_q(c)}" for c in part)
     v = _q(value)
     sql = f"""
-    WITH local AS (
+    WITH keyed AS (
+      SELECT *, struct({", ".join(map(_q, keys))}) AS _key,
+             struct({", ".join(map(_q, keys + buckets))}) AS _part FROM {{src}}),
+    local AS (
       SELECT *, sum({v}) OVER wl AS _local_sum, count(1) OVER wl AS _local_n
-      FROM {{src}}
-      WINDOW wl AS (PARTITION BY {part_l}
+      FROM keyed
+      WINDOW wl AS (PARTITION BY _part
                     ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in tail)}
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
     offsets AS (
-      SELECT {part_l}, sum(_b_sum) OVER wb AS _off_sum, sum(_b_n) OVER wb AS _off_n
-      FROM (SELECT {part_l}, sum({v}) AS _b_sum, count(1) AS _b_n FROM local GROUP BY {part_l}) t
-      WINDOW wb AS (PARTITION BY {", ".join(_q(c) for c in keys)}
-                    ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in buckets)}
+      SELECT _part, sum(_b_sum) OVER wb AS _off_sum, sum(_b_n) OVER wb AS _off_n
+      FROM (SELECT _key, _part, sum({v}) AS _b_sum, count(1) AS _b_n FROM keyed GROUP BY _key, _part) t
+      WINDOW wb AS (PARTITION BY _key
+                    ORDER BY {", ".join(f"_part.{_q(c)} ASC NULLS LAST" for c in buckets)}
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT {cols},
            CASE WHEN l._local_sum IS NOT NULL OR o._off_sum IS NOT NULL
                 THEN coalesce(o._off_sum, 0D) + coalesce(l._local_sum, 0D) END AS {_q(out)},
            coalesce(o._off_n, 0L) + l._local_n AS _position
-    FROM local l LEFT JOIN offsets o ON {on}"""
+    FROM local l LEFT JOIN offsets o ON l._part = o._part"""
     result = df.sparkSession.sql(sql, src=df)
     if position:
         return result.withColumnRenamed("_position", position)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.functions.parse import (coord, float_of, int_of, null_if_missing,
+from pitchlake.functions.parse import (coord, float_of, int_of, long_of, null_if_missing,
                                        to_bool_default_false)
 
 _PART = ("event_order", "competition_id", "season_id")
@@ -27,7 +27,7 @@ def silver_events(df: DataFrame) -> DataFrame:
     return (df
             .where(F.col("type").isNotNull() & ~F.col("type").isin("nan", "None", ""))
             .select(
-                int_of(df, "match_id").alias("match_id"),
+                long_of(df, "match_id").alias("match_id"),
                 int_of(df, "team_id").alias("team_id"),
                 F.col("team").alias("team_name"),
                 int_of(df, "player_id").alias("player_id"),
@@ -47,7 +47,7 @@ def silver_shots(df: DataFrame) -> DataFrame:
     """Shots with xG, location, body part, outcome and a non-null under_pressure."""
     return (df.where(_kind("Shot"))
             .select(
-                int_of(df, "match_id").alias("match_id"),
+                long_of(df, "match_id").alias("match_id"),
                 F.col("team").alias("team_name"),
                 int_of(df, "player_id").alias("player_id"),
                 F.col("player").alias("player_name"),
@@ -65,7 +65,7 @@ def silver_shots(df: DataFrame) -> DataFrame:
 def silver_pressures(df: DataFrame) -> DataFrame:
     return (df.where(_kind("Pressure"))
             .select(
-                int_of(df, "match_id").alias("match_id"),
+                long_of(df, "match_id").alias("match_id"),
                 int_of(df, "team_id").alias("team_id"),
                 F.col("team").alias("team_name"),
                 coord("location", 1).alias("location_x"),
@@ -81,7 +81,7 @@ def silver_carries(df: DataFrame) -> DataFrame:
     end_x, end_y = coord("carry_end_location", 1), coord("carry_end_location", 2)
     return (df.where(_kind("Carry"))
             .select(
-                int_of(df, "match_id").alias("match_id"),
+                long_of(df, "match_id").alias("match_id"),
                 int_of(df, "player_id").alias("player_id"),
                 F.col("player").alias("player_name"),
                 start_x.alias("start_x"), start_y.alias("start_y"),
@@ -95,7 +95,7 @@ def silver_carries(df: DataFrame) -> DataFrame:
 
 def silver_lineups(df: DataFrame) -> DataFrame:
     return df.select(
-        int_of(df, "match_id").alias("match_id"),
+        long_of(df, "match_id").alias("match_id"),
         F.col("team_name"),
         int_of(df, "player_id").alias("player_id"),
         F.col("player_name"),

@@ -1,9 +1,9 @@
 """DuckDB oracle SQL: the *naive* form of every query, for differential tests.
 
 The engine uses rewritten plans (single-pass Gold, aggregate-then-join carry
-weighting, two-level running totals); the oracle keeps the straightforward
-forms (self-join for opponents, fan-out + COUNT(DISTINCT rowid), one window
-per key), so agreement checks the rewrites. Every float result is compared as
+weighting, two-level running totals); the oracle states each metric by its
+definition (one correlated count or mean per team and match, one window per
+key), so agreement checks the rewrites. Every float result is compared as
 DOUBLE rounded to 6 places on both sides.
 
 All oracles start from the adapter CTEs (``pitchlake.sources.adapter``),
@@ -29,7 +29,7 @@ def _coord(col: str, i: int) -> str:
 
 SILVER_CTES = f"""
  silver_events AS (
-  SELECT CAST(match_id AS INTEGER) AS match_id, CAST(team_id AS INTEGER) AS team_id,
+  SELECT CAST(match_id AS BIGINT) AS match_id, CAST(team_id AS INTEGER) AS team_id,
          team AS team_name, CAST(player_id AS INTEGER) AS player_id, player AS player_name,
          type, CAST(period AS INTEGER) AS period, CAST(minute AS INTEGER) AS minute,
          CAST(second AS INTEGER) AS second,
@@ -38,7 +38,7 @@ SILVER_CTES = f"""
          event_order, competition_id, season_id
   FROM bronze_events WHERE type IS NOT NULL),
  silver_shots AS (
-  SELECT CAST(match_id AS INTEGER) AS match_id, team AS team_name,
+  SELECT CAST(match_id AS BIGINT) AS match_id, team AS team_name,
          CAST(player_id AS INTEGER) AS player_id, player AS player_name,
          CAST(minute AS INTEGER) AS minute, CAST(second AS INTEGER) AS second,
          CAST(shot_statsbomb_xg AS FLOAT) AS xg,
@@ -48,7 +48,7 @@ SILVER_CTES = f"""
          event_order, competition_id, season_id
   FROM bronze_events WHERE type = 'Shot'),
  silver_pressures AS (
-  SELECT CAST(match_id AS INTEGER) AS match_id, CAST(team_id AS INTEGER) AS team_id,
+  SELECT CAST(match_id AS BIGINT) AS match_id, CAST(team_id AS INTEGER) AS team_id,
          team AS team_name, {_coord('location', 1)} AS location_x,
          {_coord('location', 2)} AS location_y,
          CAST(minute AS INTEGER) AS minute, CAST(second AS INTEGER) AS second,
@@ -58,7 +58,7 @@ SILVER_CTES = f"""
   SELECT match_id, player_id, player_name, start_x, start_y, end_x, end_y,
          end_x - start_x AS delta_x, end_y - start_y AS delta_y,
          event_order, competition_id, season_id
-  FROM (SELECT CAST(match_id AS INTEGER) AS match_id, CAST(player_id AS INTEGER) AS player_id,
+  FROM (SELECT CAST(match_id AS BIGINT) AS match_id, CAST(player_id AS INTEGER) AS player_id,
                player AS player_name,
                {_coord('location', 1)} AS start_x, {_coord('location', 2)} AS start_y,
                {_coord('carry_end_location', 1)} AS end_x,
@@ -66,60 +66,48 @@ SILVER_CTES = f"""
                event_order, competition_id, season_id
         FROM bronze_events WHERE type = 'Carry') c),
  silver_lineups AS (
-  SELECT CAST(match_id AS INTEGER) AS match_id, team_name, CAST(player_id AS INTEGER) AS player_id,
+  SELECT CAST(match_id AS BIGINT) AS match_id, team_name, CAST(player_id AS INTEGER) AS player_id,
          player_name, CAST(jersey_number AS INTEGER) AS jersey_number, competition_id, season_id
   FROM bronze_lineups)"""
 
-# Gold in the naive form: each team's opponents by joining events to the
-# (match, team) spine on "same match, other team"; PPDA by LEFT JOINing both
-# event sets to the spine (a fan-out) and counting distinct surrogate ids;
-# carries attributed by joining every carry to every Carry event of the player.
+# Gold from the metric definitions: one row per (match, team) that the events
+# name, and for each metric one correlated count or mean over the events it is defined on.
+_HERE = ("{e}.competition_id = k.competition_id AND {e}.season_id = k.season_id "
+         "AND {e}.match_id = k.match_id")
+
+
+def _over(what: str, where: str, source: str = "silver_events e") -> str:
+    return f"(SELECT {what} FROM {source} WHERE {_HERE.format(e='e')} AND {where})"
+
+
+_OWN = "e.team_name = k.team_name"
 GOLD_CTES = f"""
- team_spine AS (SELECT DISTINCT competition_id, season_id, match_id, team_name FROM silver_events),
- def_events AS (
-  SELECT competition_id, season_id, match_id, team_name, location_x, location_y, type, minute, second
-  FROM silver_events WHERE type IN ({_KINDS})),
- passes_faced AS (
-  SELECT ev.competition_id, ev.season_id, ev.match_id, sp.team_name AS team_name,
-         ev.team_name AS pass_team, ev.location_x, ev.event_order
-  FROM silver_events ev
-  JOIN team_spine sp ON sp.match_id = ev.match_id AND sp.team_name <> ev.team_name
-  WHERE ev.type = 'Pass' AND ev.location_x < 80),
- faced_ids AS (SELECT pf.*, row_number() OVER () AS uid FROM passes_faced pf),
- zone_ids AS (SELECT de.*, row_number() OVER () AS uid FROM def_events de WHERE de.location_x > 40),
- ppda_naive AS (
-  SELECT sp.competition_id, sp.season_id, sp.match_id, sp.team_name,
-         COUNT(DISTINCT f.uid) AS opp_passes, COUNT(DISTINCT z.uid) AS def_actions,
-         CAST(COUNT(DISTINCT f.uid) AS FLOAT) / NULLIF(COUNT(DISTINCT z.uid), 0) AS ppda
-  FROM team_spine sp
-  LEFT JOIN faced_ids f ON f.match_id = sp.match_id AND f.team_name = sp.team_name
-  LEFT JOIN zone_ids z ON z.match_id = sp.match_id AND z.team_name = sp.team_name
-  GROUP BY sp.competition_id, sp.season_id, sp.match_id, sp.team_name),
- pressure_stats AS (
-  SELECT match_id, team_name, AVG(location_x) AS press_height,
-         CAST(SUM(CASE WHEN location_x > 80 THEN 1 ELSE 0 END) AS FLOAT)
-           / NULLIF(COUNT(*), 0) AS high_turnover_rate
-  FROM def_events WHERE type = 'Pressure' GROUP BY match_id, team_name),
- deep_actions AS (
-  SELECT match_id, team_name, AVG(location_x) AS defensive_line_height
-  FROM def_events WHERE location_x < 60 GROUP BY match_id, team_name),
- carry_rates AS (
-  SELECT cr.match_id, ev.team_name,
-         CAST(SUM(CASE WHEN cr.end_x - cr.start_x > 10 THEN 1 ELSE 0 END) AS FLOAT)
-           / NULLIF(COUNT(*), 0) AS progressive_carry_rate
-  FROM silver_carries cr
-  JOIN silver_events ev ON ev.type = 'Carry' AND ev.match_id = cr.match_id
-                       AND ev.player_id = cr.player_id
-  GROUP BY cr.match_id, ev.team_name),
+ named AS (SELECT DISTINCT competition_id, season_id, match_id, team_name FROM silver_events),
+ line_up AS (SELECT competition_id, season_id, match_id, list(team_name) AS teams FROM named GROUP BY ALL),
+ player_carries AS (
+  SELECT competition_id, season_id, match_id, player_id, count(*) AS n,
+         count(*) FILTER (end_x - start_x > 10) AS hits
+  FROM silver_carries WHERE player_id IS NOT NULL GROUP BY ALL),
+ measures AS (
+  SELECT k.*,
+   {_over('count(*)', "e.team_name <> k.team_name AND e.type = 'Pass' AND e.location_x < 80")} AS opp_passes,
+   {_over('count(*)', f"{_OWN} AND e.type IN ({_KINDS}) AND e.location_x > 40")} AS def_actions,
+   {_over('count(*)', f"{_OWN} AND e.type = 'Pressure'")} AS pressures,
+   {_over('count(*)', f"{_OWN} AND e.type = 'Pressure' AND e.location_x > 80")} AS high_pressures,
+   {_over('avg(e.location_x)', f"{_OWN} AND e.type = 'Pressure'")} AS press_height,
+   {_over('avg(e.location_x)', f"{_OWN} AND e.type IN ({_KINDS}) AND e.location_x < 60")} AS defensive_line_height,
+   {_over('sum(c.n)', f"{_OWN} AND e.type = 'Carry'",
+          "silver_events e JOIN player_carries c USING (competition_id, season_id, match_id, player_id)")} AS carry_pairs,
+   {_over('sum(c.hits)', f"{_OWN} AND e.type = 'Carry'",
+          "silver_events e JOIN player_carries c USING (competition_id, season_id, match_id, player_id)")} AS carry_hits
+  FROM named k),
  gold AS (
-  SELECT n.match_id, n.team_name, n.ppda, ps.press_height, ps.high_turnover_rate,
-         da.defensive_line_height, cr.progressive_carry_rate,
+  SELECT match_id, team_name, CAST(opp_passes / nullif(def_actions, 0) AS FLOAT) AS ppda, press_height,
+         CAST(high_pressures / nullif(pressures, 0) AS FLOAT) AS high_turnover_rate, defensive_line_height,
+         CAST(carry_hits / nullif(carry_pairs, 0) AS FLOAT) AS progressive_carry_rate,
          CAST(0.5 AS DOUBLE) AS press_success_rate, CAST(0.5 AS DOUBLE) AS compactness,
-         CAST(0.5 AS DOUBLE) AS counter_attack_speed, n.competition_id, n.season_id
-  FROM ppda_naive n
-  LEFT JOIN pressure_stats ps ON ps.match_id = n.match_id AND ps.team_name = n.team_name
-  LEFT JOIN deep_actions da ON da.match_id = n.match_id AND da.team_name = n.team_name
-  LEFT JOIN carry_rates cr ON cr.match_id = n.match_id AND cr.team_name = n.team_name)"""
+         CAST(0.5 AS DOUBLE) AS counter_attack_speed, competition_id, season_id
+  FROM measures)"""
 
 # Matches with ids and scores coerced to integers (unparsable -> 0).
 SERVING_CTES = """

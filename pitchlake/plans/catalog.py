@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.oracle import r6, with_ctes
+from pitchlake.oracle import _KINDS, r6, with_ctes
 from pitchlake.operators import gold as G
 from pitchlake.plans import serving as V
 from pitchlake.plans.context import Layers
@@ -80,51 +80,54 @@ def _silver_lineups(L: Layers) -> DataFrame:
 
 # ============================================================== Gold
 
-@register("gold_match_teams", "SELECT * FROM team_spine")
+@register("gold_match_teams", "SELECT * FROM named")
 def _gold_match_teams(L: Layers) -> DataFrame:
     return G.match_teams(L.events)
 
 
 @register("gold_defensive_actions", f"""SELECT competition_id, season_id, match_id, team_name,
   {r6('location_x', 'location_x')}, {r6('location_y', 'location_y')}, type, minute, second
-  FROM def_events""")
+  FROM silver_events WHERE type IN ({_KINDS})""")
 def _gold_defensive_actions(L: Layers) -> DataFrame:
     return G.defensive_actions(L.events, L.t)
 
 
-@register("gold_opponent_passes", f"""SELECT competition_id, season_id, match_id, team_name,
-  pass_team, {r6('location_x', 'location_x')}, event_order FROM passes_faced""")
+@register("gold_opponent_passes", f"""SELECT competition_id, season_id, match_id, team_name, pass_team,
+  {r6('location_x', 'location_x')}, event_order FROM (
+    SELECT competition_id, season_id, match_id, e.location_x, e.event_order, e.team_name AS pass_team,
+           unnest(list_filter(l.teams, lambda other: other <> e.team_name)) AS team_name
+    FROM (SELECT * FROM silver_events WHERE type = 'Pass' AND location_x < 80) e
+    JOIN line_up l USING (competition_id, season_id, match_id)) x""")
 def _gold_opponent_passes(L: Layers) -> DataFrame:
     return G.opponent_passes(L.events, L.t)
 
 
 @register("gold_ppda", f"""SELECT competition_id, season_id, match_id, team_name,
   CAST(opp_passes AS BIGINT) AS opp_passes, CAST(def_actions AS BIGINT) AS def_actions,
-  {r6('ppda', 'ppda')} FROM ppda_naive""")
+  {r6('CAST(opp_passes / nullif(def_actions, 0) AS FLOAT)', 'ppda')} FROM measures""")
 def _gold_ppda(L: Layers) -> DataFrame:
     return G.ppda(L.events, L.t)
 
 
-@register("gold_press_metrics", f"""SELECT d.competition_id, d.season_id, p.match_id, p.team_name,
-  {r6('p.press_height', 'press_height')}, {r6('p.high_turnover_rate', 'high_turnover_rate')}
-  FROM pressure_stats p JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
-  ON p.match_id = d.match_id""")
+@register("gold_press_metrics", f"""SELECT competition_id, season_id, match_id, team_name,
+  {r6('avg(location_x)', 'press_height')},
+  {r6('CAST(count(*) FILTER (location_x > 80) / count(*) AS FLOAT)', 'high_turnover_rate')}
+  FROM silver_events WHERE type = 'Pressure' GROUP BY ALL""")
 def _gold_press_metrics(L: Layers) -> DataFrame:
     return G.press_metrics(L.events, L.t)
 
 
-@register("gold_defensive_line", f"""SELECT d.competition_id, d.season_id, l.match_id, l.team_name,
-  {r6('l.defensive_line_height', 'defensive_line_height')}
-  FROM deep_actions l JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
-  ON l.match_id = d.match_id""")
+@register("gold_defensive_line", f"""SELECT competition_id, season_id, match_id, team_name,
+  {r6('avg(location_x)', 'defensive_line_height')}
+  FROM silver_events WHERE type IN ({_KINDS}) AND location_x < 60 GROUP BY ALL""")
 def _gold_defensive_line(L: Layers) -> DataFrame:
     return G.defensive_line(L.events, L.t)
 
 
-@register("gold_progressive_carries", f"""SELECT d.competition_id, d.season_id, c.match_id, c.team_name,
-  {r6('c.progressive_carry_rate', 'progressive_carry_rate')}
-  FROM carry_rates c JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
-  ON c.match_id = d.match_id""")
+@register("gold_progressive_carries", f"""SELECT competition_id, season_id, match_id, team_name,
+  {r6('CAST(sum(c.hits) / sum(c.n) AS FLOAT)', 'progressive_carry_rate')}
+  FROM silver_events JOIN player_carries c USING (competition_id, season_id, match_id, player_id)
+  WHERE type = 'Carry' GROUP BY ALL""")
 def _gold_progressive_carries(L: Layers) -> DataFrame:
     return G.progressive_carry_rate(L.events, L.carries, L.t)
 
@@ -145,7 +148,9 @@ def _gold_fingerprints(L: Layers) -> DataFrame:
 # ============================================================== Serving
 
 @register("competition_options", """SELECT competition_id, season_id, competition_name, season_name,
-  competition_name || ' (' || season_name || ')' AS label FROM bronze_competitions""")
+  competition_name || ' (' || season_name || ')' AS label,
+  CAST(row_number() OVER (ORDER BY competition_name, season_name, competition_id, season_id) AS INTEGER) AS position
+  FROM bronze_competitions""")
 def _competition_options(L: Layers) -> DataFrame:
     return V.competition_options(L.bronze_competitions)
 
@@ -179,13 +184,16 @@ def _recent_results(L: Layers) -> DataFrame:
     return V.recent_results(L.bronze_matches, L.gold)
 
 
-@register("season_options", """SELECT season_id, season_id = (SELECT MAX(season_id) FROM gold) AS is_default
+@register("season_options", """SELECT season_id, season_id = (SELECT MAX(season_id) FROM gold) AS is_default,
+  CAST(row_number() OVER (ORDER BY season_id) AS INTEGER) AS position
   FROM (SELECT DISTINCT season_id FROM gold) s""")
 def _season_options(L: Layers) -> DataFrame:
     return V.season_options(L.gold)
 
 
-@register("team_options", "SELECT DISTINCT season_id, team_name FROM gold WHERE team_name IS NOT NULL")
+@register("team_options", """SELECT season_id, team_name,
+  CAST(row_number() OVER (PARTITION BY season_id ORDER BY team_name) AS INTEGER) AS position
+  FROM (SELECT DISTINCT season_id, team_name FROM gold WHERE team_name IS NOT NULL) t""")
 def _team_options(L: Layers) -> DataFrame:
     return V.team_options(L.gold)
 

@@ -12,7 +12,7 @@ from pitchlake.oracle import r6
 from pitchlake.plans import pipeline as P
 from pitchlake.plans.catalog import _EV_COLS, GOLD_SELECT, register
 from pitchlake.plans.context import Layers
-from pitchlake.session import lake_root
+from pitchlake.session import scratch_lake
 from pitchlake.sources import bronze as B
 
 _INGESTED_EPOCH = int(B.DEFAULT_INGESTED_AT.timestamp())
@@ -25,7 +25,7 @@ _AUDIT = f"CAST({_INGESTED_EPOCH} AS BIGINT) AS _ingested_at, '{DEFAULT_SOURCE}'
 
 @register("bronze_events", f"SELECT {_BRONZE_EV_COLS}, {_AUDIT} FROM bronze_events")
 def _bronze_events(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.land_events(L.feed.events, root)
     return B.scan_events(L.spark, root)
 
@@ -33,7 +33,7 @@ def _bronze_events(L: Layers) -> DataFrame:
 @register("bronze_competitions", f"""SELECT competition_id, season_id, competition_name, season_name,
   {_AUDIT} FROM bronze_competitions""")
 def _bronze_competitions(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.land_competitions(L.feed.competitions, root)
     return B.scan_competitions(L.spark, root)
 
@@ -41,7 +41,7 @@ def _bronze_competitions(L: Layers) -> DataFrame:
 @register("bronze_matches", f"""SELECT match_id, match_date, home_team, away_team, home_score,
   away_score, {_AUDIT}, competition_id, season_id FROM bronze_matches""")
 def _bronze_matches(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.land_matches(L.feed.matches, root)
     return B.scan_matches(L.spark, root)
 
@@ -49,7 +49,7 @@ def _bronze_matches(L: Layers) -> DataFrame:
 @register("bronze_lineups", f"""SELECT match_id, team_name, player_id, player_name, jersey_number,
   {_AUDIT}, competition_id, season_id FROM bronze_lineups""")
 def _bronze_lineups(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.land_lineups(L.feed.lineups, root)
     return B.scan_lineups(L.spark, root)
 
@@ -82,7 +82,7 @@ def _stringify_complex(L: Layers) -> DataFrame:
 @register("partitioned_write", """SELECT competition_id, season_id, match_id, COUNT(*) AS n_rows
   FROM bronze_events GROUP BY 1, 2, 3""")
 def _partitioned_write(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.land_events(L.feed.events, root)
     ev = B.scan_events(L.spark, root)
     return ev.groupBy(*B.EVENTS_PARTS).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -92,7 +92,7 @@ def _partitioned_write(L: Layers) -> DataFrame:
   FROM bronze_events GROUP BY 1, 2""")
 def _empty_guard(L: Layers) -> DataFrame:
     # an empty rerun of a season must not remove what is there
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.land_events(L.feed.events, root)
     B.land_events(L.feed.events.where(F.col("season_id") < 0), root)
     ev = B.scan_events(L.spark, root)
@@ -108,24 +108,26 @@ def _limit_matches(L: Layers) -> DataFrame:
         "match_id", "competition_id", "season_id", "match_date")
 
 
-@register("multi_file_scan", f"""SELECT {_BRONZE_EV_COLS},
-  CAST(CASE WHEN season_id = 27 THEN {_INGESTED_EPOCH} END AS BIGINT) AS _ingested_at,
-  CASE WHEN season_id = 27 THEN '{DEFAULT_SOURCE}' END AS _source FROM bronze_events""")
+@register("multi_file_scan", f"""SELECT {_BRONZE_EV_COLS}, {_AUDIT} FROM bronze_events""")
 def _multi_file_scan(L: Layers) -> DataFrame:
-    # files of two landings with different column sets, read as one typed table
-    root = lake_root(L.spark)
-    ev = L.feed.events
-    path = B.paths(root)["events"]
-    B.write_partitioned(ev.where(F.col("season_id") != 27), path, B.EVENTS_PARTS)
-    B.land_events(ev.where(F.col("season_id") == 27), root)
-    return B.scan_events(L.spark, root)
+    # two landings whose files differ in columns (no carry end where there is none) and in types
+    # (numbers as text), read as one typed table
+    root = scratch_lake(L.spark)
+    ev = B.add_audit_columns(L.feed.events)
+    carry = F.col("carry_end_location") != "nan"
+    ev.where(carry).withColumn("shot_statsbomb_xg", F.col("shot_statsbomb_xg").cast("string")) \
+        .withColumn("minute", F.col("minute").cast("string")).write.parquet(f"{root}/drift/carries")
+    ev.where(~carry).withColumn("player_id", F.col("player_id").cast("string")).drop("carry_end_location") \
+        .write.parquet(f"{root}/drift/others")
+    df = B.scan_drifted(L.spark, [f"{root}/drift/carries", f"{root}/drift/others"], _schemas.BRONZE_EVENTS)
+    return df.withColumn("carry_end_location", F.coalesce("carry_end_location", F.lit("nan")))
 
 
 @register("normalize_match_id", """SELECT CAST(match_id AS BIGINT) AS match_id, competition_id,
   season_id, match_date FROM bronze_matches""")
 def _normalize_match_id(L: Layers) -> DataFrame:
     # match ids landed as text ('123.0'), as a stringified feed stores them
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     path = f"{root}/matches_text"
     m = L.feed.matches.select(
         F.concat(F.col("match_id").cast("string"), F.lit(".0")).alias("match_id"),
@@ -138,15 +140,15 @@ def _normalize_match_id(L: Layers) -> DataFrame:
 
 @register("point_read", GOLD_SELECT)
 def _point_read(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     path = f"{root}/gold_object"
-    B.write_partitioned(L.gold.coalesce(1), path)
+    B.write_partitioned(L.gold, path)
     return B.point_read(L.spark, path)
 
 
 @register("silver_write", f"SELECT {_EV_COLS} FROM silver_events")
 def _silver_write(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.write_partitioned(L.silver_from_bronze("events"), P.silver_path(root, "events"), B.SEASON_PARTS,
                         cluster_by=("match_id",))
     return P.read_silver(L.spark, root, "events").select(*_schemas.SILVER_EVENTS.fieldNames())
@@ -154,7 +156,7 @@ def _silver_write(L: Layers) -> DataFrame:
 
 @register("gold_write", GOLD_SELECT)
 def _gold_write(L: Layers) -> DataFrame:
-    root = lake_root(L.spark)
+    root = scratch_lake(L.spark)
     B.write_partitioned(L.gold_from_silver(), B.paths(root)["gold"], B.SEASON_PARTS,
                         cluster_by=("match_id",))
     return P.read_gold(L.spark, root)
@@ -163,31 +165,28 @@ def _gold_write(L: Layers) -> DataFrame:
 _STATUS_SQL = """SELECT r.competition_id, r.season_id,
   CAST(COALESCE(b.n, 0) AS BIGINT) AS bronze_events, CAST(COALESCE(s.n, 0) AS BIGINT) AS silver_events,
   CAST(COALESCE(g.n, 0) AS BIGINT) AS gold_rows,
-  CASE WHEN COALESCE(g.n, 0) > 0 THEN 'ok' ELSE 'empty' END AS status
-  FROM ({requested}) r
-  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM bronze_events GROUP BY 1, 2) b
+  CASE WHEN COALESCE(g.n, 0) > 0 THEN 'ok' ELSE 'empty' END AS status, CAST(NULL AS VARCHAR) AS error
+  FROM (SELECT DISTINCT competition_id, season_id FROM bronze_competitions) r
+  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM bronze_events {where} GROUP BY 1, 2) b
     ON r.competition_id = b.competition_id AND r.season_id = b.season_id
-  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM silver_events GROUP BY 1, 2) s
+  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM silver_events {where} GROUP BY 1, 2) s
     ON r.competition_id = s.competition_id AND r.season_id = s.season_id
-  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM gold GROUP BY 1, 2) g
+  LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM gold {where} GROUP BY 1, 2) g
     ON r.competition_id = g.competition_id AND r.season_id = g.season_id"""
+#: Matches of each season in the warm-up batch.
+WARM_UP_LIMIT = 10
+_LIMITED = f"""WHERE match_id IN (SELECT match_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY competition_id, season_id
+                               ORDER BY match_date ASC NULLS LAST, match_id) AS rn
+  FROM bronze_matches) m WHERE rn <= {WARM_UP_LIMIT})"""
 
 
-def _requested_sql(seasons) -> str:
-    return " UNION ALL ".join(f"SELECT CAST({c} AS BIGINT) AS competition_id, "
-                              f"CAST({s} AS BIGINT) AS season_id" for c, s in seasons)
-
-
-_RUN_SEASONS = ((11, 26), (11, 27))
-_BATCH_SEASONS = ((11, 26), (11, 27), (16, 4))
-
-
-@register("run_pipeline", _STATUS_SQL.format(requested=_requested_sql(_RUN_SEASONS)))
+@register("run_pipeline", _STATUS_SQL.format(where=""))
 def _run_pipeline(L: Layers) -> DataFrame:
-    return P.run_pipeline(L.spark, L.feed, lake_root(L.spark), _RUN_SEASONS)
+    return P.run_pipeline(L.spark, L.feed, scratch_lake(L.spark))
 
 
-@register("multi_season_batch", _STATUS_SQL.format(requested=_requested_sql(_BATCH_SEASONS)))
+@register("multi_season_batch", _STATUS_SQL.format(where=_LIMITED))
 def _multi_season_batch(L: Layers) -> DataFrame:
-    # a catalogued season without data reports 'empty' and does not stop the others
-    return P.run_pipeline(L.spark, L.feed, lake_root(L.spark), _BATCH_SEASONS)
+    # the warm-up: some matches of every catalogued season; one without data reports 'empty'
+    return P.run_pipeline(L.spark, L.feed, scratch_lake(L.spark), limit=WARM_UP_LIMIT)

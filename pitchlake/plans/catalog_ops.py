@@ -14,6 +14,7 @@ from pitchlake.oracle import r6
 from pitchlake.plans import serving as V
 from pitchlake.plans.catalog import GOLD_SELECT, REGISTRY, Query, register
 from pitchlake.plans.context import Layers
+from pitchlake.session import scratch_lake
 
 
 def alias(key: str, of: str) -> None:
@@ -103,8 +104,10 @@ def _lateral_alias(L: Layers) -> DataFrame:
 
 
 @register("nullif_div", f"""SELECT {_TM},
-  {r6("CAST(COUNT(CASE WHEN location_x > 80 THEN 1 END) AS FLOAT) / NULLIF(COUNT(*), 0)", 'high_turnover_rate')}
-  FROM silver_events WHERE type = 'Pressure' GROUP BY 1, 2, 3, 4""")
+  {r6('CAST(high_pressures / nullif(pressures, 0) AS FLOAT)', 'high_turnover_rate')}
+  FROM measures WHERE pressures > 0
+  UNION ALL SELECT {_TM}, {r6('CAST(count(*) FILTER (location_x > 80) / count(*) AS FLOAT)', 'high_turnover_rate')}
+  FROM silver_events WHERE type = 'Pressure' AND team_name IS NULL GROUP BY ALL""")
 def _nullif_div(L: Layers) -> DataFrame:
     return G.press_metrics(L.events, L.t).select(*G.TEAM_MATCH, "high_turnover_rate")
 
@@ -299,31 +302,21 @@ alias("join_metrics", "gold_fingerprints")
 alias("join_league_average", "team_profile")
 
 
-@register("join_left_two_key", f"""SELECT sp.competition_id, sp.season_id, sp.match_id, sp.team_name,
-  {r6('ps.press_height', 'press_height')}
-  FROM team_spine sp LEFT JOIN pressure_stats ps
-  ON ps.match_id = sp.match_id AND ps.team_name = sp.team_name""")
+@register("join_left_two_key", f"SELECT {_TM}, {r6('press_height', 'press_height')} FROM measures")
 def _join_left_two_key(L: Layers) -> DataFrame:
     pm = G.press_metrics(L.events, L.t).select(*G.TEAM_MATCH, "press_height")
     return G.match_teams(L.events).join(pm, list(G.TEAM_MATCH), "left")
 
 
-@register("join_left_residual", f"""SELECT sp.competition_id, sp.season_id, sp.match_id, sp.team_name,
-  COUNT(de.location_x) AS def_actions
-  FROM team_spine sp LEFT JOIN def_events de
-  ON de.match_id = sp.match_id AND de.team_name = sp.team_name AND de.location_x > 40
-  GROUP BY sp.competition_id, sp.season_id, sp.match_id, sp.team_name""")
+@register("join_left_residual", f"SELECT {_TM}, def_actions FROM measures")
 def _join_left_residual(L: Layers) -> DataFrame:
     return G.zone_actions_left_join(L.events, L.t)
 
 
-@register("join_carry_team", f"""SELECT d.competition_id, d.season_id, c.match_id, e.team_name,
-  COUNT(*) AS joined_rows, COUNT(CASE WHEN (c.end_x - c.start_x) > 10 THEN 1 END) AS progressive_rows
-  FROM silver_carries c JOIN silver_events e
-    ON c.match_id = e.match_id AND c.player_id = e.player_id AND e.type = 'Carry'
-  JOIN (SELECT DISTINCT competition_id, season_id, match_id FROM silver_events) d
-    ON c.match_id = d.match_id
-  GROUP BY 1, 2, 3, 4""")
+@register("join_carry_team", f"""SELECT {_TM}, CAST(sum(c.n) AS BIGINT) AS joined_rows,
+  CAST(sum(c.hits) AS BIGINT) AS progressive_rows
+  FROM silver_events JOIN player_carries c USING (competition_id, season_id, match_id, player_id)
+  WHERE type = 'Carry' GROUP BY ALL""")
 def _join_carry_team(L: Layers) -> DataFrame:
     return G.carry_join_counts(L.events, L.carries, L.t)
 
@@ -434,7 +427,7 @@ def _shot_order(L: Layers) -> DataFrame:
   CAST(row_number() OVER (PARTITION BY season_id ORDER BY team_name) AS INTEGER) AS position
   FROM (SELECT DISTINCT season_id, team_name FROM gold WHERE team_name IS NOT NULL) t""")
 def _sorted_options(L: Layers) -> DataFrame:
-    return V.sorted_team_options(L.gold)
+    return V.team_options(L.gold)
 
 
 @register("default_season", "SELECT MAX(season_id) AS default_season_id FROM gold")
@@ -457,14 +450,16 @@ def _union_lineups(L: Layers) -> DataFrame:
     return V.union_lineups(lineups, L.bronze_matches)
 
 
-@register("union_files", """SELECT event_order, season_id,
-  CASE WHEN season_id = 27 THEN carry_end_location END AS carry_end_location FROM bronze_events""")
+@register("union_files", """SELECT event_order, competition_id, season_id, type, minute, shot_outcome
+  FROM bronze_events""")
 def _union_files(L: Layers) -> DataFrame:
-    # two landings: the older one without carry_end_location; unioned by name
-    ev = L.bronze_events.select("event_order", "season_id", "carry_end_location")
-    old = ev.where(F.col("season_id") != 27).drop("carry_end_location")
-    new = ev.where(F.col("season_id") == 27)
-    return new.unionByName(old, allowMissingColumns=True)
+    # files of two kinds of landing, with other columns: shots carry an outcome, the rest has no such column
+    root = scratch_lake(L.spark)
+    ev = L.bronze_events.select("event_order", "competition_id", "season_id", "type", "minute", "shot_outcome")
+    ev.where(F.col("shot_outcome").isNotNull()).write.parquet(f"{root}/files/shots")
+    ev.where(F.col("shot_outcome").isNull()).drop("shot_outcome").write.parquet(f"{root}/files/others")
+    shots, others = (L.spark.read.parquet(f"{root}/files/{n}") for n in ("shots", "others"))
+    return shots.unionByName(others, allowMissingColumns=True)
 
 
 @register("momentum_anchors", f"""SELECT match_id, side, team_name, seq, minute, {r6('cum_xg', 'cum_xg')}
@@ -489,7 +484,7 @@ def _filter_team(L: Layers) -> DataFrame:
 
 @register("filter_match", f"""SELECT match_id, team_name, player_name, minute, second, {r6('xg', 'xg')},
   event_order FROM silver_shots
-  WHERE match_id = (SELECT match_id FROM analyzable ORDER BY match_date, match_id LIMIT 1)""")
+  WHERE match_id = (SELECT match_id FROM analyzable ORDER BY match_date NULLS LAST, match_id LIMIT 1)""")
 def _filter_match(L: Layers) -> DataFrame:
     return V.default_match_shots(L.bronze_matches, L.shots).select(
         "match_id", "team_name", "player_name", "minute", "second", "xg", "event_order")

@@ -1,9 +1,11 @@
 """Layers of one input directory, as the queries see them.
 
-The feed derived from the driver tables is landed once per (input, thresholds,
-code version) into the lake under the checkpoint dir and run through the
-pipeline (Bronze -> Silver -> Gold, each written, each a lineage cut); later
-sessions reuse it once its completion marker is written. Queries then
+The feed derived from the driver tables is landed once per session and input
+into a lake of the session's own under the checkpoint dir and run through the
+pipeline (Bronze -> Silver -> Gold, each written, each a lineage cut);
+``prepare`` does this explicitly. The input is named by its file listing (path,
+length, modification time), on any file system, so changed input is landed
+anew; the lake is removed when the driver ends. Queries then
 read the stored layer below the one they compute, as in production:
 
 * Silver keys compute Silver from stored Bronze (filters reach the scan);
@@ -15,8 +17,6 @@ The source/sink keys land the adapter output themselves (``feed``).
 
 from __future__ import annotations
 
-import hashlib
-import os
 import threading
 from functools import cached_property
 
@@ -26,78 +26,39 @@ from pitchlake import schemas
 from pitchlake.config import DEFAULT_THRESHOLDS, Thresholds
 from pitchlake.operators import gold as G
 from pitchlake.operators import silver as S
-from pitchlake.session import lake_root
+from pitchlake.session import scratch_lake
 from pitchlake.sources import bronze as B
 from pitchlake.sources.adapter import Feed
 
 _LOCK = threading.Lock()
-_LANDED: dict[str, str] = {}
-_MARKER = "_PITCHLAKE_LANDED"
-_CODE_FILES = ("sources/adapter.py", "sources/bronze.py", "functions/parse.py",
-               "operators/silver.py", "operators/gold.py", "plans/pipeline.py", "schemas.py",
-               "config.py")
+_LANDED: dict[tuple, str] = {}
 
 
-def _input_key(sf_dir: str) -> str:
-    p = os.path.join(os.path.abspath(sf_dir), "events.parquet")
-    try:
-        st = os.stat(p)
-        tag = f"{p}:{st.st_size}:{int(st.st_mtime)}"
-    except OSError:  # remote path: the path names the input
-        tag = p
-    return tag
+def input_listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """(path, length, modification time) of every file of the input, from its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, out = fs.listFiles(p, True), []
+    while files.hasNext():
+        st = files.next()
+        out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(out))
 
 
-def _code_version() -> str:
-    """Hash of the code that produces the lake: a change lands a fresh copy."""
-    base = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    h = hashlib.sha1()
-    for rel in _CODE_FILES:
-        with open(os.path.join(base, rel), "rb") as f:
-            h.update(f.read())
-    return h.hexdigest()[:12]
+def prepare(spark: SparkSession, sf_dir: str, t: Thresholds = DEFAULT_THRESHOLDS) -> str:
+    """Lake root with Bronze/Silver/Gold of ``sf_dir``, landed on the session's first use.
 
-
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hp.getFileSystem(conf).exists(hp))
-
-
-def _fs_touch(spark: SparkSession, path: str) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    hp.getFileSystem(conf).create(hp, True).close()
-
-
-def landed_lake(spark: SparkSession, sf_dir: str, t: Thresholds = DEFAULT_THRESHOLDS) -> str:
-    """Lake root holding Bronze/Silver/Gold of ``sf_dir``; built on first use.
-
-    The folder (under the checkpoint dir) is named by the input, the
-    thresholds and the code version, and is reused by later sessions once its
-    completion marker exists; a half-written landing is never read.
-    """
+    A lake belongs to one session, so no other driver can write or read it half-written."""
     from pitchlake.plans import pipeline as P
-    key = hashlib.sha1(f"{_input_key(sf_dir)}|{t!r}|{_code_version()}".encode()).hexdigest()[:20]
+    key = (spark.sparkContext.applicationId, input_listing(spark, sf_dir), repr(t))
     with _LOCK:
-        root = _LANDED.get(key)
-        if root is None:
-            root = lake_root(spark, f"feed-{key}")
-            try:
-                done = _fs_exists(spark, f"{root}/{_MARKER}")
-            except Exception:  # noqa: BLE001 - no JVM access: land again
-                done = False
-            if not done:
-                feed = Feed(spark, sf_dir)
-                P.ingest(feed, root)
-                P.transform(spark, root)
-                P.features(spark, root, t=t)
-                try:
-                    _fs_touch(spark, f"{root}/{_MARKER}")
-                except Exception:  # noqa: BLE001
-                    pass
+        if key not in _LANDED:
+            root = scratch_lake(spark)
+            P.ingest(Feed(spark, sf_dir), root)
+            P.transform(spark, root)
+            P.features(spark, root, t=t)
             _LANDED[key] = root
-    return root
+        return _LANDED[key]
 
 
 class Layers:
@@ -112,7 +73,7 @@ class Layers:
     # ------------------------------------------------------------ stored layers
     @cached_property
     def root(self) -> str:
-        return landed_lake(self.spark, self.sf_dir, self.t)
+        return prepare(self.spark, self.sf_dir, self.t)
 
     @cached_property
     def bronze_events(self) -> DataFrame:

@@ -6,8 +6,8 @@ one set of Spark jobs, not one season or one match at a time. Each layer is
 read back from its written files by the next one, so a lost executor only
 recomputes from the last written layer (lineage is cut at every layer).
 
-Returns a per-season status table (rows per layer, ok/empty); a season
-without data does not stop the others.
+Returns a per-season status table (rows per layer, ok/empty/failed); a season
+without data, or one that fails, does not stop the others.
 """
 
 from __future__ import annotations
@@ -53,20 +53,41 @@ def silver_path(root: str, table: str) -> str:
 def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = None,
            limit: int | None = None, ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT,
            source: str = DEFAULT_SOURCE, workers: int = 4) -> None:
-    """Feed -> Bronze for the requested seasons (all seasons when None)."""
+    """Feed -> Bronze for the requested seasons (all seasons when None).
+
+    A feed whose tables all follow from its events (``from_events``) is read once: the events are
+    landed first and the other tables derived from stored Bronze. Lines of a landed feed that did
+    not parse are kept under ``bronze/_corrupt/<table>``."""
     cond = B.season_filter(seasons)
-    matches = feed.matches if cond is None else feed.matches.where(cond)
-    matches = B.limit_matches(matches, limit)
-    events = feed.events if cond is None else feed.events.where(cond)
-    lineups = feed.lineups if cond is None else feed.lineups.where(cond)
+
+    def wanted(df: DataFrame) -> DataFrame:
+        return df if cond is None else df.where(cond)
+
+    events = wanted(feed.events)
     if limit:
-        events = B.events_of_matches(events, matches)
-        lineups = B.events_of_matches(lineups, matches)
+        events = B.events_of_matches(events, B.limit_matches(wanted(feed.matches), limit))
+    if getattr(feed, "from_events", None) is None:
+        matches = B.limit_matches(wanted(feed.matches), limit)
+        lineups, competitions = wanted(feed.lineups), feed.competitions
+        if limit:
+            lineups = B.events_of_matches(lineups, matches)
+        first = [lambda: B.land_events(events, root, ingested_at, source)]
+    else:
+        spark = feed.spark
+        B.land_events(events, root, ingested_at, source)
+        stored = feed.from_events(wanted(B.scan_events(spark, root)))
+        matches = B.limit_matches(stored.matches, limit)
+        lineups = B.events_of_matches(stored.lineups, matches) if limit else stored.lineups
+        competitions = stored.competitions if cond is None else feed.competitions
+        first = []
+    corrupt = getattr(feed, "corrupt", {})
     run_concurrently([
-        lambda: B.land_events(events, root, ingested_at, source),
+        *first,
         lambda: B.land_matches(matches, root, ingested_at, source),
         lambda: B.land_lineups(lineups, root, ingested_at, source),
-        lambda: B.land_competitions(feed.competitions, root, ingested_at, source),
+        lambda: B.land_competitions(competitions, root, ingested_at, source),
+        *[lambda name=name, df=df: df.write.mode("overwrite").parquet(
+            join_path(B.paths(root)["corrupt"], name)) for name, df in corrupt.items()],
     ], workers)
 
 
@@ -75,7 +96,7 @@ def _silver_tasks(spark: SparkSession, root: str,
     """One write job per Silver table whose Bronze source has been landed."""
     def write(table: str, df: DataFrame):
         return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
-                                           cluster_by=("match_id",), rebalance=False)
+                                           cluster_by=("match_id",))
 
     tasks = {}
     if B.table_exists(spark, B.paths(root)["events"]):
@@ -91,9 +112,9 @@ def transform(spark: SparkSession, root: str,
               seasons: Sequence[tuple[int, int]] | None = None, workers: int = 4) -> None:
     """Bronze -> Silver; a season is rebuilt from all of its Bronze matches.
 
-    Bronze files are per (season, match) folder, so every input split belongs
-    to one season: the Silver write needs no shuffle (no rebalance), each task
-    writes its season folder and sorts its rows by match locally.
+    An input split may hold files of several seasons, so the rows are rebalanced
+    on the season before the write: few files per season, large seasons in
+    several tasks, each sorted by match.
     """
     run_concurrently(list(_silver_tasks(spark, root, seasons).values()), workers)
 
@@ -120,45 +141,36 @@ def _counts(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy(*B.SEASON_PARTS).agg(F.count(F.lit(1)).alias(name))
 
 
-def status(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]]) -> DataFrame:
-    """Rows per layer for each requested season, and ok/empty."""
+def status(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]],
+           errors: dict[tuple[int, int], str] | None = None) -> DataFrame:
+    """Rows per layer for each requested season; ``ok``, ``empty`` or ``failed`` with its error."""
+    errors = errors or {}
     req = spark.createDataFrame(
-        [(int(c), int(s)) for c, s in seasons],
+        [(int(c), int(s), errors.get((c, s))) for c, s in seasons],
         T.StructType([T.StructField("competition_id", T.LongType()),
-                      T.StructField("season_id", T.LongType())]))
+                      T.StructField("season_id", T.LongType()),
+                      T.StructField("error", T.StringType())]))
+    sound = [s for s in seasons if s not in errors]
     out = req
-    for name, df in (("bronze_events", _safe_scan(lambda: B.scan_events(spark, root, seasons))),
-                     ("silver_events", _safe_scan(lambda: read_silver(spark, root, "events",
-                                                                      seasons))),
-                     ("gold_rows", _safe_scan(lambda: read_gold(spark, root, seasons)))):
-        if df is None:
+    for name, path, read in (
+            ("bronze_events", B.paths(root)["events"], lambda: B.scan_events(spark, root, sound)),
+            ("silver_events", silver_path(root, "events"), lambda: read_silver(spark, root, "events", sound)),
+            ("gold_rows", B.paths(root)["gold"], lambda: read_gold(spark, root, sound))):
+        if B.table_exists(spark, path):
+            out = out.join(_counts(read(), name), list(B.SEASON_PARTS), "left")
+        else:  # the layer has not been written: no rows
             out = out.withColumn(name, F.lit(0).cast("bigint"))
-        else:
-            out = out.join(_counts(df, name), list(B.SEASON_PARTS), "left")
     out = out.fillna(0, subset=["bronze_events", "silver_events", "gold_rows"])
-    return out.withColumn("status", F.when(F.col("gold_rows") > 0, "ok").otherwise("empty"))
-
-
-def _safe_scan(fn):
-    """An unreadable / missing layer counts as no data (the readiness rule)."""
-    try:
-        df = fn()
-        df.schema  # noqa: B018 - resolves the path now
-        return df
-    except Exception:  # noqa: BLE001
-        return None
+    return out.select(
+        *B.SEASON_PARTS, "bronze_events", "silver_events", "gold_rows",
+        F.when(F.col("error").isNotNull(), "failed").when(F.col("gold_rows") > 0, "ok")
+        .otherwise("empty").alias("status"), "error")
 
 
-def run_pipeline(spark: SparkSession, feed: Feed, root: str,
-                 seasons: Sequence[tuple[int, int]], limit: int | None = None,
-                 t: Thresholds = DEFAULT_THRESHOLDS,
-                 ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT) -> DataFrame:
-    """Ingest -> transform -> features for all ``seasons`` in one run.
-
-    Gold reads only Silver events and carries, so it starts as soon as those two
-    tables are written, while the other Silver tables are still being written.
-    """
-    ingest(feed, root, seasons, limit, ingested_at)
+def _build(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] | None,
+           t: Thresholds) -> None:
+    """Silver and Gold of the seasons. Gold reads only Silver events and carries, so it starts as
+    soon as those two tables are written, while the other Silver tables are still being written."""
     tasks = _silver_tasks(spark, root, seasons)
     with ThreadPoolExecutor(max_workers=len(tasks) + 1) as pool:
         done = {name: pool.submit(task) for name, task in tasks.items()}
@@ -172,4 +184,40 @@ def run_pipeline(spark: SparkSession, feed: Feed, root: str,
         futures = [*done.values(), pool.submit(gold)]
         for f in futures:
             f.result()
-    return status(spark, root, seasons)
+
+
+def _isolated(step: Callable[[Sequence[tuple[int, int]]], None],
+              seasons: Sequence[tuple[int, int]], errors: dict[tuple[int, int], str]) -> None:
+    """Runs a step for all sound seasons at once; if that fails, season by season, so that only the
+    seasons that fail by themselves are marked."""
+    sound = [s for s in seasons if s not in errors]
+    try:
+        step(sound)
+    except Exception as first:  # noqa: BLE001 - whatever failed, the other seasons go on
+        for season in sound:
+            try:
+                if len(sound) == 1:
+                    raise first
+                step([season])
+            except Exception as e:  # noqa: BLE001
+                lines = str(e).splitlines() or [type(e).__name__]
+                errors[season] = next((x for x in lines if "Exception: " in x), lines[0]).strip()[:500]
+
+
+def seasons_of(feed: Feed) -> list[tuple[int, int]]:
+    """The seasons of a feed's catalogue (a row per season: a bounded list)."""
+    rows = feed.competitions.select(*B.SEASON_PARTS).distinct().orderBy(*B.SEASON_PARTS).collect()
+    return [(int(r[0]), int(r[1])) for r in rows]
+
+
+def run_pipeline(spark: SparkSession, feed: Feed, root: str,
+                 seasons: Sequence[tuple[int, int]] | None = None, limit: int | None = None,
+                 t: Thresholds = DEFAULT_THRESHOLDS,
+                 ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT) -> DataFrame:
+    """Ingest -> transform -> features for all ``seasons`` in one run (None: every season
+    of the catalogue). A season that fails is reported with its error and does not stop the others."""
+    seasons = [(int(c), int(s)) for c, s in (seasons if seasons is not None else seasons_of(feed))]
+    errors: dict[tuple[int, int], str] = {}
+    _isolated(lambda some: ingest(feed, root, some, limit, ingested_at), seasons, errors)
+    _isolated(lambda some: _build(spark, root, some, t), seasons, errors)
+    return status(spark, root, seasons, errors)

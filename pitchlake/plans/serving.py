@@ -25,9 +25,13 @@ SEASON = ("competition_id", "season_id")
 # --------------------------------------------------------------------- catalogue
 
 def competition_options(competitions: DataFrame) -> DataFrame:
-    """C14: one selectable label per (competition, season)."""
+    """C14: one selectable label per (competition, season), with its place in sorted order.
+
+    The catalogue has one row per season, so the ordering window is small."""
+    w = Window.partitionBy(F.lit(0)).orderBy("competition_name", "season_name", *SEASON)
     return competitions.select(*SEASON, "competition_name", "season_name",
-                               competition_label().alias("label"))
+                               competition_label().alias("label"),
+                               F.row_number().over(w).alias("position"))
 
 
 def gold_row_counts(gold: DataFrame) -> DataFrame:
@@ -163,16 +167,22 @@ def radar_long(gold: DataFrame, by_competition: bool = False) -> DataFrame:
 
 
 def season_options(gold: DataFrame) -> DataFrame:
-    """Sorted distinct seasons, the latest flagged as the default."""
-    seasons = gold.select("season_id").distinct()
+    """Distinct seasons with their place in sorted order, the latest flagged as the default.
+
+    Distinct first: the ordering window sees one row per season."""
+    w = Window.partitionBy(F.lit(0)).orderBy("season_id")
     latest = gold.agg(F.max("season_id")).scalar()
-    return seasons.select("season_id", (F.col("season_id") == latest).alias("is_default"))
+    return gold.select("season_id").distinct().select(
+        "season_id", (F.col("season_id") == latest).alias("is_default"),
+        F.row_number().over(w).alias("position"))
 
 
 def team_options(gold: DataFrame) -> DataFrame:
-    """Sorted distinct teams of every season."""
+    """Distinct teams of every season, with their place in sorted order."""
+    w = Window.partitionBy("season_id").orderBy("team_name")
     return (gold.where(F.col("team_name").isNotNull())
-            .select("season_id", "team_name").distinct())
+            .select("season_id", "team_name").distinct()
+            .withColumn("position", F.row_number().over(w)))
 
 
 # --------------------------------------------------------------------- match page
@@ -305,12 +315,6 @@ def default_season(gold: DataFrame) -> DataFrame:
     return gold.agg(F.max("season_id").alias("default_season_id"))
 
 
-def sorted_team_options(gold: DataFrame) -> DataFrame:
-    """Teams of each season with their position in sorted order."""
-    w = Window.partitionBy("season_id").orderBy("team_name")
-    return team_options(gold).withColumn("position", F.row_number().over(w))
-
-
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per (table, competition, season)."""
     out = None
@@ -334,5 +338,6 @@ def default_match_shots(matches: DataFrame, shots: DataFrame) -> DataFrame:
     """F11 (match page default): shots of the first analyzable match in
     (date, id) order."""
     first = (analyzable_matches(matches, shots)
-             .agg(F.min_by("match_id", F.struct("match_date", "match_id"))).scalar())
+             .agg(F.min_by("match_id", F.struct(F.col("match_date").isNull(), "match_date", "match_id")))
+             .scalar())
     return shots.where(F.col("match_id") == first)

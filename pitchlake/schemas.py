@@ -34,20 +34,23 @@ BRONZE_LINEUPS = _st(
     ("competition_id", L), ("season_id", L),
 )
 
+#: Raw text of values that a typed Bronze column could not hold, as a JSON object by column.
+UNPARSED = "_unparsed"
+
 BRONZE_COMPETITIONS = _st(
     ("competition_id", L), ("season_id", L), ("competition_name", S), ("season_name", S),
     ("_ingested_at", T.TimestampType()), ("_source", S),
 )
 
 SILVER_EVENTS = _st(
-    ("match_id", I), ("team_id", I), ("team_name", S), ("player_id", I), ("player_name", S),
+    ("match_id", L), ("team_id", I), ("team_name", S), ("player_id", I), ("player_name", S),
     ("type", S), ("period", I), ("minute", I), ("second", I), ("location_x", F),
     ("location_y", F), ("possession_team_name", S), ("play_pattern", S),
     ("event_order", L), ("competition_id", L), ("season_id", L),
 )
 
 GOLD_FINGERPRINTS = _st(
-    ("match_id", I), ("team_name", S), ("ppda", F), ("press_height", D),
+    ("match_id", L), ("team_name", S), ("ppda", F), ("press_height", D),
     ("high_turnover_rate", F), ("defensive_line_height", D), ("progressive_carry_rate", F),
     ("press_success_rate", D), ("compactness", D), ("counter_attack_speed", D),
     ("competition_id", L), ("season_id", L),
@@ -56,25 +59,25 @@ GOLD_FINGERPRINTS = _st(
 SEASON_KEYS = ("competition_id", "season_id")
 
 SILVER_SHOTS = _st(
-    ("match_id", I), ("team_name", S), ("player_id", I), ("player_name", S), ("minute", I),
+    ("match_id", L), ("team_name", S), ("player_id", I), ("player_name", S), ("minute", I),
     ("second", I), ("xg", F), ("location_x", F), ("location_y", F), ("body_part", S),
     ("outcome", S), ("under_pressure", B), ("event_order", L),
     ("competition_id", L), ("season_id", L),
 )
 
 SILVER_PRESSURES = _st(
-    ("match_id", I), ("team_id", I), ("team_name", S), ("location_x", F), ("location_y", F),
+    ("match_id", L), ("team_id", I), ("team_name", S), ("location_x", F), ("location_y", F),
     ("minute", I), ("second", I), ("event_order", L), ("competition_id", L), ("season_id", L),
 )
 
 SILVER_CARRIES = _st(
-    ("match_id", I), ("player_id", I), ("player_name", S), ("start_x", F), ("start_y", F),
+    ("match_id", L), ("player_id", I), ("player_name", S), ("start_x", F), ("start_y", F),
     ("end_x", F), ("end_y", F), ("delta_x", F), ("delta_y", F), ("event_order", L),
     ("competition_id", L), ("season_id", L),
 )
 
 SILVER_LINEUPS = _st(
-    ("match_id", I), ("team_name", S), ("player_id", I), ("player_name", S),
+    ("match_id", L), ("team_name", S), ("player_id", I), ("player_name", S),
     ("jersey_number", I), ("competition_id", L), ("season_id", L),
 )
 

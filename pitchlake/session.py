@@ -8,6 +8,8 @@ machine-local folder is never used on a cluster.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -52,9 +54,9 @@ def cluster_conf(input_bytes: int, total_cores: int,
     (at most the input size) stays near ``target_partition_bytes`` and fits in
     executor memory, and at least 2 per core; AQE then coalesces small ones
     and splits skewed ones, so the number is an upper bound, not a guess.
-    Capped so map-output bookkeeping (maps x reducers) stays manageable.
+    There is no upper limit: beyond it a partition would outgrow its target size.
     """
-    parts = min(200_000, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -82,7 +84,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if existing:
         return existing
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not (master == "local" or master.startswith("local[")):  # not local-cluster
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster run needs a shared folder there")
     local = tempfile.mkdtemp(prefix="pitchlake-ckpt-")
@@ -96,6 +98,45 @@ def lake_root(spark: SparkSession, run_id: str | None = None) -> str:
     return f"{base}/pitchlake-lake/{run_id or uuid.uuid4().hex}"
 
 
+_SCRATCH: list[tuple[object, object]] = []
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> str:
+    """Registers a scratch folder for removal when the driver ends."""
+    with contextlib.suppress(Exception):  # no JVM access: the folder stays
+        conf = spark._jsc.hadoopConfiguration()
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not _SCRATCH:
+            atexit.register(_delete_scratch)
+        _SCRATCH.append((hadoop_path, conf))
+    return path
+
+
+def _delete_scratch() -> None:
+    for hadoop_path, conf in _SCRATCH:
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+    _SCRATCH.clear()
+
+
+def scratch_lake(spark: SparkSession) -> str:
+    """A fresh lake folder that is removed when the driver ends."""
+    return delete_at_exit(spark, lake_root(spark))
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from its file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hadoop_path).getLength())
+
+
+def size_for(spark: SparkSession, n_bytes: int) -> None:
+    """Applies the runtime settings of ``cluster_conf`` to a session."""
+    for k, v in cluster_conf(n_bytes, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(k, v)
+
+
 def join_path(*parts: str) -> str:
     return "/".join(p.strip("/") if i else p.rstrip("/") for i, p in enumerate(parts))
 

@@ -137,17 +137,8 @@ def catalogue_only_sql() -> str:
 
 
 def read_driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The generic events table. A file with fewer splits than the cluster has
-    cores (one row group) is spread round-robin first, so the row-wise mapping
-    runs on every core; a large input already has enough splits and is left as
-    it is (no extra shuffle)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no SparkContext (remote session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """The generic events table, split as the scan splits it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,13 +162,18 @@ class Feed:
     """The four landed feed tables derived from one driver ``events`` table
     (plans are built on first use)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, events: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._events = events
+
+    def from_events(self, events: DataFrame) -> Feed:
+        """The same feed with its other tables derived from the given (stored) events."""
+        return Feed(self.spark, self.sf_dir, events)
 
     @cached_property
     def events(self) -> DataFrame:
-        return bronze_events(self.spark, self.sf_dir)
+        return self._events if self._events is not None else bronze_events(self.spark, self.sf_dir)
 
     @cached_property
     def matches(self) -> DataFrame:

@@ -22,13 +22,17 @@ from __future__ import annotations
 import datetime as dt
 import warnings
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake import schemas
 from pitchlake.config import DEFAULT_SOURCE
+from pitchlake.functions.parse import long_of
 from pitchlake.session import join_path
 
 EVENTS_PARTS = ("competition_id", "season_id", "match_id")
@@ -44,6 +48,7 @@ def paths(root: str) -> dict[str, str]:
         "matches": join_path(root, "bronze/matches"),
         "lineups": join_path(root, "bronze/lineups"),
         "events": join_path(root, "bronze/events"),
+        "corrupt": join_path(root, "bronze/_corrupt"),
         "silver": join_path(root, "silver"),
         "gold": join_path(root, "gold/team_fingerprints"),
     }
@@ -73,7 +78,7 @@ def stringify_complex(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast to an explicit Bronze schema (missing columns become NULL), so every
+    """Cast to an explicit schema (missing columns become NULL), so every
     landed file of a table has the same physical types (no schema drift)."""
     have = set(df.columns)
     return df.select(*[
@@ -81,6 +86,33 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         .alias(f.name) for f in schema.fields])
 
 
+def landed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """A feed table as Bronze keeps it: the known columns with their types, every other column as
+    text, and the raw text of values that did not fit their type in ``_unparsed`` (else NULL)."""
+    known = {f.name: f.dataType for f in schema.fields}
+    lost = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(known[c]).isNull(), F.col(c).cast("string")).alias(c)
+            for c in df.columns if c in known and df.schema[c].dataType != known[c]]
+    extra = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in known]
+    have = set(df.columns)
+    out = [(F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
+           .alias(f.name) for f in schema.fields]
+    unparsed = F.lit(None).cast("string")
+    if lost:
+        unparsed = F.nullif(F.to_json(F.struct(*lost)), F.lit("{}"))
+    return df.select(*out, *extra, unparsed.alias(schemas.UNPARSED))
+
+
+def extra_columns(spark: SparkSession, path: str, schema: T.StructType) -> list[str]:
+    """Names of the columns that landed files have beyond the schema (read from all footers, in a job)."""
+    found = spark.read.option("mergeSchema", "true").parquet(path).columns
+    return [c for c in found if c not in schema.fieldNames()]
+
+
+def with_columns(schema: T.StructType, names: Sequence[str]) -> T.StructType:
+    """The schema with further columns of Bronze, which are text."""
+    return T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in names]])
+
+
 # ----------------------------------------------------------------- S7, S8, S13
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
@@ -91,13 +123,13 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     S8 (empty input writes nothing, old data stays): with partition columns an
     empty input replaces no partition by construction of the dynamic
     overwrite, so no extra job is needed; an unpartitioned table is checked
-    with ``isEmpty`` first, since overwriting it with nothing would wipe it.
+    by taking one row first, since overwriting it with nothing would wipe it.
     The row count is observed during the write itself (no second job).
     ``rebalance=False`` skips the pre-write shuffle when the input is already
     clustered by the partition columns (e.g. read from a table partitioned the
     same way): each task then writes its own folder(s) and only sorts locally.
     """
-    if not partition_cols and guard_empty and df.isEmpty():
+    if not partition_cols and guard_empty and not df.take(1):
         warnings.warn(f"empty input, nothing written to {path}", stacklevel=2)
         return 0
     obs = Observation(f"rows_{abs(hash(path)) % 10**9}")
@@ -110,7 +142,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
-    rows = int(obs.get.get("rows", 0))
+    try:
+        rows = int(obs.get.get("rows", 0))
+    except Py4JJavaError:  # the optimizer saw that the input is empty, and nothing was observed
+        rows = 0
     if rows == 0 and guard_empty:
         warnings.warn(f"empty input, no partition of {path} replaced", stacklevel=2)
     return rows
@@ -119,23 +154,23 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
 def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
                 source: str = DEFAULT_SOURCE) -> int:
     """Match events -> bronze/events, one folder per (competition, season, match)."""
-    df = conform(add_audit_columns(stringify_complex(events), ingested_at, source),
-                 schemas.BRONZE_EVENTS)
-    return write_partitioned(df, paths(root)["events"], EVENTS_PARTS)
+    df = landed(add_audit_columns(stringify_complex(events), ingested_at, source),
+                schemas.BRONZE_EVENTS)
+    return write_partitioned(df, paths(root)["events"], EVENTS_PARTS, cluster_by=("type",))
 
 
 def land_competitions(competitions: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
                       source: str = DEFAULT_SOURCE) -> int:
     """The competition catalogue, unpartitioned (small, whole overwrite)."""
-    df = conform(add_audit_columns(competitions, ingested_at, source),
-                 schemas.BRONZE_COMPETITIONS)
+    df = landed(add_audit_columns(stringify_complex(competitions), ingested_at, source),
+                schemas.BRONZE_COMPETITIONS)
     return write_partitioned(df.coalesce(1), paths(root)["competitions"])
 
 
 def land_matches(matches: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
                  source: str = DEFAULT_SOURCE) -> int:
     """S3: matches of every season, partitioned by (competition, season)."""
-    df = conform(add_audit_columns(matches, ingested_at, source), schemas.BRONZE_MATCHES)
+    df = landed(add_audit_columns(stringify_complex(matches), ingested_at, source), schemas.BRONZE_MATCHES)
     return write_partitioned(df, paths(root)["matches"], SEASON_PARTS, cluster_by=("match_id",))
 
 
@@ -143,7 +178,7 @@ def land_lineups(lineups: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
                  source: str = DEFAULT_SOURCE) -> int:
     """Per-team line-ups as one table with the team column kept, partitioned
     by (competition, season) so a season's line-ups are read alone."""
-    df = conform(add_audit_columns(lineups, ingested_at, source), schemas.BRONZE_LINEUPS)
+    df = landed(add_audit_columns(stringify_complex(lineups), ingested_at, source), schemas.BRONZE_LINEUPS)
     return write_partitioned(df, paths(root)["lineups"], SEASON_PARTS, cluster_by=("match_id",))
 
 
@@ -248,10 +283,7 @@ def normalize_match_id(df: DataFrame) -> DataFrame:
     """match_id as LONG whatever it was stored as (text '3.0', double, int)."""
     if "match_id" not in df.columns:
         return df
-    mid = F.col("match_id")
-    if isinstance(df.schema["match_id"].dataType, T.StringType):
-        mid = F.trim(mid).try_cast("double")
-    return df.withColumn("match_id", mid.try_cast("bigint"))
+    return df.withColumn("match_id", long_of(df, "match_id"))
 
 
 def point_read(spark: SparkSession, path: str) -> DataFrame:
@@ -267,10 +299,8 @@ def scan_drifted(spark: SparkSession, file_paths: Sequence[str],
     group is read and cast to the target schema, and the groups are unioned by
     name (missing columns NULL). New landings go through ``conform`` instead."""
     groups: dict[str, list[str]] = {}
-    for p in file_paths:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    with ThreadPoolExecutor(max_workers=16) as pool:  # one footer per file, read side by side
+        for p, footer in zip(file_paths, pool.map(lambda p: spark.read.parquet(p).schema.json(), file_paths)):
+            groups.setdefault(footer, []).append(p)
     parts = [conform(spark.read.parquet(*ps), schema) for ps in groups.values()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -4,12 +4,14 @@ A feed delivers events with nested values (``location`` as a list of numbers,
 objects for kinds); the landing schema says so, and ``bronze.land_events``
 stringifies and conforms them to the Bronze types. No schema inference: a
 field missing from some files reads as NULL, and every file of a run is read
-in one scan (no per-match loop).
+in one scan (no per-match loop). A line that does not parse is kept whole, in
+the feed's ``corrupt`` tables, instead of passing as a row of NULLs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 I, L, D, S = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()
@@ -30,13 +32,25 @@ FEED_MATCHES = T.StructType([T.StructField(n, t, True) for n, t in [
 ]])
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType,
-                 fmt: str = "json") -> DataFrame:
-    """All files under ``path`` (json lines or parquet) with the given schema."""
-    reader = spark.read.schema(schema)
-    if fmt == "json":
-        return reader.option("mode", "PERMISSIVE").json(path)
-    return reader.format(fmt).load(path)
+                 fmt: str = "json", corrupt: bool = False) -> DataFrame:
+    """All files under ``path`` (json lines or parquet) with the given schema.
+
+    Of JSON lines, those that parse; with ``corrupt``, the others, as text and with their file."""
+    if fmt != "json":
+        return spark.read.schema(schema).format(fmt).load(path)
+    lines = (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, S)]))
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    bad = F.col(CORRUPT).isNotNull()
+    if corrupt:
+        # a raw-file query must name a data column beside the corrupt one
+        return lines.where(bad).select(F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("file"),
+                                       F.col(schema.fieldNames()[0]))
+    return lines.where(~bad).drop(CORRUPT)
+
 
 FEED_LINEUPS = T.StructType([T.StructField(n, t, True) for n, t in [
     ("match_id", L), ("competition_id", L), ("season_id", L), ("team_name", S),
@@ -58,5 +72,8 @@ class LandedFeed:
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "json"):
         root = root.rstrip("/")
+        self.corrupt: dict[str, DataFrame] = {}
         for name, schema in FEED_SCHEMAS.items():
             setattr(self, name, read_landing(spark, f"{root}/{name}", schema, fmt))
+            if fmt == "json":
+                self.corrupt[name] = read_landing(spark, f"{root}/{name}", schema, fmt, corrupt=True)

@@ -3,19 +3,23 @@
 The Silver projections are stateless and row-wise, so the same functions run
 on a streaming DataFrame: newly landed Bronze event files (a new match folder)
 are picked up by the file source, and each micro-batch is written to the
-Silver tables (appended; a season is rewritten only when a batch re-delivers a
-match it already holds). Gold needs whole matches, so after a batch the Gold
+Silver tables (appended; a season is rewritten only when a batch re-delivers
+events it already holds). An event is known by its match and its place in the
+feed, so a match may arrive in any number of batches. Gold needs whole
+matches, so after a batch the Gold
 partitions of the seasons the batch touched are recomputed from stored Silver
 (the touched seasons are joined as a small broadcast table; no driver collect).
 
 Progress lives in a checkpoint folder under the lake root, so a restarted or
 failed query resumes with the files it has not processed yet; a replayed batch
-finds its matches already stored and takes the rewrite path, so replays never
+finds its events already stored and takes the rewrite path, so replays never
 duplicate rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,8 +33,14 @@ from pitchlake.session import join_path
 from pitchlake.sources import bronze as B
 
 
+#: What identifies an event.
+EVENT = (*B.SEASON_PARTS, "match_id", "event_order")
+#: Files of a micro-batch, unless the caller says otherwise.
+MAX_FILES = 1000
+
+
 def bronze_event_stream(spark: SparkSession, root: str,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
     reader = (spark.readStream.schema(schemas.BRONZE_EVENTS)
               .option("basePath", B.paths(root)["events"]))
     if max_files_per_trigger:
@@ -53,34 +63,34 @@ def process_batch(spark: SparkSession, root: str, batch: DataFrame,
                   t: Thresholds = DEFAULT_THRESHOLDS) -> None:
     """One micro-batch: add its Silver rows, then rebuild Gold of its seasons.
 
-    New matches only (the usual case): the Silver rows are appended, nothing
-    stored is rewritten. If the batch re-delivers a match already in Silver (a
-    re-landed match, or this batch replayed after a failure), the touched
-    seasons are rewritten as stored rows minus those matches plus the batch,
-    so nothing is counted twice.
+    New events only (the usual case): the Silver rows are appended, nothing
+    stored is rewritten. If the batch re-delivers events already in Silver (a
+    corrected event, or this batch replayed after a failure), the touched
+    seasons are rewritten as stored rows minus those events plus the batch, so
+    nothing is counted twice and nothing else of a match is lost.
     """
     batch = batch.persist()
     try:
         touched = batch.select(*B.SEASON_PARTS).distinct()
-        batch_ids = batch.select(F.col("match_id").cast("int").alias("match_id")).distinct()
-        events_path = P.silver_path(root, "events")
-        stored = B.table_exists(spark, events_path)
-        redelivered = stored and not (
-            _seasons_of(spark, root, touched, "events").select("match_id")
-            .join(batch_ids, "match_id", "left_semi").isEmpty())
+        keys = batch.select(*[F.col(c).alias(f"b_{c}") for c in EVENT]).distinct()
+
+        def same(df: DataFrame):
+            return reduce(lambda x, y: x & y, [df[c].eqNullSafe(keys[f"b_{c}"]) for c in EVENT])
+
         for table in P.SILVER_EVENT_TABLES:
             path = P.silver_path(root, table)
             new = S.SILVER_TABLES[table](batch)
             if not B.table_exists(spark, path):
                 B.write_partitioned(new, path, B.SEASON_PARTS, cluster_by=("match_id",))
-            elif not redelivered:
+                continue
+            stored = _seasons_of(spark, root, touched, table)
+            if stored.join(keys, same(stored), "left_semi").isEmpty():
                 _append(new, path)
-            else:
-                old = _seasons_of(spark, root, touched, table).join(
-                    batch_ids, "match_id", "left_anti")
-                # cut lineage: the stored files are about to be replaced
-                merged = old.unionByName(new.select(*old.columns)).checkpoint(eager=True)
-                B.write_partitioned(merged, path, B.SEASON_PARTS, cluster_by=("match_id",))
+                continue
+            old = stored.join(keys, same(stored), "left_anti")
+            # cut lineage: the stored files are about to be replaced
+            merged = old.unionByName(new.select(*old.columns)).checkpoint(eager=True)
+            B.write_partitioned(merged, path, B.SEASON_PARTS, cluster_by=("match_id",))
         gold = G.fingerprints(_seasons_of(spark, root, touched, "events"),
                               _seasons_of(spark, root, touched, "carries"), t)
         B.write_partitioned(gold, B.paths(root)["gold"], B.SEASON_PARTS,
@@ -90,7 +100,7 @@ def process_batch(spark: SparkSession, root: str, batch: DataFrame,
 
 
 def start(spark: SparkSession, root: str, available_now: bool = True,
-          t: Thresholds = DEFAULT_THRESHOLDS, max_files_per_trigger: int | None = None,
+          t: Thresholds = DEFAULT_THRESHOLDS, max_files_per_trigger: int | None = MAX_FILES,
           processing_time: str = "1 minute") -> StreamingQuery:
     """Start the incremental query; ``available_now`` drains what is landed and stops."""
     stream = bronze_event_stream(spark, root, max_files_per_trigger)

@@ -68,7 +68,7 @@ def test_j4_weighted_carry_identity(spark, seed):
     """sum(p*m)/sum(n*m) equals the ratio over the many-to-many join rows."""
     ev = _random_events(spark, seed)
     carries = (ev.where(F.col("type") == "Carry")
-               .select("match_id", "player_id", F.col("location_x").alias("start_x"),
+               .select(*G.MATCH, "player_id", F.col("location_x").alias("start_x"),
                        (F.col("location_x") + ((F.col("event_order") % 3) * 8).cast("float"))
                        .alias("end_x")))
     fast = {(r.match_id, r.team_name): r.progressive_carry_rate

@@ -5,7 +5,7 @@ def test_cluster_conf_scales_with_input():
     small = cluster_conf(10 << 30, total_cores=64)
     big = cluster_conf(100 << 40, total_cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # 2 per core floor
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000         # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600         # no upper limit
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
 
 
