@@ -54,7 +54,7 @@ def main(scratch: str) -> None:
         (F.col("id") % 95).cast("int").alias("minute"), (F.col("id") % 60).cast("int").alias("second"),
         F.col("id").alias("event_order"), (F.col("id") % 100 / 100.0).alias("xg")))
     carries = ev.where(F.col("type") == "Carry").select(
-        "match_id", "player_id", F.col("location_x").alias("start_x"),
+        "competition_id", "season_id", "match_id", "player_id", F.col("location_x").alias("start_x"),
         (F.col("location_x") + 5).cast("float").alias("end_x"))
 
     jobs = {}
