@@ -20,10 +20,12 @@ Here a suffix is sorted only where it can decide something:
    A window that starts ``o`` bytes left of its anchor repeats exactly if
    another suffix of the same run of common prefixes of at least ``SPAN - o``
    has the same ``o`` bytes on its left.
-5. Runs that reach past a bucket's splitters are compared across boundaries:
-   each bucket sends one row for every distinct window of such a run, and
-   windows that two buckets sent repeat. Hot strings thus spread over many
-   buckets and still meet, one row per bucket.
+5. Runs that reach past a bucket's splitters are compared across boundaries, in
+   two steps. Each bucket first sends, for every ``BLOCK`` successive windows of
+   such a run, a hash of the bytes that these windows have in common; only where
+   two buckets sent the same one do the windows themselves meet. Of equal
+   windows a bucket sends one, so a hot string spreads over many buckets and
+   still meets, one row per bucket.
 
 Strings are judged on the input. Hashes select and group (128 bits for
 classes and windows that cross buckets); inside a bucket bytes are compared.
@@ -49,6 +51,8 @@ from pitchlake.llm.common import table, text_of, written
 SPAN, GRAM = 400, 96
 #: Suffixes that a bucket is meant to hold, most buckets (they grow beyond), sampled suffixes per bucket.
 BUCKET_ROWS, MOST_BUCKETS, SAMPLED = 2000, 4096, 8
+#: Windows that are compared across boundaries together at first; at most 63 (they form a bit mask).
+BLOCK = 32
 _CUTOFF = 24
 _RNG = np.random.default_rng(20240229)
 # Random 64-bit value of each byte, drawn from a fixed seed; odd multiplier of the rolling hashes and its inverse.
@@ -97,9 +101,11 @@ def _window_min(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n - width + 1], ahead[width - 1:n])
 
 
-def anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> dict[str, np.ndarray] | None:
+def anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM,
+            only_gram: bool = False) -> dict[str, np.ndarray] | None:
     """Anchors of one text: ``at``, first and last owned window ``lo`` and ``hi``, hash of the anchor
-    string ``gram`` and the two hashes ``seg1``, ``seg2`` of the owned stretch. None if there is no window."""
+    string ``gram`` and the two hashes ``seg1``, ``seg2`` of the owned stretch (with ``only_gram`` nothing
+    but ``gram``). None if there is no window."""
     n = len(data)
     if n < span:
         return None
@@ -116,6 +122,8 @@ def anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> dict[str, n
     end = last + span
     # where the anchor lies in the owned stretch is part of the class
     place = ((at - first) * 1000 + (last - first)).astype(np.uint64)
+    if only_gram:
+        return {"gram": h[at]}
     sums2 = _sums(data, _BYTE2)
     return {"at": at, "lo": first, "hi": last, "gram": h[at],
             "seg1": _mixed(_hash(sums, first, end) + place), "seg2": _mixed(_hash(sums2, first, end) ^ place)}
@@ -134,7 +142,7 @@ def _anchor_rows(keyed: DataFrame, only_gram: bool) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k1, k2, t in zip(b.column(0), b.column(1), b.column(2), strict=True):
-                found = anchors(np.frombuffer(t.as_py(), np.uint8))
+                found = anchors(np.frombuffer(t.as_py(), np.uint8), only_gram=only_gram)
                 if found is None:
                     continue
                 if only_gram:
@@ -274,9 +282,14 @@ def _splitters(suffixes: DataFrame, span: int) -> list[bytes]:
     return sorted({keys[k * len(keys) // buckets] for k in range(1, buckets)}) if keys else []
 
 
+def _digest(data: bytes) -> tuple[int, int]:
+    w = hashlib.blake2b(data, digest_size=16).digest()
+    return int.from_bytes(w[:8], "big", signed=True), int.from_bytes(w[8:], "big", signed=True)
+
+
 def _compared(suffixes: DataFrame, span: int) -> DataFrame:
-    """Per bucket: runs of repeated windows (first, last), and windows to compare across boundaries
-    (hashes w1, w2, single window in first and last, ``known``)."""
+    """Per bucket: runs of repeated windows (first, last), and blocks of windows to compare across
+    boundaries (at, block, hashes w1, w2, bit masks ``open`` and ``known`` of the block's windows)."""
     spark = suffixes.sparkSession
     shared = spark.sparkContext.broadcast(_splitters(suffixes, span))
 
@@ -297,42 +310,80 @@ def _compared(suffixes: DataFrame, span: int) -> DataFrame:
         out: list[tuple] = []
         for i in range(len(right)):
             if n[i] == 1:  # of classes with more members every window repeats anyway
-                out += [(k1[i], k2[i], at[i] - b, at[i] - a, None, None, True) for a, b in _runs(repeats[i])]
+                out += [(k1[i], k2[i], at[i], at[i] - b, at[i] - a, None, None, None, None, None)
+                        for a, b in _runs(repeats[i])]
+        masks: dict[tuple[int, int], list[int]] = {}
         for i, o, known in across:
-            w = hashlib.blake2b((left[i][len(left[i]) - o:] + right[i])[:span], digest_size=16).digest()
-            out.append((k1[i], k2[i], at[i] - o, at[i] - o, int.from_bytes(w[:8], "big", signed=True),
-                        int.from_bytes(w[8:], "big", signed=True), known or n[i] > 1))
-        columns = list(zip(*out, strict=True)) or [()] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            m = masks.setdefault((i, o // BLOCK), [0, 0])
+            m[0] |= 1 << o % BLOCK
+            m[1] |= (known or n[i] > 1) << o % BLOCK
+        for (i, j), (is_open, known) in masks.items():
+            least, most = j * BLOCK, j * BLOCK + BLOCK - 1  # every window of the block has these bytes
+            common = left[i][len(left[i]) - least:] + right[i][:max(span - most, 0)]
+            out.append((k1[i], k2[i], at[i], None, None, j, *_digest(b"%d:" % j + common), is_open, known))
+        columns = list(zip(*out, strict=True)) or [()] * 10
+        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, *[pa.int64()] * 4]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                                    ["k1", "k2", "first", "last", "w1", "w2", "known"])
+                                    ["k1", "k2", "at", "first", "last", "block", "w1", "w2", "open", "known"])
 
     dealt = suffixes.mapInArrow(deal, "k1 long, k2 long, at int, n long, right binary, left binary, bucket int")
     return dealt.groupBy("bucket").applyInArrow(
-        one, "k1 long, k2 long, first int, last int, w1 long, w2 long, known boolean")
+        one, "k1 long, k2 long, at int, first int, last int, block int, w1 long, w2 long, open long, known long")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """The hashes that several rows have; a bucket sends each at most once."""
+    return written(rows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w1", "w2"),
+                   "met")
+
+
+def _across(suffixes: DataFrame, blocks: DataFrame, span: int) -> DataFrame:
+    """Windows (k1, k2, first, last) that repeat in another bucket, not known to repeat before."""
+    shared = blocks.join(_met(blocks), ["w1", "w2"]).drop("w1", "w2", "first", "last")
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                for bit in range(BLOCK):
+                    if r["open"] >> bit & 1:
+                        o = r["block"] * BLOCK + bit
+                        left = r["left"]
+                        out.append((r["k1"], r["k2"], r["at"] - o, bool(r["known"] >> bit & 1),
+                                    *_digest((left[len(left) - o:] + r["right"])[:span])))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                                             ["k1", "k2", "first", "known", "w1", "w2"])
+
+    held = suffixes.select("k1", "k2", "at", "right", "left").join(shared, ["k1", "k2", "at"])
+    each = written(held.mapInArrow(windows, "k1 long, k2 long, first int, known boolean, w1 long, w2 long"),
+                   "boundary-windows")
+    return each.filter("NOT known").join(_met(each), ["w1", "w2"]).select(
+        "k1", "k2", "first", F.col("first").alias("last"))
 
 
 def repeated(docs: DataFrame, ident: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
     """k1, k2 (a text) and ``windows``: its runs of repeated windows as (first, last) starts."""
     keyed = _keyed(docs, ident, text)
     long_enough = keyed.filter(F.length("body") >= span)
-    often = _anchor_rows(long_enough, True).groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    found = written(_anchor_rows(long_enough, False).join(often.select("gram"), "gram"), "anchors")
+    # these small tables are written, so that the joins with them can split a hot string
+    often = written(_anchor_rows(long_enough, True).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+                    .filter("c > 1").select("gram"), "grams")
+    found = written(_anchor_rows(long_enough, False).join(often, "gram"), "anchors")
     key = ["gram", "seg1", "seg2"]
     classes = written(found.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "at", "lo", "hi")).alias("one")), "anchor-classes")
     whole = found.join(classes.filter("n > 1").select(*key), key).select(
         "k1", "k2", F.col("lo").alias("first"), F.col("hi").alias("last"))
-    several = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram")
+    several = written(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram"),
+                      "shared-grams")
     wanted = classes.join(several, "gram").select("one.*", "n")
     texts = long_enough.dropDuplicates(["k1", "k2"])
     suffixes = written(_suffixes(texts, wanted, span), "suffixes")
     compared = written(_compared(suffixes, span), "compared")
-    inside = compared.filter("w1 IS NULL").select("k1", "k2", "first", "last")
-    windows = compared.filter("w1 IS NOT NULL")
-    # at most one row for each bucket and distinct window
-    met = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w1", "w2")
-    beyond = windows.filter("NOT known").join(met, ["w1", "w2"]).select("k1", "k2", "first", "last")
+    inside = compared.filter("block IS NULL").select("k1", "k2", "first", "last")
+    beyond = _across(suffixes, compared.filter("block IS NOT NULL"), span)
     runs = whole.union(inside).union(beyond)
     return runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("windows"))
 
