@@ -1,20 +1,25 @@
 """License scans by a positional rare-token index.
 
+One pass over the texts writes, for each file, the number of its words, which
+template words it holds, and the positions of these words if it holds a word
+that some key phrase needs. From that table come the document frequencies of
+the template words over all files, and the matches:
+
 The index holds, for each word of the licence templates, its postings
-(template, offset). A file's licence words are looked up by position; the
-``RARE`` ones with the highest inverse document frequency over all files give
-candidates: each posting says where its template would start. A candidate start is kept
-if at least two rare words agree on it (relative positions intersect) or the
-template has no second rare word in the file, and it counts only if the
-template's mandatory key phrase stands at its place. The score of a match is
-the share of the template's total word weight that stands at the right places.
+(template, offset). The ``RARE`` template words of a file with the highest
+inverse document frequency give candidates: each posting says where its
+template would start. Starts on which two rare words agree are kept (the
+postings intersect by relative position; a template with only one rare word in
+the file keeps that word's starts), and they count only where the template's
+mandatory key phrase stands. The score of a match is the share of the
+template's total word weight that stands at the right places.
 
-Base labels come from the same index: a phrase's places are found at the
-postings of its own words and verified word by word.
+Base labels come from the same index: a phrase's places are where the
+positions of all its words, shifted by their offsets, intersect.
 
 Everything is a DataFrame expression over one row: no shuffle depends on a
-source, key or text. Document frequencies are counted over all files; only
-the few template words, a fixed list, come to the driver.
+source, key or text. Only the counts of the template words, a fixed list, come
+to the driver.
 
 Defined cases: null and empty texts have no words, no labels and score 0;
 repeated rows get a row each; an empty table gives an empty result; other
@@ -24,11 +29,12 @@ columns never take part.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import table, text_of
+from pitchlake.llm.common import table, text_of, written
 
 # Base phrases, and templates with their mandatory key phrases (label, text, key phrase).
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"),
@@ -52,10 +58,10 @@ TEMPLATES = (
     ("proprietary", "all rights reserved", "all rights reserved"),
 )
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words before A-Z become a-z.
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RARE = 4
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Of the letters beyond ASCII, only the Kelvin sign has an ASCII lower case; any other letter takes its place.
+_KELVIN, _OTHER = "\u212a", "\u0138"
+_AT = "array<struct<i:bigint,w:string>>"
 
 
 def vocabulary() -> list[str]:
@@ -73,83 +79,72 @@ def _array(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
-def read_words(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """``_id``, ``n_words`` and ``words`` (null for files without any key word) of every row."""
-    t = text_of(text)
-    # Case-blind for A-Z only, and wider than needed: the exact rules run on the words.
-    may = t.rlike("(?i)" + "|".join(_key_words()))
-    return docs.select(F.col(ident).alias("_id"), t.alias("_t"), may.alias("_may")).select(
-        "_id", F.regexp_count("_t", F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"),
-        F.when(F.col("_may"), F.regexp_extract_all(F.translate("_t", _UPPER, _LOWER), F.lit(WORD), F.lit(0)))
-        .alias("words"))
+def read_words(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """``_id``, ``n_words``, ``present`` (template words of the file) and ``at`` (their positions; null
+    for files without any key word) of every row."""
+    low = F.lower(F.replace(text_of(text), F.lit(_KELVIN), F.lit(_OTHER)))
+    vocab = vocabulary()
+    rows = docs.select(F.col(ident).alias("_id"), F.regexp_extract_all(low, F.lit(WORD), F.lit(0)).alias("words"))
+    at = F.filter(F.transform("words", lambda w, i: F.struct(i.cast("long").alias("i"), w.alias("w"))),
+                  lambda p: p["w"].isin(vocab))
+    return rows.select("_id", F.size("words").cast("long").alias("n_words"),
+                       F.array_intersect("words", _array(vocab)).alias("present"),
+                       F.when(F.arrays_overlap("words", _array(_key_words())), at).cast(_AT).alias("at"))
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[dict[str, int], int]:
+def document_frequencies(read: DataFrame) -> tuple[dict[str, int], int]:
     """Number of files that hold each template word, and number of files."""
-    bare = WORD[2:-2]  # what is no word character; A-Z can't touch a word either
-    whole = f"(?i)(?<![^{bare}]|[A-Z])(?:{'|'.join(vocabulary())})(?![^{bare}]|[A-Z])"
-    own = F.array_distinct(F.regexp_extract_all(text_of(text), F.lit(whole), F.lit(0)))
-    words = docs.select(F.explode(F.array_distinct(F.transform(own, lambda w: F.translate(w, _UPPER, _LOWER))))
-                        .alias("w"))
-    counts = {r["w"]: r["n"] for r in words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {w: counts.get(w, 0) for w in vocabulary()}, docs.count()
+    words = read.select(F.explode("present").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["w"]: r["n"] for r in words.collect()}  # at most one row per template word
+    return {w: counts.get(w, 0) for w in vocabulary()}, read.count()
+
+
+def _shifted(at: str, word: str, offset: int) -> Column:
+    """Where a phrase would start that has this word at this offset."""
+    mine = F.filter(at, lambda p: (p["w"] == word) & (p["i"] >= offset))
+    return F.transform(mine, lambda p: p["i"] - offset)
 
 
-def _places(words: Column, at: Column, phrase: list[str], anchor: str) -> Column:
-    """Starts of all places of ``phrase``, found at the positions of its word ``anchor``."""
-    off = phrase.index(anchor)
-    mine = F.filter(at, lambda p: (p["w"] == anchor) & (p["i"] >= off))
-    good = F.filter(mine, lambda p: F.slice(words, (p["i"] - (off - 1)).cast("int"), len(phrase)) == _array(phrase))
-    return F.transform(good, lambda p: p["i"] - off)
+def _places(phrase: list[str]) -> Column:
+    """Starts of all places where the phrase's words stand consecutively."""
+    lists = [_shifted("at", w, o) for o, w in enumerate(phrase)]
+    return reduce(F.array_intersect, lists)
 
 
 def scan(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per file: ``n_words``, ``base`` (start, label), ``found`` (label, start, score)."""
-    df, n = document_frequencies(docs, text)
+    read = written(read_words(docs, ident, text), "licence-words")
+    df, n = document_frequencies(read)
     idf = {w: math.log((1 + n) / (1 + c)) + 1e-6 for w, c in df.items()}
-    vocab = vocabulary()
-    weight = F.create_map(*[x for w in vocab for x in (F.lit(w), F.lit(idf[w]))])
-    rows = read_words(docs, ident, text)
-    words = F.col("words")
-    rows = rows.withColumn("at", F.filter(
-        F.transform(words, lambda w, i: F.struct(i.cast("long").alias("i"), w.alias("w"))),
-        lambda p: p["w"].isin(vocab)))
-    # base phrases: at the positions of their rarest word
-    base = [_labelled(words, phrase.split(), label, idf) for phrase, label in PHRASES]
-    rows = rows.withColumn("base", F.concat(*base))
-    present = F.array_distinct(F.transform("at", lambda p: p["w"]))
-    by_weight = F.array_sort(F.transform(present, lambda w: F.struct((-weight[w]).alias("k"), w.alias("w"))))
-    rows = rows.withColumn("rare", F.slice(F.transform(by_weight, lambda x: x["w"]), 1, RARE))
+    weight = F.create_map(*[x for w in vocabulary() for x in (F.lit(w), F.lit(idf[w]))])
+    by_weight = F.array_sort(F.transform("present", lambda w: F.struct((-weight[w]).alias("k"), w.alias("w"))))
+    rows = read.filter("at IS NOT NULL").withColumn(
+        "rare", F.slice(F.transform(by_weight, lambda x: x["w"]), 1, RARE))
     rows = rows.withColumn("top", F.filter("at", lambda p: F.array_contains(F.col("rare"), p["w"])))
-    found = [_matches(label, template.split(), key.split(), idf) for label, template, key in TEMPLATES]
-    return rows.withColumn("found", F.concat(*found)).select("_id", "n_words", "base", "found")
-
-
-def _labelled(words: Column, phrase: list[str], label: str, idf: dict[str, float]) -> Column:
-    starts = _places(words, F.col("at"), phrase, max(phrase, key=lambda w: idf[w]))
-    return F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(label).alias("label")))
+    rows = rows.select("_id", "n_words", F.concat(*[_labelled(p.split(), label) for p, label in PHRASES]).alias("base"),
+                       F.concat(*[_matches(label, t.split(), k.split(), idf) for label, t, k in TEMPLATES]).alias("found"))
+    none = read.filter("at IS NULL").select("_id", "n_words", *[
+        F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("base", "found")])
+    return rows.unionByName(none)
 
 
-def _starts(word: str, offset: int) -> Column:
-    """Where the template would start, by one posting: null unless the word is one of the file's rare words."""
-    mine = F.filter("top", lambda p: p["w"] == word)
-    return F.when(F.array_contains("rare", word), F.transform(mine, lambda p: p["i"] - offset))
+def _labelled(phrase: list[str], label: str) -> Column:
+    return F.transform(_places(phrase), lambda s: F.struct(s.alias("start"), F.lit(label).alias("label")))
 
 
 def _matches(label: str, template: list[str], key: list[str], idf: dict[str, float]) -> Column:
     """Places of one template: label, start, score."""
     at_key = next(o for o in range(len(template)) if template[o:o + len(key)] == key)
-    lists = F.filter(F.array(*[_starts(w, o) for o, w in enumerate(template)]), lambda x: F.size(x) > 0)
-    enough = F.least(F.size(lists), F.lit(2))
-    agreed = F.filter(F.array_distinct(F.flatten(lists)), lambda s: F.size(
-        F.filter(lists, lambda x: F.array_contains(x, s))) >= enough)
-    kept = F.filter(agreed, lambda s: (s + at_key >= 0) & (
-        F.slice(F.col("words"), F.greatest(s + (at_key + 1), F.lit(1)).cast("int"), len(key)) == _array(key)))
+    lists = F.filter(F.array(*[_shifted("top", w, o) for o, w in enumerate(template)]), lambda x: F.size(x) > 0)
+    pairs = F.flatten(F.transform(lists, lambda x, i: F.flatten(F.transform(
+        F.slice(lists, i + 2, F.size(lists)), lambda y: F.array_intersect(x, y)))))
+    agreed = F.when(F.size(lists) > 1, F.array_distinct(pairs)).otherwise(F.flatten(lists))
+    kept = F.array_intersect(agreed, F.transform(_places(key), lambda s: s - at_key))
     total = sum(idf[w] for w in template)
+    there = [(_shifted("at", w, o), idf[w] / total) for o, w in enumerate(template)]
 
     def share(s: Column) -> Column:
-        parts = [F.when((s + o >= 0) & (F.try_element_at("words", F.greatest(s + (o + 1), F.lit(1)).cast("int")) == w),
-                        idf[w] / total).otherwise(0.0) for o, w in enumerate(template)]
+        parts = [F.when(F.array_contains(places, s), x).otherwise(0.0) for places, x in there]
         return sum(parts[1:], parts[0])
 
     return F.transform(kept, lambda s: F.struct(F.lit(label).alias("label"), s.alias("start"), share(s).alias("score")))

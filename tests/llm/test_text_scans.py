@@ -126,7 +126,7 @@ def test_licenses_match_brute_force(spark):
 
 def test_document_frequencies_count_all_files(spark):
     rows = license_rows()
-    df, n = licenses.document_frequencies(docs_of(spark, rows))
+    df, n = licenses.document_frequencies(licenses.read_words(docs_of(spark, rows)))
     assert n == len(rows)
     for w in licenses.vocabulary():
         want = 0
