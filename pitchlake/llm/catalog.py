@@ -20,4 +20,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": simhash.query,
     "op10_benchmark_decontamination": decontaminate.query,
 }
-ORACLES: dict[str, str] = {"op5_warc_revisits": warc.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_suffix_array_dedup": suffix_dedup.ORACLE, "op5_warc_revisits": warc.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}

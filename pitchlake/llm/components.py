@@ -36,7 +36,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     seen = None
     for _ in range(max_rounds):
         e = written(_small(_large(e)), "edges")
-        now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
+        now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
         if seen == now:
             break
         seen = now

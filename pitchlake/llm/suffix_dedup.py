@@ -332,7 +332,8 @@ def _compared(suffixes: DataFrame, span: int) -> DataFrame:
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """The hashes that several rows have; a bucket sends each at most once."""
+    """The hashes that several rows have. A bucket sends a window at most once, so a window's hash that
+    several rows have is in several buckets; a block's hash may only seem so, which the windows settle."""
     return written(rows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w1", "w2"),
                    "met")
 
@@ -433,4 +434,26 @@ def removed(docs: DataFrame, ident: str = "doc_id", text: str = "text", span: in
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removed(table(spark, sf_dir, "documents"))
+    return removed(table(spark, sf_dir, "documents")).drop("spans")
+
+
+#: One row per byte: is the window that starts there repeated, is the byte covered by such a window.
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+                  strlen(coalesce(text, '')) AS n FROM documents),
+b AS (SELECT r, unnest(range(n)) AS p FROM d),
+w AS (SELECT b.r, b.p, CASE WHEN b.p + {SPAN} <= d.n THEN hash(substr(d.h, 2 * b.p + 1, {2 * SPAN})) END AS s
+      FROM b JOIN d USING (r)),
+often AS (SELECT s FROM w WHERE s IS NOT NULL GROUP BY s HAVING count(*) > 1),
+f AS (SELECT w.r, w.p, CASE WHEN often.s IS NOT NULL THEN 1 ELSE 0 END AS again
+      FROM w LEFT JOIN often ON w.s = often.s),
+c AS (SELECT r, p, max(again) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN {SPAN - 1} PRECEDING AND CURRENT ROW) AS gone
+      FROM f WHERE r IN (SELECT r FROM f WHERE again = 1)),
+e AS (SELECT r, p, gone, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY p) AS before FROM c),
+k AS (SELECT e.r, sum(gone) AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans,
+             string_agg(substr(d.h, 2 * p + 1, 2), '' ORDER BY p) FILTER (gone = 0) AS kept
+      FROM e JOIN d USING (r) GROUP BY e.r)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(CASE WHEN k.r IS NULL THEN d.h ELSE coalesce(k.kept, '') END)) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
