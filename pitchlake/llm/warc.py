@@ -88,7 +88,9 @@ def resolve(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     full = rows.filter("kind = 'response'").select(
         F.col("record_id").alias("response_id"), "etag", "last_modified", "digest",
         F.coalesce("headers", empty).alias("headers")).dropDuplicates(["response_id"])
-    both = revisits.join(found, "record_id", "left").join(full, "response_id", "left")
+    # revisits without a response have no key to be dealt by, so they don't go through the second join
+    matched = revisits.join(found, "record_id").join(full, "response_id")
+    both = matched.unionByName(revisits.join(found, "record_id", "left_anti"), allowMissingColumns=True)
     agrees = F.coalesce(_strong(F.col("etag")) == _strong(F.col("r_etag")),
                         F.col("last_modified") == F.col("r_modified"), F.col("digest") == F.col("r_digest"))
     status = (F.when(F.col("response_id").isNull(), "no_response").when(agrees, "resolved")
