@@ -7,8 +7,9 @@ Silver tables (appended; a season is rewritten only when a batch re-delivers
 events it already holds). An event is known by its match and its place in the
 feed, so a match may arrive in any number of batches. Gold needs whole
 matches, so after a batch the Gold
-partitions of the seasons the batch touched are recomputed from stored Silver
-(the touched seasons are joined as a small broadcast table; no driver collect).
+rows of the matches the batch touched are recomputed from stored Silver (only
+the touched seasons are read: they are joined as a small broadcast table; no
+driver collect).
 
 Progress lives in a checkpoint folder under the lake root, so a restarted or
 failed query resumes with the files it has not processed yet; a replayed batch
@@ -33,8 +34,9 @@ from pitchlake.session import join_path
 from pitchlake.sources import bronze as B
 
 
+MATCH = (*B.SEASON_PARTS, "match_id")
 #: What identifies an event.
-EVENT = (*B.SEASON_PARTS, "match_id", "event_order")
+EVENT = (*MATCH, "event_order")
 #: Files of a micro-batch, unless the caller says otherwise.
 MAX_FILES = 1000
 
@@ -54,6 +56,11 @@ def _seasons_of(spark: SparkSession, root: str, touched: DataFrame, table: str)
                                                   "left_semi")
 
 
+def _matches_of(spark: SparkSession, root: str, touched: DataFrame, matches: DataFrame, table: str) -> DataFrame:
+    """All stored Silver rows of the touched matches; only the touched seasons are read."""
+    return _seasons_of(spark, root, touched, table).join(matches, list(MATCH), "left_semi")
+
+
 def _append(df: DataFrame, path: str) -> None:
     (df.sortWithinPartitions(*B.SEASON_PARTS, "match_id").write.mode("append")
      .partitionBy(*B.SEASON_PARTS).parquet(path))
@@ -91,10 +98,16 @@ def process_batch(spark: SparkSession, root: str, batch: DataFrame,
             # cut lineage: the stored files are about to be replaced
             merged = old.unionByName(new.select(*old.columns)).checkpoint(eager=True)
             B.write_partitioned(merged, path, B.SEASON_PARTS, cluster_by=("match_id",))
-        gold = G.fingerprints(_seasons_of(spark, root, touched, "events"),
-                              _seasons_of(spark, root, touched, "carries"), t)
-        B.write_partitioned(gold, B.paths(root)["gold"], B.SEASON_PARTS,
-                            cluster_by=("match_id",))
+        matches = batch.select(*MATCH).distinct()
+        gold = G.fingerprints(_matches_of(spark, root, touched, matches, "events"),
+                              _matches_of(spark, root, touched, matches, "carries"), t)
+        path = B.paths(root)["gold"]
+        if B.table_exists(spark, path):
+            # a season's Gold is a few rows per match: keep those of its other matches
+            stored = P.read_gold(spark, root).join(F.broadcast(touched), list(B.SEASON_PARTS), "left_semi")
+            others = stored.join(matches, list(MATCH), "left_anti")
+            gold = others.unionByName(gold.select(*others.columns)).checkpoint(eager=True)
+        B.write_partitioned(gold, path, B.SEASON_PARTS, cluster_by=("match_id",))
     finally:
         batch.unpersist()
 

@@ -40,9 +40,9 @@ def test_stream_keeps_a_match_that_arrives_in_parts(spark, lake):
 
 def test_stream_one_file_per_batch_equals_one_batch(spark, lake):
     feed = Feed(spark, SF001)
-    events = feed.events.where((F.col("season_id") == 26) & (F.col("match_id") < 400))
+    events = feed.events.where((F.col("season_id") == 26) & (F.col("match_id") < 200))
     B.land_events(events, lake)
-    streaming.start(spark, lake, max_files_per_trigger=4).awaitTermination(300)
+    streaming.start(spark, lake, max_files_per_trigger=3).awaitTermination(300)
     assert P.read_silver(spark, lake, "events").count() == events.where(F.col("type").isNotNull()).count()
 
 
