@@ -1,12 +1,14 @@
 """Exact dedup: tree-merge of sorted digest runs.
 
 Every input partition is a run of (digest, identifier) rows. In each round
-``fan_in`` neighbouring runs are merged into one: the round's shuffle brings
-equal digests of the merged runs together (spread over tasks by run and
-digest, so that a merged run never sits in one task) and keeps the winning
-identifier, the number of rows and nothing else. Spark aggregates each run
-before it is exchanged, so a text that makes up a third of all rows travels
-once per run and round. The last round leaves one row per distinct text.
+``fan_in`` neighbouring runs are merged into one: a task sorts its rows by run
+and digest and keeps, of equal digests, the winning identifier and the number
+of rows; the shuffle then brings equal digests of the merged runs together
+(spread over tasks by run and digest, so that a merged run never sits in one
+task), where they are merged in the same sorted order. A text that makes up a
+third of all rows thus travels once per task and round. The last round leaves
+one row per distinct text. (The winner is a struct, which Spark aggregates
+over sorted input and not in a hash table.)
 
 A digest alone decides nothing: at every level rows merge only if SHA-256,
 byte length and a second hash (XXH64) all agree.
@@ -43,7 +45,8 @@ def merge_runs(rows: DataFrame, ident: str = "_id", keep: str = "largest",
 
     ``rows`` has the digest columns, ``ident`` and ``_copies``. ``keep`` names
     which end of the identifiers wins (``smallest`` or ``largest``)."""
-    best = F.max if keep == "largest" else F.min
+    known = F.col("keep_id").isNotNull()  # a null identifier loses either way
+    best = F.max(F.struct(known, "keep_id")) if keep == "largest" else F.min(F.struct(~known, "keep_id"))
     run = F.pmod(F.spark_partition_id(), F.lit(runs))
     level = rows.select(run.alias("_run"), *_KEY, F.col(ident).alias("keep_id"),
                         F.col("_copies").alias("group_size"))
@@ -51,8 +54,7 @@ def merge_runs(rows: DataFrame, ident: str = "_id", keep: str = "largest",
         runs = -(-runs // fan_in)
         level = (level.withColumn("_run", F.floor(F.col("_run") / fan_in).cast("int"))
                  .groupBy("_run", *_KEY)
-                 .agg(best("keep_id").alias("keep_id"),
-                      F.sum("group_size").alias("group_size")))
+                 .agg(best["keep_id"].alias("keep_id"), F.sum("group_size").alias("group_size")))
     return level.drop("_run")
 
 
