@@ -247,7 +247,7 @@ def _radar_long(L: Layers) -> DataFrame:
 
 @register("analyzable_matches", """SELECT competition_id, season_id, match_id, match_date, home_team,
   away_team, home_score, away_score,
-  match_date || ' | ' || home_team || ' ' || CAST(home_score AS VARCHAR) || '-' ||
+  coalesce(match_date, 'None') || ' | ' || home_team || ' ' || CAST(home_score AS VARCHAR) || '-' ||
   CAST(away_score AS VARCHAR) || ' ' || away_team AS label
   FROM analyzable""")
 def _analyzable_matches(L: Layers) -> DataFrame:

@@ -85,7 +85,7 @@ def _partitioned_write(L: Layers) -> DataFrame:
     root = scratch_lake(L.spark)
     B.land_events(L.feed.events, root)
     ev = B.scan_events(L.spark, root)
-    return ev.groupBy(*B.EVENTS_PARTS).agg(F.count(F.lit(1)).alias("n_rows"))
+    return ev.groupBy(*B.MATCH).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("empty_guard", """SELECT competition_id, season_id, COUNT(*) AS n_rows

@@ -158,7 +158,7 @@ def _competition_label(L: Layers) -> DataFrame:
                                         LB.competition_label().alias("label"))
 
 
-@register("match_label", """SELECT match_id, match_date || ' | ' || home_team || ' ' ||
+@register("match_label", """SELECT match_id, coalesce(match_date, 'None') || ' | ' || home_team || ' ' ||
   CAST(home_score AS VARCHAR) || '-' || CAST(away_score AS VARCHAR) || ' ' || away_team AS label
   FROM matches_c""")
 def _match_label(L: Layers) -> DataFrame:

@@ -119,6 +119,12 @@ def _delete_scratch() -> None:
     _SCRATCH.clear()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this library wrote."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def scratch_lake(spark: SparkSession) -> str:
     """A fresh lake folder that is removed when the driver ends."""
     return delete_at_exit(spark, lake_root(spark))

@@ -7,7 +7,8 @@ DuckDB (the oracle), so both sides start from identical Bronze rows; the
 mapping itself is documented in FIXTURES.md §2.
 
 The derivation is a row-wise projection (events) plus one aggregation per
-match (matches) and a distinct (lineups): its work grows with ``events``.
+match (matches) and a distinct (lineups): its work grows with ``events``, and
+so does the number of matches (a further round of them for every 150 users). Some events have no team or a third team, some matches no date.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 # as a stringified feed lands them: lists as '[x, y]', missing as 'nan').
 EVENTS_SQL = """
 SELECT
-  CAST(d * 100 + CAST(floor(slot / 2) AS INT) AS BIGINT) AS match_id,
+  CAST((round_no * 100 + d) * 100 + CAST(floor(slot / 2) AS INT) AS BIGINT) AS match_id,
   team_no AS team_id,
-  concat('Team_', CAST(team_no AS STRING)) AS team,
+  team,
   CAST(user_id AS DOUBLE) AS player_id,
   concat('Player_', CAST(user_id AS STRING)) AS player,
   CASE event_type
@@ -41,7 +42,7 @@ SELECT
        ELSE concat('[', CAST(CAST(floor(xi / 10) AS BIGINT) AS STRING), '.', CAST(xi % 10 AS STRING),
                    ', ', CAST(CAST(floor(yi / 10) AS BIGINT) AS STRING), '.', CAST(yi % 10 AS STRING), ']')
   END AS location,
-  concat('Team_', CAST(team_no AS STRING)) AS possession_team,
+  team AS possession_team,
   CASE WHEN k % 2 = 0 THEN 'Regular Play' ELSE 'From Throw In' END AS play_pattern,
   CASE WHEN event_type = 'view'
        THEN concat('[', CAST((event_id * 29 + k * 13) % 121 AS STRING), '.0, ',
@@ -58,12 +59,16 @@ SELECT
   CAST(CASE WHEN d <= 15 THEN 26 ELSE 27 END AS BIGINT) AS season_id
 FROM (
   SELECT b.*,
+         CASE WHEN event_id % 97 = 13 THEN NULL
+              WHEN event_id % 89 = 7 THEN concat('Guest_', CAST(team_no AS STRING))
+              ELSE concat('Team_', CAST(team_no AS STRING)) END AS team,
          (team_no + d) % 10 AS slot,
          (event_id * 37 + k * 11) % 1201 AS xi,
          (event_id * 53 + k * 7) % 801 AS yi
   FROM (
     SELECT event_id, user_id, value, event_type,
            TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
+           CAST(floor(user_id / 150) AS BIGINT) AS round_no,
            CAST(day(ts) AS INT) AS d,
            CAST((hour(ts) * 60 + minute(ts)) % 94 AS INT) AS mi,
            CAST(second(ts) AS INT) AS se,
@@ -77,27 +82,29 @@ FROM (
 # scores are the Goal count of each side (kept as text, as a feed lands them).
 MATCHES_SQL = """
 SELECT match_id, competition_id, season_id,
-       concat('2024-01-', lpad(CAST(d AS STRING), 2, '0')) AS match_date,
+       CASE WHEN match_id % 1000 <> 703
+            THEN concat(CAST(2024 + round_no AS STRING), '-01-', lpad(CAST(d AS STRING), 2, '0')) END AS match_date,
        concat('Team_', CAST(home_no AS STRING)) AS home_team,
        concat('Team_', CAST(away_no AS STRING)) AS away_team,
        CAST(home_goals AS STRING) AS home_score,
        CAST(away_goals AS STRING) AS away_score
 FROM (
-  SELECT match_id, competition_id, season_id, d, home_no, away_no,
+  SELECT match_id, competition_id, season_id, round_no, d, home_no, away_no,
          sum(CASE WHEN shot_outcome = 'Goal' AND team_id = home_no THEN 1 ELSE 0 END) AS home_goals,
          sum(CASE WHEN shot_outcome = 'Goal' AND team_id = away_no THEN 1 ELSE 0 END) AS away_goals
   FROM (
-    SELECT match_id, competition_id, season_id, team_id, shot_outcome, d,
+    SELECT match_id, competition_id, season_id, team_id, shot_outcome, round_no, d,
            CAST(((2 * p - d) % 10 + 10) % 10 AS INT) AS home_no,
            CAST(((2 * p + 1 - d) % 10 + 10) % 10 AS INT) AS away_no
     FROM (
       SELECT match_id, competition_id, season_id, team_id, shot_outcome,
-             CAST(floor(match_id / 100) AS BIGINT) AS d,
+             CAST(floor(match_id / 10000) AS BIGINT) AS round_no,
+             CAST(floor(match_id / 100) AS BIGINT) % 100 AS d,
              match_id % 100 AS p
       FROM {bronze_events}
     ) e0
   ) e1
-  GROUP BY match_id, competition_id, season_id, d, home_no, away_no
+  GROUP BY match_id, competition_id, season_id, round_no, d, home_no, away_no
 ) m
 """
 

@@ -5,12 +5,13 @@ Layout under one lake root (any Hadoop path; the cluster's shared folder):
   bronze/competitions/                         unpartitioned
   bronze/matches/competition_id=/season_id=/
   bronze/lineups/competition_id=/season_id=/
-  bronze/events/competition_id=/season_id=/match_id=/
+  bronze/events/competition_id=/season_id=/    sorted by type and match_id in each file
   silver/<table>/competition_id=/season_id=/   clustered by match_id
   gold/team_fingerprints/competition_id=/season_id=/
 
-Writes use dynamic partition overwrite: re-running a season replaces only
-that season's partitions, other seasons stay (the reference overwrote one
+Match events are appended, but for matches that are stored already: their rows
+are replaced, and only theirs. All other writes use dynamic partition
+overwrite: re-running a season replaces only that season's partitions, other seasons stay (the reference overwrote one
 object per table, so a multi-season warm-up kept only the last season).
 Before writing, rows are rebalanced on the partition columns (AQE
 ``REBALANCE``): one file set per partition value, with skewed partitions
@@ -20,6 +21,7 @@ split and tiny ones coalesced, instead of tasks x partitions small files.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 import warnings
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -33,10 +35,10 @@ from pyspark.sql import types as T
 from pitchlake import schemas
 from pitchlake.config import DEFAULT_SOURCE
 from pitchlake.functions.parse import long_of
-from pitchlake.session import join_path
+from pitchlake.session import delete_folder, join_path
 
-EVENTS_PARTS = ("competition_id", "season_id", "match_id")
 SEASON_PARTS = ("competition_id", "season_id")
+MATCH = (*SEASON_PARTS, "match_id")
 
 # Fixed run stamp used when a run does not pass its own (keeps re-runs identical).
 DEFAULT_INGESTED_AT = dt.datetime(2024, 2, 1, 0, 0, 0, tzinfo=dt.timezone.utc)
@@ -117,7 +119,7 @@ def with_columns(schema: T.StructType, names: Sequence[str]) -> T.StructType:
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
                       cluster_by: Sequence[str] = (), guard_empty: bool = True,
-                      rebalance: bool = True) -> int:
+                      spread_by: Sequence[str] = (), mode: str = "overwrite") -> int:
     """Parquet write with dynamic partition overwrite; returns rows written.
 
     S8 (empty input writes nothing, old data stays): with partition columns an
@@ -125,20 +127,18 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     overwrite, so no extra job is needed; an unpartitioned table is checked
     by taking one row first, since overwriting it with nothing would wipe it.
     The row count is observed during the write itself (no second job).
-    ``rebalance=False`` skips the pre-write shuffle when the input is already
-    clustered by the partition columns (e.g. read from a table partitioned the
-    same way): each task then writes its own folder(s) and only sorts locally.
+    ``spread_by`` names finer columns to rebalance on than the partition columns.
     """
     if not partition_cols and guard_empty and not df.take(1):
         warnings.warn(f"empty input, nothing written to {path}", stacklevel=2)
         return 0
     obs = Observation(f"rows_{abs(hash(path)) % 10**9}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_cols and rebalance:
-        out = out.hint("rebalance", *partition_cols)
+    if partition_cols:
+        out = out.hint("rebalance", *(spread_by or partition_cols))
     if cluster_by:
         out = out.sortWithinPartitions(*partition_cols, *cluster_by)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
@@ -153,10 +153,38 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
 
 def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
                 source: str = DEFAULT_SOURCE) -> int:
-    """Match events -> bronze/events, one folder per (competition, season, match)."""
+    """Match events -> bronze/events, one folder per (competition, season).
+
+    Matches that are not stored yet are appended. If some are, the touched seasons are written
+    anew: the stored rows of all other matches, and the delivered rows."""
     df = landed(add_audit_columns(stringify_complex(events), ingested_at, source),
                 schemas.BRONZE_EVENTS)
-    return write_partitioned(df, paths(root)["events"], EVENTS_PARTS, cluster_by=("type",))
+    path, spark = paths(root)["events"], df.sparkSession
+    if not table_exists(spark, path):
+        return _write_events(df, path, "overwrite")
+    schema = with_columns(schemas.BRONZE_EVENTS, extra_columns(spark, path, schemas.BRONZE_EVENTS))
+    delivered = df.select(*[F.col(c).alias(f"d_{c}") for c in MATCH]).distinct()
+    seasons = delivered.select(*[F.col(f"d_{c}").alias(c) for c in SEASON_PARTS]).distinct()
+    # one row per delivered season: bounded by the catalogue; it prunes the stored folders
+    stored = scan(spark, path, schema).join(F.broadcast(seasons), list(SEASON_PARTS), "left_semi")
+    same = reduce(lambda x, y: x & y, [stored[c].eqNullSafe(delivered[f"d_{c}"]) for c in MATCH])
+    if stored.select(*MATCH).join(delivered, same, "left_semi").isEmpty():
+        return _write_events(df, path, "append")
+    rows = df.count()
+    if rows:
+        kept = stored.join(delivered, same, "left_anti").unionByName(df, allowMissingColumns=True)
+        staged = join_path(root, f"bronze/_staged-{uuid.uuid4().hex}")  # the stored files are about to go
+        kept.write.parquet(staged)
+        _write_events(spark.read.schema(kept.schema).parquet(staged), path, "overwrite")
+        delete_folder(spark, staged)
+    return rows
+
+
+def _write_events(df: DataFrame, path: str, mode: str) -> int:
+    """Rows of a match go to few files, and those of one type lie together in a file, so that a
+    filter on the type skips row groups and pages."""
+    return write_partitioned(df, path, SEASON_PARTS, cluster_by=("type", "match_id"), mode=mode,
+                             spread_by=MATCH)
 
 
 def land_competitions(competitions: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
@@ -239,11 +267,8 @@ def scan(spark: SparkSession, path: str, schema: T.StructType,
 
     The explicit schema means no inference and no per-file schema merge: a
     column missing from some files reads as NULL, and partition values come
-    from the folder names (``match_id`` as LONG). With ``seasons`` only those
-    season folders are listed (a match-level layout has a folder per match;
-    listing all of them to prune afterwards would cost the driver time in
-    proportion to the whole table), and the predicate is kept as a partition
-    filter as well.
+    from the folder names. With ``seasons`` only those season folders are
+    listed, and the predicate is kept as a partition filter as well.
     """
     reader = spark.read.schema(schema).option("basePath", path)
     if seasons is None:

@@ -127,9 +127,8 @@ def test_a_broken_season_fails_alone(spark, lake):
     seasons = [(11, 26), (11, 27), (16, 4)]
     P.ingest(feed, lake, seasons)
     folder = B.paths(lake)["events"].replace("file:", "") + "/competition_id=11/season_id=26"
-    match = sorted(os.listdir(folder))[-1]
-    file = next(f for f in os.listdir(f"{folder}/{match}") if f.endswith(".parquet"))
-    with open(f"{folder}/{match}/{file}", "wb") as f:
+    file = next(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    with open(f"{folder}/{file}", "wb") as f:
         f.write(b"no parquet at all")
     errors = {}
     P._isolated(lambda some: P._build(spark, lake, some, Layers(spark, SF001).t), seasons, errors)
@@ -173,3 +172,34 @@ def test_null_match_dates_come_last(spark):
     matches = spark.createDataFrame([(1, None, "A", "B", "0", "0", 1, 1), (2, "2024-01-02", "B", "C", "0", "0", 1, 1)],
                                     FX.matches(spark).schema)
     assert [r.match_id for r in V.default_match_shots(matches, shots).collect()] == [2]
+
+
+def test_a_type_filter_skips_row_groups_of_bronze(spark, lake):
+    import glob
+
+    import pyarrow.parquet as pq
+    conf = spark._jsc.hadoopConfiguration()
+    conf.setInt("parquet.block.size", 32 * 1024)
+    try:
+        B.land_events(Feed(spark, "/root/testdata/sf0.01").events, lake)
+    finally:
+        conf.unset("parquet.block.size")
+    all_groups = with_shots = 0
+    for f in glob.glob(B.paths(lake)["events"].replace("file:", "") + "/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(f).metadata
+        at = next(k for k in range(meta.num_columns) if meta.schema.column(k).name == "type")
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            all_groups += 1
+            with_shots += bool(stats and stats.has_min_max and stats.min <= "Shot" <= stats.max)
+    assert all_groups >= 8 and with_shots <= all_groups / 2, (with_shots, all_groups)
+
+
+def test_new_matches_are_appended_and_old_files_stay(spark, lake):
+    feed = Feed(spark, SF001)
+    first = feed.events.where((F.col("season_id") == 26) & (F.col("match_id") < 800))
+    B.land_events(first, lake)
+    files = set(B.scan_events(spark, lake).inputFiles())
+    B.land_events(feed.events.where(F.col("match_id") >= 800), lake)
+    assert files <= set(B.scan_events(spark, lake).inputFiles())
+    assert B.scan_events(spark, lake).count() == first.count() + feed.events.where(F.col("match_id") >= 800).count()
