@@ -46,10 +46,12 @@ CLOSED_BY_BLOCK = frozenset(["p"])
 SAME_CLOSES = frozenset("li dd dt option tr td th thead tbody tfoot p".split())
 NOT_MAIN_TAGS = frozenset("""nav aside footer form header menu button select option textarea label fieldset dialog
 title head search""".split())
-NOT_MAIN_WORDS = frozenset("""ad ads adv advert advertisement alert banner breadcrumb breadcrumbs comment comments
-consent contentinfo cookie cookies copyright dialog disqus footer form gdpr header login masthead menu modal nav
-navbar navigation newsletter notice popup promo promoted recommended related replies reply search share sharing
-sidebar signup social sponsor sponsored subscribe teaser toolbar widget complementary""".split())
+NOT_MAIN_WORDS = frozenset("""ad ads adsense adv advert advertisement advertising adverts alert announcement aside banner breadcrumb
+breadcrumbs comment comments complementary consent contentinfo cookie cookies copyright dialog disclaimer discussion
+disqus donate feedback footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice
+notices optin pager pagination poll popup promo promoted rail recommended register related replies reply responses
+search share sharing sidebar signin signup social sponsor sponsored sponsors subscribe survey teaser toolbar topbar
+warning widget""".split())
 MAIN_WORDS = frozenset("article content entry main post story text body".split())
 
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)"
