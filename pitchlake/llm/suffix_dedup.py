@@ -218,23 +218,31 @@ def compare_bucket(right: list[bytes], left: list[bytes], below: bytes | None, a
     deepest = int(lb.max(initial=0))
     repeats = np.zeros((n, deepest + 1), bool)
     across: list[tuple[int, int, bool]] = []
-    side = np.zeros(n, np.int64)  # suffixes with the same bytes left of the anchor, refined byte by byte
+    # Suffixes with the same bytes left of the anchor, refined byte by byte. One that shares them with no
+    # other drops out: further to the left it can't share more.
+    alive, side = np.arange(n), np.zeros(n, np.int64)
     for o in range(deepest + 1):
-        if o:
-            side = np.unique(side * 256 + rev[:, o - 1], return_inverse=True)[1]
+        if o and len(alive):
+            _, again, counts = np.unique(side[alive] * 256 + rev[alive, o - 1], return_inverse=True,
+                                         return_counts=True)
+            side[alive] = again
+            alive = alive[counts[again] > 1]
         need = span - o
-        rows = np.flatnonzero((lb >= o) & (la >= need))
-        if not len(rows):
-            continue
-        run = np.zeros(len(rows), np.int64)
-        if len(rows) > 1:
-            run[1:] = np.cumsum(np.minimum.reduceat(lcp[:rows[-1] + 1], rows[:-1] + 1) < need)
-        _, first, inverse, counts = np.unique(run * (n + 1) + side[rows], return_index=True,
-                                              return_inverse=True, return_counts=True)
-        again = counts[inverse] > 1
-        repeats[order[rows], o] = again
-        reaches = (down[rows[first]] >= need) | (up[rows[first]] >= need)
-        across += [(int(order[rows[i]]), o, bool(again[i])) for i in first[reaches]]
+        fits = (lb >= o) & (la >= need)
+        open_rows = fits & ((down >= need) | (up >= need))
+        rows = np.flatnonzero(fits)
+        here = alive[fits[alive]]
+        if len(here):
+            run = np.zeros(n, np.int64)
+            run[rows[1:]] = np.cumsum(np.minimum.reduceat(lcp[:rows[-1] + 1], rows[:-1] + 1) < need) \
+                if len(rows) > 1 else 0
+            _, first, inverse, counts = np.unique(run[here] * (n + 1) + side[here], return_index=True,
+                                                  return_inverse=True, return_counts=True)
+            known = counts[inverse] > 1
+            repeats[order[here], o] = known
+            across += [(int(order[here[i]]), o, bool(known[i])) for i in first[open_rows[here[first]]]]
+            open_rows[here] = False
+        across += [(int(order[i]), o, False) for i in np.flatnonzero(open_rows)]
     return repeats, across
 
 
