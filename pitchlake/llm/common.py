@@ -6,16 +6,12 @@ names in ``spark.checkpoint.dir`` and are removed when the driver ends.
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.session import ensure_checkpoint_dir
-
-_MADE: list[tuple[SparkSession, str]] = []
+from pitchlake.session import delete_at_exit, ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
-    """A fresh folder in the shared checkpoint folder."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{what}-{uuid.uuid4().hex}"
-    if not _MADE:
-        atexit.register(_clean)
-    _MADE.append((spark, path))
-    return path
+    """A fresh folder in the shared checkpoint folder, removed when the driver ends."""
+    return delete_at_exit(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{what}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
@@ -40,18 +32,6 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _clean() -> None:
-    for spark, path in _MADE:
-        drop_scratch(spark, path)
-
-
 def text_of(name: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

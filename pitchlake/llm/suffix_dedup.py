@@ -53,6 +53,8 @@ SPAN, GRAM = 400, 96
 BUCKET_ROWS, MOST_BUCKETS, SAMPLED = 2000, 4096, 8
 #: Windows that are compared across boundaries together at first; at most 63 (they form a bit mask).
 BLOCK = 32
+#: Suffixes that leave a task together.
+BATCH = 4096
 _CUTOFF = 24
 _RNG = np.random.default_rng(20240229)
 # Random 64-bit value of each byte, drawn from a fixed seed; odd multiplier of the rolling hashes and its inverse.
@@ -264,13 +266,15 @@ def _suffixes(texts: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k1, k2, body, places in zip(*[b.column(c) for c in ("k1", "k2", "body", "places")], strict=True):
-                t, rows = body.as_py(), places.as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k1.as_py()] * len(rows), pa.int64()), pa.array([k2.as_py()] * len(rows), pa.int64()),
-                     pa.array([r["at"] for r in rows], pa.int32()), pa.array([r["n"] for r in rows], pa.int64()),
-                     pa.array([t[r["at"]:r["hi"] + span] for r in rows], pa.binary()),
-                     pa.array([t[r["lo"]:r["at"]] for r in rows], pa.binary())],
-                    ["k1", "k2", "at", "n", "right", "left"])
+                t, every = body.as_py(), places.as_py()
+                for start in range(0, len(every), BATCH):  # a long text has many anchors
+                    rows = every[start:start + BATCH]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k1.as_py()] * len(rows), pa.int64()), pa.array([k2.as_py()] * len(rows), pa.int64()),
+                         pa.array([r["at"] for r in rows], pa.int32()), pa.array([r["n"] for r in rows], pa.int64()),
+                         pa.array([t[r["at"]:r["hi"] + span] for r in rows], pa.binary()),
+                         pa.array([t[r["lo"]:r["at"]] for r in rows], pa.binary())],
+                        ["k1", "k2", "at", "n", "right", "left"])
 
     per_text = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "lo", "hi", "n")).alias("places"))
     return texts.select("k1", "k2", "body").join(per_text, ["k1", "k2"]).mapInArrow(
