@@ -6,13 +6,15 @@ that some key phrase needs. From that table come the document frequencies of
 the template words over all files, and the matches:
 
 The index holds, for each word of the licence templates, its postings
-(template, offset). The ``RARE`` template words of a file with the highest
-inverse document frequency give candidates: each posting says where its
-template would start. Starts on which two rare words agree are kept (the
-postings intersect by relative position; a template with only one rare word in
-the file keeps that word's starts), and they count only where the template's
-mandatory key phrase stands. The score of a match is the share of the
-template's total word weight that stands at the right places.
+(template, offset). A match must hold every word of its template's mandatory
+key phrase, so the key phrase's words with the highest inverse document
+frequency give candidates: each position says where the template would start.
+The starts of the rarest word are intersected with those of the next rare
+ones, until the whole key phrase stands; no start that the key phrase allows is
+dropped, whichever other templates the file holds, and a template may start
+before the file (a file that begins with its key phrase). The score of a match
+is the share of the template's total word weight that stands at the right
+places.
 
 Base labels come from the same index: a phrase's places are where the
 positions of all its words, shifted by their offsets, intersect.
@@ -58,7 +60,6 @@ TEMPLATES = (
     ("proprietary", "all rights reserved", "all rights reserved"),
 )
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE = 4
 #: Of the letters beyond ASCII, only the Kelvin sign has an ASCII lower case; any other letter takes its place.
 _KELVIN, _OTHER = "\u212a", "\u0138"
 _AT = "array<struct<i:bigint,w:string>>"
@@ -100,15 +101,14 @@ def document_frequencies(read: DataFrame) -> tuple[dict[str, int], int]:
 
 
 def _shifted(at: str, word: str, offset: int) -> Column:
-    """Where a phrase would start that has this word at this offset."""
-    mine = F.filter(at, lambda p: (p["w"] == word) & (p["i"] >= offset))
-    return F.transform(mine, lambda p: p["i"] - offset)
+    """Where a phrase would start that has this word at this offset; below 0 if before the file."""
+    return F.transform(F.filter(at, lambda p: p["w"] == word), lambda p: p["i"] - offset)
 
 
-def _places(phrase: list[str]) -> Column:
-    """Starts of all places where the phrase's words stand consecutively."""
-    lists = [_shifted("at", w, o) for o, w in enumerate(phrase)]
-    return reduce(F.array_intersect, lists)
+def _places(phrase: list[str], idf: dict[str, float]) -> Column:
+    """Starts of all places where the phrase's words stand consecutively, from its rarest word on."""
+    rarest = sorted(enumerate(phrase), key=lambda x: (-idf[x[1]], x[0]))
+    return reduce(F.array_intersect, [_shifted("at", w, o) for o, w in rarest])
 
 
 def scan(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,38 +116,33 @@ def scan(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFram
     read = written(read_words(docs, ident, text), "licence-words")
     df, n = document_frequencies(read)
     idf = {w: math.log((1 + n) / (1 + c)) + 1e-6 for w, c in df.items()}
-    weight = F.create_map(*[x for w in vocabulary() for x in (F.lit(w), F.lit(idf[w]))])
-    by_weight = F.array_sort(F.transform("present", lambda w: F.struct((-weight[w]).alias("k"), w.alias("w"))))
-    rows = read.filter("at IS NOT NULL").withColumn(
-        "rare", F.slice(F.transform(by_weight, lambda x: x["w"]), 1, RARE))
-    rows = rows.withColumn("top", F.filter("at", lambda p: F.array_contains(F.col("rare"), p["w"])))
-    rows = rows.select("_id", "n_words", F.concat(*[_labelled(p.split(), label) for p, label in PHRASES]).alias("base"),
-                       F.concat(*[_matches(label, t.split(), k.split(), idf) for label, t, k in TEMPLATES]).alias("found"))
+    rows = read.filter("at IS NOT NULL").select(
+        "_id", "n_words", F.concat(*[_labelled(p.split(), label, idf) for p, label in PHRASES]).alias("base"),
+        F.concat(*[_matches(label, t.split(), k.split(), idf) for label, t, k in TEMPLATES]).alias("found"))
     none = read.filter("at IS NULL").select("_id", "n_words", *[
         F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("base", "found")])
     return rows.unionByName(none)
 
 
-def _labelled(phrase: list[str], label: str) -> Column:
-    return F.transform(_places(phrase), lambda s: F.struct(s.alias("start"), F.lit(label).alias("label")))
+def _labelled(phrase: list[str], label: str, idf: dict[str, float]) -> Column:
+    return F.transform(_places(phrase, idf), lambda s: F.struct(s.alias("start"), F.lit(label).alias("label")))
 
 
 def _matches(label: str, template: list[str], key: list[str], idf: dict[str, float]) -> Column:
     """Places of one template: label, start, score."""
     at_key = next(o for o in range(len(template)) if template[o:o + len(key)] == key)
-    lists = F.filter(F.array(*[_shifted("top", w, o) for o, w in enumerate(template)]), lambda x: F.size(x) > 0)
-    pairs = F.flatten(F.transform(lists, lambda x, i: F.flatten(F.transform(
-        F.slice(lists, i + 2, F.size(lists)), lambda y: F.array_intersect(x, y)))))
-    agreed = F.when(F.size(lists) > 1, F.array_distinct(pairs)).otherwise(F.flatten(lists))
-    kept = F.array_intersect(agreed, F.transform(_places(key), lambda s: s - at_key))
+    kept = F.transform(_places(key, idf), lambda s: s - at_key)
     total = sum(idf[w] for w in template)
-    there = [(_shifted("at", w, o), idf[w] / total) for o, w in enumerate(template)]
+    shares = [idf[w] / total for w in template]
+    # a list of one struct, so that each word's places are computed once and not for every start
+    there = F.array(F.struct(kept.alias("kept"), *[_shifted("at", w, o).alias(f"p{o}") for o, w in enumerate(template)]))
 
-    def share(s: Column) -> Column:
-        parts = [F.when(F.array_contains(places, s), x).otherwise(0.0) for places, x in there]
+    def share(x: Column, s: Column) -> Column:
+        parts = [F.when(F.array_contains(x[f"p{o}"], s), v).otherwise(0.0) for o, v in enumerate(shares)]
         return sum(parts[1:], parts[0])
 
-    return F.transform(kept, lambda s: F.struct(F.lit(label).alias("label"), s.alias("start"), share(s).alias("score")))
+    return F.flatten(F.transform(there, lambda x: F.transform(x["kept"], lambda s: F.struct(
+        F.lit(label).alias("label"), s.alias("start"), share(x, s).alias("score")))))
 
 
 def report(found: DataFrame, ident: str = "doc_id") -> DataFrame:

@@ -124,6 +124,36 @@ def test_licenses_match_brute_force(spark):
     assert {"mit", "cc-by-nc", "proprietary", "gpl-3.0", "apache-2.0"} <= labels
 
 
+def brute_templates(text: str | None) -> tuple[str, float]:
+    """All labels: base phrases and key phrases wherever they stand; and how many template words may stand there."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    line = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)) + " "
+    labels = {x for p, x in licenses.PHRASES if f" {p} " in line} | {
+        x for x, _, k in licenses.TEMPLATES if f" {k} " in line}
+    return ",".join(sorted(labels)), float(any(f" {t} " in line for _, t, _ in licenses.TEMPLATES))
+
+
+def test_license_labels_of_several_licences_and_long_prose(spark):
+    rng = random.Random(9)
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    texts = ["Released under the MIT License. All rights reserved. Licensed under the GNU General Public License version 3",
+             "Released under the MIT License. Licensed under CC BY-NC 4.0. All rights reserved.", "CC BY-NC 4.0 applies",
+             "Apache License, Version 2.0, January 2004", "MIT License", "version 2.0 apache license"]
+    texts += [f"{bsd}. {t}" for _, t, _ in licenses.TEMPLATES] + [" / ".join(t for _, t, _ in licenses.TEMPLATES)]
+    vocab = licenses.vocabulary()
+    keys = [k for *_, k in licenses.TEMPLATES]
+    for _ in range(60):  # prose with stray template words around key phrases
+        parts = [" ".join(rng.choice([rng.choice(vocab), "word"]) for _ in range(rng.randrange(400))) for _ in range(4)]
+        texts.append(" - ".join(x for p in parts for x in (p, rng.choice(keys))))
+    rows = license_rows() + [(900 + k, t, "en", "s", 1) for k, t in enumerate(texts)]
+    got = licenses.report(licenses.scan(docs_of(spark, rows))).collect()
+    want = [(r[0], *brute_templates(r[1])) for r in rows]
+    assert Counter((r["doc_id"], r["labels"]) for r in got) == Counter(w[:2] for w in want)
+    whole = {w[0]: w[2] for w in want}
+    for r in got:  # the whole template gives 1, else the key phrase alone gives a part of it
+        assert (r["score"] > 1 - 1e-9) == (whole[r["doc_id"]] == 1)
+
+
 def test_document_frequencies_count_all_files(spark):
     rows = license_rows()
     df, n = licenses.document_frequencies(licenses.read_words(docs_of(spark, rows)))
