@@ -13,6 +13,12 @@ with its article element renamed or dropped, and with sidebars, notices,
 forms, adverts, headers and reader comments added, whose labels are known by
 construction. Blocks, not pages, come to the driver.
 
+Read as text is all but tags, comments, ``script``, ``style`` and the contents of a
+closed ``template``, which no browser shows. Formulas, drawings and the
+fall-backs of ``noscript``, ``object``, ``iframe`` and the like are text that the CRF
+judges; one of them (or a ``template``) left open hides nothing, while an
+unclosed script or style reaches to the end of the page, as in browsers.
+
 Defined cases: null and empty html give an empty text; markup that breaks off
 is closed at the end of the page, an unfinished tag is dropped; pages without
 any main block give an empty text; repeated rows are extracted each; no
@@ -41,7 +47,9 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body caption center d
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
 option p pre search section select summary table tbody td tfoot th thead title tr ul button textarea label""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template iframe noembed noframes svg math object".split())
+RAW_TAGS = frozenset("script style".split())
+#: Elements whose text is a block of its own, but that leave an open paragraph open.
+APART_TAGS = frozenset("iframe noembed noframes noscript object svg template".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 SAME_CLOSES = frozenset("li dd dt option tr td th thead tbody tfoot p".split())
 NOT_MAIN_TAGS = frozenset("""nav aside footer form header menu button select option textarea label fieldset dialog
@@ -81,12 +89,13 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     links = [0, 0]  # characters in links, all characters
+    hidden: dict[int, int] = {}  # place of an open template on the stack -> number of blocks before it
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                path = tuple(x for x in stack if x[0] in BLOCK_TAGS or x[1])
+                path = tuple(x for x in stack if x[0] in BLOCK_TAGS or x[0] in APART_TAGS or x[1])
                 out.append(Block(path, text, links[0] / max(links[1], 1)))
             parts.clear()
         links[0] = links[1] = 0
@@ -113,11 +122,14 @@ def blocks(page: str | None) -> list[Block]:
             break
         name = name.lower()
         if m.group(1):
-            if name in BLOCK_TAGS:
+            apart = name in BLOCK_TAGS or name in APART_TAGS
+            if apart:
                 flush()
             if any(x[0] == name for x in stack):
                 close(name)
-            in_link = sum(x[0] == "a" for x in stack) if name in BLOCK_TAGS or name == "a" else in_link
+                if name == "template":
+                    del out[hidden[len(stack)]:]
+            in_link = sum(x[0] == "a" for x in stack) if apart or name == "a" else in_link
             continue
         if name in RAW_TAGS:
             if not m.group(3).rstrip().endswith("/"):
@@ -131,11 +143,15 @@ def blocks(page: str | None) -> list[Block]:
             elif any(x[0] in CLOSED_BY_BLOCK for x in stack):
                 # a block closes an open paragraph, with whatever is open inside it
                 at = max(k for k, x in enumerate(stack) if x[0] in CLOSED_BY_BLOCK)
-                if all(x[0] not in BLOCK_TAGS for x in stack[at + 1:]):
+                if all(x[0] not in BLOCK_TAGS and x[0] not in APART_TAGS for x in stack[at + 1:]):
                     del stack[at:]
+        elif name in APART_TAGS:
+            flush()
         elif name == "br":
             parts.append(" ")
         if name not in VOID_TAGS and not m.group(3).rstrip().endswith("/"):
+            if name == "template":
+                hidden[len(stack)] = len(out)
             stack.append((name, _attr_words(m.group(3))))
             in_link += name == "a"
     flush()

@@ -101,6 +101,29 @@ def test_extraction_edge_pages(spark):
     assert H.extracted(df, H.train(df.limit(0))).count() == len(rows)
 
 
+def test_extraction_reads_all_but_scripts_styles_and_templates(spark):
+    crf = trained(spark)
+
+    def read(body: str) -> str:
+        return H.main_text(f"<body><nav>Home</nav><article>{body}</article><footer>end</footer>", crf, {})
+
+    start, rest = "<p>A first paragraph of words.", "<p>The rest of it.</p><p>And more.</p>"
+    plain = "A first paragraph of words. The rest of it. And more."
+    assert read("<p>Let <math><mi>x</mi></math> be.</p>") == "Let x be."
+    assert read("<p>Let <math><mi>x<mi></p><p>be.</p>") == "Let x be."
+    for name in ("noscript", "object", "iframe", "noembed", "noframes", "svg"):
+        assert read(f"{start}</p><{name}><p>A text in {name}.</p></{name}>{rest}") == plain.replace(
+            "words.", f"words. A text in {name}.")
+    for name in ("svg", "math", "object", "noscript", "iframe", "noembed", "noframes", "template"):
+        assert read(f"{start}<{name} id=x>{rest}") == read(f"{start}</p><{name}>{rest}") == plain, name
+    # scripts, styles and closed templates are hidden, with all inside them
+    for name in ("script", "style", "template"):
+        assert read(f"{start}<{name}><p>Hidden.</p></{name}>{rest}") == plain
+    assert read(f"{start}<template><template>a</template><div>b</div></template>{rest}") == plain
+    assert read(f"{start}</p><template><div>Open.<template>a</template>{rest}") == plain.replace("The", "Open. The")
+    assert read(f'{start}<svg><title>Icon</title></svg> It goes on.</p>{rest}') == plain.replace("The", "It goes on. The")
+
+
 def test_viterbi_is_the_best_labelling():
     rng = np.random.default_rng(1)
     for n in (1, 2, 6):
