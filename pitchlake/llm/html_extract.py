@@ -6,7 +6,8 @@ every block as main text or not; Viterbi finds the best labelling of the whole
 page. The text is that of the main blocks, in page order.
 
 Training pages are at most ``TRAIN_PAGES`` pages of the table (those with the
-smallest hash of their identifier). Their blocks are labelled by the page's
+smallest hash of their identifier; of repeated identifiers the page with the
+smallest hash). Their blocks are labelled by the page's
 own markup: a block is main text if it lies in ``article`` or ``main`` and in
 nothing that serves another purpose. Each page also enters in altered copies:
 with its article element renamed or dropped, and with sidebars, notices,
@@ -316,8 +317,11 @@ def train(pages: DataFrame, ident: str = "page_id", text: str = "html", max_page
     # identifiers first: only the chosen pages' texts travel
     chosen = pages.filter(has_main).select(F.col(ident).alias("_id")).distinct() \
         .orderBy(F.xxhash64("_id"), "_id").limit(max_pages)
-    picked = pages.select(F.col(ident).alias("_id"), F.col(text).alias("_html")) \
+    picked = pages.filter(has_main).select(F.col(ident).alias("_id"), F.col(text).alias("_html")) \
         .join(F.broadcast(chosen), "_id")
+    # one page an identifier, however often it is repeated
+    least = F.min(F.struct(F.xxhash64("_html").alias("h"), F.col("_html").alias("t")))
+    picked = picked.groupBy("_id").agg(least.alias("_least")).select("_id", F.col("_least.t").alias("_html"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -337,9 +341,9 @@ def train(pages: DataFrame, ident: str = "page_id", text: str = "html", max_page
     kind = picked.schema["_id"].dataType.simpleString()
     got = picked.mapInArrow(scan, f"_id {kind}, names array<array<string>>, words array<array<string>>, "
                                   "texts array<string>, linked array<double>").toArrow().to_pylist()
-    got.sort(key=lambda r: (str(r["_id"]), r["texts"]))
+    got.sort(key=lambda r: str(r["_id"]))
     rng, data, cache = np.random.default_rng(23), [], {}
-    for r in got[:max_pages]:
+    for r in got:
         page = [Block(tuple((a, tuple(w.split())) for a, w in zip(n, ws, strict=True)), t, x)
                 for n, ws, t, x in zip(r["names"], r["words"], r["texts"], r["linked"], strict=True)]
         labelled = [(b, marked(b)) for b in page]

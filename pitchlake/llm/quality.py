@@ -9,8 +9,9 @@ times ``SCALE``. A score is the sparse dot product of these values with the
 weights, through the logistic function.
 
 Training reads at most ``TRAIN_ROWS`` labelled rows (those with the smallest
-hash of their identifier, so the choice does not depend on partitioning),
-never one of the held-out fold. Their hashed features, not their texts, come
+hash of their identifier, so the choice does not depend on partitioning; one
+row an identifier, that with the smallest hash of its text), never one of the
+held-out fold. Their hashed features, not their texts, come
 to the driver. Scoring covers all rows, task by task, with the weights in a
 broadcast of fixed size.
 
@@ -97,6 +98,9 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
              .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
     # at most max_rows narrow rows: a broadcast of bounded size
     picked = docs.select(F.col(ident).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(known), "_id")
+    # one row an identifier, however often it is repeated
+    least = F.min(F.struct(F.xxhash64("_text").alias("h"), F.col("_text").alias("t")))
+    picked = picked.groupBy("_id", "_y").agg(least.alias("_least")).select("_id", F.col("_least.t").alias("_text"), "_y")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -110,11 +114,11 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
                  pa.array(counts, pa.list_(pa.int64()))], ["_id", "_y", "ids", "counts"])
 
     kind = picked.schema["_id"].dataType.simpleString()
-    got = picked.select("_id", "_text", "_y").mapInArrow(
+    got = picked.mapInArrow(
         scan, f"_id {kind}, _y int, ids array<long>, counts array<long>").toArrow().to_pylist()
-    got.sort(key=lambda r: (str(r["_id"]), r["ids"], r["counts"]))
+    got.sort(key=lambda r: str(r["_id"]))
     rows = []
-    for r in got[:max_rows]:
+    for r in got:
         c = np.array(r["counts"], float)
         rows.append((np.append(np.array(r["ids"], np.int64), _SIZE),
                      np.append(c * (SCALE / max(c.sum() / 3, 1.0)), 1.0), int(r["_y"] > 0)))

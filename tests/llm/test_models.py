@@ -46,6 +46,22 @@ def test_quality_edge_rows(spark):
     assert quality.keep_good(docs, labels.filter("false")).columns == docs.columns
 
 
+def test_training_takes_one_row_an_identifier(spark, monkeypatch):
+    rows = [(1, f"copy {k}", "en", "s", 1) for k in range(200)] + [(k, f"text {k}", "en", "s", 1) for k in range(2, 40)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(1, 40)], "doc_id long, quality int, toxic int")
+    got = []
+    monkeypatch.setattr(quality, "ftrl", lambda r, **_: got.append(r))
+    quality.train(docs_of(spark, rows), labels)
+    assert len(got[0]) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(1, 40))
+    quality.train(docs_of(spark, rows[::-1]).repartition(7), labels)
+    assert [[list(map(float, x)) for x in r[:2]] for r in got[0]] == [[list(map(float, x)) for x in r[:2]] for r in got[1]]
+    pages = [(1, f"<article><p>copy {k}</p></article>") for k in range(50)] + [(1, "<p>no main</p>")]
+    pages += [(k, f"<main><p>text {k}</p></main>") for k in range(2, 6)]
+    monkeypatch.setattr(H, "fit", lambda data: got.append(data))
+    H.train(spark.createDataFrame(pages, "page_id long, html string"))
+    assert len(got[2]) == 3 * 5  # every page and two altered copies
+
+
 PAGE = ('<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>'
         '<nav><ul><li><a href="/a">A</a></li></ul></nav><div class="{main}"><h1>Head &amp; line</h1>'
         '<p>Hello <b>wor</b>ld, a paragraph of the article.<br>Next line.<p>Another one with words in it.'
