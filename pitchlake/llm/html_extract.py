@@ -7,12 +7,15 @@ page. The text is that of the main blocks, in page order.
 
 Training pages are at most ``TRAIN_PAGES`` pages of the table (those with the
 smallest hash of their identifier; of repeated identifiers the page with the
-smallest hash). Their blocks are labelled by the page's
+smallest hash). They are read whole: pages that can't have more than
+``TRAIN_BLOCKS`` blocks (by their number of tags) are taken first, then longer
+ones, shortest first, while ``TRAIN_PAGES`` times as many blocks are not
+exceeded, and always one. Their blocks are labelled by the page's
 own markup: a block is main text if it lies in ``article`` or ``main`` and in
 nothing that serves another purpose. Each page also enters in altered copies:
 with its article element renamed or dropped, and with sidebars, notices,
 forms, adverts, headers and reader comments added, whose labels are known by
-construction. Blocks, not pages, come to the driver.
+construction. Paths and features of blocks, not texts, come to the driver.
 
 Read as text is all but tags, comments, ``script``, ``style`` and the contents of a
 closed ``template``, which no browser shows. Formulas, drawings and the
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.llm.common import table
 
-TRAIN_PAGES, EPOCHS, RATE, L2 = 300, 12, 0.3, 1e-4
+TRAIN_PAGES, TRAIN_BLOCKS, EPOCHS, RATE, L2 = 300, 5000, 12, 0.3, 1e-4
 
 # Element names of HTML and words of class, id and role attributes.
 BLOCK_TAGS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt
@@ -77,6 +80,15 @@ class Block(NamedTuple):
     linked: float
 
 
+class Seen(NamedTuple):
+    """What the CRF sees of a block: its path, the features and length of its whole text, the share in links."""
+
+    path: tuple[tuple[str, tuple[str, ...]], ...]
+    own: tuple[str, ...]
+    n: int
+    linked: float
+
+
 def _attr_words(attrs: str) -> tuple[str, ...]:
     if "=" not in attrs:
         return ()
@@ -178,28 +190,31 @@ def _path_features(path: tuple) -> list[str]:
     return sorted(out)
 
 
-def _text_features(b: Block) -> list[str]:
-    t, n = b.text, len(b.text)
-    out = [f"len:{min(n, 1000).bit_length()}", f"linked:{int(b.linked * 4)}"]
+def _text_features(t: str) -> tuple[str, ...]:
+    out = [f"len:{min(len(t), 1000).bit_length()}"]
     if t[-1] in ".!?…":
         out.append("ends")
     if "©" in t:
         out.append("copyright")
-    return out
+    return tuple(out)
+
+
+def seen(b: Block) -> Seen:
+    return Seen(b.path, _text_features(b.text), len(b.text), b.linked)
 
 
-def observed(page: list[Block], cache: dict) -> list[list[str]]:
+def observed(page: list[Seen], cache: dict) -> list[list[str]]:
     """The features of each block of a page."""
     out = []
     for k, b in enumerate(page):
         if b.path not in cache:
             cache[b.path] = _path_features(b.path)
-        out.append([*cache[b.path], *_text_features(b), *(["first"] if k == 0 else []),
+        out.append([*cache[b.path], *b.own, f"linked:{int(b.linked * 4)}", *(["first"] if k == 0 else []),
                     *(["last"] if k == len(page) - 1 else [])])
     return out
 
 
-def marked(b: Block) -> int:
+def marked(b: Block | Seen) -> int:
     """The label that a block's own markup gives it."""
     names = [x[0] for x in b.path]
     other = any(n in NOT_MAIN_TAGS and not (n == "header" and "article" in names[:k])
@@ -207,18 +222,18 @@ def marked(b: Block) -> int:
     return int(("article" in names or "main" in names) and not other)
 
 
-def altered(page: list[tuple[Block, int]], rng: np.random.Generator) -> list[tuple[Block, int]]:
+def altered(page: list[tuple[Seen, int]], rng: np.random.Generator) -> list[tuple[Seen, int]]:
     """A copy of a labelled page with another main element and with added boilerplate of known label."""
     # the main element: kept, renamed, a named division, or a division without a name
     kind = rng.integers(4)
     main = [("article", ()), ("main", ()), ("div", ("content",)), ("div", ())][kind]
 
-    def moved(b: Block, y: int) -> Block:
+    def moved(b: Seen, y: int) -> Seen:
         return b._replace(path=tuple(main if y and x[0] in ("article", "main") else x for x in b.path))
 
     out = [(moved(b, y), y) for b, y in page]
     base = (("html", ()), ("body", ()))
-    texts = [b.text for b, _ in page if len(b.text) > 5] or ["text"]
+    texts = [(b.own, b.n) for b, _ in page if b.n > 5] or [(_text_features("text"), 4)]
     words = sorted(NOT_MAIN_WORDS)
     places = [(("aside", ()),), (("header", ()),), (("form", ()), ("label", ())), (("nav", ()),), (("footer", ()),),
               (("form", ()), ("button", ())), (("form", ()), ("p", ()))]
@@ -231,7 +246,7 @@ def altered(page: list[tuple[Block, int]], rng: np.random.Generator) -> list[tup
         at = int(rng.integers(len(out) + 1))
         for _ in range(int(rng.integers(1, 4))):
             text = texts[rng.integers(len(texts))]
-            out.insert(at, (Block((*base, *inside, *own), text, float(rng.random() < 0.3)), 0))
+            out.insert(at, (Seen((*base, *inside, *own), *text, float(rng.random() < 0.3)), 0))
     return out
 
 
@@ -311,41 +326,52 @@ def fit(pages: list[tuple[list[list[str]], list[int]]]) -> Crf:
     return Crf(index, unary, step)
 
 
-def train(pages: DataFrame, ident: str = "page_id", text: str = "html", max_pages: int = TRAIN_PAGES) -> Crf:
-    """A CRF from at most ``max_pages`` pages that their own markup labels."""
+def train(pages: DataFrame, ident: str = "page_id", text: str = "html", max_pages: int = TRAIN_PAGES,
+          max_blocks: int = TRAIN_BLOCKS) -> Crf:
+    """A CRF from at most ``max_pages`` whole pages that their own markup labels, with at most
+    ``max_pages * max_blocks`` blocks unless a single page has more."""
     has_main = F.lower(F.col(text)).rlike("<(article|main)[ >]")
+    # a block ends at a tag or at the page's end, so a page has at most one more than "<"
+    most = F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit("<"), F.lit(""))) + 1
+    labelled = pages.filter(has_main).select(F.col(ident).alias("_id"), F.col(text).alias("_html"),
+                                             F.greatest(most, F.lit(max_blocks)).alias("_most"))
     # identifiers first: only the chosen pages' texts travel
-    chosen = pages.filter(has_main).select(F.col(ident).alias("_id")).distinct() \
-        .orderBy(F.xxhash64("_id"), "_id").limit(max_pages)
-    picked = pages.filter(has_main).select(F.col(ident).alias("_id"), F.col(text).alias("_html")) \
-        .join(F.broadcast(chosen), "_id")
+    first = labelled.groupBy("_id").agg(F.min("_most").alias("_most")) \
+        .orderBy("_most", F.xxhash64("_id"), "_id").limit(max_pages)
+    chosen, room = [], max_pages * max_blocks
+    for r in first.collect():  # at most max_pages narrow rows
+        if not chosen or r["_most"] <= room:
+            chosen.append(r["_id"])
+            room -= r["_most"]
+    picked = labelled.filter(F.col("_id").isin(chosen))
     # one page an identifier, however often it is repeated
-    least = F.min(F.struct(F.xxhash64("_html").alias("h"), F.col("_html").alias("t")))
+    least = F.min(F.struct("_most", F.xxhash64("_html").alias("h"), F.col("_html").alias("t")))
     picked = picked.groupBy("_id").agg(least.alias("_least")).select("_id", F.col("_least.t").alias("_html"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, words, texts, linked = [], [], [], []
+            names, words, own, sizes, linked = [], [], [], [], []
             for h in b.column("_html"):
-                found = blocks(h.as_py())[:5000]  # of a training page; extraction reads all blocks
+                found = [seen(k) for k in blocks(h.as_py())]
                 names.append([[x[0] for x in k.path] for k in found])
                 words.append([[" ".join(x[1]) for x in k.path] for k in found])
-                # features need a text's length and ends, not its middle
-                texts.append([k.text if len(k.text) <= 1000 else k.text[:500] + k.text[-500:] for k in found])
+                own.append([k.own for k in found])
+                sizes.append([k.n for k in found])
                 linked.append([k.linked for k in found])
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), pa.array(names, pa.list_(pa.list_(pa.string()))),
-                 pa.array(words, pa.list_(pa.list_(pa.string()))), pa.array(texts, pa.list_(pa.string())),
-                 pa.array(linked, pa.list_(pa.float64()))], ["_id", "names", "words", "texts", "linked"])
+                 pa.array(words, pa.list_(pa.list_(pa.string()))), pa.array(own, pa.list_(pa.list_(pa.string()))),
+                 pa.array(sizes, pa.list_(pa.int64())), pa.array(linked, pa.list_(pa.float64()))],
+                ["_id", "names", "words", "own", "sizes", "linked"])
 
     kind = picked.schema["_id"].dataType.simpleString()
     got = picked.mapInArrow(scan, f"_id {kind}, names array<array<string>>, words array<array<string>>, "
-                                  "texts array<string>, linked array<double>").toArrow().to_pylist()
+                                  "own array<array<string>>, sizes array<long>, linked array<double>").toArrow().to_pylist()
     got.sort(key=lambda r: str(r["_id"]))
     rng, data, cache = np.random.default_rng(23), [], {}
     for r in got:
-        page = [Block(tuple((a, tuple(w.split())) for a, w in zip(n, ws, strict=True)), t, x)
-                for n, ws, t, x in zip(r["names"], r["words"], r["texts"], r["linked"], strict=True)]
+        page = [Seen(tuple((a, tuple(w.split())) for a, w in zip(n, ws, strict=True)), tuple(f), k, x)
+                for n, ws, f, k, x in zip(r["names"], r["words"], r["own"], r["sizes"], r["linked"], strict=True)]
         labelled = [(b, marked(b)) for b in page]
         for version in (labelled, altered(labelled, rng), altered(labelled, rng)):
             data.append((observed([b for b, _ in version], cache), [y for _, y in version]))
@@ -357,7 +383,7 @@ def main_text(page: str | None, crf: Crf, cache: dict) -> str:
     found = blocks(page)
     if not found:
         return ""
-    labels = crf.decode(crf.scores(observed(found, cache)))
+    labels = crf.decode(crf.scores(observed([seen(b) for b in found], cache)))
     return " ".join(b.text for b, y in zip(found, labels, strict=True) if y)
 
 

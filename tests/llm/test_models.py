@@ -62,6 +62,25 @@ def test_training_takes_one_row_an_identifier(spark, monkeypatch):
     assert len(got[2]) == 3 * 5  # every page and two altered copies
 
 
+def test_training_pages_are_read_whole(spark, monkeypatch):
+    long = "<article>" + "<p>word</p>" * 5999 + "</article><footer>end</footer>"
+    mark = "<article><p>" + "a " * 600 + "© " + "b " * 600 + "</p></article>"
+    got = []
+    monkeypatch.setattr(H, "fit", lambda data: got.append(data))
+    H.train(spark.createDataFrame([(1, long), (2, mark)], "page_id long, html string"))
+    pages = sorted((obs for obs, _ in got[0][::3]), key=len)
+    assert [len(p) for p in pages] == [1, 6000] and "copyright" in pages[0][0]
+    assert "last" not in pages[1][4999] and {"last", "in:footer"} <= set(pages[1][5999])
+    # pages within the bound come first; a longer one only if there is room for the whole of it
+    rows = [(k, "<main>" + f"<p>word {k}</p>" * (3 if k % 2 else 40) + "</main>") for k in range(10)]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    for most, want in ((10, [3]), (20, [3, 40])):
+        H.train(df, max_pages=10, max_blocks=most)
+        assert sorted({len(obs) for obs, _ in got[-1][::3]}) == want
+    H.train(df.filter("page_id % 2 = 0"), max_pages=2, max_blocks=5)
+    assert [len(obs) for obs, _ in got[-1][::3]] == [40]
+
+
 PAGE = ('<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>'
         '<nav><ul><li><a href="/a">A</a></li></ul></nav><div class="{main}"><h1>Head &amp; line</h1>'
         '<p>Hello <b>wor</b>ld, a paragraph of the article.<br>Next line.<p>Another one with words in it.'
