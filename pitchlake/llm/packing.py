@@ -10,9 +10,10 @@ search starts at the successor of the piece's length and goes on, a block of
 bins at a time, until the first compatible bin, which is the tightest; only
 when there is none a new bin opens.
 
-Packing runs in shards of about ``BINS_PER_SHARD`` bins, dealt by a hash of
-identifier and text, so a source or cluster of any size spreads over all
-shards. Only lengths and keys are shuffled, never texts.
+Packing runs in shards of about ``BINS_PER_SHARD`` bins, or of about
+``PIECES_PER_SHARD`` pieces where texts are so short that this gives more
+shards, dealt by a hash of identifier and text, so a source or cluster of any
+size spreads over all shards. Only lengths and keys are shuffled, never texts.
 
 Defined cases: null and empty texts get one piece of length 0; a null source
 conflicts with nothing; without a cluster column, texts that are equal but for
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from pitchlake.llm.common import table, text_of
 
-#: Characters of a bin, about 2,048 tokens; bins that a shard is meant to fill.
-CAPACITY, BINS_PER_SHARD = 8192, 256
+#: Characters of a bin, about 2,048 tokens; bins that a shard is meant to fill; pieces that it is meant to hold.
+CAPACITY, BINS_PER_SHARD, PIECES_PER_SHARD = 8192, 256, 4096
 _BLOCK = 64
 _OUT = "bin_id long, position int, doc_id {}, piece int, start long, length int, residual int"
 
@@ -95,7 +96,7 @@ def _codes(keys: pd.Series, shared: bool) -> np.ndarray:
 
 def pack(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source",
          cluster: Column | None = None, capacity: int = CAPACITY,
-         bins_per_shard: int = BINS_PER_SHARD) -> DataFrame:
+         bins_per_shard: int = BINS_PER_SHARD, pieces_per_shard: int = PIECES_PER_SHARD) -> DataFrame:
     """One row per piece: bin_id, position in the bin, identifier, piece number, start, length
     (characters) and the bin's residual."""
     t = text_of(text)
@@ -104,8 +105,9 @@ def pack(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str
     rows = docs.select(F.col(ident).alias("doc_id"), F.length(t).cast("long").alias("_n"),
                        F.col(source).alias("_source"), cluster.alias("_cluster"),
                        F.xxhash64(F.col(ident), t).alias("_h"))
-    total = docs.select(F.sum(F.length(t).cast("long"))).first()[0] or 0
-    shards = max(1, -(-int(total) // (capacity * bins_per_shard)))
+    n = F.length(t).cast("long")
+    total, pieces = docs.select(F.sum(n), F.sum(F.greatest(F.ceil(n / capacity), F.lit(1)))).first()
+    shards = max(1, -(-int(total or 0) // (capacity * bins_per_shard)), -(-int(pieces or 0) // pieces_per_shard))
     numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_n") / capacity).cast("int") - 1, F.lit(0)))
     split = rows.withColumn("piece", F.explode(numbers)).withColumns({
         "start": F.col("piece").cast("long") * capacity,

@@ -151,3 +151,11 @@ def test_pack_round_trip_and_constraints(spark, bins_per_shard):
         groups = [cluster[r["doc_id"]] for r in rs if r["doc_id"] is not None]
         assert len(groups) == len(set(groups))
     assert packing.pack(docs_of(spark, [])).count() == 0
+
+
+def test_short_texts_are_dealt_over_shards(spark):
+    rows = [(k, ("", None, "a")[k % 3], "en", None, 0) for k in range(5000)]
+    got = packing.pack(docs_of(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(5000))
+    per_shard = Counter(r["bin_id"] >> 32 for r in got)
+    assert set(per_shard) == {0, 1} and max(per_shard.values()) < 3000
