@@ -16,7 +16,8 @@ Status of a revisit: ``resolved`` (a validator that both have agrees),
 (they share none), ``no_response`` (no earlier full response).
 
 Defined cases: earlier means strictly earlier; of responses at the same time
-the largest record wins; a record without URL or time is never matched; rows
+the largest record wins; a record without URL (null or blank) or time is never
+matched; a URL without ``scheme://`` matches only the same spelling; rows
 repeated with the same record come back once each; null headers are empty; an
 empty table gives an empty result; other columns never take part.
 """
@@ -37,8 +38,10 @@ _TRACKING = r"(utm_[a-z]+|ref|gclid|fbclid|session|sid)"
 
 def canonical_url(url: Column) -> Column:
     """Scheme and host in lower case, http for https, without default port, user, fragment, tracking
-    parameters, index page or trailing slash; parameters in order."""
-    u = F.regexp_replace(F.trim(url), "#.*$", "")
+    parameters, index page or trailing slash; parameters in order. Without ``scheme://`` the trimmed URL
+    itself, null if empty."""
+    own = F.trim(url)
+    u = F.regexp_replace(own, "#.*$", "")
     host = F.lower(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)", 1))
     host = F.regexp_replace(host, r":(80|443)$", "")
     path = F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1)
@@ -46,7 +49,8 @@ def canonical_url(url: Column) -> Column:
     params = F.array_sort(F.filter(F.split(F.regexp_extract(u, r"\?(.*)$", 1), "&"),
                                    lambda p: (p != "") & ~p.rlike(f"^{_TRACKING}(=|$)")))
     query = F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise("")
-    return F.concat(F.lit("http://"), host, path, query)
+    return F.when(own.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.concat(F.lit("http://"), host, path, query)).when(
+        own != "", own)
 
 
 def _strong(etag: Column) -> Column:

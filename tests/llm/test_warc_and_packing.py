@@ -159,3 +159,22 @@ def test_short_texts_are_dealt_over_shards(spark):
     assert sorted(r["doc_id"] for r in got) == list(range(5000))
     per_shard = Counter(r["bin_id"] >> 32 for r in got)
     assert set(per_shard) == {0, 1} and max(per_shard.values()) < 3000
+
+
+@pytest.mark.parametrize("url,want", [
+    ("example.com/a", "example.com/a"), (" //host/x?b&a ", "//host/x?b&a"), ("dns:host", "dns:host"),
+    ("", None), ("  ", None), (None, None)])
+def test_canonical_url_without_scheme(spark, url, want):
+    got = spark.createDataFrame([(url,)], "u string").select(warc.canonical_url(F.col("u"))).first()[0]
+    assert got == want
+
+
+def test_urls_without_scheme_match_only_themselves(spark):
+    urls = ["example.com/a", "//host/x", "dns:host", "http://host/x"]
+    rows = [(k, u, 10, "response", None, "m", f"d{k}", None, "x") for k, u in enumerate(urls)]
+    rows.append((9, "", 10, "response", None, "m", "d9", None, "x"))
+    asked = [*urls, "example.com/b", "//host/y", "dns:other", "", "  ", None]
+    rows += [(20 + k, u, 20, "revisit", None, "m", None, None, "x") for k, u in enumerate(asked)]
+    got = {r["record_id"]: (r["status"], r["response_id"], r["digest"]) for r in
+           warc.resolve(spark.createDataFrame(rows, REC)).collect()}
+    assert got == {20 + k: ("resolved", k, f"d{k}") if k < 4 else ("no_response", None, None) for k in range(len(asked))}
