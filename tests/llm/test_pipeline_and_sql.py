@@ -9,7 +9,7 @@ from tests.conftest import SF01, SF001
 from tests.llm.helpers import docs_of, edge_rows
 from tests.llm.test_exact_and_near import brute_components, brute_fingerprint
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
