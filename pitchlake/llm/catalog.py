@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchlake.llm import decontaminate, exact_dedup, html_extract, licenses, packing, passage_dedup, periodic, quality, secrets, simhash, suffix_dedup, warc
+from pitchlake.llm import decontaminate, exact_dedup, html_extract, licenses, packing, passage_dedup, periodic, quality, secrets, simhash, suffix_dedup, vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix_dedup.query,
@@ -19,8 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_dedup.query,
     "op9_simhash_near_dedup": simhash.query,
     "op10_benchmark_decontamination": decontaminate.query,
+    "op11_vector_code_compression": vector_codes.query,
     "op12_substring_dedup": passage_dedup.query,
     "op13_periodic_runs": periodic.query,
 }
 ORACLES: dict[str, str] = {"op1_suffix_array_dedup": suffix_dedup.ORACLE, "op5_warc_revisits": warc.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE,
+                           "op11_vector_code_compression": vector_codes.query,
+    "op11_vector_code_compression": vector_codes.ORACLE,
                            "op12_substring_dedup": passage_dedup.ORACLE, "op13_periodic_runs": periodic.ORACLE}
