@@ -14,6 +14,7 @@ from pitchlake.plans.catalog import _EV_COLS, GOLD_SELECT, register
 from pitchlake.plans.context import Layers
 from pitchlake.session import scratch_lake
 from pitchlake.sources import bronze as B
+from pitchlake.sources.landing import LandedFeed
 
 _INGESTED_EPOCH = int(B.DEFAULT_INGESTED_AT.timestamp())
 _BRONZE_EV_COLS = ("match_id, team_id, team, player_id, player, type, period, minute, second, "
@@ -123,6 +124,62 @@ def _multi_file_scan(L: Layers) -> DataFrame:
     return df.withColumn("carry_end_location", F.coalesce("carry_end_location", F.lit("nan")))
 
 
+def _deliver(L: Layers, fmt: str) -> str:
+    """The feed as files, its events with nested values and a field that no schema knows."""
+    folder = f"{scratch_lake(L.spark)}/feed"
+
+    def xy(c):
+        return F.when(F.col(c) != "nan", F.from_json(F.col(c), "array<double>")).alias(c)
+    nested = ("location", "carry_end_location", "under_pressure")
+    L.feed.events.select(
+        *[c for c in L.feed.events.columns if c not in nested], xy("location"), xy("carry_end_location"),
+        F.when(F.col("under_pressure") == "True", F.lit(True)).alias("under_pressure"),
+        F.when(F.col("type") == "Pass", F.col("event_order") % 23).alias("pass_recipient_id"),
+    ).write.format(fmt).save(f"{folder}/events")
+    for name in ("matches", "lineups", "competitions"):
+        getattr(L.feed, name).write.format(fmt).save(f"{folder}/{name}")
+    return folder
+
+
+def _landed(L: Layers, fmt: str) -> DataFrame:
+    root = scratch_lake(L.spark)
+    P.ingest(LandedFeed(L.spark, _deliver(L, fmt), fmt), root)
+    return B.scan_with(L.spark, B.paths(root)["events"], _schemas.BRONZE_EVENTS, ["pass_recipient_id"])
+
+
+_LANDED_SQL = f"""SELECT match_id, team_id, team, player_id, player, type, period, minute, second,
+  nullif(location, 'nan') AS location, possession_team, play_pattern,
+  nullif(carry_end_location, 'nan') AS carry_end_location, {r6('shot_statsbomb_xg', 'shot_statsbomb_xg')},
+  shot_body_part, shot_outcome, CASE WHEN under_pressure = 'True' THEN 'true' END AS under_pressure,
+  event_order, competition_id, season_id, {_AUDIT},
+  CASE WHEN type = 'Pass' THEN CAST(event_order % 23 AS VARCHAR) END AS pass_recipient_id FROM bronze_events"""
+
+
+@register("landed_feed_json", _LANDED_SQL)
+def _landed_feed_json(L: Layers) -> DataFrame:
+    # JSON lines: the unknown field lies in the VARIANT column of Bronze
+    return _landed(L, "json")
+
+
+@register("landed_feed_parquet", _LANDED_SQL)
+def _landed_feed_parquet(L: Layers) -> DataFrame:
+    # Parquet files: the unknown field is a column of Bronze
+    return _landed(L, "parquet")
+
+
+@register("drifted_lake", f"SELECT {_EV_COLS} FROM silver_events")
+def _drifted_lake(L: Layers) -> DataFrame:
+    # Bronze as another writer leaves it: one season's files have ids and clock as text; transform runs over both
+    root = scratch_lake(L.spark)
+    ev, path = L.bronze_events, B.paths(root)["events"]
+    season = F.col("season_id") == 27
+    text = [F.col(c).cast("string").alias(c) if c in ("match_id", "player_id", "minute") else F.col(c) for c in ev.columns]
+    for part in (ev.where(~season), ev.where(season).select(*text)):
+        part.write.mode("append").partitionBy(*B.SEASON_PARTS).parquet(path)
+    P.transform(L.spark, root)
+    return P.read_silver(L.spark, root, "events").select(*_schemas.SILVER_EVENTS.fieldNames())
+
+
 @register("normalize_match_id", """SELECT CAST(match_id AS BIGINT) AS match_id, competition_id,
   season_id, match_date FROM bronze_matches""")
 def _normalize_match_id(L: Layers) -> DataFrame:

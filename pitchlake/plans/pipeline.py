@@ -27,6 +27,7 @@ from pitchlake.operators import silver as S
 from pitchlake.session import join_path
 from pitchlake.sources import bronze as B
 from pitchlake.sources.adapter import Feed
+from pitchlake.sources.drift import or_by_groups
 
 SILVER_EVENT_TABLES = ("events", "shots", "pressures", "carries")
 SILVER_SCHEMAS = schemas.SILVER
@@ -75,7 +76,7 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
     else:
         spark = feed.spark
         B.land_events(events, root, ingested_at, source)
-        stored = feed.from_events(wanted(B.scan_events(spark, root)))
+        stored = feed.from_events(B.scan_events(spark, root, seasons))
         matches = B.limit_matches(stored.matches, limit)
         lineups = B.events_of_matches(stored.lineups, matches) if limit else stored.lineups
         competitions = stored.competitions if cond is None else feed.competitions
@@ -91,20 +92,26 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
     ], workers)
 
 
-def _silver_tasks(spark: SparkSession, root: str,
-                  seasons: Sequence[tuple[int, int]] | None) -> dict[str, Callable[[], int]]:
-    """One write job per Silver table whose Bronze source has been landed."""
+def _silver_tasks(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] | None,
+                  drifted: bool = False) -> dict[str, Callable[[], int]]:
+    """One write job per Silver table whose Bronze source has been landed; ``drifted`` reads Bronze by
+    groups of files with the same types."""
     def write(table: str, df: DataFrame):
         return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
                                            cluster_by=("match_id",))
 
+    def bronze(table: str, schema: T.StructType) -> DataFrame:
+        path = B.paths(root)[table]
+        if drifted:
+            return B.scan_drifted(spark, [path], schema, path, B.season_filter(seasons))
+        return B.scan(spark, path, schema, seasons)
+
     tasks = {}
     if B.table_exists(spark, B.paths(root)["events"]):
-        bronze = B.scan_events(spark, root, seasons)
-        tasks.update({t: write(t, S.SILVER_TABLES[t](bronze)) for t in SILVER_EVENT_TABLES})
+        events = bronze("events", schemas.BRONZE_EVENTS)
+        tasks.update({t: write(t, S.SILVER_TABLES[t](events)) for t in SILVER_EVENT_TABLES})
     if B.table_exists(spark, B.paths(root)["lineups"]):
-        tasks["lineups"] = write("lineups",
-                                 S.silver_lineups(B.scan_lineups(spark, root, seasons)))
+        tasks["lineups"] = write("lineups", S.silver_lineups(bronze("lineups", schemas.BRONZE_LINEUPS)))
     return tasks
 
 
@@ -114,9 +121,11 @@ def transform(spark: SparkSession, root: str,
 
     An input split may hold files of several seasons, so the rows are rebalanced
     on the season before the write: few files per season, large seasons in
-    several tasks, each sorted by match.
+    several tasks, each sorted by match. Files whose columns have other types than Bronze's are read
+    by groups of the same types.
     """
-    run_concurrently(list(_silver_tasks(spark, root, seasons).values()), workers)
+    or_by_groups(lambda drifted: run_concurrently(
+        list(_silver_tasks(spark, root, seasons, drifted).values()), workers))
 
 
 def read_silver(spark: SparkSession, root: str, table: str,
@@ -171,19 +180,22 @@ def _build(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] |
            t: Thresholds) -> None:
     """Silver and Gold of the seasons. Gold reads only Silver events and carries, so it starts as
     soon as those two tables are written, while the other Silver tables are still being written."""
-    tasks = _silver_tasks(spark, root, seasons)
-    with ThreadPoolExecutor(max_workers=len(tasks) + 1) as pool:
-        done = {name: pool.submit(task) for name, task in tasks.items()}
-
-        def gold() -> None:
-            for name in ("events", "carries"):
-                if name in done:
-                    done[name].result()
-            features(spark, root, seasons, t)
-
-        futures = [*done.values(), pool.submit(gold)]
-        for f in futures:
-            f.result()
+    def build(drifted: bool) -> None:
+        tasks = _silver_tasks(spark, root, seasons, drifted)
+        with ThreadPoolExecutor(max_workers=len(tasks) + 1) as pool:
+            done = {name: pool.submit(task) for name, task in tasks.items()}
+
+            def gold() -> None:
+                for name in ("events", "carries"):
+                    if name in done:
+                        done[name].result()
+                features(spark, root, seasons, t)
+
+            futures = [*done.values(), pool.submit(gold)]
+            for f in futures:
+                f.result()
+
+    or_by_groups(build)
 
 
 def _isolated(step: Callable[[Sequence[tuple[int, int]]], None],

@@ -36,6 +36,8 @@ BRONZE_LINEUPS = _st(
 
 #: Raw text of values that a typed Bronze column could not hold, as a JSON object by column.
 UNPARSED = "_unparsed"
+#: Fields of a feed's JSON lines that are no column of the table, as a VARIANT object.
+EXTRA = "_extra"
 
 BRONZE_COMPETITIONS = _st(
     ("competition_id", L), ("season_id", L), ("competition_name", S), ("season_name", S),

@@ -24,7 +24,6 @@ import datetime as dt
 import uuid
 import warnings
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -36,6 +35,7 @@ from pitchlake import schemas
 from pitchlake.config import DEFAULT_SOURCE
 from pitchlake.functions.parse import long_of
 from pitchlake.session import delete_folder, join_path
+from pitchlake.sources.drift import column_names, or_by_groups, scan_drifted
 
 SEASON_PARTS = ("competition_id", "season_id")
 MATCH = (*SEASON_PARTS, "match_id")
@@ -90,29 +90,54 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def landed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """A feed table as Bronze keeps it: the known columns with their types, every other column as
-    text, and the raw text of values that did not fit their type in ``_unparsed`` (else NULL)."""
+    text, the fields of JSON lines that are no column in ``_extra`` (a VARIANT object), and the raw
+    text of values that did not fit their type in ``_unparsed`` (else NULL)."""
     known = {f.name: f.dataType for f in schema.fields}
     lost = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(known[c]).isNull(), F.col(c).cast("string")).alias(c)
             for c in df.columns if c in known and df.schema[c].dataType != known[c]]
-    extra = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in known]
+    extra = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns
+             if c not in known and c not in (schemas.EXTRA, schemas.UNPARSED)]
     have = set(df.columns)
     out = [(F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
            .alias(f.name) for f in schema.fields]
-    unparsed = F.lit(None).cast("string")
+    if schemas.EXTRA in have:
+        extra.append(F.col(schemas.EXTRA))
+    unparsed = F.col(schemas.UNPARSED) if schemas.UNPARSED in have else F.lit(None).cast("string")
     if lost:
-        unparsed = F.nullif(F.to_json(F.struct(*lost)), F.lit("{}"))
+        unparsed = F.coalesce(unparsed, F.nullif(F.to_json(F.struct(*lost)), F.lit("{}")))
     return df.select(*out, *extra, unparsed.alias(schemas.UNPARSED))
 
 
 def extra_columns(spark: SparkSession, path: str, schema: T.StructType) -> list[str]:
     """Names of the columns that landed files have beyond the schema (read from all footers, in a job)."""
-    found = spark.read.option("mergeSchema", "true").parquet(path).columns
-    return [c for c in found if c not in schema.fieldNames()]
+    return [c for c in column_names(spark, path) if c not in schema.fieldNames()]
 
 
 def with_columns(schema: T.StructType, names: Sequence[str]) -> T.StructType:
-    """The schema with further columns of Bronze, which are text."""
-    return T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in names]])
+    """The schema with further columns of Bronze, which are text (``_extra`` is a VARIANT)."""
+    return T.StructType([*schema.fields, *[T.StructField(
+        n, T.VariantType() if n == schemas.EXTRA else T.StringType()) for n in names]])
+
+
+def extra_fields(bronze: DataFrame) -> list[str]:
+    """Names of the fields that the rows' ``_extra`` objects hold (distinct names, partial aggregation first)."""
+    names = F.expr(f"explode(map_keys(try_variant_get({schemas.EXTRA}, '$', 'map<string,variant>'))) AS name")
+    return [r["name"] for r in bronze.select(names).distinct().orderBy("name").collect()]
+
+
+def scan_with(spark: SparkSession, path: str, schema: T.StructType, names: Sequence[str],
+              seasons: Iterable[tuple[int, int]] | None = None) -> DataFrame:
+    """A typed scan with further feed fields as text columns, wherever Bronze keeps them: as columns of
+    their own (column feeds) or in ``_extra`` (JSON feeds)."""
+    stored = extra_columns(spark, path, schema)
+    wide = scan(spark, path, with_columns(schema, stored), seasons)
+    out = []
+    for n in names:
+        kept = [F.col(f"`{n}`")] if n in stored else []
+        if schemas.EXTRA in stored:
+            kept.append(F.expr(f"""try_variant_get({schemas.EXTRA}, '$["{n}"]', 'string')"""))
+        out.append((F.coalesce(*kept) if kept else F.lit(None).cast("string")).alias(n))
+    return wide.select(*schema.fieldNames(), *out)
 
 
 # ----------------------------------------------------------------- S7, S8, S13
@@ -162,22 +187,32 @@ def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
     path, spark = paths(root)["events"], df.sparkSession
     if not table_exists(spark, path):
         return _write_events(df, path, "overwrite")
-    schema = with_columns(schemas.BRONZE_EVENTS, extra_columns(spark, path, schemas.BRONZE_EVENTS))
     delivered = df.select(*[F.col(c).alias(f"d_{c}") for c in MATCH]).distinct()
     seasons = delivered.select(*[F.col(f"d_{c}").alias(c) for c in SEASON_PARTS]).distinct()
-    # one row per delivered season: bounded by the catalogue; it prunes the stored folders
-    stored = scan(spark, path, schema).join(F.broadcast(seasons), list(SEASON_PARTS), "left_semi")
-    same = reduce(lambda x, y: x & y, [stored[c].eqNullSafe(delivered[f"d_{c}"]) for c in MATCH])
-    if stored.select(*MATCH).join(delivered, same, "left_semi").isEmpty():
-        return _write_events(df, path, "append")
-    rows = df.count()
-    if rows:
-        kept = stored.join(delivered, same, "left_anti").unionByName(df, allowMissingColumns=True)
-        staged = join_path(root, f"bronze/_staged-{uuid.uuid4().hex}")  # the stored files are about to go
-        kept.write.parquet(staged)
-        _write_events(spark.read.schema(kept.schema).parquet(staged), path, "overwrite")
-        delete_folder(spark, staged)
-    return rows
+
+    def land(drifted: bool) -> int:
+        def stored(schema: T.StructType) -> DataFrame:
+            rows = scan_drifted(spark, [path], schema, path) if drifted else scan(spark, path, schema)
+            # one row per delivered season: bounded by the catalogue; it prunes the stored folders
+            return rows.join(F.broadcast(seasons), list(SEASON_PARTS), "left_semi")
+
+        def same(rows: DataFrame):
+            return reduce(lambda x, y: x & y, [rows[c].eqNullSafe(delivered[f"d_{c}"]) for c in MATCH])
+
+        keys = stored(schemas.BRONZE_EVENTS).select(*MATCH)
+        if keys.join(delivered, same(keys), "left_semi").isEmpty():
+            return _write_events(df, path, "append")
+        rows = df.count()
+        if rows:
+            old = stored(with_columns(schemas.BRONZE_EVENTS, extra_columns(spark, path, schemas.BRONZE_EVENTS)))
+            kept = old.join(delivered, same(old), "left_anti").unionByName(df, allowMissingColumns=True)
+            staged = join_path(root, f"bronze/_staged-{uuid.uuid4().hex}")  # the stored files are about to go
+            kept.write.parquet(staged)
+            _write_events(spark.read.schema(kept.schema).parquet(staged), path, "overwrite")
+            delete_folder(spark, staged)
+        return rows
+
+    return or_by_groups(land)
 
 
 def _write_events(df: DataFrame, path: str, mode: str) -> int:
@@ -225,8 +260,8 @@ def limit_matches(matches: DataFrame, n: int | None) -> DataFrame:
 
 
 def events_of_matches(events: DataFrame, matches: DataFrame) -> DataFrame:
-    """Keep the events of the selected matches (semi-join on match id)."""
-    return events.join(matches.select("match_id"), "match_id", "left_semi")
+    """Keep the events of the selected matches (semi-join on season and match id: an id may be in two seasons)."""
+    return events.join(matches.select(*MATCH).distinct(), list(MATCH), "left_semi")
 
 
 # ----------------------------------------------------------------- S10-S12
@@ -314,18 +349,3 @@ def normalize_match_id(df: DataFrame) -> DataFrame:
 def point_read(spark: SparkSession, path: str) -> DataFrame:
     """Read one Parquet object or table folder as it is."""
     return spark.read.parquet(path)
-
-
-def scan_drifted(spark: SparkSession, file_paths: Sequence[str],
-                 schema: T.StructType) -> DataFrame:
-    """H1: files of one table whose column types disagree (e.g. a column float in
-    one file, text in another). Neither schema merge nor one explicit schema can
-    read them together, so files are grouped by their own footer schema, each
-    group is read and cast to the target schema, and the groups are unioned by
-    name (missing columns NULL). New landings go through ``conform`` instead."""
-    groups: dict[str, list[str]] = {}
-    with ThreadPoolExecutor(max_workers=16) as pool:  # one footer per file, read side by side
-        for p, footer in zip(file_paths, pool.map(lambda p: spark.read.parquet(p).schema.json(), file_paths)):
-            groups.setdefault(footer, []).append(p)
-    parts = [conform(spark.read.parquet(*ps), schema) for ps in groups.values()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
