@@ -27,6 +27,8 @@ from pitchlake.config import DEFAULT_THRESHOLDS, PLACEHOLDER_METRIC, Thresholds
 
 TEAM_MATCH = ("competition_id", "season_id", "match_id", "team_name")
 MATCH = ("competition_id", "season_id", "match_id")
+#: Passes of a match that one task joins; most matches whose passes may be dealt over several.
+SALT_ROWS, MOST_HOT = 100_000, 1000
 
 
 def _ratio(num, den):
@@ -135,18 +137,28 @@ def match_teams(events: DataFrame) -> DataFrame:
     return events.select(*TEAM_MATCH).distinct()
 
 
-def opponent_passes(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+def opponent_passes(events: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Passes with x < 80 attributed to every *other* team of the match.
 
-    Expressed as a join of the passes with the (match, team) spine on
-    match equality plus ``team != passer``; both sides are pre-reduced
-    (passes filtered, spine distinct) and the join key is the match.
+    A join of the passes with the (match, team) spine on the match plus ``team != passer``. A match
+    with more than ``salt_rows`` passes, and more than a share ``1 / MOST_HOT`` of all of them, is hot:
+    its passes are dealt over salts, as many as its count asks for, and its few spine rows are repeated
+    per salt. There are at most ``MOST_HOT`` hot matches, so the list of them is broadcast.
     """
-    passes = (events.where((F.col("type") == "Pass") & (F.col("location_x") < t.opp_pass_max_x))
-              .select(*MATCH, F.col("team_name").alias("pass_team"), "location_x",
-                      "event_order"))
-    spine = match_teams(events)
-    return (passes.join(spine, list(MATCH))
+    is_pass = (F.col("type") == "Pass") & (F.col("location_x") < t.opp_pass_max_x)
+    passes = (events.where(is_pass)
+              .select(*MATCH, F.col("team_name").alias("pass_team"), "location_x", "event_order"))
+    per_team = events.groupBy(*TEAM_MATCH).agg(F.count_if(is_pass).alias("n"))
+    per_match = per_team.groupBy(*MATCH).agg(F.sum("n").alias("n"))
+    share = F.greatest(F.lit(salt_rows), F.ceil(per_match.agg(F.sum("n")).scalar() / MOST_HOT))
+    hot = F.broadcast(per_match.where(F.col("n") > share).select(
+        *MATCH, F.ceil(F.col("n") / share).cast("int").alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = passes.join(hot, list(MATCH), "left").withColumn(
+        "salt", F.pmod(F.xxhash64("event_order", "pass_team", "location_x"), salts).cast("int")).drop("salts")
+    spine = per_team.select(*TEAM_MATCH).join(hot, list(MATCH), "left").select(
+        *TEAM_MATCH, F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    return (dealt.join(spine, [*MATCH, "salt"])
             .where(F.col("pass_team") != F.col("team_name"))
             .select(*MATCH, "team_name", "pass_team", "location_x", "event_order"))
 

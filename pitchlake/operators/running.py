@@ -6,13 +6,13 @@ second) and a tail (e.g. event_order):
 
 1. local running sum/count inside each (key, bucket), partitioned by the
    bucket, so a hot key is spread over all of its buckets;
-2. per-(key, bucket) totals (one row per bucket, from the same partitioning),
-   then an exclusive prefix sum of those totals per key (a window over
-   bucket-sized rows only);
+2. the last row of each (key, bucket) holds the bucket's totals; an exclusive
+   prefix sum of these rows per key is a window over bucket-sized rows only;
 3. the prefix is joined back on (key, bucket) and added. Key and bucket form one
    struct column, never NULL itself, whose NULL fields are equal to each other:
-   a plain ``=`` join on it reuses the partitioning of step 1, so the rows are
-   shuffled once.
+   a plain ``=`` join on it reuses the partitioning of step 1. Both sides stand on
+   the same exchange, so that rows of no other columns than those of the order
+   and the value are read and shuffled once.
 
 The result equals the one-window form for any data (``tests/test_properties.py``).
 """
@@ -43,19 +43,19 @@ def running_total(df: DataFrame, keys: Sequence[str], buckets: Sequence[str],
     v = _q(value)
     sql = f"""
     WITH keyed AS (
-      SELECT *, struct({", ".join(map(_q, keys))}) AS _key,
-             struct({", ".join(map(_q, keys + buckets))}) AS _part FROM {{src}}),
+      SELECT *, struct({", ".join(map(_q, keys + buckets))}) AS _part FROM {{src}}),
     local AS (
-      SELECT *, sum({v}) OVER wl AS _local_sum, count(1) OVER wl AS _local_n
+      SELECT *, sum({v}) OVER wl AS _local_sum, count(1) OVER wl AS _local_n,
+             lead(1) OVER wt IS NULL AS _last
       FROM keyed
-      WINDOW wl AS (PARTITION BY _part
-                    ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in tail)}
+      WINDOW wt AS (PARTITION BY _part ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in tail)}),
+             wl AS (PARTITION BY _part ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in tail)}
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
     offsets AS (
-      SELECT _part, sum(_b_sum) OVER wb AS _off_sum, sum(_b_n) OVER wb AS _off_n
-      FROM (SELECT _key, _part, sum({v}) AS _b_sum, count(1) AS _b_n FROM keyed GROUP BY _key, _part) t
-      WINDOW wb AS (PARTITION BY _key
-                    ORDER BY {", ".join(f"_part.{_q(c)} ASC NULLS LAST" for c in buckets)}
+      SELECT _part, sum(_local_sum) OVER wb AS _off_sum, sum(_local_n) OVER wb AS _off_n
+      FROM local WHERE _last
+      WINDOW wb AS (PARTITION BY {", ".join(map(_q, keys))}
+                    ORDER BY {", ".join(_q(c) + " ASC NULLS LAST" for c in buckets)}
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT {cols},
            CASE WHEN l._local_sum IS NOT NULL OR o._off_sum IS NOT NULL

@@ -16,6 +16,7 @@ from pitchlake.oracle import _KINDS, r6, with_ctes
 from pitchlake.operators import gold as G
 from pitchlake.plans import serving as V
 from pitchlake.plans.context import Layers
+from pitchlake.sources import bronze as B
 
 
 @dataclass(frozen=True)
@@ -161,7 +162,8 @@ def _competition_options(L: Layers) -> DataFrame:
   LEFT JOIN (SELECT competition_id, season_id, COUNT(*) AS n FROM gold GROUP BY 1, 2) g
   ON c.competition_id = g.competition_id AND c.season_id = g.season_id""")
 def _season_readiness(L: Layers) -> DataFrame:
-    return V.season_readiness(L.bronze_competitions, L.gold)
+    counts = B.stored_counts(L.spark, B.paths(L.root)["gold"], name="gold_rows")
+    return V.readiness_of(L.bronze_competitions, counts)
 
 
 @register("pressing_leaders", f"""SELECT competition_id, season_id, CAST(rk AS INTEGER) AS rank, team_name,

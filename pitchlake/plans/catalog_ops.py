@@ -11,10 +11,12 @@ from pitchlake.functions import parse as PZ
 from pitchlake.operators import gold as G
 from pitchlake.operators.running import running_total
 from pitchlake.oracle import r6
+from pitchlake.plans import pipeline as P
 from pitchlake.plans import serving as V
 from pitchlake.plans.catalog import GOLD_SELECT, REGISTRY, Query, register
 from pitchlake.plans.context import Layers
 from pitchlake.session import scratch_lake
+from pitchlake.sources import bronze as B
 
 
 def alias(key: str, of: str) -> None:
@@ -113,7 +115,7 @@ def _nullif_div(L: Layers) -> DataFrame:
 
 
 @register("case_when", f"""SELECT {_TM}, COUNT(*) AS n_rows, COUNT(location_x) AS n_with_location,
-  COUNT(CASE WHEN location_x > 80 THEN 1 END) AS n_final_third
+  COUNT(*) FILTER (location_x > 80) AS n_final_third
   FROM silver_events WHERE type = 'Pressure' GROUP BY 1, 2, 3, 4""")
 def _case_when(L: Layers) -> DataFrame:
     return G.pressure_counts(L.events, L.t)
@@ -340,7 +342,7 @@ alias("match_teams", "gold_match_teams")
 
 
 @register("conditional_count", """SELECT match_id, player_id,
-  COUNT(CASE WHEN (end_x - start_x) > 10 THEN 1 END) AS progressive, COUNT(*) AS carries
+  COUNT(*) FILTER (end_x - start_x > 10) AS progressive, COUNT(*) AS carries
   FROM silver_carries WHERE player_id IS NOT NULL GROUP BY 1, 2""")
 def _conditional_count(L: Layers) -> DataFrame:
     gain = F.col("end_x") - F.col("start_x")
@@ -394,8 +396,9 @@ def _unique_values(L: Layers) -> DataFrame:
   UNION ALL SELECT 'carries', competition_id, season_id, COUNT(*) FROM silver_carries GROUP BY 2, 3
   UNION ALL SELECT 'gold', competition_id, season_id, COUNT(*) FROM gold GROUP BY 2, 3""")
 def _row_counts(L: Layers) -> DataFrame:
-    return V.row_counts({"events": L.events, "shots": L.shots, "pressures": L.pressures,
-                         "carries": L.carries, "gold": L.gold})
+    paths = {t: P.silver_path(L.root, t) for t in ("events", "shots", "pressures", "carries")}
+    paths["gold"] = B.paths(L.root)["gold"]
+    return V.row_counts({t: B.stored_counts(L.spark, p) for t, p in paths.items()})
 
 
 # ------------------------------------------------------------------ W, O: windows and order

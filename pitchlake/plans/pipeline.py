@@ -13,9 +13,12 @@ without data, or one that fails, does not stop the others.
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +32,12 @@ from pitchlake.sources import bronze as B
 from pitchlake.sources.adapter import Feed
 from pitchlake.sources.drift import or_by_groups
 
+#: Held while a table that belongs to no season is overwritten (seasons may run side by side).
+_WHOLE_TABLE = threading.Lock()
 SILVER_EVENT_TABLES = ("events", "shots", "pressures", "carries")
 SILVER_SCHEMAS = schemas.SILVER
+#: What a viewer selects one match or team by.
+SELECTED_BY = ("match_id", "team_name")
 
 
 def run_concurrently(tasks: Sequence[Callable[[], object]], workers: int = 4) -> list:
@@ -43,7 +50,7 @@ def run_concurrently(tasks: Sequence[Callable[[], object]], workers: int = 4) ->
     if workers <= 1 or len(tasks) <= 1:
         return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
-        futures = [pool.submit(t) for t in tasks]
+        futures = [pool.submit(inheritable_thread_target(t)) for t in tasks]
         return [f.result() for f in futures]
 
 
@@ -72,23 +79,30 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
         lineups, competitions = wanted(feed.lineups), feed.competitions
         if limit:
             lineups = B.events_of_matches(lineups, matches)
-        first = [lambda: B.land_events(events, root, ingested_at, source)]
+        first = [lambda: B.land_events(events, root, ingested_at, source, seasons)]
     else:
         spark = feed.spark
-        B.land_events(events, root, ingested_at, source)
+        B.land_events(events, root, ingested_at, source, seasons)
         stored = feed.from_events(B.scan_events(spark, root, seasons))
         matches = B.limit_matches(stored.matches, limit)
         lineups = B.events_of_matches(stored.lineups, matches) if limit else stored.lineups
         competitions = stored.competitions if cond is None else feed.competitions
         first = []
     corrupt = getattr(feed, "corrupt", {})
+
+    def whole(write: Callable[[], object]) -> Callable[[], object]:
+        def run() -> object:
+            with _WHOLE_TABLE:
+                return write()
+        return run
+
     run_concurrently([
         *first,
         lambda: B.land_matches(matches, root, ingested_at, source),
         lambda: B.land_lineups(lineups, root, ingested_at, source),
-        lambda: B.land_competitions(competitions, root, ingested_at, source),
-        *[lambda name=name, df=df: df.write.mode("overwrite").parquet(
-            join_path(B.paths(root)["corrupt"], name)) for name, df in corrupt.items()],
+        whole(lambda: B.land_competitions(competitions, root, ingested_at, source)),
+        *[whole(lambda name=name, df=df: df.write.mode("overwrite").parquet(
+            join_path(B.paths(root)["corrupt"], name))) for name, df in corrupt.items()],
     ], workers)
 
 
@@ -98,7 +112,7 @@ def _silver_tasks(spark: SparkSession, root: str, seasons: Sequence[tuple[int, i
     groups of files with the same types."""
     def write(table: str, df: DataFrame):
         return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
-                                           cluster_by=("match_id",))
+                                           cluster_by=("match_id",), selected_by=SELECTED_BY)
 
     def bronze(table: str, schema: T.StructType) -> DataFrame:
         path = B.paths(root)[table]
@@ -138,7 +152,7 @@ def features(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]]
     """Silver -> Gold fingerprints (guarded: an empty result writes nothing)."""
     gold = G.fingerprints(read_silver(spark, root, "events", seasons),
                           read_silver(spark, root, "carries", seasons), t)
-    B.write_partitioned(gold, B.paths(root)["gold"], B.SEASON_PARTS, cluster_by=("match_id",))
+    B.write_partitioned(gold, B.paths(root)["gold"], B.SEASON_PARTS, cluster_by=("match_id",), selected_by=SELECTED_BY)
 
 
 def read_gold(spark: SparkSession, root: str,
@@ -146,10 +160,6 @@ def read_gold(spark: SparkSession, root: str,
     return B.scan(spark, B.paths(root)["gold"], schemas.GOLD_FINGERPRINTS, seasons)
 
 
-def _counts(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy(*B.SEASON_PARTS).agg(F.count(F.lit(1)).alias(name))
-
-
 def status(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]],
            errors: dict[tuple[int, int], str] | None = None) -> DataFrame:
     """Rows per layer for each requested season; ``ok``, ``empty`` or ``failed`` with its error."""
@@ -161,12 +171,10 @@ def status(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]],
                       T.StructField("error", T.StringType())]))
     sound = [s for s in seasons if s not in errors]
     out = req
-    for name, path, read in (
-            ("bronze_events", B.paths(root)["events"], lambda: B.scan_events(spark, root, sound)),
-            ("silver_events", silver_path(root, "events"), lambda: read_silver(spark, root, "events", sound)),
-            ("gold_rows", B.paths(root)["gold"], lambda: read_gold(spark, root, sound))):
+    for name, path in (("bronze_events", B.paths(root)["events"]), ("silver_events", silver_path(root, "events")),
+                       ("gold_rows", B.paths(root)["gold"])):
         if B.table_exists(spark, path):
-            out = out.join(_counts(read(), name), list(B.SEASON_PARTS), "left")
+            out = out.join(B.stored_counts(spark, path, sound, name), list(B.SEASON_PARTS), "left")
         else:  # the layer has not been written: no rows
             out = out.withColumn(name, F.lit(0).cast("bigint"))
     out = out.fillna(0, subset=["bronze_events", "silver_events", "gold_rows"])
@@ -183,7 +191,7 @@ def _build(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] |
     def build(drifted: bool) -> None:
         tasks = _silver_tasks(spark, root, seasons, drifted)
         with ThreadPoolExecutor(max_workers=len(tasks) + 1) as pool:
-            done = {name: pool.submit(task) for name, task in tasks.items()}
+            done = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
 
             def gold() -> None:
                 for name in ("events", "carries"):
@@ -191,29 +199,51 @@ def _build(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] |
                         done[name].result()
                 features(spark, root, seasons, t)
 
-            futures = [*done.values(), pool.submit(gold)]
+            futures = [*done.values(), pool.submit(inheritable_thread_target(gold))]
             for f in futures:
                 f.result()
 
     or_by_groups(build)
 
 
-def _isolated(step: Callable[[Sequence[tuple[int, int]]], None],
-              seasons: Sequence[tuple[int, int]], errors: dict[tuple[int, int], str]) -> None:
-    """Runs a step for all sound seasons at once; if that fails, season by season, so that only the
-    seasons that fail by themselves are marked."""
+#: Seasons that run side by side when a common run has failed.
+SIDE_BY_SIDE = 8
+
+
+def _isolated(spark: SparkSession, step: Callable[[Sequence[tuple[int, int]]], None],
+              seasons: Sequence[tuple[int, int]], errors: dict[tuple[int, int], str],
+              workers: int = SIDE_BY_SIDE) -> None:
+    """Runs a step for all sound seasons at once. If that fails, every season runs by itself, side by
+    side, so that only the seasons that fail by themselves are marked. Each has a scheduler pool (with
+    ``spark.scheduler.mode=FAIR`` they share the cluster evenly) and a job tag of its own: when one of
+    its writes fails, its other jobs are cancelled and those of other seasons go on."""
     sound = [s for s in seasons if s not in errors]
+
+    def failed(season: tuple[int, int], e: Exception) -> None:
+        lines = str(e).splitlines() or [type(e).__name__]
+        errors[season] = next((x for x in lines if "Exception: " in x), lines[0]).strip()[:500]
+
+    def alone(season: tuple[int, int]) -> None:
+        sc, name = spark.sparkContext, f"season-{season[0]}-{season[1]}-{uuid.uuid4().hex[:8]}"
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        sc.addJobTag(name)
+        try:
+            step([season])
+        except Exception as e:  # noqa: BLE001 - whatever failed, the other seasons go on
+            sc.cancelJobsWithTag(name)
+            failed(season, e)
+        finally:
+            sc.removeJobTag(name)
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
     try:
         step(sound)
-    except Exception as first:  # noqa: BLE001 - whatever failed, the other seasons go on
-        for season in sound:
-            try:
-                if len(sound) == 1:
-                    raise first
-                step([season])
-            except Exception as e:  # noqa: BLE001
-                lines = str(e).splitlines() or [type(e).__name__]
-                errors[season] = next((x for x in lines if "Exception: " in x), lines[0]).strip()[:500]
+    except Exception as e:  # noqa: BLE001
+        if len(sound) == 1:
+            failed(sound[0], e)
+        else:
+            with ThreadPoolExecutor(max_workers=min(workers, len(sound))) as pool:
+                list(pool.map(alone, sound))
 
 
 def seasons_of(feed: Feed) -> list[tuple[int, int]]:
@@ -230,6 +260,6 @@ def run_pipeline(spark: SparkSession, feed: Feed, root: str,
     of the catalogue). A season that fails is reported with its error and does not stop the others."""
     seasons = [(int(c), int(s)) for c, s in (seasons if seasons is not None else seasons_of(feed))]
     errors: dict[tuple[int, int], str] = {}
-    _isolated(lambda some: ingest(feed, root, some, limit, ingested_at), seasons, errors)
-    _isolated(lambda some: _build(spark, root, some, t), seasons, errors)
+    _isolated(spark, lambda some: ingest(feed, root, some, limit, ingested_at), seasons, errors)
+    _isolated(spark, lambda some: _build(spark, root, some, t), seasons, errors)
     return status(spark, root, seasons, errors)

@@ -17,6 +17,7 @@ from pitchlake.config import (METRIC_LABELS, METRICS, MOMENTUM_END_MINUTE, PITCH
                               STYLE_LOW_RATIO, STYLE_PASSIVE)
 from pitchlake.functions.labels import competition_label, match_label, title_label
 from pitchlake.functions.parse import coerce_of
+from pitchlake.operators.ranking import positions
 from pitchlake.operators.running import running_total
 
 SEASON = ("competition_id", "season_id")
@@ -25,13 +26,9 @@ SEASON = ("competition_id", "season_id")
 # --------------------------------------------------------------------- catalogue
 
 def competition_options(competitions: DataFrame) -> DataFrame:
-    """C14: one selectable label per (competition, season), with its place in sorted order.
-
-    The catalogue has one row per season, so the ordering window is small."""
-    w = Window.partitionBy(F.lit(0)).orderBy("competition_name", "season_name", *SEASON)
-    return competitions.select(*SEASON, "competition_name", "season_name",
-                               competition_label().alias("label"),
-                               F.row_number().over(w).alias("position"))
+    """C14: one selectable label per (competition, season), with its place in sorted order."""
+    return positions(competitions.select(*SEASON, "competition_name", "season_name", competition_label().alias("label")),
+                     ["competition_name", "season_name", *SEASON])
 
 
 def gold_row_counts(gold: DataFrame) -> DataFrame:
@@ -40,7 +37,11 @@ def gold_row_counts(gold: DataFrame) -> DataFrame:
 
 def season_readiness(competitions: DataFrame, gold: DataFrame) -> DataFrame:
     """Is there Gold data for each catalogued season (all seasons at once)."""
-    counts = gold_row_counts(gold)
+    return readiness_of(competitions, gold_row_counts(gold))
+
+
+def readiness_of(competitions: DataFrame, counts: DataFrame) -> DataFrame:
+    """C15 from ``gold_rows`` per season, as ``plans.pipeline.stored_counts`` reads them from footers."""
     return (competitions.select(*SEASON).distinct()
             .join(counts, list(SEASON), "left")
             .select(*SEASON,
@@ -167,22 +168,16 @@ def radar_long(gold: DataFrame, by_competition: bool = False) -> DataFrame:
 
 
 def season_options(gold: DataFrame) -> DataFrame:
-    """Distinct seasons with their place in sorted order, the latest flagged as the default.
-
-    Distinct first: the ordering window sees one row per season."""
-    w = Window.partitionBy(F.lit(0)).orderBy("season_id")
+    """Distinct seasons with their place in sorted order, the latest flagged as the default."""
     latest = gold.agg(F.max("season_id")).scalar()
-    return gold.select("season_id").distinct().select(
-        "season_id", (F.col("season_id") == latest).alias("is_default"),
-        F.row_number().over(w).alias("position"))
+    return positions(gold.select("season_id").distinct(), ["season_id"]).select(
+        "season_id", (F.col("season_id") == latest).alias("is_default"), "position")
 
 
 def team_options(gold: DataFrame) -> DataFrame:
     """Distinct teams of every season, with their place in sorted order."""
-    w = Window.partitionBy("season_id").orderBy("team_name")
-    return (gold.where(F.col("team_name").isNotNull())
-            .select("season_id", "team_name").distinct()
-            .withColumn("position", F.row_number().over(w)))
+    teams = gold.where(F.col("team_name").isNotNull()).select("season_id", "team_name").distinct()
+    return positions(teams, ["team_name"], within=["season_id"])
 
 
 # --------------------------------------------------------------------- match page
@@ -315,12 +310,11 @@ def default_season(gold: DataFrame) -> DataFrame:
     return gold.agg(F.max("season_id").alias("default_season_id"))
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per (table, competition, season)."""
+def row_counts(counts: dict[str, DataFrame]) -> DataFrame:
+    """Rows per (table, competition, season), from ``n_rows`` per season of each table."""
     out = None
-    for name, df in tables.items():
-        c = (df.groupBy(*SEASON).agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(name).alias("table_name"), *SEASON, "n_rows"))
+    for name, df in counts.items():
+        c = df.select(F.lit(name).alias("table_name"), *SEASON, "n_rows")
         out = c if out is None else out.unionByName(c)
     return out
 

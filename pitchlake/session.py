@@ -25,6 +25,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.scheduler.mode": "FAIR",
 }
 
 

@@ -21,6 +21,7 @@ split and tiny ones coalesced, instead of tasks x partitions small files.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 import warnings
 from collections.abc import Iterable, Sequence
@@ -39,6 +40,8 @@ from pitchlake.sources.drift import column_names, or_by_groups, scan_drifted
 
 SEASON_PARTS = ("competition_id", "season_id")
 MATCH = (*SEASON_PARTS, "match_id")
+#: Held while the session's choice of file readers is changed for one read.
+_READERS = threading.Lock()
 
 # Fixed run stamp used when a run does not pass its own (keeps re-runs identical).
 DEFAULT_INGESTED_AT = dt.datetime(2024, 2, 1, 0, 0, 0, tzinfo=dt.timezone.utc)
@@ -144,7 +147,8 @@ def scan_with(spark: SparkSession, path: str, schema: T.StructType, names: Seque
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
                       cluster_by: Sequence[str] = (), guard_empty: bool = True,
-                      spread_by: Sequence[str] = (), mode: str = "overwrite") -> int:
+                      spread_by: Sequence[str] = (), mode: str = "overwrite",
+                      selected_by: Sequence[str] = ()) -> int:
     """Parquet write with dynamic partition overwrite; returns rows written.
 
     S8 (empty input writes nothing, old data stays): with partition columns an
@@ -152,7 +156,9 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     overwrite, so no extra job is needed; an unpartitioned table is checked
     by taking one row first, since overwriting it with nothing would wipe it.
     The row count is observed during the write itself (no second job).
-    ``spread_by`` names finer columns to rebalance on than the partition columns.
+    ``spread_by`` names finer columns to rebalance on than the partition columns. Columns of
+    ``selected_by`` get a bloom filter per row group, sized to their distinct values, so that a
+    selection of one value reads the row groups that have it, whatever the order of rows.
     """
     if not partition_cols and guard_empty and not df.take(1):
         warnings.warn(f"empty input, nothing written to {path}", stacklevel=2)
@@ -166,6 +172,8 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
+    for c in selected_by:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     w.parquet(path)
     try:
         rows = int(obs.get.get("rows", 0))
@@ -177,9 +185,12 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
 
 
 def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
-                source: str = DEFAULT_SOURCE) -> int:
+                source: str = DEFAULT_SOURCE, seasons: Sequence[tuple[int, int]] | None = None) -> int:
     """Match events -> bronze/events, one folder per (competition, season).
 
+    ``seasons`` says which seasons the events are of, where that is known: one season is appended to
+    its own folder, so that runs of several seasons side by side don't meet.
+
     Matches that are not stored yet are appended. If some are, the touched seasons are written
     anew: the stored rows of all other matches, and the delivered rows."""
     df = landed(add_audit_columns(stringify_complex(events), ingested_at, source),
@@ -188,20 +199,20 @@ def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
     if not table_exists(spark, path):
         return _write_events(df, path, "overwrite")
     delivered = df.select(*[F.col(c).alias(f"d_{c}") for c in MATCH]).distinct()
-    seasons = delivered.select(*[F.col(f"d_{c}").alias(c) for c in SEASON_PARTS]).distinct()
+    touched = delivered.select(*[F.col(f"d_{c}").alias(c) for c in SEASON_PARTS]).distinct()
 
     def land(drifted: bool) -> int:
         def stored(schema: T.StructType) -> DataFrame:
             rows = scan_drifted(spark, [path], schema, path) if drifted else scan(spark, path, schema)
             # one row per delivered season: bounded by the catalogue; it prunes the stored folders
-            return rows.join(F.broadcast(seasons), list(SEASON_PARTS), "left_semi")
+            return rows.join(F.broadcast(touched), list(SEASON_PARTS), "left_semi")
 
         def same(rows: DataFrame):
             return reduce(lambda x, y: x & y, [rows[c].eqNullSafe(delivered[f"d_{c}"]) for c in MATCH])
 
         keys = stored(schemas.BRONZE_EVENTS).select(*MATCH)
         if keys.join(delivered, same(keys), "left_semi").isEmpty():
-            return _write_events(df, path, "append")
+            return _write_events(df, path, "append", seasons[0] if seasons and len(seasons) == 1 else None)
         rows = df.count()
         if rows:
             old = stored(with_columns(schemas.BRONZE_EVENTS, extra_columns(spark, path, schemas.BRONZE_EVENTS)))
@@ -215,9 +226,16 @@ def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
     return or_by_groups(land)
 
 
-def _write_events(df: DataFrame, path: str, mode: str) -> int:
+def _write_events(df: DataFrame, path: str, mode: str, season: tuple[int, int] | None = None) -> int:
     """Rows of a match go to few files, and those of one type lie together in a file, so that a
     filter on the type skips row groups and pages."""
+    if season is not None:
+        folder = join_path(path, *[f"{c}={v}" for c, v in zip(SEASON_PARTS, season, strict=True)])
+        rows = df.where(season_filter([season])).drop(*SEASON_PARTS).hint("rebalance", "match_id")
+        obs = Observation()
+        rows.observe(obs, F.count(F.lit(1)).alias("rows")).sortWithinPartitions("type", "match_id") \
+            .write.mode(mode).parquet(folder)
+        return int(obs.get.get("rows", 0))
     return write_partitioned(df, path, SEASON_PARTS, cluster_by=("type", "match_id"), mode=mode,
                              spread_by=MATCH)
 
@@ -323,6 +341,24 @@ def scan(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(path).where(season_filter(seasons))
 
 
+def stored_counts(spark: SparkSession, path: str, seasons: Iterable[tuple[int, int]] | None = None,
+                  name: str = "n_rows") -> DataFrame:
+    """Rows per season of a table partitioned by season, from its files' footers: the count is pushed
+    into the scan (``PushedAggregation``), which reads no column and yields one row per file."""
+    # Push-down is a feature of the newer reader; only this read uses it. The setting below has no effect on others.
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    schema = T.StructType([T.StructField("match_id", T.LongType()), *[T.StructField(c, T.LongType()) for c in SEASON_PARTS]])
+    with _READERS:
+        older = spark.conf.get("spark.sql.sources.useV1SourceList")
+        spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in older.split(",") if x != "parquet"))
+        try:
+            rows = spark.read.schema(schema).parquet(path)
+        finally:
+            spark.conf.set("spark.sql.sources.useV1SourceList", older)
+    wanted = season_filter(seasons)
+    return (rows if wanted is None else rows.where(wanted)).groupBy(*SEASON_PARTS).agg(F.count(F.lit(1)).alias(name))
+
+
 def scan_events(spark, root, seasons=None) -> DataFrame:
     return scan(spark, paths(root)["events"], schemas.BRONZE_EVENTS, seasons)
 

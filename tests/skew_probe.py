@@ -71,6 +71,11 @@ def main(scratch: str) -> None:
     run("running_one_window", running_total_single_window(
         ev, keys, ["minute", "second", "event_order"], "xg", "cum"))
     run("opponent_passes", G.opponent_passes(ev))
+    # the salts alone: AQE splits nothing here
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    run("opponent_passes_salted", G.opponent_passes(ev, salt_rows=100))
+    run("opponent_passes_unsalted", G.opponent_passes(ev))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     from pitchlake.plans import serving as V
     matches = ev.select("match_id").distinct().select(
         "match_id", F.lit("1").alias("competition_id"), F.lit("1").alias("season_id"),

@@ -131,7 +131,7 @@ def test_a_broken_season_fails_alone(spark, lake):
     with open(f"{folder}/{file}", "wb") as f:
         f.write(b"no parquet at all")
     errors = {}
-    P._isolated(lambda some: P._build(spark, lake, some, Layers(spark, SF001).t), seasons, errors)
+    P._isolated(spark, lambda some: P._build(spark, lake, some, Layers(spark, SF001).t), seasons, errors)
     assert set(errors) == {(11, 26)}, errors
     st = {(r.competition_id, r.season_id): r for r in P.status(spark, lake, seasons, errors).collect()}
     assert st[(11, 26)].status == "failed" and st[(11, 26)].error
