@@ -47,6 +47,8 @@ from pitchlake.llm.components import components
 SHINGLE, DISTANCE, SEED, BITS = 3, 3, 42, 64
 #: Fingerprints that the probing plan is estimated from.
 PLAN_SAMPLE = 4000
+#: Rows of a block of the sample's distances, which the driver holds at a time.
+PLAN_BLOCK = 256
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -122,9 +124,12 @@ def make_plan(sample: np.ndarray, n: int, distance: int = DISTANCE) -> Plan:
         costs = []
         for part in parts:
             x = bits[:, part]
-            # Hamming distance of all sample pairs inside the partition, by one matrix product
-            d = x.sum(1)[:, None] + x.sum(1)[None, :] - 2 * (x @ x.T)
-            pairs = np.bincount(np.rint(d).astype(np.int64).ravel(), minlength=BITS + 1)
+            # Hamming distance of all sample pairs inside the partition, by matrix products of blocks of rows
+            pairs = np.zeros(BITS + 1, np.int64)
+            for at in range(0, len(x), PLAN_BLOCK):
+                y = x[at:at + PLAN_BLOCK]
+                d = y.sum(1)[:, None] + x.sum(1)[None, :] - 2 * (y @ x.T)
+                pairs += np.bincount(np.rint(d).astype(np.uint8).ravel(), minlength=BITS + 1)
             pairs[0] -= len(sample)
             cost = [0.0]  # threshold -1
             for t in range(top + 1):
