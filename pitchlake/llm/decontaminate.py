@@ -10,8 +10,9 @@ in the document, and Myers' bit-parallel algorithm gives the least edit
 distance of the item inside that window.
 
 Items are taken in blocks of at most ``BLOCK_CHARS`` characters (one item at
-least), each broadcast by itself, so what a task holds does not grow with the
-test set; every block scans every document. Documents are not shuffled.
+least), each broadcast by itself. A task runs one Python stage, which takes a batch
+of documents through one block after another, so that it holds one automaton at a
+time whatever the test set. Documents are not shuffled.
 
 Defined cases: null and blank texts, and null and blank items, never match;
 a short item (budget 0) must occur word for word; repeated items are listed
@@ -28,6 +29,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pitchlake.llm.common import table
 
@@ -81,7 +84,7 @@ def myers(masks: dict[str, int], m: int, text: str) -> int:
 class Matcher:
     """Finds the items of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[object, str]]):
         self.items = [(i, s) for i, s in ((i, normalised(t)) for i, t in items) if s]
         found: dict[str, list[tuple[int, int]]] = {}
         for n, (_, s) in enumerate(self.items):
@@ -102,7 +105,7 @@ class Matcher:
             self.masks[n] = masks
         return self.masks[n]
 
-    def matches(self, text: str | None) -> dict[int, int]:
+    def matches(self, text: str | None) -> dict[object, int]:
         """Item identifier -> least edit distance, for items within their budget."""
         doc = normalised(text)
         if not doc or not self.items:
@@ -111,7 +114,7 @@ class Matcher:
         for end, (size, where) in self.automaton.iter(doc):
             for n, at in where:
                 starts.setdefault(n, set()).add(end + 1 - size - at)
-        out: dict[int, int] = {}
+        out: dict[object, int] = {}
         for n, all_starts in starts.items():
             ident, item = self.items[n]
             m, k = len(item), budget(item)
@@ -148,21 +151,25 @@ def _blocks(items: DataFrame, ident: str, text: str) -> Iterator[list[tuple[int,
 def with_matches(docs: DataFrame, items: DataFrame, text: str = "text", name: str = "matches",
                  item_ident: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` with a map column of matching items to their edit distance."""
-    out = docs.withColumn(name, F.map_from_arrays(F.array().cast("array<long>"), F.array().cast("array<int>")))
-    at, last = out.columns.index(text), out.columns.index(name)
-    for block in _blocks(items, item_ident, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value)
-            for b in batches:
-                found = [{**dict(old.as_py() or []), **matcher.matches(t.as_py())}
-                         for t, old in zip(b.column(at), b.column(last), strict=True)]
-                column = pa.array([sorted(x.items()) for x in found], pa.map_(pa.int64(), pa.int32()))
-                yield pa.RecordBatch.from_arrays([*b.columns[:last], column], names=b.schema.names)
-
-        out = out.mapInArrow(scan, out.schema)
-    return out
+    kind = T.MapType(items.schema[item_ident].dataType, T.IntegerType())
+    spark, at = docs.sparkSession, docs.columns.index(text)
+    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(items, item_ident, item_text)]
+    found_kind = to_arrow_type(kind)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = Matcher(blocks[0].value) if len(blocks) == 1 else None
+        for b in batches:
+            found: list[dict] = [{} for _ in range(b.num_rows)]
+            for shared in blocks:  # one block's automaton at a time
+                matcher = only or Matcher(shared.value)
+                for got, t in zip(found, b.column(at), strict=True):
+                    got.update(matcher.matches(t.as_py()))
+                if only is None:
+                    vars(shared).pop("_value", None)  # the worker's copy of the block
+            column = pa.array([sorted(x.items()) for x in found], found_kind)
+            yield pa.RecordBatch.from_arrays([*b.columns, column], names=[*b.schema.names, name])
+
+    return docs.mapInArrow(scan, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
