@@ -22,21 +22,33 @@ take part, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import table, text_of
+from pitchlake.llm.common import one_each, repeated, table, text_of
 
 #: Runs that the input partitions are numbered into, and runs merged per round.
 RUNS, FAN_IN = 4096, 16
 _KEY = ("_sha", "_len", "_x64")
 
 
+def _digest(t: Column) -> list[Column]:
+    return [F.sha2(t.cast("binary"), 256), F.octet_length(t), F.xxhash64(t)]
+
+
 def with_digest(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the three columns that identify a text."""
-    t = text_of(text)
-    return df.withColumns({"_sha": F.sha2(t.cast("binary"), 256), "_len": F.octet_length(t),
-                           "_x64": F.xxhash64(t)})
+    return df.withColumns(dict(zip(_KEY, _digest(text_of(text)), strict=True)))
+
+
+def _counted(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    """Identifier, digest and number of rows of every (identifier, text)."""
+    return (with_digest(docs.select(F.col(ident).alias("_id"), F.col(text).alias("_text")), "_text")
+            .groupBy("_id", *_KEY).agg(F.count(F.lit(1)).alias("_copies")))
+
+
+def _row_key(sha: Column, size: Column, x64: Column, ident: Column) -> Column:
+    return F.struct(sha.alias("sha"), size.alias("len"), x64.alias("x64"), ident.alias("id"))
 
 
 def merge_runs(rows: DataFrame, ident: str = "_id", keep: str = "largest",
@@ -61,30 +73,24 @@ def merge_runs(rows: DataFrame, ident: str = "_id", keep: str = "largest",
 def exact_groups(docs: DataFrame, ident: str = "doc_id", text: str = "text",
                  keep: str = "largest") -> DataFrame:
     """One row per document: identifier, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
-    rows = (with_digest(docs.select(F.col(ident).alias("_id"), F.col(text).alias("_text")), "_text")
-            .groupBy("_id", *_KEY).agg(F.count(F.lit(1)).alias("_copies")))
+    rows = _counted(docs, ident, text)
     won = merge_runs(rows, keep=keep)
-    both = rows.join(won, list(_KEY))
-    copy = both.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    copy = repeated(rows.join(won, list(_KEY)), "_copies", "_n")
     return copy.select(F.col("_id").alias(ident), "keep_id", "group_size",
-                       (F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_n") == 1)).alias("kept"),
+                       (F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_n") == 0)).alias("kept"),
                        F.col("_sha").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text",
                 keep: str = "largest") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, one per distinct text."""
-    rows = with_digest(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"),
-                                   F.col(ident).alias("_id")), "_text").drop("_text")
-    ranked = rows.withColumns({"_null": F.col("_id").isNull(), "_key": F.coalesce("_id", F.lit(0))})
-    won = merge_runs(rows.select(*_KEY, "_id", F.lit(1).alias("_copies")), keep=keep)
-    won = won.select(*_KEY, F.col("keep_id").isNull().alias("_null"),
-                     F.coalesce("keep_id", F.lit(0)).alias("_key"))
-    keys = [*_KEY, "_null", "_key"]
-    # Rows with the same identifier and text as the winner: the window reuses the join's partitioning.
-    first = Window.partitionBy(*keys).orderBy(*keys)
-    return (ranked.join(won, keys, "left_semi").withColumn("_n", F.row_number().over(first))
-            .filter("_n = 1").select("_row.*"))
+    rows = _counted(docs, ident, text)
+    won = merge_runs(rows, keep=keep).select(*[F.col(c).alias(f"w{c}") for c in _KEY], "keep_id")
+    same = [F.col(c) == F.col(f"w{c}") for c in _KEY]
+    named = rows.join(won, [*same, F.col("_id").eqNullSafe(F.col("keep_id"))])
+    wanted = named.select(_row_key(*[F.col(c) for c in _KEY], F.col("_id")).alias("_key"), "_copies")
+    t = text_of(text)
+    return one_each(docs, _row_key(*_digest(t), F.col(ident)), wanted)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ when there is none a new bin opens.
 
 Packing runs in shards of about ``BINS_PER_SHARD`` bins, or of about
 ``PIECES_PER_SHARD`` pieces where texts are so short that this gives more
-shards, dealt by a hash of identifier and text, so a source or cluster of any
-size spreads over all shards. Only lengths and keys are shuffled, never texts.
+shards, dealt by a hash of identifier, text, source, cluster and the number of the copy,
+so a source, a cluster or a repeated row of any number spreads over all shards. Only lengths and keys are shuffled, never texts.
 
 Defined cases: null and empty texts get one piece of length 0; a null source
 conflicts with nothing; without a cluster column, texts that are equal but for
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import table, text_of
+from pitchlake.llm.common import repeated, table, text_of
 
 #: Characters of a bin, about 2,048 tokens; bins that a shard is meant to fill; pieces that it is meant to hold.
 CAPACITY, BINS_PER_SHARD, PIECES_PER_SHARD = 8192, 256, 4096
@@ -104,19 +104,21 @@ def pack(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str
         cluster = F.xxhash64(F.lower(F.regexp_replace(t, r"\s+", " ")))
     rows = docs.select(F.col(ident).alias("doc_id"), F.length(t).cast("long").alias("_n"),
                        F.col(source).alias("_source"), cluster.alias("_cluster"),
-                       F.xxhash64(F.col(ident), t).alias("_h"))
+                       F.xxhash64(F.col(ident), t, F.col(source), cluster).alias("_h"))
     n = F.length(t).cast("long")
     total, pieces = docs.select(F.sum(n), F.sum(F.greatest(F.ceil(n / capacity), F.lit(1)))).first()
     shards = max(1, -(-int(total or 0) // (capacity * bins_per_shard)), -(-int(pieces or 0) // pieces_per_shard))
+    # rows that agree in everything are numbered, so that they go to different shards
+    rows = repeated(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies")), "_copies", "_copy").drop("_copies")
     numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_n") / capacity).cast("int") - 1, F.lit(0)))
     split = rows.withColumn("piece", F.explode(numbers)).withColumns({
         "start": F.col("piece").cast("long") * capacity,
-        "_shard": F.pmod(F.xxhash64("_h", "piece"), F.lit(shards)).cast("long")})
+        "_shard": F.pmod(F.xxhash64("_h", "piece", "_copy"), F.lit(shards)).cast("long")})
     split = split.withColumn("length", F.least(F.lit(capacity), F.col("_n") - F.col("start")).cast("int"))
     kind = docs.schema[ident].dataType.simpleString()
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "_h", "piece"], ascending=[False, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "_h", "piece", "_copy"], ascending=[False, True, True, True], kind="stable")
         where = best_fit(pdf["length"].to_numpy(np.int64), _codes(pdf["_source"], False),
                          _codes(pdf["_cluster"], True), capacity)
         pdf = pdf.assign(_bin=where)

@@ -38,10 +38,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import table, written
+from pitchlake.llm.common import one_each, table, written
 from pitchlake.llm.components import components
 
 SHINGLE, DISTANCE, SEED, BITS = 3, 3, 42, 64
@@ -210,15 +210,14 @@ def keep_one(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
     Of several rows with this identifier, one stays."""
     found = classes(docs, ident, text)
     named = found.filter(F.col("_id").eqNullSafe(F.col("_component")))
-    kept = named.groupBy("_root", "_id").agg(F.min("_tx").alias("_tx")) \
-        .select(F.col("_id").isNull().alias("_null"), F.coalesce("_id", F.lit(0)).alias("_key"), "_tx")
-    keys = ["_null", "_key", "_tx"]
-    keyed = docs.select(F.struct("*").alias("_row"), F.col(ident).isNull().alias("_null"),
-                        F.coalesce(F.col(ident), F.lit(0)).alias("_key"), F.xxhash64(F.col(text)).alias("_tx"))
-    # Rows repeated with the same identifier and text: the window reuses the join's partitioning.
-    first = Window.partitionBy(*keys).orderBy(*keys)
-    return (keyed.join(kept, keys, "left_semi").withColumn("_n", F.row_number().over(first))
-            .filter("_n = 1").select("_row.*"))
+    texts = named.groupBy("_root", "_id", "_tx").agg(F.count(F.lit(1)).alias("_copies"))
+    kept = texts.groupBy("_root", "_id").agg(F.min(F.struct("_tx", "_copies")).alias("_least"))
+    wanted = kept.select(_row_key(F.col("_least._tx"), F.col("_id")).alias("_key"), "_least._copies")
+    return one_each(docs, _row_key(F.xxhash64(F.col(text)), F.col(ident)), wanted)
+
+
+def _row_key(tx: Column, ident: Column) -> Column:
+    return F.struct(tx.alias("tx"), ident.alias("id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

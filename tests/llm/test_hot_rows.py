@@ -1,0 +1,87 @@
+"""A third of all rows the same, identifiers of other types, many benchmark blocks."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from pitchlake.llm import decontaminate, exact_dedup, packing, simhash
+from pitchlake.llm.common import repeated
+from tests.llm.helpers import DOC, docs_of, edge_rows, words
+
+
+def hot_rows(n=3000):
+    rng = random.Random(8)
+    rows = [(7, "the same text again", "en", f"s{k}", k) for k in range(n // 3)]
+    rows += [(None, "nobody's text", "en", f"t{k}", k) for k in range(n // 6)]
+    return rows + [(1000 + k, words(rng, 12), "en", f"u{k % 9}", k) for k in range(n // 2)]
+
+
+def test_rows_are_repeated_and_numbered(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 4096), ("c", 4097), ("d", 10_000)], "k string, n long")
+    got = repeated(df, "n", "i").groupBy("k", "n").agg(F.count(F.lit(1)).alias("c"), F.countDistinct("i").alias("d"),
+                                                       F.min("i").alias("a"), F.max("i").alias("b")).collect()
+    assert {(r.k, r.c, r.d, r.a, r.b) for r in got} == {(k, n, n, 0, n - 1) for k, n in
+                                                        (("a", 1), ("b", 4096), ("c", 4097), ("d", 10_000))}
+
+
+def test_repeated_rows_are_dealt_over_shards(spark):
+    rows = hot_rows()
+    got = packing.pack(docs_of(spark, rows).repartition(6), capacity=200, bins_per_shard=20)
+    shard = F.shiftright("bin_id", 32)
+    same = got.filter("doc_id = 7").groupBy(shard.alias("s")).count().collect()
+    assert sum(r["count"] for r in same) == len(rows) // 3
+    assert max(r["count"] for r in same) < len(rows) // 3 / 4 and len(same) >= 8
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter(r[0] for r in rows)
+
+
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+def test_one_row_stays_of_many_that_are_the_same(spark, keep):
+    rows = hot_rows()
+    docs = docs_of(spark, rows, clash=True).repartition(6)
+    got = exact_dedup.drop_copies(docs, keep=keep)
+    assert got.columns == docs.columns
+    assert sorted(r["text"] for r in got.collect()) == sorted({r[1] for r in rows})
+    flags = exact_dedup.exact_groups(docs_of(spark, rows), keep=keep)
+    assert flags.filter("kept").count() == len({r[1] for r in rows}) and flags.count() == len(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "_salt" in plan
+
+
+def test_simhash_keeps_one_row_of_many_that_are_the_same(spark):
+    rows = hot_rows(600)
+    got = simhash.keep_one(docs_of(spark, rows).repartition(4)).collect()
+    assert sum(r["doc_id"] == 7 for r in got) == 1 and sum(r["text"] == "nobody's text" for r in got) == 1
+    assert len(got) == len({r["text"] for r in got})
+
+
+def test_identifiers_of_other_types(spark):
+    rows = edge_rows()
+    docs = docs_of(spark, rows).withColumn("doc_id", F.format_string("id-%s", F.col("doc_id").cast("string"))) \
+        .withColumn("doc_id", F.when(F.col("doc_id") != "id-null", F.col("doc_id")))
+    texts = {r[1] or "" for r in rows}
+    assert sorted(r["text"] or "" for r in exact_dedup.drop_copies(docs).collect()) == sorted(texts)
+    n = simhash.keep_one(docs).count()
+    assert n == simhash.keep_one(docs_of(spark, rows)).count()
+    items = spark.createDataFrame([("item one", "one"), ("item two", "no such words here")], "item_id string, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.contaminated(docs, items).collect()}
+    assert got["id-10"] == ["item one"] and got["id-3"] == []
+    whole = spark.createDataFrame([(1.5, "one")], "item_id double, text string")
+    assert decontaminate.keep_clean(docs, whole).count() == len(rows) - sum((r[1] or "") == "one" for r in rows)
+
+
+def test_many_blocks_run_in_one_python_stage(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(k, words(rng, 12)) for k in range(40)]
+    rows = [(k, " ".join([words(rng, 5), items[k % 40][1], words(rng, 5)]) if k % 3 else words(rng, 20), "en", "s", k)
+            for k in range(90)]
+    docs = spark.createDataFrame(rows, DOC).repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(str, decontaminate.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
+    assert len(list(decontaminate._blocks(bench, "item_id", "text"))) > 10
+    df = decontaminate.contaminated(docs, bench)
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(str, df.collect())) == want
+    assert sum("contaminated=True" in w for w in want) >= 60
