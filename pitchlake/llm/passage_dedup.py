@@ -17,13 +17,14 @@ in a document with a smaller identifier. Windows are judged on the input.
    document only is dropped. A prefix of all ``SPAN`` words is a node of its
    own and needs no tree, so that a passage in a third of all documents is
    counted, not gathered.
-4. Each other prefix gives a group that fits into memory. Its suffix tree comes
-   from the sorted suffixes and their common prefixes; its internal nodes of
-   ``SPAN`` words or more are the repeats, and all their suffixes but those of
-   the smallest document are windows that go.
+4. Each other prefix gives a group that fits into memory. The nodes of its suffix
+   tree are the runs of sorted suffixes with a longer common prefix than their
+   neighbours; those of ``SPAN`` words or more are the repeats, and all their
+   suffixes but those of the smallest document are windows that go.
 
-Classes, and nodes of whole windows, are 128-bit BLAKE2b digests; inside a group
-words are compared. Groups stream through a task one after another.
+Classes, and nodes of whole windows, are 128-bit BLAKE2b digests; prefixes are
+64-bit hashes, since inside a group the words themselves are compared. Groups
+stream through a task one after another.
 
 Defined cases: null, empty and blank texts have no words; texts of fewer than
 ``SPAN`` words lose nothing; a null identifier counts as larger than all others
@@ -39,7 +40,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm import rolling
@@ -47,9 +48,9 @@ from pitchlake.llm.common import table, text_of, written
 
 SPAN, GRAM = 50, 20
 #: Prefix lengths in words, the last one a whole window; most suffixes of a group.
-LENGTHS, GROUP_ROWS = (25, 38, SPAN), 20_000
-#: Suffixes that leave a task together.
-BATCH = 4096
+LENGTHS, GROUP_ROWS = (36, 43, SPAN), 20_000
+#: Anchors and stretches that leave a task together, and stretches whose suffixes do.
+ANCHORS, BATCH, STRETCHES = 8192, 1024, 256
 
 Words = list[bytes]
 
@@ -80,50 +81,68 @@ def anchors(words: Words, span: int = SPAN, gram: int = GRAM) -> list[tuple[int,
 
 
 def _keyed(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """Rows with the same identifier and text share a key and a result."""
-    t, i = text_of(text), F.col(ident)
-    return docs.select(i.alias("_id"), F.xxhash64(i.isNull(), i, t).alias("k1"),
-                       F.xxhash64(F.lit(7), i.isNull(), i, t).alias("k2"), t.cast("binary").alias("body"))
+    """Identifier, ``k1`` (hash of the text) and the text: rows that agree in the first two share a result."""
+    t = text_of(text)
+    return docs.select(F.col(ident).alias("_id"), F.xxhash64(t).alias("k1"), t.cast("binary").alias("body"))
+
+
+def _doc(ident: str = "_id") -> Column:
+    """The place of a document in the order: null identifiers come last."""
+    return F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("id"))
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return (a["k1"] == b["k1"]) & a["_id"].eqNullSafe(b["_id"])
 
 
 def _anchor_rows(keyed: DataFrame, kind: str, span: int, gram: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, k1, k2, t in zip(*[b.column(c) for c in ("_id", "k1", "k2", "body")], strict=True):
-                found = anchors(t.as_py().split(), span, gram)
-                if found:
-                    g, first, last, stretch = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([i.as_py()] * len(g), i.type), pa.array(np.full(len(g), k1.as_py())),
-                         pa.array(np.full(len(g), k2.as_py())), pa.array(g, pa.int64()), pa.array(first, pa.int32()),
-                         pa.array(last, pa.int32()), pa.array(stretch, pa.binary())],
-                        ["_id", "k1", "k2", "gram", "first", "last", "class"])
-
-    rows = keyed.select("_id", "k1", "k2", "body").mapInArrow(
-        scan, f"_id {kind}, k1 long, k2 long, gram long, first int, last int, class binary")
-    return rows.select(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id")).alias("doc"),
-                       "k1", "k2", "gram", "first", "last", "class")
-
+            found: list[tuple[int, int, int, bytes]] = []
+            of: list[int] = []
 
-def _stretches(keyed: DataFrame, wanted: DataFrame, kind: str, span: int) -> DataFrame:
-    """The words of the wanted classes' stretches: class, low (the smallest document), body."""
+            def sent() -> pa.RecordBatch:
+                g, first, last, stretch = zip(*found, strict=True)
+                take = pa.array(of, pa.int32())
+                return pa.RecordBatch.from_arrays(
+                    [b.column("_id").take(take), b.column("k1").take(take), pa.array(g, pa.int64()),
+                     pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(stretch, pa.binary())],
+                    ["_id", "k1", "gram", "first", "last", "class"])
+
+            for k, t in enumerate(b.column("body")):
+                own = anchors(t.as_py().split(), span, gram)
+                found += own
+                of += [k] * len(own)
+                if len(found) >= ANCHORS:
+                    yield sent()
+                    found.clear()
+                    of.clear()
+            if found:
+                yield sent()
+
+    return keyed.select("_id", "k1", "body").mapInArrow(
+        scan, f"_id {kind}, k1 long, gram long, first int, last int, class binary")
+
+
+def _stretches(keyed: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
+    """The words of the wanted classes' stretches: class, _id (the smallest document), body."""
+    kind, ident = _arrow(wanted.select("_id")), wanted.schema["_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for body, places in zip(b.column("body"), b.column("places"), strict=True):
+            for i, body, places in zip(*[b.column(c) for c in ("_id", "body", "places")], strict=True):
                 words, every = body.as_py().split(), places.as_py()
                 for x in range(0, len(every), BATCH):  # a long text has many stretches
                     rows = every[x:x + BATCH]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["class"] for r in rows], pa.binary()), pa.array([r["low"] for r in rows], low_kind),
+                        [pa.array([r["class"] for r in rows], pa.binary()), pa.array([i.as_py()] * len(rows), kind),
                          pa.array([b" ".join(words[r["first"]:r["last"] + span]) for r in rows], pa.binary())],
-                        ["class", "low", "body"])
+                        ["class", "_id", "body"])
 
-    per_row = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("class", "low", "first", "last")).alias("places"))
-    joined = keyed.dropDuplicates(["k1", "k2"]).select("k1", "k2", "body").join(per_row, ["k1", "k2"])
-    low_kind = _arrow(wanted.select("low"))
-    return joined.select("body", "places").mapInArrow(
-        scan, f"class binary, low struct<none:boolean,id:{kind}>, body binary")
+    per_row = wanted.groupBy("_id", "k1").agg(F.collect_list(F.struct("class", "first", "last")).alias("places"))
+    texts = keyed.dropDuplicates(["_id", "k1"])
+    joined = texts.join(per_row, _same(texts, per_row)).select(texts["_id"], "body", "places")
+    return joined.mapInArrow(scan, f"class binary, _id {ident}, body binary")
 
 
 def _arrow(df: DataFrame) -> pa.DataType:
@@ -132,33 +151,52 @@ def _arrow(df: DataFrame) -> pa.DataType:
     return to_arrow_type(df.schema.fields[0].dataType)
 
 
-def _prefixes(stretches: DataFrame, kind: str, span: int, lengths: tuple[int, ...]) -> DataFrame:
-    """One row per suffix: class, ``at`` (its place in the stretch), low, a digest of each prefix length."""
-    names = [f"p{n}" for n in lengths]
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few stretches at a time: each has many suffixes."""
+    for b in batches:
+        for at in range(0, b.num_rows, STRETCHES):
+            yield b.slice(at, STRETCHES)
+
+
+def _prefixes(stretches: DataFrame, length: int, span: int, only: DataFrame | None = None) -> DataFrame:
+    """One row per suffix: class, ``at`` (its place in the stretch), _id, digest ``p`` of its first ``length`` words.
+
+    ``only`` (class, places) names the suffixes that are wanted; all of them if there is none."""
+    kind = stretches.schema["_id"].dataType.simpleString()
+    size, whole = 16 if length == span else 8, only is None
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows: list[tuple] = []
+        for b in _sliced(batches):
+            places: list[int] = []
+            prefixes: list[bytes] = []
             of: list[int] = []
             for k, body in enumerate(b.column("body")):
                 text, start, end = _joined(body.as_py().split())
-                for at in range(len(start) - span + 1):
-                    rows.append((at, *[_digest(text[start[at]:end[at + n - 1]]) for n in lengths]))
-                    of.append(k)
-            columns = list(zip(*rows, strict=True)) or [()] * (1 + len(lengths))
+                wanted = range(len(start) - span + 1) if whole else b.column("places")[k].as_py()
+                places += wanted
+                of += [k] * len(wanted)
+                prefixes += [blake2b(text[start[at]:end[at + length - 1]], digest_size=size).digest() for at in wanted]
             take = pa.array(of, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column("class").take(take), pa.array(columns[0], pa.int32()), b.column("low").take(take),
-                 *[pa.array(c, pa.binary()) for c in columns[1:]]], ["class", "at", "low", *names])
+                [b.column("class").take(take), pa.array(places, pa.int32()), b.column("_id").take(take),
+                 pa.array(prefixes, pa.binary())], ["class", "at", "_id", "p"])
 
-    return stretches.mapInArrow(scan, f"class binary, at int, low struct<none:boolean,id:{kind}>, "
-                                + ", ".join(f"{n} binary" for n in names))
+    src = stretches if whole else stretches.join(only, "class")
+    return src.mapInArrow(scan, f"class binary, at int, _id {kind}, p binary")
 
 
-def suffix_tree(suffixes: list[tuple[bytes, ...]]) -> list[tuple[int, list[int]]]:
-    """Internal nodes of the tree of all suffixes: string depth in words, and the suffixes below.
+def _shared(a: bytes, b: bytes) -> int:
+    """Words in the common prefix."""
+    if a == b:
+        return a.count(b" ")
+    return next(k for k, (u, v) in enumerate(zip(a.split(b" "), b.split(b" "), strict=False)) if u != v)
 
-    The nodes are the intervals of the sorted suffixes that share a longer prefix than their neighbours."""
+
+def suffix_tree(suffixes: list[bytes], least: int = 1) -> list[tuple[int, list[int]]]:
+    """The tree's internal nodes of ``least`` words or more: string depth in words, and the suffixes below.
+
+    The nodes are the runs of the sorted suffixes that share a longer prefix than their neighbours; words
+    are followed by one space."""
     order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
     nodes: list[tuple[int, list[int]]] = []
     stack = [(0, 0)]  # depth, first place in the order
@@ -166,78 +204,91 @@ def suffix_tree(suffixes: list[tuple[bytes, ...]]) -> list[tuple[int, list[int]]
         shared = -1
         if x < len(order):
             a, b = suffixes[order[x - 1]], suffixes[order[x]]
-            shared = next((k for k, (u, v) in enumerate(zip(a, b, strict=False)) if u != v), min(len(a), len(b)))
+            if a == b or max(a.count(b" "), b.count(b" ")) > least:
+                shared = _shared(a, b)
+            else:  # different suffixes of at most ``least`` words share fewer
+                shared = 0
         first = x - 1
         while stack and stack[-1][0] > shared:
             depth, first = stack.pop()
-            nodes.append((depth, order[first:x]))
+            if depth >= least:
+                nodes.append((depth, order[first:x]))
         if shared >= 0 and (not stack or stack[-1][0] < shared):
             stack.append((shared, first))
     return nodes
 
 
-def _deep(rows: list[tuple[bytes, int, tuple, bytes]], span: int) -> list[tuple[bytes, int]]:
-    """(class, at) of the suffixes below deep nodes that aren't the smallest document's."""
-    suffixes = [tuple(r[3].split()) for r in rows]
-    gone: set[int] = set()
-    for depth, below in suffix_tree(suffixes):
-        if depth >= span:
-            least = min(rows[i][2] for i in below)
-            gone.update(i for i in below if rows[i][2] > least)
-    return [(rows[i][0], rows[i][1]) for i in sorted(gone)]
-
-
 def _trees(groups: DataFrame, stretches: DataFrame, span: int) -> DataFrame:
-    """(class, at) of the windows that go, from the suffix tree of each group (``prefix``)."""
+    """(class, at) of the windows that go, from the suffix tree of each group of suffixes (``p``)."""
+    kind = groups.schema["_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [b" ".join(t.split()[at:at + span]) for t, at in
-                     zip(b.column("body").to_pylist(), b.column("at").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(texts, pa.binary())],
-                                             [*names, "body"])
+        for b in _sliced(batches):
+            of: list[int] = []
+            texts: list[bytes] = []
+            every = b.column("places").to_pylist()
+            for k, body in enumerate(b.column("body").to_pylist()):
+                words = body.split()
+                texts += [b" ".join(words[s["at"]:s["at"] + span]) + b" " for s in every[k]]
+                of += [k] * len(every[k])
+            take = pa.array(of, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s["p"] for e in every for s in e], pa.binary()), b.column("class").take(take),
+                 pa.array([s["at"] for e in every for s in e], pa.int32()), b.column("_id").take(take),
+                 pa.array(texts, pa.binary())], ["p", "class", "at", "_id", "body"])
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list) -> pa.RecordBatch:
-            got = _deep(rows, span)
-            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()),
-                                               pa.array([g[1] for g in got], pa.int32())], ["class", "at"])
+        names = ["p", "class", "at", "_id", "body"]
+        now: bytes | None = None
+        rows: list[tuple] = []
+        out: list[tuple] = []
+
+        def done() -> None:
+            for _, below in suffix_tree([r[3] for r in rows], span):
+                keys = [(rows[i][2] is None, rows[i][2]) for i in below]
+                least = min(keys)
+                out.extend(rows[i][:2] for i, key in zip(below, keys, strict=True) if key > least)
+
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.binary()),
+                                               pa.array([r[1] for r in out], pa.int32())], ["class", "at"])
 
-        now, rows = None, []
         for b in batches:
-            for prefix, kind, at, low, body in zip(*[b.column(c).to_pylist() for c in (*names, "body")], strict=True):
-                if prefix != now:
-                    if rows:
-                        yield out(rows)
-                    now, rows = prefix, []
-                rows.append((kind, at, (low["none"], low["id"]), body))
-        if rows:
-            yield out(rows)
-
-    names = ["prefix", "class", "at", "low"]
-    held = groups.join(stretches.select("class", "body"), "class").select(*names, "body")
-    each = held.mapInArrow(cut, held.schema)
-    return each.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(trees, "class binary, at int")
-
-
-def _partly(stretches: DataFrame, kind: str, span: int, lengths: tuple[int, ...], group_rows: int) -> DataFrame:
+            for p, *row in zip(*[b.column(c).to_pylist() for c in names], strict=True):
+                if p != now:
+                    done()
+                    now = p
+                    rows.clear()
+                rows.append(tuple(row))
+            yield sent()
+            out.clear()
+        done()
+        yield sent()
+
+    held = stretches.join(groups.groupBy("class").agg(F.collect_list(F.struct("p", "at")).alias("places")), "class")
+    each = held.mapInArrow(cut, f"p binary, class binary, at int, _id {kind}, body binary")
+    return each.repartition("p").sortWithinPartitions("p").mapInArrow(trees, "class binary, at int")
+
+
+def _partly(stretches: DataFrame, span: int, lengths: tuple[int, ...], group_rows: int) -> DataFrame:
     """(class, at) of the windows of undecided stretches that start in a smaller document."""
-    todo = written(_prefixes(stretches, kind, span, lengths), "prefixes")
     found: list[DataFrame] = []
-    for k, n in enumerate(lengths):
-        p = f"p{n}"
-        shared = todo.groupBy(p).agg(F.count(F.lit(1)).alias("c"), F.min("low").alias("a"), F.max("low").alias("b")) \
-            .filter("a < b")
+    only = None
+    for n in lengths:
+        todo = written(_prefixes(stretches, n, span, only), "prefixes")
+        shared = todo.groupBy("p").agg(F.count(F.lit(1)).alias("c"), F.min(_doc()).alias("low"),
+                                       F.max(_doc()).alias("high")).filter("low < high")
         if n == span:  # all suffixes of the prefix are the same window
-            found.append(todo.join(shared.select(p, "a"), p).filter("low > a").select("class", "at"))
+            shared = written(shared.select("p", "low"), "whole-windows")
+            found.append(todo.join(shared, "p").filter(_doc() > F.col("low")).select("class", "at"))
             break
-        shared = written(shared.select(p, "c"), "shared-prefixes")
-        small = todo.join(shared.filter(F.col("c") <= group_rows).select(p), p)
-        found.append(_trees(small.select(F.col(p).alias("prefix"), "class", "at", "low"), stretches, span))
-        large = shared.filter(F.col("c") > group_rows).select(p)
+        shared = written(shared.select("p", "c"), "shared-prefixes")
+        small = todo.join(shared.filter(F.col("c") <= group_rows).select("p"), "p")
+        found.append(_trees(small, stretches, span))
+        large = shared.filter(F.col("c") > group_rows).select("p")
         if large.isEmpty():
             break
-        todo = written(todo.join(large, p).select("class", "at", "low", *[f"p{m}" for m in lengths[k + 1:]]), "prefixes")
+        only = written(todo.join(large, "p").groupBy("class").agg(F.collect_list("at").alias("places")), "large-prefixes")
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -246,27 +297,31 @@ def _partly(stretches: DataFrame, kind: str, span: int, lengths: tuple[int, ...]
 
 def repeated(docs: DataFrame, ident: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM,
              lengths: tuple[int, ...] = LENGTHS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """k1, k2 (an identifier and text) and ``windows``: runs of the windows that go as (first, last) starts."""
+    """_id, k1 (an identifier and a text) and ``windows``: runs of the windows that go as (first, last) starts."""
     keyed = _keyed(docs, ident, text)
     kind = keyed.schema["_id"].dataType.simpleString()
     every = written(_anchor_rows(keyed.filter(F.length("body") >= 2 * span - 1), kind, span, gram), "anchors")
-    often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram")
+    # small tables are written, so that the joins with them can split a hot string
+    often = written(every.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram"), "grams")
     found = written(every.join(often, "gram"), "repeated-anchors")
-    one = F.min(F.struct("doc", "k1", "k2", "first", "last"))
-    classes = written(found.groupBy("class", "gram").agg(F.max("doc").alias("high"), one.alias("one")), "classes")
-    whole = found.join(classes.filter("high > one.doc").select("class", F.col("one.doc").alias("low")), "class") \
-        .filter("doc > low").select("k1", "k2", "first", "last")
-    several = classes.groupBy("gram").agg(F.min("one.doc").alias("a"), F.max("one.doc").alias("b")) \
+    classes = written(found.groupBy("class").agg(
+        F.min("gram").alias("gram"), F.max(_doc()).alias("high"),
+        F.min(F.struct(_doc().alias("low"), "k1", "first", "last")).alias("one")), "classes")
+    whole = found.join(classes.filter("high > one.low").select("class", "one.low"), "class") \
+        .filter(_doc() > F.col("low")).select("_id", "k1", "first", "last")
+    several = classes.groupBy("gram").agg(F.min("one.low").alias("a"), F.max("one.low").alias("b")) \
         .filter("a < b").select("gram")
-    wanted = classes.join(several, "gram").select(
-        "class", F.col("one.doc").alias("low"), "one.k1", "one.k2", "one.first", "one.last")
-    stretches = written(_stretches(keyed, wanted, kind, span), "stretches")
-    gone = written(_partly(stretches, kind, span, lengths, group_rows), "partly").distinct()
+    wanted = classes.join(written(several, "shared-grams"), "gram").select(
+        "class", F.col("one.low.id").alias("_id"), "one.k1", "one.first", "one.last")
+    stretches = written(_stretches(keyed, wanted, span), "stretches")
+    gone = written(_partly(stretches, span, lengths, group_rows), "partly").distinct() \
+        .groupBy("class").agg(F.collect_list("at").alias("places"))
     # a class's smallest document may hold its stretch several times
-    partly = found.join(gone.join(classes.select("class", F.col("one.doc").alias("low")), "class"), "class") \
-        .filter("doc = low").select("k1", "k2", (F.col("first") + F.col("at")).alias("first"),
-                                    (F.col("first") + F.col("at")).alias("last"))
-    return whole.union(partly).groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("windows"))
+    low = classes.select("class", "one.low").join(gone, "class")
+    partly = found.join(low, "class").filter(_doc() == F.col("low")) \
+        .select("_id", "k1", "first", F.explode("places").alias("at")) \
+        .select("_id", "k1", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last"))
+    return whole.union(partly).groupBy("_id", "k1").agg(F.collect_set(F.struct("first", "last")).alias("windows"))
 
 
 def kept(words: Words, windows: list[tuple[int, int]], span: int = SPAN) -> tuple[Words, list[tuple[int, int]]]:
@@ -287,7 +342,8 @@ def kept(words: Words, windows: list[tuple[int, int]], span: int = SPAN) -> tupl
 def removed(docs: DataFrame, ident: str = "doc_id", text: str = "text", span: int = SPAN, **how: object) -> DataFrame:
     """One row per document: identifier, n_words, n_removed, the removed spans (in words) and the ``kept`` text."""
     found = written(repeated(docs, ident, text, span, **how), "repeated")
-    joined = _keyed(docs, ident, text).join(found, ["k1", "k2"], "left").select("_id", "body", "windows")
+    keyed = _keyed(docs, ident, text)
+    joined = keyed.join(found, _same(keyed, found), "left").select(keyed["_id"], "body", "windows")
     kind = joined.schema["_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

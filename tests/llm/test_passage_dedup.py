@@ -73,14 +73,16 @@ def test_tree_nodes_are_all_repeated_prefixes():
     rng = random.Random(2)
     for _ in range(50):
         rows = [tuple(b"%d" % rng.randrange(3) for _ in range(6)) for _ in range(rng.randrange(1, 30))]
-        nodes = {(d, tuple(sorted(x))) for d, x in passage_dedup.suffix_tree(rows) if d}
+        texts = [b" ".join(r) + b" " for r in rows]
         want = {}
         for d in range(1, 7):
             for p in {r[:d] for r in rows}:
                 below = tuple(i for i, r in enumerate(rows) if r[:d] == p)
                 if len(below) > 1:
                     want[below] = d  # the deepest shared prefix names the node
-        assert nodes == {(d, b) for b, d in want.items()}
+        assert {(d, tuple(sorted(x))) for d, x in passage_dedup.suffix_tree(texts)} == {(d, b) for b, d in want.items()}
+        deep = {(d, tuple(sorted(x))) for d, x in passage_dedup.suffix_tree(texts, 6)}
+        assert deep == {(d, b) for b, d in want.items() if d == 6}
 
 
 def test_empty_table(spark):
