@@ -11,11 +11,11 @@ Plan shape (see README "Gold plan"):
 * Opponent passes = (all passes of the match by named teams) - (own passes):
   a window over the *aggregated* rows of one match (a handful of teams),
   never a self-join of raw events and never a fan-out.
-* Progressive-carry rate: carries pre-aggregated to (match, player) and
-  Carry events pre-aggregated to (match, player, team) are joined, so the
-  join sees one row per player instead of carries x events.
-* The carry rate joins the spine on (season, match, team); both sides are
-  team-match sized, AQE picks broadcast or shuffle from their runtime size.
+* Progressive-carry rate: carries pre-aggregated to (match, player) stand beside
+  the player's Carry-event counts per team, so nothing sees carries x events.
+* Only these aggregated rows are dealt by the match, once; every later step
+  (carries to players, players to teams, teams to opponents) needs no further
+  exchange: one exchange per source, and one of rows per player.
 """
 
 from __future__ import annotations
@@ -198,15 +198,24 @@ def fingerprints(events: DataFrame, carries: DataFrame,
                  t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """The Gold table: one row per (match, team) seen in the events.
 
-    Plan: events aggregated once to (match, team, player); each player's
-    carries aggregated to (season, match, player) and LEFT-joined onto those rows (one
-    carrier row per player and match, so no fan-out and no hot key); then a
-    single roll-up to (match, team) yields every metric, the weighted carry
-    sums included. One scan of events, one of carries, no join of tables of
-    team rows afterwards.
+    Plan: each source is aggregated once, map-side first: events to (match, team, player), carries to
+    (match, player). These rows, one per player, go through one exchange on the match; all that
+    follows finds its rows together there: a player's carries beside the player's rows (a window),
+    the roll-up to (match, team) with the weighted carry sums, the passes of the match's other teams
+    (a window). Raw rows are never dealt by the match, so a hot match is no hot task.
     """
     pp = player_match_counts(events, t)
-    j = pp.join(_per_carrier(carries, t), [*MATCH, "player_id"], "left")
+    carriers = _per_carrier(carries, t)
+    counts = [c for c in pp.columns if c not in (*TEAM_MATCH, "player_id")]
+    nothing = F.lit(0).cast("long")
+    players = pp.select(*MATCH, "team_name", "player_id", *counts, nothing.alias("p"), nothing.alias("n"),
+                        F.lit(True).alias("seen"))
+    carried = carriers.select(
+        *MATCH, F.lit(None).cast("string").alias("team_name"), F.col("player_id").cast(pp.schema["player_id"].dataType),
+        *[F.lit(None).cast(pp.schema[c].dataType).alias(c) for c in counts], "p", "n", F.lit(False).alias("seen"))
+    own = Window.partitionBy(*MATCH, "player_id")
+    j = (players.unionByName(carried).repartition(*MATCH)
+         .withColumns({"p": F.sum("p").over(own), "n": F.sum("n").over(own)}).where("seen"))
     m = F.when(F.col("player_id").isNotNull(), F.col("carry_events")).otherwise(0)
     w = m if t.carry_weighting == "reference" else F.when(m > 0, 1).otherwise(0)
 
@@ -220,8 +229,8 @@ def fingerprints(events: DataFrame, carries: DataFrame,
         F.sum("high_pressures").alias("high_pressures"),
         F.sum("pressures").alias("pressures"),
         mean("line_x_sum", "line_x_n").alias("defensive_line_height"),
-        F.sum(F.coalesce(F.col("p"), F.lit(0)) * w).alias("carry_prog_w"),
-        F.sum(F.coalesce(F.col("n"), F.lit(0)) * w).alias("carry_all_w"))
+        F.sum(F.col("p") * w).alias("carry_prog_w"),
+        F.sum(F.col("n") * w).alias("carry_all_w"))
     c = with_opponent_passes(team)
     named = F.col("team_name").isNotNull()
     def_actions = F.when(named, F.col("zone_def_actions")).otherwise(0)

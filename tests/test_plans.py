@@ -46,6 +46,18 @@ def test_gold_plan_shape(layers):
     assert scans and all("play_pattern" not in s for s in scans)
 
 
+def test_gold_has_one_exchange_per_source_and_one_of_player_rows(layers):
+    p = plan(layers.gold_from_silver())
+    exchanges = [ln for ln in p.splitlines() if re.search(r"\bExchange \w+partitioning", ln)]
+    assert len(exchanges) == 3, p
+    assert sum("REPARTITION_BY_COL" in e for e in exchanges) == 1
+    assert p.count("FileScan parquet") == 2 and "Join" not in p
+    # what goes through the exchanges of the sources is aggregated before
+    for i, ln in enumerate(p.splitlines()):
+        if "Exchange hashpartitioning" in ln and "ENSURE_REQUIREMENTS" in ln:
+            assert "partial_" in p.splitlines()[i + 1] or "partial_" in p.splitlines()[i + 2]
+
+
 @pytest.mark.parametrize("build", [
     lambda L: V.match_momentum(L.bronze_matches, L.shots),
     lambda L: V.team_dna(L.gold),
