@@ -114,18 +114,18 @@ def _silver_tasks(spark: SparkSession, root: str, seasons: Sequence[tuple[int, i
         return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
                                            cluster_by=("match_id",), selected_by=SELECTED_BY)
 
-    def bronze(table: str, schema: T.StructType) -> DataFrame:
-        path = B.paths(root)[table]
+    def lineups() -> DataFrame:
+        path = B.paths(root)["lineups"]
         if drifted:
-            return B.scan_drifted(spark, [path], schema, path, B.season_filter(seasons))
-        return B.scan(spark, path, schema, seasons)
+            return B.scan_drifted(spark, [path], schemas.BRONZE_LINEUPS, path, B.season_filter(seasons))
+        return B.scan_lineups(spark, root, seasons)
 
     tasks = {}
     if B.table_exists(spark, B.paths(root)["events"]):
-        events = bronze("events", schemas.BRONZE_EVENTS)
+        events = B.scan_events(spark, root, seasons, drifted)
         tasks.update({t: write(t, S.SILVER_TABLES[t](events)) for t in SILVER_EVENT_TABLES})
     if B.table_exists(spark, B.paths(root)["lineups"]):
-        tasks["lineups"] = write("lineups", S.silver_lineups(bronze("lineups", schemas.BRONZE_LINEUPS)))
+        tasks["lineups"] = write("lineups", S.silver_lineups(lineups()))
     return tasks
 
 
@@ -260,6 +260,7 @@ def run_pipeline(spark: SparkSession, feed: Feed, root: str,
     of the catalogue). A season that fails is reported with its error and does not stop the others."""
     seasons = [(int(c), int(s)) for c, s in (seasons if seasons is not None else seasons_of(feed))]
     errors: dict[tuple[int, int], str] = {}
+    B.roll_forward(spark, root)
     _isolated(spark, lambda some: ingest(feed, root, some, limit, ingested_at), seasons, errors)
     _isolated(spark, lambda some: _build(spark, root, some, t), seasons, errors)
     return status(spark, root, seasons, errors)

@@ -217,15 +217,46 @@ def land_events(events: DataFrame, root: str, ingested_at=DEFAULT_INGESTED_AT,
         if rows:
             old = stored(with_columns(schemas.BRONZE_EVENTS, extra_columns(spark, path, schemas.BRONZE_EVENTS)))
             kept = old.join(delivered, same(old), "left_anti").unionByName(df, allowMissingColumns=True)
-            staged = join_path(root, f"bronze/_staged-{uuid.uuid4().hex}")  # the stored files are about to go
-            kept.write.parquet(staged)
-            _write_events(spark.read.schema(kept.schema).parquet(staged), path, "overwrite")
-            delete_folder(spark, staged)
+            # beside the stored files, which are about to go; its marker makes it what readers see
+            staged = join_path(root, f"bronze/{_STAGED}{uuid.uuid4().hex}")
+            kept.hint("rebalance", *MATCH).write.partitionBy(*SEASON_PARTS).parquet(staged)
+            _replace(spark, root, staged, kept.schema)
         return rows
 
     return or_by_groups(land)
 
 
+#: Front of the names of folders that hold seasons on their way into bronze/events.
+_STAGED = "_staged-"
+
+
+def _replace(spark: SparkSession, root: str, staged: str, schema: T.StructType | None = None) -> None:
+    """Moves the seasons of a complete staged folder into bronze/events and removes it, its marker first."""
+    rows = spark.read.schema(schema).parquet(staged) if schema is not None else spark.read.parquet(staged)
+    _write_events(rows, paths(root)["events"], "overwrite")
+    delete_folder(spark, join_path(staged, "_SUCCESS"))
+    delete_folder(spark, staged)
+
+
+def staged_folders(spark: SparkSession, root: str) -> list[str]:
+    """Complete staged folders: a writer was stopped while it replaced their seasons (or is at it)."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(join_path(root, "bronze"))
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        return []
+    found = [st.getPath().toString() for st in fs.listStatus(hadoop_path) if st.getPath().getName().startswith(_STAGED)]
+    return sorted(p for p in found if table_exists(spark, join_path(p, "_SUCCESS")))
+
+
+def roll_forward(spark: SparkSession, root: str) -> int:
+    """Finishes replacements of seasons that were stopped half-way; to be called while nobody else
+    writes. Returns how many there were."""
+    staged = staged_folders(spark, root)
+    for folder in staged:
+        _replace(spark, root, folder)
+    return len(staged)
+
+
 def _write_events(df: DataFrame, path: str, mode: str, season: tuple[int, int] | None = None) -> int:
     """Rows of a match go to few files, and those of one type lie together in a file, so that a
     filter on the type skips row groups and pages."""
@@ -359,8 +390,23 @@ def stored_counts(spark: SparkSession, path: str, seasons: Iterable[tuple[int, i
     return (rows if wanted is None else rows.where(wanted)).groupBy(*SEASON_PARTS).agg(F.count(F.lit(1)).alias(name))
 
 
-def scan_events(spark, root, seasons=None) -> DataFrame:
-    return scan(spark, paths(root)["events"], schemas.BRONZE_EVENTS, seasons)
+def scan_events(spark, root, seasons=None, drifted: bool = False) -> DataFrame:
+    """Bronze events, typed. A season whose replacement is complete but was stopped on its way into
+    bronze/events is read where it lies. ``drifted`` reads by groups of files with the same types."""
+    def read(folder: str) -> DataFrame:
+        if drifted:
+            return scan_drifted(spark, [folder], schemas.BRONZE_EVENTS, folder, season_filter(seasons))
+        return scan(spark, folder, schemas.BRONZE_EVENTS, seasons)
+
+    seasons = None if seasons is None else list(seasons)
+    rows = read(paths(root)["events"])
+    for folder in staged_folders(spark, root):
+        if seasons is not None and not _existing(spark, [
+                join_path(folder, f"competition_id={c}/season_id={s}") for c, s in seasons]):
+            continue  # other seasons, perhaps just being written
+        there = spark.read.schema(schemas.BRONZE_EVENTS).parquet(folder).select(*SEASON_PARTS).distinct().collect()
+        rows = rows.where(~season_filter([tuple(r) for r in there])).unionByName(read(folder))
+    return rows
 
 
 def scan_matches(spark, root, seasons=None) -> DataFrame:

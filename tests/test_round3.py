@@ -213,3 +213,44 @@ def test_seasons_ingested_side_by_side_do_not_meet(spark, lake):
     got = B.scan_events(spark, lake)
     assert got.count() == feed.events.count() and got.select("event_order").distinct().count() == got.count()
     assert not [d for d, _, _ in os.walk(B.paths(lake)["events"].replace("file:", "")) if d.endswith("_temporary")]
+
+
+# --------------------------------------------------------------- re-delivered matches
+
+@pytest.mark.parametrize("gone", [False, True])
+def test_a_replacement_that_is_stopped_leaves_a_readable_season(spark, lake, monkeypatch, gone):
+    feed = Feed(spark, SF001)
+    B.land_events(feed.events, lake)
+    n, path = feed.events.count(), B.paths(lake)["events"]
+    again = feed.events.where("season_id = 26 AND match_id < 400").withColumn("play_pattern", F.lit("corrected"))
+    write = B._write_events
+
+    def stopped(df, where, mode, season=None):
+        assert mode == "overwrite"
+        if gone:  # the old files are deleted, the new ones not yet there
+            import shutil
+            shutil.rmtree(path.replace("file:", "") + "/competition_id=11/season_id=26")
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(B, "_write_events", stopped)
+    with pytest.raises(KeyboardInterrupt):
+        B.land_events(again, lake)
+    monkeypatch.setattr(B, "_write_events", write)
+    for rows in (B.scan_events(spark, lake), B.scan_events(spark, lake, [(11, 26), (11, 27)])):
+        assert rows.count() == n and rows.where("play_pattern = 'corrected'").count() == again.count()
+    assert B.scan_events(spark, lake, [(11, 27)]).where("season_id = 26").count() == 0
+    P.transform(spark, lake)  # readers and Silver see the season as delivered
+    assert P.read_silver(spark, lake, "events").where("play_pattern = 'corrected'").count() > 0
+    assert B.roll_forward(spark, lake) == 1 and B.staged_folders(spark, lake) == []
+    stored = spark.read.parquet(path)
+    assert stored.count() == n and stored.where("play_pattern = 'corrected'").count() == again.count()
+    assert B.roll_forward(spark, lake) == 0
+
+
+def test_an_unfinished_staged_folder_is_no_season(spark, lake):
+    feed = Feed(spark, SF001)
+    B.land_events(feed.events, lake)
+    half = f"{lake}/bronze/_staged-half"
+    feed.events.limit(5).write.partitionBy(*B.SEASON_PARTS).parquet(half)
+    os.remove(half.replace("file:", "") + "/_SUCCESS")
+    assert B.staged_folders(spark, lake) == [] and B.scan_events(spark, lake).count() == feed.events.count()
