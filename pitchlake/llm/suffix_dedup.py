@@ -27,8 +27,8 @@ Here a suffix is sorted only where it can decide something:
    windows a bucket sends one, so a hot string spreads over many buckets and
    still meets, one row per bucket.
 
-Strings are judged on the input. Hashes select and group (128 bits for
-classes and windows that cross buckets); inside a bucket bytes are compared.
+Strings are judged on the input. Hashes select; classes and windows that cross
+buckets are 128-bit BLAKE2b digests; inside a bucket bytes are compared.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``SPAN``
 lose nothing unless a repeat covers them, which it can't; repeated rows repeat
@@ -40,124 +40,76 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchlake.llm import rolling
 from pitchlake.llm.common import table, text_of, written
 
 SPAN, GRAM = 400, 96
-#: Suffixes that a bucket is meant to hold, most buckets (they grow beyond), sampled suffixes per bucket.
-BUCKET_ROWS, MOST_BUCKETS, SAMPLED = 2000, 4096, 8
+#: Suffixes that a bucket is meant to hold, buckets up to which it is meant to; suffixes that it holds
+#: at most beyond (their number then follows the suffixes); sampled suffixes per bucket.
+BUCKET_ROWS, FEW_BUCKETS, MOST_ROWS, SAMPLED = 2000, 4096, 50_000, 8
 #: Windows that are compared across boundaries together at first; at most 63 (they form a bit mask).
 BLOCK = 32
-#: Suffixes that leave a task together.
-BATCH = 4096
+#: Anchors and suffixes that leave a task together.
+ANCHORS, BATCH = 8192, 4096
 _CUTOFF = 24
-_RNG = np.random.default_rng(20240229)
-# Random 64-bit value of each byte, drawn from a fixed seed; odd multiplier of the rolling hashes and its inverse.
-_BYTE = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
-_BYTE2 = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
-_MULT = 0x9E3779B97F4A7C15
-_INV = pow(_MULT, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse, 0 to n at least."""
-    if "up" not in _POWERS or len(_POWERS["up"]) <= n:
-        size = 1 << max(n + 1, 1 << 16).bit_length()
-        for name, base in (("up", _MULT), ("down", _INV)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _POWERS[name] = np.multiply.accumulate(p)
-    return _POWERS["up"], _POWERS["down"]
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
-def _sums(data: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Prefix sums from which the hash of any stretch follows."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * _powers(len(data))[1][:len(data)], out=out[1:])
-    return out
-
-
-def _hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the stretches from ``start`` to ``end``."""
-    return (sums[end] - sums[start]) * _powers(len(sums))[0][start]
-
-
-def _window_min(keys: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every window of ``width`` keys, from running minima of blocks in both directions."""
-    n = len(keys)
-    pad = -n % width
-    k = np.concatenate([keys, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(k, axis=1).ravel()
-    back = np.minimum.accumulate(k[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n - width + 1], ahead[width - 1:n])
-
-
-def anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM,
-            only_gram: bool = False) -> dict[str, np.ndarray] | None:
+def anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> dict[str, np.ndarray] | None:
     """Anchors of one text: ``at``, first and last owned window ``lo`` and ``hi``, hash of the anchor
-    string ``gram`` and the two hashes ``seg1``, ``seg2`` of the owned stretch (with ``only_gram`` nothing
-    but ``gram``). None if there is no window."""
+    string ``gram``. None if there is no window."""
     n = len(data)
     if n < span:
         return None
-    sums = _sums(data, _BYTE)
     p = np.arange(n - gram + 1)
-    h = _mixed(_hash(sums, p, p + gram))
-    # hash in front, position behind: the smallest key is the leftmost of the smallest hashes
-    bits = np.uint64(max(n, 1).bit_length())
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    owner = (_window_min((h >> bits << bits) | p.astype(np.uint64), span - gram + 1) & low).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-    last = np.concatenate((first[1:], [len(owner)])) - 1
-    at = owner[first]
-    end = last + span
-    # where the anchor lies in the owned stretch is part of the class
-    place = ((at - first) * 1000 + (last - first)).astype(np.uint64)
-    if only_gram:
-        return {"gram": h[at]}
-    sums2 = _sums(data, _BYTE2)
-    return {"at": at, "lo": first, "hi": last, "gram": h[at],
-            "seg1": _mixed(_hash(sums, first, end) + place), "seg2": _mixed(_hash(sums2, first, end) ^ place)}
-
-
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.astype(np.uint64).view(np.int64), pa.int64())
+    h = rolling.mixed(rolling.stretch(rolling.sums(rolling.BYTE[data]), p, p + gram))
+    at, first, last = rolling.owners(h, span - gram + 1)
+    return {"at": at, "lo": first, "hi": last, "gram": h[at].view(np.int64)}
 
 
-_ANCHOR = "k1 long, k2 long, at int, lo int, hi int, gram long, seg1 long, seg2 long"
-
-
-def _anchor_rows(keyed: DataFrame, only_gram: bool) -> DataFrame:
-    """All anchors of all texts; ``only_gram``: nothing but the hashes of their strings."""
+def _anchor_rows(keyed: DataFrame) -> DataFrame:
+    """All anchors of all texts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k1, k2, t in zip(b.column(0), b.column(1), b.column(2), strict=True):
-                found = anchors(np.frombuffer(t.as_py(), np.uint8), only_gram=only_gram)
-                if found is None:
+            found: list[dict[str, np.ndarray]] = []
+            seg: list[bytes] = []
+            of: list[int] = []
+
+            def sent() -> pa.RecordBatch:
+                take = pa.array(np.repeat(of, [len(f["at"]) for f in found]), pa.int32())
+                each = {c: np.concatenate([f[c] for f in found]) for c in ("at", "lo", "hi", "gram")}
+                return pa.RecordBatch.from_arrays(
+                    [b.column("k1").take(take), b.column("k2").take(take),
+                     *[pa.array(each[c].astype(np.int32)) for c in ("at", "lo", "hi")], pa.array(each["gram"]),
+                     pa.array(seg, pa.binary())], ["k1", "k2", "at", "lo", "hi", "gram", "seg"])
+
+            for k, t in enumerate(b.column("body")):
+                body = t.as_py()
+                own = anchors(np.frombuffer(body, np.uint8))
+                if own is None:
                     continue
-                if only_gram:
-                    yield pa.RecordBatch.from_arrays([_signed(found["gram"])], ["gram"])
-                    continue
-                n = len(found["at"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, k1.as_py()), pa.int64()), pa.array(np.full(n, k2.as_py()), pa.int64()),
-                     *[pa.array(found[c].astype(np.int32)) for c in ("at", "lo", "hi")],
-                     *[_signed(found[c]) for c in ("gram", "seg1", "seg2")]],
-                    ["k1", "k2", "at", "lo", "hi", "gram", "seg1", "seg2"])
-
-    return keyed.select("k1", "k2", "body").mapInArrow(scan, "gram long" if only_gram else _ANCHOR)
+                found.append(own)
+                of.append(k)
+                # where the anchor lies in the stretch follows from the stretch
+                seg += [blake2b(body[x:y + SPAN], digest_size=16).digest()
+                        for x, y in zip(own["lo"].tolist(), own["hi"].tolist(), strict=True)]
+                if len(seg) >= ANCHORS:
+                    yield sent()
+                    found.clear()
+                    seg.clear()
+                    of.clear()
+            if found:
+                yield sent()
+
+    return keyed.select("k1", "k2", "body").mapInArrow(
+        scan, "k1 long, k2 long, at int, lo int, hi int, gram long, seg binary")
 
 
 def sort_key(right: bytes, left: bytes, span: int = SPAN) -> bytes:
@@ -282,9 +234,9 @@ def _suffixes(texts: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
 
 
 def _splitters(suffixes: DataFrame, span: int) -> list[bytes]:
-    """Sampled splitters: at most ``MOST_BUCKETS`` of them, whatever the number of suffixes."""
+    """Sampled splitters, one per bucket: a bucket's size is bounded whatever the number of suffixes."""
     m = suffixes.count()
-    buckets = min(MOST_BUCKETS, -(-m // BUCKET_ROWS))
+    buckets = max(min(FEW_BUCKETS, -(-m // BUCKET_ROWS)), -(-m // MOST_ROWS))
     if buckets < 2:
         return []
     every = max(1, m // (buckets * SAMPLED))
@@ -381,10 +333,10 @@ def repeated(docs: DataFrame, ident: str = "doc_id", text: str = "text", span: i
     keyed = _keyed(docs, ident, text)
     long_enough = keyed.filter(F.length("body") >= span)
     # these small tables are written, so that the joins with them can split a hot string
-    often = written(_anchor_rows(long_enough, True).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
-                    .filter("c > 1").select("gram"), "grams")
-    found = written(_anchor_rows(long_enough, False).join(often, "gram"), "anchors")
-    key = ["gram", "seg1", "seg2"]
+    every = written(_anchor_rows(long_enough), "anchors")
+    often = written(every.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram"), "grams")
+    found = written(every.join(often, "gram"), "repeated-anchors")
+    key = ["gram", "seg"]
     classes = written(found.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "at", "lo", "hi")).alias("one")), "anchor-classes")
     whole = found.join(classes.filter("n > 1").select(*key), key).select(
