@@ -53,6 +53,20 @@ def test_matches_brute_force(spark, monkeypatch, rows_per_bucket):
     assert sum(w[1] for w in want) > 10_000
 
 
+def test_buckets_follow_the_suffixes_beyond_a_few(spark, monkeypatch):
+    monkeypatch.setattr(S, "FEW_BUCKETS", 1)
+    monkeypatch.setattr(S, "MOST_ROWS", 5)
+    seen = []
+    splitters = S._splitters
+    monkeypatch.setattr(S, "_splitters", lambda *a: seen.append(splitters(*a)) or seen[-1])
+    rows = passages(14)
+    got = S.removed(docs_of(spark, rows)).collect()
+    want = brute([r[1] for r in rows], S.SPAN)
+    assert sorted((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in got) \
+        == sorted((r[0], w[1], w[3]) for r, w in zip(rows, want, strict=True))
+    assert len(seen[0]) > 10
+
+
 def test_spans_are_what_was_removed(spark):
     rows = passages(12)
     texts = {r[0]: r[1].encode() for r in rows}
