@@ -39,9 +39,8 @@ def or_by_groups(step: Callable[[bool], object]) -> object:
 
 
 def files_of(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """``path`` of every Parquet file below the folders (a listing; no content is read)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true").load(list(folders)).select("path"))
+    """``path`` of every file below the folders, but for hidden ones (a listing; no content is read)."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders)).select("path")
 
 
 def _uri(path: str) -> str:
