@@ -11,9 +11,9 @@ weights, through the logistic function.
 Training reads at most ``TRAIN_ROWS`` labelled rows (those with the smallest
 hash of their identifier, so the choice does not depend on partitioning; one
 row an identifier, that with the smallest hash of its text), never one of the
-held-out fold. Their hashed features meet in one task of bounded size, and the
-weights alone come to the driver. Scoring covers all rows, task by task, with
-the weights in a broadcast of fixed size.
+held-out fold. Their hashed features, not their texts, come to the driver, as
+Arrow buffers. Scoring covers all rows, task by task, with the weights in a
+broadcast of fixed size.
 
 Defined cases: null and empty texts score by the intercept alone; labels
 without an identifier or a quality, and labels of unknown documents, are
@@ -113,21 +113,15 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
                 [b.column("_id"), b.column("_y"), pa.array(ids, pa.list_(pa.int64())),
                  pa.array(counts, pa.list_(pa.int64()))], ["_id", "_y", "ids", "counts"])
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for b in batches:
-            for i, y, ids, counts in zip(b.column("_id"), b.column("_y"), b.column("ids"), b.column("counts"), strict=True):
-                c = counts.values.to_numpy().astype(float)
-                rows.append((str(i.as_py()), np.append(ids.values.to_numpy(), _SIZE),
-                             np.append(c * (SCALE / max(c.sum() / 3, 1.0)), 1.0), int(y.as_py() > 0)))
-        rows.sort(key=lambda r: r[0])
-        yield pa.RecordBatch.from_arrays([pa.array([ftrl([r[1:] for r in rows]).tobytes()])], ["weights"])
-
     kind = picked.schema["_id"].dataType.simpleString()
-    feats = picked.mapInArrow(scan, f"_id {kind}, _y int, ids array<long>, counts array<long>")
-    # the features of at most max_rows rows meet in one task; the driver gets the weights alone
-    got = feats.repartition(1).mapInArrow(fit, "weights binary").collect()
-    return np.frombuffer(got[0]["weights"]) if got else ftrl([])
+    got = picked.mapInArrow(scan, f"_id {kind}, _y int, ids array<long>, counts array<long>").toArrow()
+    rows = []
+    for i, y, ids, counts in zip(*[got.column(c) for c in ("_id", "_y", "ids", "counts")], strict=True):
+        c = counts.values.to_numpy().astype(float)
+        rows.append((str(i.as_py()), np.append(ids.values.to_numpy(), _SIZE),
+                     np.append(c * (SCALE / max(c.sum() / 3, 1.0)), 1.0), int(y.as_py() > 0)))
+    rows.sort(key=lambda r: r[0])
+    return ftrl([r[1:] for r in rows])
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", name: str = "score") -> DataFrame:
