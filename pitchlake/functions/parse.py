@@ -32,8 +32,8 @@ def nan_to_null(c) -> Column:
 
 
 def strip_brackets(c) -> Column:
-    """'[61.0, 40.1]' -> '61.0, 40.1'."""
-    return F.translate(_col(c), "[]", "")
+    """'[61.0, 40.1]' -> '61.0, 40.1'. (``replace`` searches bytes; ``translate`` looks up every character.)"""
+    return F.replace(F.replace(_col(c), F.lit("["), F.lit("")), F.lit("]"), F.lit(""))
 
 
 def split_list(c) -> Column:
@@ -93,8 +93,11 @@ def float_of(df, name: str) -> Column:
 
 
 def coord(c, i: int) -> Column:
-    """i-th coordinate of a stringified ``[x, y]`` location as FLOAT."""
-    return to_float(list_index(c, i))
+    """i-th coordinate of a stringified ``[x, y]`` location as FLOAT.
+
+    Equal to ``to_float`` of the element, but names it once, so it is parsed once: the cast itself
+    trims, and the text forms of a missing value become NULL or NaN in it."""
+    return F.nanvl(list_index(c, i).try_cast("float"), F.lit(None).cast("float"))
 
 
 def to_bool_default_false(c) -> Column:
