@@ -54,9 +54,7 @@ def prepare(spark: SparkSession, sf_dir: str, t: Thresholds = DEFAULT_THRESHOLDS
     with _LOCK:
         if key not in _LANDED:
             root = scratch_lake(spark)
-            P.ingest(Feed(spark, sf_dir), root)
-            P.transform(spark, root)
-            P.features(spark, root, t=t)
+            P.build_lake(Feed(spark, sf_dir), root, t)
             _LANDED[key] = root
         return _LANDED[key]
 

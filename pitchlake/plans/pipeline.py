@@ -35,6 +35,8 @@ from pitchlake.sources.drift import or_by_groups
 #: Held while a table that belongs to no season is overwritten (seasons may run side by side).
 _WHOLE_TABLE = threading.Lock()
 SILVER_EVENT_TABLES = ("events", "shots", "pressures", "carries")
+#: Silver tables that Gold is computed from.
+GOLD_READS = ("events", "carries")
 SILVER_SCHEMAS = schemas.SILVER
 #: What a viewer selects one match or team by.
 SELECTED_BY = ("match_id", "team_name")
@@ -58,14 +60,12 @@ def silver_path(root: str, table: str) -> str:
     return join_path(B.paths(root)["silver"], table)
 
 
-def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = None,
-           limit: int | None = None, ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT,
-           source: str = DEFAULT_SOURCE, workers: int = 4) -> None:
-    """Feed -> Bronze for the requested seasons (all seasons when None).
-
-    A feed whose tables all follow from its events (``from_events``) is read once: the events are
-    landed first and the other tables derived from stored Bronze. Lines of a landed feed that did
-    not parse are kept under ``bronze/_corrupt/<table>``."""
+def _landing(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = None,
+             limit: int | None = None, ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT,
+             source: str = DEFAULT_SOURCE) -> dict[str, Callable[[], object]]:
+    """One write job per feed table that is yet to be landed. A feed whose tables all follow from its
+    events (``from_events``) is read once: its events are landed here, and the others derived from
+    stored Bronze."""
     cond = B.season_filter(seasons)
 
     def wanted(df: DataFrame) -> DataFrame:
@@ -74,12 +74,13 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
     events = wanted(feed.events)
     if limit:
         events = B.events_of_matches(events, B.limit_matches(wanted(feed.matches), limit))
+    first = {}
     if getattr(feed, "from_events", None) is None:
         matches = B.limit_matches(wanted(feed.matches), limit)
         lineups, competitions = wanted(feed.lineups), feed.competitions
         if limit:
             lineups = B.events_of_matches(lineups, matches)
-        first = [lambda: B.land_events(events, root, ingested_at, source, seasons)]
+        first = {"events": lambda: B.land_events(events, root, ingested_at, source, seasons)}
     else:
         spark = feed.spark
         B.land_events(events, root, ingested_at, source, seasons)
@@ -87,7 +88,6 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
         matches = B.limit_matches(stored.matches, limit)
         lineups = B.events_of_matches(stored.lineups, matches) if limit else stored.lineups
         competitions = stored.competitions if cond is None else feed.competitions
-        first = []
     corrupt = getattr(feed, "corrupt", {})
 
     def whole(write: Callable[[], object]) -> Callable[[], object]:
@@ -96,20 +96,29 @@ def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = No
                 return write()
         return run
 
-    run_concurrently([
-        *first,
-        lambda: B.land_matches(matches, root, ingested_at, source),
-        lambda: B.land_lineups(lineups, root, ingested_at, source),
-        whole(lambda: B.land_competitions(competitions, root, ingested_at, source)),
-        *[whole(lambda name=name, df=df: df.write.mode("overwrite").parquet(
-            join_path(B.paths(root)["corrupt"], name))) for name, df in corrupt.items()],
-    ], workers)
+    return {
+        **first,
+        "matches": lambda: B.land_matches(matches, root, ingested_at, source),
+        "lineups": lambda: B.land_lineups(lineups, root, ingested_at, source),
+        "competitions": whole(lambda: B.land_competitions(competitions, root, ingested_at, source)),
+        **{f"corrupt/{name}": whole(lambda name=name, df=df: df.write.mode("overwrite").parquet(
+            join_path(B.paths(root)["corrupt"], name))) for name, df in corrupt.items()},
+    }
+
+
+def ingest(feed: Feed, root: str, seasons: Sequence[tuple[int, int]] | None = None,
+           limit: int | None = None, ingested_at: dt.datetime = B.DEFAULT_INGESTED_AT,
+           source: str = DEFAULT_SOURCE, workers: int = 4) -> None:
+    """Feed -> Bronze for the requested seasons (all seasons when None). Lines of a landed feed that
+    did not parse are kept under ``bronze/_corrupt/<table>``."""
+    run_concurrently(list(_landing(feed, root, seasons, limit, ingested_at, source).values()), workers)
 
 
 def _silver_tasks(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] | None,
-                  drifted: bool = False) -> dict[str, Callable[[], int]]:
-    """One write job per Silver table whose Bronze source has been landed; ``drifted`` reads Bronze by
-    groups of files with the same types."""
+                  drifted: bool = False, tables: Sequence[str] = (*SILVER_EVENT_TABLES, "lineups"),
+                  ) -> dict[str, Callable[[], int]]:
+    """One write job per given Silver table whose Bronze source has been landed; ``drifted`` reads Bronze
+    by groups of files with the same types."""
     def write(table: str, df: DataFrame):
         return lambda: B.write_partitioned(df, silver_path(root, table), B.SEASON_PARTS,
                                            cluster_by=("match_id",), selected_by=SELECTED_BY)
@@ -121,16 +130,18 @@ def _silver_tasks(spark: SparkSession, root: str, seasons: Sequence[tuple[int, i
         return B.scan_lineups(spark, root, seasons)
 
     tasks = {}
-    if B.table_exists(spark, B.paths(root)["events"]):
+    of_events = [t for t in SILVER_EVENT_TABLES if t in tables]
+    if of_events and B.table_exists(spark, B.paths(root)["events"]):
         events = B.scan_events(spark, root, seasons, drifted)
-        tasks.update({t: write(t, S.SILVER_TABLES[t](events)) for t in SILVER_EVENT_TABLES})
-    if B.table_exists(spark, B.paths(root)["lineups"]):
+        tasks.update({t: write(t, S.SILVER_TABLES[t](events)) for t in of_events})
+    if "lineups" in tables and B.table_exists(spark, B.paths(root)["lineups"]):
         tasks["lineups"] = write("lineups", S.silver_lineups(lineups()))
     return tasks
 
 
 def transform(spark: SparkSession, root: str,
-              seasons: Sequence[tuple[int, int]] | None = None, workers: int = 4) -> None:
+              seasons: Sequence[tuple[int, int]] | None = None, workers: int = 4,
+              tables: Sequence[str] = (*SILVER_EVENT_TABLES, "lineups")) -> None:
     """Bronze -> Silver; a season is rebuilt from all of its Bronze matches.
 
     An input split may hold files of several seasons, so the rows are rebalanced
@@ -139,7 +150,7 @@ def transform(spark: SparkSession, root: str,
     by groups of the same types.
     """
     or_by_groups(lambda drifted: run_concurrently(
-        list(_silver_tasks(spark, root, seasons, drifted).values()), workers))
+        list(_silver_tasks(spark, root, seasons, drifted, tables).values()), workers))
 
 
 def read_silver(spark: SparkSession, root: str, table: str,
@@ -185,16 +196,17 @@ def status(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]],
 
 
 def _build(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] | None,
-           t: Thresholds) -> None:
-    """Silver and Gold of the seasons. Gold reads only Silver events and carries, so it starts as
-    soon as those two tables are written, while the other Silver tables are still being written."""
+           t: Thresholds, tables: Sequence[str] = (*SILVER_EVENT_TABLES, "lineups")) -> None:
+    """Silver and Gold of the seasons. Gold reads only Silver events and carries, so these are begun
+    first, and it starts as soon as they are written, while other Silver tables are still being written."""
     def build(drifted: bool) -> None:
-        tasks = _silver_tasks(spark, root, seasons, drifted)
+        tasks = _silver_tasks(spark, root, seasons, drifted, tables)
         with ThreadPoolExecutor(max_workers=len(tasks) + 1) as pool:
-            done = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+            done = {name: pool.submit(inheritable_thread_target(tasks[name]))
+                    for name in sorted(tasks, key=lambda name: name not in GOLD_READS)}
 
             def gold() -> None:
-                for name in ("events", "carries"):
+                for name in GOLD_READS:
                     if name in done:
                         done[name].result()
                 features(spark, root, seasons, t)
@@ -206,6 +218,23 @@ def _build(spark: SparkSession, root: str, seasons: Sequence[tuple[int, int]] |
     or_by_groups(build)
 
 
+def build_lake(feed: Feed, root: str, t: Thresholds = DEFAULT_THRESHOLDS) -> None:
+    """Feed -> Bronze -> Silver -> Gold of all seasons. A table is written as soon as those that it is
+    derived from are stored, so that no layer waits for the last small table of the layer below."""
+    spark = feed.spark
+    landing = _landing(feed, root)
+    if "events" in landing:
+        landing.pop("events")()
+    land_lineups = landing.pop("lineups")
+
+    def lineups() -> None:
+        land_lineups()
+        transform(spark, root, tables=("lineups",))
+
+    tasks = [lambda: _build(spark, root, None, t, SILVER_EVENT_TABLES), lineups, *landing.values()]
+    run_concurrently(tasks, len(tasks))
+
+
 #: Seasons that run side by side when a common run has failed.
 SIDE_BY_SIDE = 8
 
